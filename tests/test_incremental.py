@@ -1,0 +1,145 @@
+"""Incremental extract, chunks and order: semantics and plans."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.errors import ColumnMismatch, UnsupportedType
+from tidemark.operators.chunks import chunk_manifest, in_cursor_order, with_positions
+from tidemark.operators.describe import canonical, canonical_schema, describe
+from tidemark.operators.incremental import (
+    frontier,
+    high_watermark,
+    lower_bound,
+    read_past,
+)
+
+EVENTS = "/root/testdata/sf0.01/events.parquet"
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    return spark.read.parquet(EVENTS)
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+
+
+def test_bound_precedence():
+    assert lower_bound(None, None) is None
+    assert lower_bound(None, "2000") == "2000"
+    assert lower_bound("o'brien", "2000") == "o'brien"
+    assert lower_bound(0, "2000") == "0"
+
+
+def test_predicate_reaches_the_scan_through_the_projection(events):
+    text = plan(canonical(read_past(events, "ts", resume="2024-01-05 00:00:00.000000")))
+    assert "PushedFilters: [IsNotNull(ts), GreaterThan(ts,2024-01-05T00:00" in text
+    text = plan(read_past(events, "EVENT_ID", resume="50").select("event_id", "value"))
+    assert "GreaterThan(event_id,50)" in text
+    assert "ReadSchema: struct<event_id:bigint,value:double>" in text
+
+
+def test_projection_stays_in_generated_code(events):
+    executed = canonical(events)._jdf.queryExecution().executedPlan().toString()
+    assert "*(1) Project" in executed and "Python" not in executed
+
+
+def test_strictly_past_and_upto(events):
+    got = read_past(events, "event_id", resume="10", upto="12").select("event_id").collect()
+    assert sorted(r[0] for r in got) == [11, 12]
+
+
+def test_unknown_cursor_fails_at_once(events):
+    with pytest.raises(ColumnMismatch):
+        read_past(events, "no_such_column")
+
+
+def test_null_cursors_are_read_on_the_first_run_only(spark):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, 9)], "id int, c int")
+    first = frontier(df, "c")
+    assert (first.watermark, first.rows) == ("9", 3)
+    assert read_past(df, "c", upto="9").count() == 3
+    assert read_past(df, "c", resume="4", upto="9").count() == 2
+    assert read_past(df, "c", initial="0").count() == 2
+    # '9' > '10' as text, so the watermark must be the largest number.
+    more = df.unionAll(spark.createDataFrame([(4, 10)], "id int, c int"))
+    assert high_watermark(more, "c").first()[0] == "10"
+
+
+def test_empty_source(spark, events):
+    nothing = events.where("event_id < 0")
+    assert frontier(nothing, "ts").watermark is None
+    assert chunk_manifest(nothing, "ts").collect() == []
+    assert with_positions(nothing, "ts").collect() == []
+
+
+def test_describe(spark, events):
+    rows = [tuple(r) for r in describe(events).orderBy("ordinal").collect()]
+    assert rows[0] == (0, "event_id", "bigint", "string")
+    assert rows[1] == (1, "ts", "timestamp_ntz", "string")
+    assert rows[4] == (4, "value", "double", "double")
+    assert all(f.nullable for f in canonical_schema(events.schema))
+    with pytest.raises(UnsupportedType, match="embedding"):
+        describe(spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet"))
+
+
+def expected_chunks(values, size):
+    ordered = sorted((v for v in values if v is not None)) + [None] * sum(v is None for v in values)
+    chunks, high = [], None
+    for start in range(0, len(ordered), size):
+        part = ordered[start : start + size]
+        high = max([v for v in part if v is not None] + ([high] if high is not None else []), default=None)
+        chunks.append((start // size, len(part), None if high is None else str(high)))
+    return chunks
+
+
+@pytest.mark.parametrize("size", [1, 7, 100, 1000, 5000])
+def test_chunks_with_one_value_in_a_third_of_the_rows(spark, size):
+    rng = random.Random(size)
+    values = [42] * 400 + [None] * 90 + [rng.randrange(200) for _ in range(710)]
+    rng.shuffle(values)
+    df = spark.createDataFrame([(v,) for v in values], "c int").repartition(5)
+    got = sorted(tuple(r) for r in chunk_manifest(df, "C", size).collect())
+    assert got == expected_chunks(values, size)
+
+
+def test_chunks_of_only_nulls(spark):
+    df = spark.createDataFrame([(None,)] * 5, "c int")
+    got = sorted(tuple(r) for r in chunk_manifest(df, "c", 2).collect())
+    assert got == [(0, 2, None), (1, 2, None), (2, 1, None)]
+
+
+def test_chunk_manifest_never_gathers_rows_in_one_task(events):
+    text = plan(chunk_manifest(events, "ts", 2000))
+    assert "SinglePartition" not in text and "Window" not in text
+
+
+@pytest.mark.parametrize("stable", [True, False])
+def test_positions_with_a_hot_value(spark, stable):
+    folder_rows = [(i, 7 if i % 3 == 0 else (None if i % 10 == 0 else i % 50)) for i in range(3000)]
+    df = spark.createDataFrame(folder_rows, "id int, c int")
+    got = with_positions(df, "c", stable_input=stable).orderBy("position").collect()
+    assert [r["position"] for r in got] == list(range(3000))
+    assert sorted(r["id"] for r in got) == list(range(3000))
+    values = [r["c"] for r in got]
+    known = [v for v in values if v is not None]
+    assert known == sorted(known) and all(v is None for v in values[len(known) :])
+
+
+def test_copies_are_spread_over_sort_ranges(spark):
+    df = spark.range(40_000).select(F.lit(1).alias("c"), F.lit("same").alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ordered = in_cursor_order(df, "c", stable_input=True)
+        sizes = ordered.groupBy(F.spark_partition_id()).count().select("count").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(r[0] for r in sizes) == 40_000
+    assert len(sizes) > 4 and max(r[0] for r in sizes) < 20_000

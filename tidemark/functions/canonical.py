@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import TidemarkError, UnsupportedType
-from tidemark.functions.numbers import decimal_text, float_text
+from tidemark.functions.numbers import decimal_text, double_text, float_text
 
 # Words read as booleans, and the text written for them.
 TRUE_WORDS = ("1", "true", "TRUE")
@@ -121,7 +121,9 @@ def to_text(value: Column, kind: T.DataType, name: str = "?") -> Column:
         return value.cast("string")
     if isinstance(kind, T.DecimalType):
         return decimal_text(value, kind.scale)
-    if isinstance(kind, _FLOATING):
+    if isinstance(kind, T.DoubleType):
+        return double_text(value)
+    if isinstance(kind, T.FloatType):
         return float_text(value)
     if isinstance(kind, T.BooleanType):
         return F.when(value, TRUE_TEXT).when(~value, FALSE_TEXT)

@@ -52,3 +52,16 @@ def float_text(number: Column) -> Column:
         .when(F.endswith(text, F.lit("Infinity")), F.replace(text, F.lit("Infinity"), F.lit("inf")))
         .otherwise(text)
     )
+
+
+def double_text(number: Column) -> Column:
+    """:func:`float_text`, with a shortcut for the doubles Spark writes with an exponent
+    although they are ordinary: from ten million to 2**53, where every whole number is
+    exact and no value has more than nine fraction digits."""
+    ordinary = F.abs(number).between(1e7, float(2**53))
+    whole = F.when(ordinary, number.cast("long"))
+    return (
+        F.when(ordinary & (whole.cast("double") == number), whole.cast("string"))
+        .when(ordinary, decimal_text(number.try_cast("decimal(26,9)"), 9))
+        .otherwise(float_text(number))
+    )

@@ -17,6 +17,7 @@ from tidemark.functions.names import ref, resolve
 from tidemark.storage import materialize
 
 _CHUNKS_PER_BLOCK = 10_000
+TIE = "tm_tie"
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row within it below
 
 
@@ -85,24 +86,36 @@ def chunk_manifest(df: DataFrame, cursor: str, chunk_rows: int = 1000) -> DataFr
     )
 
 
-def with_positions(df: DataFrame, cursor: str, stable_input: bool = False) -> DataFrame:
-    """Every row with its 0-based ``position`` in cursor order, NULL cursors last.
-
-    Equal cursors are ordered by input order, which also lets a hot value be
-    split over ranges. Input order must not change if a task runs again: pass
-    ``stable_input=True`` only for a plain file scan, otherwise the input is
-    written to the shared folder first.
-    """
+def _with_tie_break(df: DataFrame, cursor: str, stable_input: bool) -> tuple[DataFrame, list]:
+    """The frame with its input order as last sort key, and the whole sort order."""
     name = resolve(df.columns, cursor)
     source = df if stable_input else materialize(df, "input")
-    order = [F.col(ref(name)).asc_nulls_last(), F.col("_tie")]
+    tied = source.withColumn(TIE, F.monotonically_increasing_id())
+    return tied, [F.col(ref(name)).asc_nulls_last(), F.col(TIE)]
+
+
+def in_cursor_order(df: DataFrame, cursor: str, stable_input: bool = False) -> DataFrame:
+    """A total sort for ordered exports: cursor ascending, NULLs last.
+
+    Equal cursors keep their input order. That makes every sort key different,
+    so a hot cursor value, or a row that is there a million times, is split over
+    sort ranges like anything else. Input order must not change if a task runs
+    again: pass ``stable_input=True`` only for a plain file scan, otherwise the
+    input is written to the shared folder first.
+    """
+    tied, order = _with_tie_break(df, cursor, stable_input)
+    return tied.orderBy(*order).drop(TIE)
+
+
+def with_positions(df: DataFrame, cursor: str, stable_input: bool = False) -> DataFrame:
+    """Every row with its 0-based ``position`` in the order of :func:`in_cursor_order`."""
+    tied, order = _with_tie_break(df, cursor, stable_input)
     ranged = (
-        source.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*order)
+        tied.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("part", F.shiftright("_at", _ROW_BITS).cast("int"))
-        .drop("_tie")
+        .drop(TIE)
     )
     placed = materialize(ranged, "positions")
     totals = [(r["part"], r["count"]) for r in placed.groupBy("part").count().collect()]

@@ -73,13 +73,3 @@ def frontier(
     row = past.agg(watermark_of(past, cursor).alias("watermark"), F.count("*").alias("n")).first()
     return Frontier(row["watermark"], row["n"])
 
-
-def in_cursor_order(df: DataFrame, cursor: str) -> DataFrame:
-    """A total sort for ordered exports: cursor ascending, NULLs last.
-
-    A row hash follows the cursor, so that a cursor value shared by many rows
-    is spread over several sort ranges.
-    """
-    name = resolve(df.columns, cursor)
-    everything = [F.col(ref(c)) for c in df.columns]
-    return df.orderBy(F.col(ref(name)).asc_nulls_last(), F.xxhash64(*everything))

@@ -56,46 +56,39 @@ def require_unique_keys(stage: DataFrame, keys: list[str]) -> None:
         raise KeyProblem(f"the staged rows repeat merge keys, for example {shown}")
 
 
-def upsert(
+def merge_parts(
     target: DataFrame, stage: DataFrame, keys: list[str], small_stage: bool = False
-) -> DataFrame:
-    """The target after the merge. Staged keys must be unique (see above).
+) -> tuple[DataFrame, DataFrame]:
+    """The target's rows after the merge, and the rows the merge adds.
 
     ``small_stage`` says the staged rows were measured to be under the broadcast
-    threshold: target keys are then cut down to the staged ones before the anti
-    join, so the target is not shuffled at all. The result is the same.
+    threshold. The target is then not shuffled at all, so its NULL keys need no
+    care, and its keys are cut down to the staged ones before the anti join.
+    The result is the same either way.
     """
     stage = align(stage, target.schema)
     keys = merge_keys(stage.columns, keys)
     changing = [c for c in stage.columns if c not in keys]
     staged_name = {c: f"_staged_{i}" for i, c in enumerate(stage.columns)}
     renamed = stage.toDF(*staged_name.values())
-
     same_key = _all([F.col(ref(k)) == F.col(staged_name[k]) for k in keys])
     staged_has_key = has_key([staged_name[k] for k in keys])
 
-    # Updates.
+    kept = target
     if changing:
         staged = renamed.where(staged_has_key).withColumn("_matched", F.lit(True))
-        updated = (
-            target.where(has_key(keys))
-            .join(staged, same_key, "left")
-            .select(
-                [
-                    F.when(F.col("_matched"), F.col(staged_name[c]))
-                    .otherwise(F.col(ref(c)))
-                    .alias(c)
-                    if c in changing
-                    else F.col(ref(c))
-                    for c in target.columns
-                ]
-            )
+        joining = target if small_stage else target.where(has_key(keys))
+        kept = joining.join(staged, same_key, "left").select(
+            [
+                F.when(F.col("_matched"), F.col(staged_name[c])).otherwise(F.col(ref(c))).alias(c)
+                if c in changing
+                else F.col(ref(c))
+                for c in target.columns
+            ]
         )
-        kept = updated.unionByName(target.where(~has_key(keys)))
-    else:
-        kept = target
+        if not small_stage:
+            kept = kept.unionByName(target.where(~has_key(keys)))
 
-    # Inserts.
     target_keys = target.where(has_key(keys)).select([ref(k) for k in keys])
     if small_stage:
         staged_keys = renamed.select([staged_name[k] for k in keys])
@@ -107,7 +100,7 @@ def upsert(
         .join(hit, on, "left_anti")
         .unionByName(renamed.where(~staged_has_key))
     )
-    inserted = unmatched.select(
+    added = unmatched.select(
         [
             F.col(staged_name[f.name]).alias(f.name)
             if f.name in staged_name
@@ -115,7 +108,15 @@ def upsert(
             for f in target.schema
         ]
     )
-    return kept.unionByName(inserted)
+    return kept, added
+
+
+def upsert(
+    target: DataFrame, stage: DataFrame, keys: list[str], small_stage: bool = False
+) -> DataFrame:
+    """The whole target after the merge. Staged keys must be unique (see above)."""
+    kept, added = merge_parts(target, stage, keys, small_stage)
+    return kept.unionByName(added)
 
 
 def load_report(target: DataFrame, stage: DataFrame, keys: list[str]) -> DataFrame:

@@ -343,7 +343,7 @@ FROM events
 def jsonl_ordered_export(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table(spark, folder, "events").select("event_id", "ts", "value")
     out = storage.new_folder(spark, "jsonl")
-    write_json_lines(events, out, cursor="ts", chunk_rows=2000)
+    write_json_lines(events, out, cursor="ts", chunk_rows=2000, stable_input=True)
     return spark.read.schema(canonical_schema(events.schema)).json(out)
 
 

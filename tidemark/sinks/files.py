@@ -26,17 +26,26 @@ from tidemark import storage
 from tidemark.errors import CommitConflict, KeyProblem, TidemarkError, VerifyFailed
 from tidemark.functions.names import ref, resolve_all
 from tidemark.operators.align import align
-from tidemark.operators.merge import has_key, merge_keys, require_unique_keys, upsert
+from tidemark.operators.merge import has_key, merge_keys, merge_parts, require_unique_keys
 
 BUCKET = "tm_bucket"
 
 
+# Merges of a small stage leave the target's files as they are, plus small new ones;
+# every so often one merge packs them again.
+SMALL_MERGES_BEFORE_PACKING = 16
+
+
 @dataclass(frozen=True)
 class Part:
-    """The live rows of one load: the whole folder, or some of its buckets."""
+    """The live rows of one load: rows per bucket (one bucket, "", if unkeyed).
+
+    ``whole`` parts still have every bucket that was written.
+    """
 
     run: str
-    buckets: list[int] | None = None
+    rows: dict[str, int]
+    whole: bool = True
 
 
 @dataclass(frozen=True)
@@ -46,6 +55,7 @@ class Version:
     keys: list[str] = field(default_factory=list)
     buckets: int = 0
     parts: list[Part] = field(default_factory=list)
+    small_merges: int = 0
     # Per sync or stream: the last position loaded, published with the rows.
     markers: dict[str, str] = field(default_factory=dict)
 
@@ -108,16 +118,16 @@ class FileTarget:
     def read(self, number: int | None = None) -> DataFrame:
         return self._read(self.version(number))
 
-    def _read(self, version: Version, only: set[int] | None = None) -> DataFrame:
+    def _read(self, version: Version, only: set[str] | None = None) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(version.schema))
         data = os.path.join(self.root, "data")
         paths = []
         for part in version.parts:
             folder = os.path.join(data, f"run={part.run}")
-            if part.buckets is None:
+            live = [b for b in part.rows if only is None or b in only]
+            if part.whole and len(live) == len(part.rows):
                 paths.append(folder)
             else:
-                live = [b for b in part.buckets if only is None or b in only]
                 paths += [os.path.join(folder, f"{BUCKET}={b}") for b in live]
         if not paths:
             return self.spark.createDataFrame([], schema)
@@ -128,6 +138,10 @@ class FileTarget:
             .select([ref(name) for name in schema.names])
         )
 
+    def count(self) -> int:
+        """Rows of the newest version, from the version file."""
+        return sum(n for part in self.version().parts for n in part.rows.values())
+
     # -- writing -----------------------------------------------------------------
 
     def _bucket(self, version: Version, columns: list[str]) -> Column:
@@ -137,25 +151,27 @@ class FileTarget:
         chosen = F.when(has_key(version.keys), keys).otherwise(anything)
         return F.pmod(chosen, F.lit(version.buckets)).cast("int")
 
-    def _write_part(self, rows: DataFrame, version: Version, run: str) -> Part | None:
+    def _write_part(self, rows: DataFrame, version: Version, run: str) -> Part:
+        """Write ``rows`` (with their bucket, if keyed) and count them from the footers."""
         folder = os.path.join(self.root, "data", f"run={run}")
         if not version.buckets:
             rows.write.parquet(folder)
-            return Part(run)
-        # A rebalance, not a repartition: AQE cuts an oversized bucket into several
-        # files and packs small buckets together.
-        (
-            rows.withColumn(BUCKET, self._bucket(version, rows.columns))
-            .hint("rebalance", BUCKET)
-            .write.partitionBy(BUCKET)
-            .parquet(folder)
-        )
-        names = storage.list_names(self.spark, folder)
-        written = sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{BUCKET}="))
-        return Part(run, written) if written else None
-
-    def _count(self, version: Version, parts: list[Part], only: set[int] | None = None) -> int:
-        return self._read(replace(version, parts=parts), only).count()
+            count = self.spark.read.schema(rows.schema).parquet(folder).count()
+            return Part(run, {"": count} if count else {})
+        rows.write.partitionBy(BUCKET).parquet(folder)
+        if not any(n.startswith(f"{BUCKET}=") for n in storage.list_names(self.spark, folder)):
+            return Part(run, {})
+        written = self.spark.read.schema(rows.schema).parquet(folder)
+        per_bucket = written.groupBy(BUCKET).count().orderBy(BUCKET).collect()
+        return Part(run, {str(r[BUCKET]): r["count"] for r in per_bucket})
+
+    def _bucketed(self, rows: DataFrame, version: Version, pack: bool = True) -> DataFrame:
+        """Rows with their bucket. Packing is a rebalance, not a repartition: AQE cuts an
+        oversized bucket into several files and puts small ones together."""
+        if not version.buckets:
+            return rows
+        placed = rows.withColumn(BUCKET, self._bucket(version, rows.columns))
+        return placed.hint("rebalance", BUCKET) if pack else placed
 
     def _load(
         self,
@@ -189,10 +205,10 @@ class FileTarget:
 
         def load(old: Version, run: str) -> tuple[Version, int, int]:
             rows = align(df, T.StructType.fromJson(json.loads(old.schema)), fill_missing=True)
-            part = self._write_part(rows, old, run)
-            received = self._count(old, [part]) if part else 0
-            parts = old.parts + [part] if received else old.parts
-            return self._next(old, parts, markers), received, received
+            part = self._write_part(self._bucketed(rows, old), old, run)
+            received = sum(part.rows.values())
+            new = self._next(old, markers, old.parts + [part] if received else old.parts)
+            return new, received, received
 
         return self._load(load, at_least)
 
@@ -215,38 +231,68 @@ class FileTarget:
             merge_keys(incoming.columns, old.keys)
 
             staging = os.path.join(self.root, "staging", f"run={run}")
-            incoming.withColumn(BUCKET, self._bucket(old, incoming.columns)).write.parquet(staging)
+            self._bucketed(incoming, old, pack=False).write.parquet(staging)
             staged = self.spark.read.parquet(staging)
-            # At most one row per bucket comes back.
-            per_bucket = {r[BUCKET]: r["count"] for r in staged.groupBy(BUCKET).count().collect()}
-            received, touched = sum(per_bucket.values()), set(per_bucket)
+            received, touched = self._check_stage(staged, old)
             staged = staged.drop(BUCKET)
             if not received:
-                return self._next(old, old.parts, markers), 0, 0
-            require_unique_keys(staged, old.keys)
-
-            before = self._count(old, old.parts, touched)
-            if before:
-                merged = upsert(
-                    self._read(old, touched), staged, old.keys, self._fits_broadcast(staged)
-                )
+                return self._next(old, markers, old.parts), 0, 0
+
+            before = sum(n for p in old.parts for b, n in p.rows.items() if b in touched)
+            small = self._fits_broadcast(staged)
+            pack = not small or old.small_merges >= SMALL_MERGES_BEFORE_PACKING
+            if not before:
+                merged = self._bucketed(align(staged, schema, fill_missing=True), old)
             else:
-                merged = align(staged, schema, fill_missing=True)
+                kept, added = merge_parts(self._read(old, touched), staged, old.keys, small)
+                if pack:
+                    merged = self._bucketed(kept.unionByName(added), old)
+                else:
+                    merged = self._bucketed(kept, old, pack=False).unionByName(
+                        self._bucketed(added, old)
+                    )
             part = self._write_part(merged, old, run)
-            inserted = self._count(old, [part]) - before
+            inserted = sum(part.rows.values()) - before
             if not 0 <= inserted <= received:
                 raise VerifyFailed(f"{received} rows staged, but {inserted} inserted")
-            kept = [
-                Part(p.run, left)
+            untouched = [
+                replace(p, rows=left, whole=p.whole and len(left) == len(p.rows))
                 for p in old.parts
-                if (left := [b for b in p.buckets if b not in touched])
+                if (left := {b: n for b, n in p.rows.items() if b not in touched})
             ]
-            return self._next(old, kept + [part], markers), received, inserted
+            new = self._next(old, markers, untouched + [part])
+            return (
+                replace(new, small_merges=0 if pack else old.small_merges + 1),
+                received,
+                inserted,
+            )
 
         return self._load(load, at_least)
 
+    def _check_stage(self, staged: DataFrame, version: Version) -> tuple[int, set[str]]:
+        """Rows staged and the buckets their keys fall in; a repeated key is an error.
+
+        Rows without a full key are only added, so they touch no bucket. At most one
+        row per bucket comes back to the driver.
+        """
+        by_key = staged.groupBy(BUCKET, *[ref(k) for k in version.keys]).agg(
+            F.count("*").alias("copies")
+        )
+        found = (
+            by_key.groupBy(BUCKET)
+            .agg(
+                F.sum("copies").alias("rows"),
+                F.max(F.when(has_key(version.keys), F.col("copies"))).alias("copies"),
+            )
+            .collect()
+        )
+        if any((r["copies"] or 0) > 1 for r in found):
+            require_unique_keys(staged, version.keys)
+        touched = {str(r[BUCKET]) for r in found if r["copies"] is not None}
+        return sum(r["rows"] for r in found), touched
+
     def _next(
-        self, old: Version, parts: list[Part], markers: dict[str, str] | None
+        self, old: Version, markers: dict[str, str] | None, parts: list[Part]
     ) -> Version:
         return replace(
             old, number=old.number + 1, parts=parts, markers={**old.markers, **(markers or {})}

@@ -4,19 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tidemark.operators.chunks import in_cursor_order
 from tidemark.operators.describe import canonical
-from tidemark.operators.incremental import in_cursor_order
 
 
 def write_json_lines(
-    df: DataFrame, folder: str, cursor: str | None = None, chunk_rows: int | None = None
+    df: DataFrame,
+    folder: str,
+    cursor: str | None = None,
+    chunk_rows: int | None = None,
+    stable_input: bool = False,
 ) -> None:
     """Canonical rows as JSON lines; NULLs are written, bytes become base64.
 
     With ``cursor``, file by file in cursor order; with ``chunk_rows``, no file
     holds more rows than that. A load needs neither.
     """
-    ordered = in_cursor_order(df, cursor) if cursor else df
+    ordered = in_cursor_order(df, cursor, stable_input) if cursor else df
     writer = canonical(ordered).write.option("ignoreNullFields", False)
     if chunk_rows:
         writer = writer.option("maxRecordsPerFile", max(1, chunk_rows))

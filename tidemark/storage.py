@@ -24,13 +24,14 @@ def shared_folder(spark: SparkSession) -> str:
     Where the setting is missing, a temporary folder is used in local mode only;
     on a cluster a machine-local folder would lose data, so that is an error.
     """
-    folder = spark.conf.get(_FOLDER_SETTING, None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise TidemarkError(f"set {_FOLDER_SETTING} to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set(_FOLDER_SETTING, folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get(_FOLDER_SETTING, None) or context.getCheckpointDir()
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
+        raise TidemarkError(f"set {_FOLDER_SETTING} to a folder all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
+    return context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
