@@ -63,11 +63,10 @@ def merge_statement(
 ) -> str:
     """One set-based MERGE; with nothing but keys it only inserts."""
     keys = merge_keys(list(columns), list(keys))
-    pairs = {c: f"t.{quote_name(c)} = s.{quote_name(c)}" for c in columns}
-    changing = [pairs[c] for c in columns if c not in keys]
+    changing = [f"{quote_name(c)} = s.{quote_name(c)}" for c in columns if c not in keys]
     clauses = [
         f"MERGE INTO {quote_path(target)} t USING ({staged_rows(staging, columns)}) s",
-        "ON (" + " AND ".join(pairs[k] for k in keys) + ")",
+        "ON (" + " AND ".join(f"t.{quote_name(k)} = s.{quote_name(k)}" for k in keys) + ")",
     ]
     if changing:
         clauses.append("WHEN MATCHED THEN UPDATE SET " + ", ".join(changing))
