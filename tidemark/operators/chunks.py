@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.canonical import to_text
 from tidemark.functions.names import ref, resolve
+from tidemark.sizing import range_partitioned
 from tidemark.storage import materialize
 
 _CHUNKS_PER_BLOCK = 10_000
@@ -104,14 +105,14 @@ def in_cursor_order(df: DataFrame, cursor: str, stable_input: bool = False) -> D
     input is written to the shared folder first.
     """
     tied, order = _with_tie_break(df, cursor, stable_input)
-    return tied.orderBy(*order).drop(TIE)
+    return range_partitioned(tied, order).sortWithinPartitions(*order).drop(TIE)
 
 
 def with_positions(df: DataFrame, cursor: str, stable_input: bool = False) -> DataFrame:
     """Every row with its 0-based ``position`` in the order of :func:`in_cursor_order`."""
     tied, order = _with_tie_break(df, cursor, stable_input)
     ranged = (
-        tied.repartitionByRange(*order)
+        range_partitioned(tied, order)
         .sortWithinPartitions(*order)
         .withColumn("_at", F.monotonically_increasing_id())
         .withColumn("part", F.shiftright("_at", _ROW_BITS).cast("int"))

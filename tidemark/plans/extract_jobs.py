@@ -65,6 +65,35 @@ def describe_columns(spark: SparkSession, folder: str) -> DataFrame:
     return profile_columns(described)
 
 
+WIDE = """
+SELECT l.*, o.*, c.*, p.*, s.*, n.n_name AS customer_nation, r.r_name AS customer_region
+FROM {lineitem} l
+JOIN {orders} o ON o.o_orderkey = l.l_orderkey
+JOIN {customer} c ON c.c_custkey = o.o_custkey
+JOIN {part} p ON p.p_partkey = l.l_partkey
+JOIN {supplier} s ON s.s_suppkey = l.l_suppkey
+JOIN {nation} n ON n.n_nationkey = c.c_nationkey
+JOIN {region} r ON r.r_regionkey = n.n_regionkey
+"""
+WIDE_TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region")
+WIDE_TEXT = [
+    *("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "o_orderkey", "o_custkey"),
+    *("c_custkey", "c_nationkey", "p_partkey", "p_size", "s_suppkey", "s_nationkey"),
+]
+
+
+@job(f"""
+SELECT * REPLACE (
+  {', '.join(f'cast({c} AS varchar) AS {c}' for c in WIDE_TEXT)},
+  {TS.format('l_shipdate')} AS l_shipdate, {TS.format('o_orderdate')} AS o_orderdate)
+FROM ({WIDE.format(**{t: t for t in WIDE_TABLES})})
+""")
+def wide_full_read(spark: SparkSession, folder: str) -> DataFrame:
+    """34 columns of seven tables, every row, in canonical form."""
+    tables = {name: read_table(spark, folder, name) for name in WIDE_TABLES}
+    return canonical(run_query(spark, WIDE, **tables))
+
+
 # -- canonical projection ----------------------------------------------------------
 
 

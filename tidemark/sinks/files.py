@@ -27,6 +27,7 @@ from tidemark.errors import CommitConflict, KeyProblem, TidemarkError, VerifyFai
 from tidemark.functions.names import ref, resolve_all
 from tidemark.operators.align import align
 from tidemark.operators.merge import has_key, merge_keys, merge_parts, require_unique_keys
+from tidemark.sizing import sized_shuffles
 
 BUCKET = "tm_bucket"
 
@@ -205,7 +206,8 @@ class FileTarget:
 
         def load(old: Version, run: str) -> tuple[Version, int, int]:
             rows = align(df, T.StructType.fromJson(json.loads(old.schema)), fill_missing=True)
-            part = self._write_part(self._bucketed(rows, old), old, run)
+            with sized_shuffles(self.spark, rows):
+                part = self._write_part(self._bucketed(rows, old), old, run)
             received = sum(part.rows.values())
             new = self._next(old, markers, old.parts + [part] if received else old.parts)
             return new, received, received
@@ -233,7 +235,8 @@ class FileTarget:
             staging = os.path.join(self.root, "staging", f"run={run}")
             self._bucketed(incoming, old, pack=False).write.parquet(staging)
             staged = self.spark.read.parquet(staging)
-            received, touched = self._check_stage(staged, old)
+            with sized_shuffles(self.spark, staged):
+                received, touched = self._check_stage(staged, old)
             staged = staged.drop(BUCKET)
             if not received:
                 return self._next(old, markers, old.parts), 0, 0
@@ -241,17 +244,19 @@ class FileTarget:
             before = sum(n for p in old.parts for b, n in p.rows.items() if b in touched)
             small = self._fits_broadcast(staged)
             pack = not small or old.small_merges >= SMALL_MERGES_BEFORE_PACKING
+            current = self._read(old, touched)
             if not before:
                 merged = self._bucketed(align(staged, schema, fill_missing=True), old)
             else:
-                kept, added = merge_parts(self._read(old, touched), staged, old.keys, small)
+                kept, added = merge_parts(current, staged, old.keys, small)
                 if pack:
                     merged = self._bucketed(kept.unionByName(added), old)
                 else:
                     merged = self._bucketed(kept, old, pack=False).unionByName(
                         self._bucketed(added, old)
                     )
-            part = self._write_part(merged, old, run)
+            with sized_shuffles(self.spark, current, staged):
+                part = self._write_part(merged, old, run)
             inserted = sum(part.rows.values()) - before
             if not 0 <= inserted <= received:
                 raise VerifyFailed(f"{received} rows staged, but {inserted} inserted")
