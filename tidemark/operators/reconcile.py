@@ -12,17 +12,21 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import ref, resolve, resolve_all
 from tidemark.operators.describe import numbered
+from tidemark.storage import materialize
 
 
-def _digest(values: list[Column], seed: int) -> Column:
-    """64-bit hash as an exact number; NULL and empty values hash differently."""
-    marked = [part for v in values for part in (v, v.isNull())]
-    return F.xxhash64(F.lit(seed), *marked).cast("decimal(20,0)")
+_PIECES = range(4)
+
 
+def _hash_pieces(values: list[Column]) -> list[Column]:
+    """64-bit hash of the values in four 16-bit pieces; NULL and empty hash differently.
 
-def _fingerprint(df: DataFrame) -> tuple[Column, Column]:
-    values = [F.col(f"c{i}") for i in range(len(df.columns))]
-    return tuple(F.sum(_digest(values, seed)) for seed in (1, 2))
+    Sums of a piece stay exact in a long for 2**47 rows, and two equal multisets of
+    rows have equal sums.
+    """
+    marked = [part for v in values for part in (v, v.isNull())]
+    hashed = F.xxhash64(*marked)
+    return [F.shiftright(hashed, 16 * i).bitwiseAND(F.lit(0xFFFF)) for i in _PIECES]
 
 
 def reconcile_counts(source: DataFrame, copy: DataFrame) -> DataFrame:
@@ -34,12 +38,11 @@ def reconcile_counts(source: DataFrame, copy: DataFrame) -> DataFrame:
     copy = copy.select([ref(resolve(copy.columns, c)) for c in source.columns])
 
     def summary(df: DataFrame, side: str) -> DataFrame:
-        first, second = _fingerprint(df)
+        pieces = _hash_pieces([F.col(f"c{i}") for i in range(len(df.columns))])
         return numbered(df).agg(
             F.lit(side).alias("side"),
             F.count("*").alias("rows"),
-            first.alias("first"),
-            second.alias("second"),
+            F.array(*[F.sum(piece) for piece in pieces]).alias("fingerprint"),
         )
 
     # Two one-row summaries, folded into one row.
@@ -49,74 +52,104 @@ def reconcile_counts(source: DataFrame, copy: DataFrame) -> DataFrame:
         F.max(F.when(F.col("side") == "written", F.col("rows"))).alias("rows_written"),
         (
             (F.min("rows") == F.max("rows"))
-            & F.min("first").eqNullSafe(F.max("first"))
-            & F.min("second").eqNullSafe(F.max("second"))
+            & (F.min("fingerprint") == F.max("fingerprint"))
         ).alias("same_content"),
     )
 
 
-def differing_rows(
-    source: DataFrame, copy: DataFrame, keys: list[str], columns: list[str] | None = None
+def _fold(
+    source: DataFrame, copy: DataFrame, keys: list[str], groups: list[list[str]]
 ) -> DataFrame:
-    """Keys whose rows differ: ``missing`` or ``extra`` in the copy, or ``changed``.
-
-    ``differing`` lists the compared columns that are not the same. A key may
-    repeat on a side; its rows are then compared as a multiset.
-    """
-    keys = resolve_all(source.columns, keys)
-    columns = resolve_all(source.columns, columns or [c for c in source.columns if c not in keys])
+    """Per key: rows on each side, and for each group of columns whether it differs."""
 
     def side(df: DataFrame, read: int, written: int) -> DataFrame:
+        real = {c: F.col(ref(resolve(df.columns, c))) for g in [keys, *groups] for c in g}
         sign = F.lit(read - written)
         return df.select(
-            *[F.col(ref(resolve(df.columns, k))).alias(k) for k in keys],
+            *[real[k].alias(k) for k in keys],
             F.lit(read).alias("_read"),
             F.lit(written).alias("_written"),
             *[
-                (sign * _digest([F.col(ref(resolve(df.columns, c)))], seed)).alias(f"_h{i}_{seed}")
-                for i, c in enumerate(columns)
-                for seed in (1, 2)
+                (sign * piece).alias(f"_{g}_{i}")
+                for g, group in enumerate(groups)
+                for i, piece in enumerate(_hash_pieces([real[c] for c in group]))
             ],
         )
 
-    sums = [F.sum(f"_h{i}_{s}").alias(f"_h{i}_{s}") for i in range(len(columns)) for s in (1, 2)]
+    names = [f"_{g}_{i}" for g in range(len(groups)) for i in _PIECES]
     folded = (
         side(source, 1, 0)
         .unionAll(side(copy, 0, 1))
         .groupBy([ref(k) for k in keys])
-        .agg(F.sum("_read").alias("_read"), F.sum("_written").alias("_written"), *sums)
+        .agg(*[F.sum(n).alias(n) for n in ["_read", "_written", *names]])
+    )
+    differs = [
+        F.greatest(*[F.abs(f"_{g}_{i}") for i in _PIECES]) > 0
+        for g in range(len(groups))
+    ]
+    return folded.select(
+        *[ref(k) for k in keys],
+        "_read",
+        "_written",
+        F.array(*differs).alias("_differs"),
     )
+
+
+def differing_rows(
+    source: DataFrame, copy: DataFrame, keys: list[str], columns: list[str] | None = None
+) -> DataFrame:
+    """Keys whose rows differ: ``missing`` or ``extra`` in the copy, or ``changed``.
+
+    A key may repeat on a side; its rows are then compared as a multiset. Whole
+    rows are compared first, so that only a key and one hash are shuffled; the
+    columns that differ (``differing``) are then worked out for changed keys only.
+    """
+    keys = resolve_all(source.columns, keys)
+    columns = resolve_all(source.columns, columns or [c for c in source.columns if c not in keys])
     read, written = F.col("_read"), F.col("_written")
-    differing = F.array_compact(
-        F.array(
-            *[
-                F.when((F.col(f"_h{i}_1") != 0) | (F.col(f"_h{i}_2") != 0), F.lit(c))
-                for i, c in enumerate(columns)
-            ]
-        )
+
+    whole = _fold(source, copy, keys, [columns])
+    found = materialize(
+        whole.where((read != written) | F.col("_differs")[0]).drop("_differs"), "differing"
     )
-    kind = (
-        F.when(read > written, "missing").when(read < written, "extra").otherwise("changed")
+    changed = found.where(read == written).select(
+        [F.col(ref(k)).alias(f"_key_{i}") for i, k in enumerate(keys)]
     )
-    return (
-        folded.withColumn("differing", differing)
-        .where((read != written) | (F.size("differing") > 0))
-        .select(*[ref(k) for k in keys], kind.alias("kind"), "differing")
+
+    def only_changed(df: DataFrame) -> DataFrame:
+        same = [
+            F.col(ref(resolve(df.columns, k))).eqNullSafe(F.col(f"_key_{i}"))
+            for i, k in enumerate(keys)
+        ]
+        return df.join(changed, same, "left_semi")
+
+    by_column = _fold(only_changed(source), only_changed(copy), keys, [[c] for c in columns])
+    names = F.array(
+        *[F.when(F.col("_differs")[i], F.lit(c)) for i, c in enumerate(columns)]
     )
+    changes = by_column.select(
+        *[ref(k) for k in keys],
+        F.lit("changed").alias("kind"),
+        F.array_compact(names).alias("differing"),
+    )
+    unequal = found.where(read != written).select(
+        *[ref(k) for k in keys],
+        F.when(read > written, "missing").otherwise("extra").alias("kind"),
+        F.lit(None).cast("array<string>").alias("differing"),
+    )
+    return unequal.unionByName(changes)
 
 
 def mismatch_counts(
     source: DataFrame, copy: DataFrame, keys: list[str], columns: list[str] | None = None
 ) -> DataFrame:
-    """How many keys differ, per kind of difference and per column."""
+    """How many keys differ, per kind of difference and per column (``*``: whole rows)."""
     found = differing_rows(source, copy, keys, columns)
     return (
         found.select(
             "kind",
             F.explode(
-                F.when(F.col("kind") == "changed", F.col("differing")).otherwise(
-                    F.array(F.lit("*"))
-                )
+                F.when(F.size("differing") > 0, F.col("differing")).otherwise(F.array(F.lit("*")))
             ).alias("column"),
         )
         .groupBy("kind", "column")

@@ -441,9 +441,7 @@ def reconcile_bytes(spark: SparkSession, folder: str) -> DataFrame:
         .alias("body"),
     )
     found = reconcile.differing_rows(documents, copy, ["doc_id"])
-    return found.withColumn(
-        "differing", F.when(F.col("kind") == "changed", F.array_join("differing", ","))
-    )
+    return found.withColumn("differing", F.array_join("differing", ","))
 
 
 @job("""
