@@ -107,6 +107,23 @@ def test_decimal_text(spark):
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
+def test_a_comma_locale_changes_nothing(spark):
+    locale = spark._jvm.java.util.Locale
+    before = locale.getDefault()
+    locale.setDefault(locale.GERMANY)
+    try:
+        df = spark.sql(
+            "SELECT 1234567.25D AS d, 1.5BD AS n, 12345678.5D AS big, "
+            "INTERVAL '1 02:03:04.5' DAY TO SECOND AS i"
+        )
+        shown = df.select([to_text(F.col(f.name), f.dataType).alias(f.name) for f in df.schema])
+        assert tuple(shown.first()) == ("1234567.25", "1.5", "12345678.5", "+01 02:03:04.500000")
+        back = shown.select([from_text(F.col(f.name), f.dataType).alias(f.name) for f in df.schema])
+        assert back.first() == df.first()
+    finally:
+        locale.setDefault(before)
+
+
 def test_integers_booleans_and_nulls(spark):
     assert texts(spark, [7, None], T.LongType()) == ["7", None]
     assert texts(spark, ["ab", None], T.StringType()) == ["ab", None]

@@ -8,9 +8,13 @@ from __future__ import annotations
 import duckdb
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.errors import ColumnMismatch, KeyProblem
+from tidemark.errors import ColumnMismatch, KeyProblem, TidemarkError
+from tidemark.functions.names import resolve
+from tidemark.operators.incremental import frontier
 from tidemark.sinks import jdbc
+from tidemark.sources import jdbc as source
 from tidemark.sources.jdbc import as_subquery, hash_predicates, range_predicates
 
 
@@ -94,6 +98,43 @@ def test_staging_tables_are_of_one_run():
     assert first != second and first.startswith("sales.") and len(first.split(".")[1]) <= 30
 
 
+EVENTS = "/root/testdata/sf0.01/events.parquet"
+
+
+@pytest.mark.parametrize(
+    ("cursor", "low"),
+    [
+        ("EVENT_ID", "5000"),
+        ("ts", "2024-01-20 12:00:00.000000"),
+        ("event_type", "o'brien"),
+        ("value", "100.5"),
+        ("ts", None),
+    ],
+)
+def test_the_database_finds_the_frontier(spark, monkeypatch, cursor, low):
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW events AS SELECT * FROM '{EVENTS}'")
+    events = spark.read.parquet(EVENTS)
+
+    def read_query(session, url, query, properties=None, fetch_rows=1000):
+        if query.startswith("SELECT *"):
+            return events
+        value, count = db.execute(query).fetchall()[0]
+        kind = events.schema[resolve(events.columns, cursor)].dataType.simpleString()
+        return session.createDataFrame([(value, count)], f"HI {kind}, N long")
+
+    monkeypatch.setattr(source, "read_query", read_query)
+    found = source.read_frontier(spark, "jdbc:none", "SELECT * FROM events", cursor, low)
+    assert found == frontier(events, cursor, low)
+
+
+def test_sql_literals():
+    assert source.sql_literal("it's", T.StringType()) == "'it''s'"
+    assert source.sql_literal("2024-01-01 00:00:00", T.DateType()) == "DATE '2024-01-01'"
+    with pytest.raises(TidemarkError):
+        source.sql_literal("1; DROP TABLE t", T.LongType())
+
+
 class Statement:
     def __init__(self, log, fails):
         self.log, self.fails = log, fails

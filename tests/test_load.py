@@ -18,11 +18,14 @@ from tidemark.errors import (
 )
 from tidemark.operators import merge
 from tidemark.operators.align import align
+from tidemark.operators.chunks import chunk_manifest, with_positions
+from tidemark.operators.describe import canonical
+from tidemark.operators.reconcile import differing_rows
 from tidemark.plans.state import SyncState
 from tidemark.plans.sync import sync, sync_to
 from tidemark.sinks.files import SMALL_MERGES_BEFORE_PACKING, FileTarget
 from tidemark.sinks.jsonl import write_json_lines
-from tidemark.streaming.upsert import merge_batch
+from tidemark.streaming.upsert import merge_batch, stream_upsert
 
 SCHEMA = "id int, grp string, v double, note string"
 
@@ -204,6 +207,21 @@ def test_missing_columns_keep_or_null(spark):
     )
 
 
+def test_any_column_name_can_be_loaded(spark, tmp_path):
+    names = ["weird name", "a.b", 'q"q', "part", "_at", "position"]
+    df = spark.range(20).select(*[(F.col("id") + i).alias(n) for i, n in enumerate(names)])
+    target = FileTarget.create(spark, str(tmp_path / "t"), df.schema, ["a.b", "WEIRD NAME".lower()], 3)
+    target.append(df)
+    target.upsert(df)
+    assert rows(target.read()) == rows(df)
+    placed = with_positions(df, "a.b", name="at")
+    assert placed.columns == ["at", *names]
+    assert sorted(r["at"] for r in placed.collect()) == list(range(20))
+    assert chunk_manifest(df, "part", 7).count() == 3
+    assert differing_rows(df, target.read(), ["a.b"]).isEmpty()
+    assert canonical(df).columns == names
+
+
 def test_align_rejects_doubles(spark):
     schema = spark.createDataFrame([], SCHEMA).schema
     df = spark.createDataFrame([(1, 2)], "x int, y int").toDF("ID", "Id")
@@ -225,6 +243,36 @@ def test_sync_resumes_and_repeats_nothing(spark, tmp_path):
     assert sync(source.where("id < 3"), target, "other", "id").rows_written == 3
 
 
+@pytest.mark.parametrize(
+    ("cursor", "stop"),
+    [
+        ("day", "2024-01-05 00:00:00"),
+        ("wall", "2024-01-05 00:00:00.000000"),
+        ("instant", "2024-01-05 00:00:00.000000 +00:00"),
+        ("price", "4.25"),
+        ("ratio", "4.5"),
+        ("name", "n04"),
+    ],
+)
+def test_sync_by_every_kind_of_cursor(spark, tmp_path, cursor, stop):
+    source = spark.range(12).selectExpr(
+        "id",
+        "date_add(DATE '2024-01-01', cast(id AS int)) AS day",
+        "timestampadd(DAY, id, TIMESTAMP_NTZ '2024-01-01 00:00:00') AS wall",
+        "timestampadd(HOUR, 24 * id, timestamp '2024-01-01 00:00:00 UTC') AS instant",
+        "cast(id + 0.25 AS decimal(10, 2)) AS price",
+        "cast(id AS double) + 0.5D AS ratio",
+        "concat('n', lpad(cast(id AS string), 2, '0')) AS name",
+    )
+    target = FileTarget.create(spark, str(tmp_path / "t"), source.schema)
+    one = sync(source, target, "s", cursor, upto=stop)
+    two = sync(source, target, "s", cursor)
+    three = sync(source, target, "s", cursor)
+    assert (one.rows_written, one.watermark) == (5, stop)
+    assert (two.rows_written, two.resumed_from, three.rows_read) == (7, stop, 0)
+    assert sorted(r["id"] for r in target.read().collect()) == list(range(12))
+
+
 def test_sync_to_writes_state_after_the_load(spark, tmp_path):
     source = spark.range(20).selectExpr("id", "id * 2 AS v")
     state = SyncState(spark, str(tmp_path / "state"))
@@ -253,7 +301,7 @@ def test_sync_to_writes_state_after_the_load(spark, tmp_path):
 def test_replayed_micro_batches_are_skipped(spark, tmp_path):
     base = spark.range(10).selectExpr("cast(id AS int) AS id", "'g' AS grp", "0D AS v", "'o' AS note")
     target = FileTarget.create(spark, str(tmp_path / "t"), base.schema, ["id"], 2)
-    merge_one = merge_batch(target, "orders")
+    merge_one = merge_batch(target, lambda: "orders/1")
     merge_one(base, 0)
     merge_one(base.unionAll(base).withColumn("v", F.lit(1.0)), 1)
     number = target.version().number
@@ -263,6 +311,30 @@ def test_replayed_micro_batches_are_skipped(spark, tmp_path):
     assert {r["v"] for r in target.read().collect()} == {1.0}
 
 
+def test_a_stream_continues_and_a_new_checkpoint_starts_over(spark, tmp_path):
+    base = spark.range(6).selectExpr("cast(id AS int) AS id", "'g' AS grp", "0D AS v", "'o' AS note")
+    target = FileTarget.create(spark, str(tmp_path / "t"), base.schema, ["id"], 2)
+    feed = str(tmp_path / "feed")
+
+    def deliver(v):
+        base.withColumn("v", F.lit(v)).coalesce(1).write.mode("append").parquet(feed)
+
+    def run(checkpoint):
+        stream = spark.readStream.schema(base.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+        stream_upsert(stream, target, "s", str(tmp_path / checkpoint)).awaitTermination()
+        return {r["v"] for r in target.read().collect()}
+
+    deliver(1.0)
+    assert run("one") == {1.0}
+    number = target.version().number
+    assert run("one") == {1.0} and target.version().number == number
+    deliver(2.0)
+    assert run("one") == {2.0}
+    assert target.version().number == number + 1
+    run("two")
+    assert len(target.version().markers) == 2 and target.read().count() == 6
+
+
 def test_json_lines_have_every_column_and_bounded_files(spark, tmp_path):
     df = spark.range(25).selectExpr("id", "CASE WHEN id < 20 THEN 'x' END AS note", "encode('é', 'utf-8') AS b")
     write_json_lines(df, str(tmp_path / "out"), cursor="id", chunk_rows=10)

@@ -18,19 +18,19 @@ from tidemark.sizing import range_partitioned
 from tidemark.storage import materialize
 
 _CHUNKS_PER_BLOCK = 10_000
-TIE = "tm_tie"
+TIE, PART, AT, BEFORE = "tm_tie", "tm_part", "tm_at", "tm_before"
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row within it below
 
 
 def _with_offsets(placed: DataFrame, totals: list[tuple[int, int]]) -> DataFrame:
-    """Add ``before``: the number of rows in all earlier ranges."""
+    """Add the number of rows in all earlier ranges."""
     totals = sorted(totals)
     starts = accumulate((n for _, n in totals), initial=0)
     offsets = placed.sparkSession.createDataFrame(
-        [(part, start) for (part, _), start in zip(totals, starts)], "part int, before long"
+        [(part, start) for (part, _), start in zip(totals, starts)], f"{PART} int, {BEFORE} long"
     )
     # One row per shuffle partition, so the broadcast does not grow with the data.
-    return placed.join(F.broadcast(offsets), "part")
+    return placed.join(F.broadcast(offsets), PART)
 
 
 def chunk_manifest(df: DataFrame, cursor: str, chunk_rows: int = 1000) -> DataFrame:
@@ -45,25 +45,25 @@ def chunk_manifest(df: DataFrame, cursor: str, chunk_rows: int = 1000) -> DataFr
     value = F.col("value")
     counted = df.groupBy(F.col(ref(name)).alias("value")).agg(F.count("*").alias("n"))
     ranged = counted.repartitionByRange(value.asc_nulls_last()).select(
-        F.spark_partition_id().alias("part"), "value", "n"
+        F.spark_partition_id().alias(PART), "value", "n"
     )
-    in_range = Window.partitionBy("part").orderBy(value.asc_nulls_last())
+    in_range = Window.partitionBy(PART).orderBy(value.asc_nulls_last())
     placed = materialize(ranged.withColumn("upto", F.sum("n").over(in_range)), "chunks")
 
     ranges = (
-        placed.groupBy("part")
+        placed.groupBy(PART)
         .agg(F.max("upto").alias("n"), to_text(F.max("value"), kind, name).alias("top"))
-        .orderBy("part")
+        .orderBy(PART)
         .collect()
     )
     total = sum(r["n"] for r in ranges)
     top = next((r["top"] for r in reversed(ranges) if r["top"] is not None), None)
 
-    end = F.col("before") + F.col("upto")
+    end = F.col(BEFORE) + F.col("upto")
     start = end - F.col("n")
     # A chunk belongs to the value that holds its last row; the final one may be short.
     spans = (
-        _with_offsets(placed, [(r["part"], r["n"]) for r in ranges])
+        _with_offsets(placed, [(r[PART], r["n"]) for r in ranges])
         .select("value", start.alias("start"), end.alias("end"))
         .selectExpr(
             "value",
@@ -108,19 +108,31 @@ def in_cursor_order(df: DataFrame, cursor: str, stable_input: bool = False) -> D
     return range_partitioned(tied, order).sortWithinPartitions(*order).drop(TIE)
 
 
-def with_positions(df: DataFrame, cursor: str, stable_input: bool = False) -> DataFrame:
-    """Every row with its 0-based ``position`` in the order of :func:`in_cursor_order`."""
+def with_positions(
+    df: DataFrame, cursor: str, stable_input: bool = False, name: str = "position"
+) -> DataFrame:
+    """Every row with its 0-based position in the order of :func:`in_cursor_order`."""
     tied, order = _with_tie_break(df, cursor, stable_input)
     ranged = (
         range_partitioned(tied, order)
         .sortWithinPartitions(*order)
-        .withColumn("_at", F.monotonically_increasing_id())
-        .withColumn("part", F.shiftright("_at", _ROW_BITS).cast("int"))
+        .withColumn(AT, F.monotonically_increasing_id())
+        .withColumn(PART, F.shiftright(AT, _ROW_BITS).cast("int"))
         .drop(TIE)
     )
     placed = materialize(ranged, "positions")
-    totals = [(r["part"], r["count"]) for r in placed.groupBy("part").count().collect()]
-    row = F.col("_at").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    totals = [(r[PART], r["count"]) for r in placed.groupBy(PART).count().collect()]
+    row = F.col(AT).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return _with_offsets(placed, totals).select(
-        (F.col("before") + row).alias("position"), *[F.col(ref(c)) for c in df.columns]
+        (F.col(BEFORE) + row).alias(name), *[F.col(ref(c)) for c in df.columns]
+    )
+
+
+def with_chunks(
+    df: DataFrame, cursor: str, chunk_rows: int = 1000, stable_input: bool = False
+) -> DataFrame:
+    """Every row with the number of its chunk, as counted by :func:`chunk_manifest`."""
+    placed = with_positions(df, cursor, stable_input, AT)
+    return placed.select(
+        F.expr(f"{AT} div {max(1, chunk_rows)}").alias("chunk"), *[F.col(ref(c)) for c in df.columns]
     )

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.canonical import epoch_text, from_text, to_text
 from tidemark.operators.chunks import chunk_manifest as chunk_manifest_of
-from tidemark.operators.chunks import with_positions
+from tidemark.operators.chunks import with_chunks, with_positions
 from tidemark.operators.describe import as_load_text, canonical, profile_columns
 from tidemark.operators.incremental import high_watermark, read_past
 from tidemark.plans.registry import job
@@ -414,6 +414,15 @@ def ordered_export(spark: SparkSession, folder: str) -> DataFrame:
     return canonical(placed).withColumn("position", F.col("position").cast("long"))
 
 
+@job("""
+SELECT (row_number() OVER (ORDER BY event_id) - 1) // 1000 AS chunk, event_id, ts, value
+FROM events
+""")
+def chunked_handout(spark: SparkSession, folder: str) -> DataFrame:
+    events = read_table(spark, folder, "events").select("event_id", "ts", "value")
+    return with_chunks(events, "event_id", stable_input=True)
+
+
 # -- partitioned database reads ----------------------------------------------------
 
 

@@ -54,7 +54,10 @@ def _stage(spark: SparkSession, folder: str) -> DataFrame:
 def _new_target(
     spark: SparkSession, schema: T.StructType, keys: tuple[str, ...] = ()
 ) -> FileTarget:
-    return FileTarget.create(spark, storage.new_folder(spark, "target"), schema, keys, BUCKETS)
+    root = storage.new_folder(spark, "target")
+    target = FileTarget.create(spark, root, schema, keys, BUCKETS)
+    storage.remove_at_exit(spark, root)
+    return target
 
 
 # -- append ------------------------------------------------------------------------
@@ -312,6 +315,7 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
             f"o_orderdate >= TIMESTAMP_NTZ '{start}-01 00:00:00' "
             f"AND o_orderdate < TIMESTAMP_NTZ '{end}-01 00:00:00'"
         ).write.mode("append").parquet(feed)
+    storage.remove_at_exit(spark, feed)
     files = [n for n in storage.list_names(spark, feed) if n.endswith(".parquet")]
     stream = (
         spark.readStream.schema(old.schema)
@@ -331,6 +335,7 @@ def jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     lineitem = read_table(spark, folder, "lineitem")
     out = storage.new_folder(spark, "jsonl")
     write_json_lines(lineitem, out)
+    storage.remove_at_exit(spark, out)
     text = spark.read.schema(canonical_schema(lineitem.schema)).json(out)
     return align(text, lineitem.schema)
 
@@ -344,6 +349,7 @@ def jsonl_ordered_export(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table(spark, folder, "events").select("event_id", "ts", "value")
     out = storage.new_folder(spark, "jsonl")
     write_json_lines(events, out, cursor="ts", chunk_rows=2000, stable_input=True)
+    storage.remove_at_exit(spark, out)
     return spark.read.schema(canonical_schema(events.schema)).json(out)
 
 

@@ -13,10 +13,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tidemark.errors import VerifyFailed
-from tidemark.operators.incremental import frontier, read_past
+from tidemark.operators.incremental import Frontier, frontier, read_past
 from tidemark.plans.state import SyncState
 from tidemark.sinks.files import FileTarget
 
+LookAhead = Callable[[object | None, object | None], Frontier]
+
 
 @dataclass(frozen=True)
 class SyncReport:
@@ -36,18 +38,23 @@ def sync(
     mode: str = "append",
     initial: object | None = None,
     upto: str | None = None,
+    look_ahead: LookAhead | None = None,
 ) -> SyncReport:
     """One run into a file target, which publishes its watermark with the rows.
 
     So a run that is interrupted anywhere can simply be started again: nothing
     is lost and nothing is loaded twice, for appends as well as upserts. ``upto``
-    stops a run early, for catching up in bounded steps.
+    stops a run early, for catching up in bounded steps. ``look_ahead`` works out the
+    ceiling where the source can do it better than a scan (``sources.jdbc.read_frontier``);
+    it is given the stored and the initial watermark.
     """
     if mode not in ("append", "upsert"):
         raise ValueError(f"mode {mode!r}: use 'append' or 'upsert'")
+    if upto is not None and look_ahead is not None:
+        raise ValueError("with look_ahead, the ceiling is its own: leave out upto")
     stored = target.version().markers.get(name)
     within = source if upto is None else read_past(source, cursor, upto=upto)
-    ahead = frontier(within, cursor, stored, initial)
+    ahead = look_ahead(stored, initial) if look_ahead else frontier(within, cursor, stored, initial)
     if not ahead.rows:
         return SyncReport(stored, stored, 0, 0, 0, 0)
     rows = read_past(within, cursor, stored, initial, ahead.watermark)
@@ -67,6 +74,7 @@ def sync_to(
     name: str,
     cursor: str,
     initial: object | None = None,
+    look_ahead: LookAhead | None = None,
 ) -> SyncReport:
     """One run into any other sink; ``load`` returns the rows it received.
 
@@ -74,7 +82,7 @@ def sync_to(
     the same range again: harmless for an upsert, repeated rows for an append.
     """
     stored = state.load(name)
-    ahead = frontier(source, cursor, stored, initial)
+    ahead = look_ahead(stored, initial) if look_ahead else frontier(source, cursor, stored, initial)
     if not ahead.rows:
         return SyncReport(stored, stored, 0, 0, 0, 0)
     written = load(read_past(source, cursor, stored, initial, ahead.watermark))

@@ -10,8 +10,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.names import quote_name
+from tidemark.functions.canonical import to_text, typed_literal
+from tidemark.functions.names import quote_name, resolve
+from tidemark.operators.incremental import Frontier, lower_bound
 
 ALIAS = "LS_"
 
@@ -76,6 +80,46 @@ def read_in_ranges(
     )
 
 
+def sql_literal(text: str, kind: T.DataType, name: str = "?") -> str:
+    """Watermark text as a standard SQL literal of the cursor's type."""
+    typed_literal(text, kind, name)  # unreadable text fails here
+    if isinstance(kind, T.DateType):
+        return f"DATE '{text[:10]}'"
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return f"TIMESTAMP '{text}'"
+    if isinstance(kind, T.StringType):
+        return "'" + text.replace("'", "''") + "'"
+    return text
+
+
+def frontier_query(query: str, column: str, low: str | None) -> str:
+    """The ceiling of the next run and its number of rows, worked out by the database."""
+    quoted = quote_name(column)
+    where = "" if low is None else f" WHERE {quoted} > {low}"
+    return f'SELECT MAX({quoted}) "HI", COUNT(*) "N" FROM {as_subquery(query)}{where}'
+
+
+def read_frontier(
+    spark: SparkSession,
+    url: str,
+    query: str,
+    cursor: str,
+    resume: object | None = None,
+    initial: object | None = None,
+    properties: Mapping[str, str] | None = None,
+) -> Frontier:
+    """:func:`tidemark.operators.incremental.frontier` without moving any rows."""
+    schema = read_query(spark, url, query, properties).schema
+    name = resolve(schema.names, cursor)
+    kind = schema[name].dataType
+    low = lower_bound(resume, initial)
+    literal = None if low is None else sql_literal(low, kind, name)
+    found = read_query(spark, url, frontier_query(query, name, literal), properties)
+    high = F.col(found.columns[0]).cast(kind)
+    row = found.select(to_text(high, kind, name).alias("hi"), F.col(found.columns[1])).first()
+    return Frontier(row[0], int(row[1]))
+
+
 def range_predicates(column: str, splits: Sequence[str]) -> list[str]:
     """Ranges cut at ``splits`` (SQL literals in ascending order), NULLs in the first.
 

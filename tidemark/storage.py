@@ -47,6 +47,7 @@ def materialize(df: DataFrame, purpose: str = "table") -> DataFrame:
     spark = df.sparkSession
     folder = new_folder(spark, purpose)
     df.write.parquet(folder)
+    remove_at_exit(spark, folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
@@ -67,6 +68,12 @@ def remove(spark: SparkSession, folder: str) -> None:
     fs.delete(path, True)
 
 
+def remove_at_exit(spark: SparkSession, folder: str) -> None:
+    """Scratch data goes when the driver does."""
+    fs, path = _open(spark, folder)
+    fs.deleteOnExit(path)
+
+
 def read_text(spark: SparkSession, file: str) -> str:
     fs, path = _open(spark, file)
     stream = fs.open(path)

@@ -6,20 +6,26 @@ so a batch that is replayed after a crash is recognised and skipped.
 
 from __future__ import annotations
 
+import json
+import os
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark import storage
 from tidemark.sinks.files import FileTarget
 
 
-def merge_batch(target: FileTarget, name: str):
-    """The ``foreachBatch`` function of stream ``name``."""
+def merge_batch(target: FileTarget, stream_id: Callable[[], str]):
+    """The ``foreachBatch`` function of one stream."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        done = target.version().markers.get(name)
+        # The batch runs in its own session; read and write the target there.
+        own = FileTarget(batch.sparkSession, target.root)
+        name = stream_id()
+        done = own.version().markers.get(name)
         if done is None or int(done) < batch_id:
-            # The batch runs in its own session; read and write the target there.
-            own = FileTarget(batch.sparkSession, target.root)
             # Sources deliver at least once: equal rows in a batch are one row.
             own.upsert(batch.distinct(), markers={name: str(batch_id)})
 
@@ -31,10 +37,16 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Merge everything available now, batch by batch; run it again for what comes later.
 
-    ``name`` belongs to ``checkpoint``: batch numbers start over with a new one.
+    Batch numbers start over with a new checkpoint, so they are remembered under
+    the id Spark keeps in the checkpoint.
     """
+
+    def stream_id() -> str:
+        metadata = storage.read_text(target.spark, os.path.join(checkpoint, "metadata"))
+        return f"{name}/{json.loads(metadata)['id']}"
+
     return (
-        stream.writeStream.foreachBatch(merge_batch(target, name))
+        stream.writeStream.foreachBatch(merge_batch(target, stream_id))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
