@@ -179,7 +179,7 @@ def test_one_transaction_commits_or_rolls_back():
 
 
 def test_a_query_becomes_a_subquery():
-    assert as_subquery("SELECT id, ts FROM t") == "(SELECT id, ts FROM t) LS_"
+    assert as_subquery("SELECT id, ts FROM t") == "(SELECT id, ts FROM t) q_"
 
 
 @pytest.mark.parametrize("splits", [[], ["'m'"], ["'blue'", "'green'", "'red'"]])

@@ -102,6 +102,44 @@ def test_file_target_equals_row_by_row_merge(spark, tmp_path, sides, threshold):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_any_sequence_of_loads_equals_the_model(spark, tmp_path, seed):
+    rng = random.Random(seed)
+    names, keys = ["id", "grp", "v", "note"], ["id", "grp"]
+    schema = spark.createDataFrame([], SCHEMA).schema
+    target = FileTarget.create(spark, str(tmp_path / "t"), schema, keys, rng.choice([1, 3, 8]))
+    model: list = []
+
+    def some_rows(unique):
+        made = {}
+        for _ in range(rng.randrange(0, 60)):
+            key = (rng.choice([None, *range(12)]), rng.choice("abc"))
+            row = (*key, float(rng.randrange(9)), rng.choice([None, "n"]))
+            if unique and key[0] is not None:
+                made[key] = row
+            else:
+                made[object()] = row
+        return list(made.values())
+
+    for _ in range(8):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", rng.choice(["-1", "10MB"]))
+        try:
+            if rng.random() < 0.3:
+                new = some_rows(unique=False)
+                assert target.append(spark.createDataFrame(new, SCHEMA)).received == len(new)
+                model = model + new
+            else:
+                new = some_rows(unique=True)
+                report = target.upsert(spark.createDataFrame(new, SCHEMA))
+                merged = brute_force(model, new, names, keys)
+                assert report.inserted == len(merged) - len(model)
+                model = merged
+            assert rows(target.read()) == sorted(model, key=repr)
+            assert target.count() == len(model)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_small_merges_do_not_shuffle_the_target(spark):
     old = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
     new = old.where("o_orderdate > TIMESTAMP_NTZ '2001-07-01 00:00:00'")
@@ -130,9 +168,14 @@ def test_many_small_merges_are_packed(spark, tmp_path):
         target.upsert(base.withColumn("v", F.col("v") + 1))
     assert target.version().small_merges == 0
     assert target.read().count() == 50
+    running = tmp_path / "t" / "data" / "run=r0"
+    running.mkdir()
     gone = target.expire(keep=1)
-    assert len(gone) == SMALL_MERGES_BEFORE_PACKING + 1
+    assert len(gone) == SMALL_MERGES_BEFORE_PACKING + 1 and running.exists()
     assert rows(target.read()) == rows(base.withColumn("v", F.lit(1.0)))
+    assert target.expire(keep=1) == []
+    target.append(base)
+    assert target.read().count() == 100
 
 
 def test_readers_of_a_version_are_not_disturbed(spark, tmp_path):

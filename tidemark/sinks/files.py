@@ -85,9 +85,9 @@ class FileTarget:
         root: str,
         schema: T.StructType,
         keys: Sequence[str] = (),
-        buckets: int = 0,
+        buckets: int = 64,
     ) -> FileTarget:
-        """An empty target. ``keys`` make it upsertable; size ``buckets`` so that one
+        """An empty target. ``keys`` make it upsertable; choose ``buckets`` so that one
         bucket of the grown target is a few GB."""
         target = cls(spark, root)
         keys = resolve_all(schema.names, keys)
@@ -310,13 +310,19 @@ class FileTarget:
         return size <= threshold
 
     def expire(self, keep: int = 2) -> list[str]:
-        """Remove loads that none of the newest ``keep`` versions uses."""
-        newest = self.version().number
-        used: set[str] = set()
-        for number in range(max(1, newest - keep + 1), newest + 1):
-            used |= {p.run for p in self.version(number).parts}
-        names = storage.list_names(self.spark, os.path.join(self.root, "data"))
-        gone = [n for n in names if n.startswith("run=") and n[4:] not in used]
-        for name in gone:
-            storage.remove(self.spark, os.path.join(self.root, "data", name))
+        """Forget all but the newest ``keep`` versions, and the loads only they did not use.
+
+        Loads that were never published are left alone: they may be running.
+        """
+        folder = os.path.join(self.root, "versions")
+        numbers = sorted(
+            int(n[:-5]) for n in storage.list_names(self.spark, folder) if n[0] != "."
+        )
+        old, new = numbers[: -max(1, keep)], numbers[-max(1, keep) :]
+        used = {p.run for number in new for p in self.version(number).parts}
+        gone = sorted({p.run for number in old for p in self.version(number).parts} - used)
+        for run in gone:
+            storage.remove(self.spark, os.path.join(self.root, "data", f"run={run}"))
+        for number in old:
+            storage.remove(self.spark, self._file(number))
         return gone

@@ -17,7 +17,7 @@ from tidemark.functions.canonical import to_text, typed_literal
 from tidemark.functions.names import quote_name, resolve
 from tidemark.operators.incremental import Frontier, lower_bound
 
-ALIAS = "LS_"
+ALIAS = "q_"
 
 
 def _reader(spark: SparkSession, url: str, properties: Mapping[str, str] | None):
