@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.errors import ColumnMismatch, UnsupportedType
+from tidemark.operators import chunks
 from tidemark.operators.chunks import chunk_manifest, in_cursor_order, with_positions
 from tidemark.operators.describe import canonical, canonical_schema, describe
 from tidemark.operators.incremental import (
@@ -92,12 +93,12 @@ def test_describe(spark, events):
 
 def expected_chunks(values, size):
     ordered = sorted((v for v in values if v is not None)) + [None] * sum(v is None for v in values)
-    chunks, high = [], None
+    found, high = [], None
     for start in range(0, len(ordered), size):
         part = ordered[start : start + size]
         high = max([v for v in part if v is not None] + ([high] if high is not None else []), default=None)
-        chunks.append((start // size, len(part), None if high is None else str(high)))
-    return chunks
+        found.append((start // size, len(part), None if high is None else str(high)))
+    return found
 
 
 @pytest.mark.parametrize("size", [1, 7, 100, 1000, 5000])
@@ -110,6 +111,15 @@ def test_chunks_with_one_value_in_a_third_of_the_rows(spark, size):
     assert got == expected_chunks(values, size)
 
 
+def test_a_value_with_many_chunks_is_cut_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(chunks, "_CHUNKS_PER_BLOCK", 4)
+    values = [1] * 3 + [2] * 95 + [3] * 7
+    df = spark.createDataFrame([(v,) for v in values], "c int")
+    for size in (1, 2, 10, 24, 25):
+        got = sorted(tuple(r) for r in chunk_manifest(df, "c", size).collect())
+        assert got == expected_chunks(values, size)
+
+
 def test_chunks_of_only_nulls(spark):
     df = spark.createDataFrame([(None,)] * 5, "c int")
     got = sorted(tuple(r) for r in chunk_manifest(df, "c", 2).collect())

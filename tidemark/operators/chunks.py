@@ -44,7 +44,7 @@ def chunk_manifest(df: DataFrame, cursor: str, chunk_rows: int = 1000) -> DataFr
     kind = df.schema[name].dataType
     value = F.col("value")
     counted = df.groupBy(F.col(ref(name)).alias("value")).agg(F.count("*").alias("n"))
-    ranged = counted.repartitionByRange(value.asc_nulls_last()).select(
+    ranged = range_partitioned(counted, [value.asc_nulls_last()]).select(
         F.spark_partition_id().alias(PART), "value", "n"
     )
     in_range = Window.partitionBy(PART).orderBy(value.asc_nulls_last())
@@ -72,13 +72,20 @@ def chunk_manifest(df: DataFrame, cursor: str, chunk_rows: int = 1000) -> DataFr
         )
         .where("first <= last")
     )
+    # A value with very many chunks is cut into blocks, and those are dealt out again.
     block = F.lit(_CHUNKS_PER_BLOCK)
-    blocks = spans.select(
-        "value", "last", F.explode(F.sequence("first", "last", block)).alias("from")
+    is_long = F.col("last") - F.col("first") >= block
+    starts = F.explode(F.sequence("first", "last", block)).alias("first")
+    blocks = (
+        spans.where(is_long)
+        .select("value", starts, "last")
+        .repartition("first")
+        .withColumn("last", F.least("last", F.col("first") + block - 1))
     )
-    chunks = blocks.select(
-        "value",
-        F.explode(F.sequence("from", F.least("last", F.col("from") + block - 1))).alias("chunk"),
+    chunks = (
+        spans.where(~is_long)
+        .unionByName(blocks)
+        .select("value", F.explode(F.sequence("first", "last")).alias("chunk"))
     )
     return chunks.select(
         "chunk",

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from py4j.protocol import Py4JJavaError
 
 from tidemark.errors import CommitConflict, TidemarkError
+from tidemark.sizing import sized_shuffles
 
 _FOLDER_SETTING = "spark.checkpoint.dir"
 
@@ -46,7 +47,8 @@ def materialize(df: DataFrame, purpose: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     folder = new_folder(spark, purpose)
-    df.write.parquet(folder)
+    with sized_shuffles(spark, df):
+        df.write.parquet(folder)
     remove_at_exit(spark, folder)
     return spark.read.schema(df.schema).parquet(folder)
 
