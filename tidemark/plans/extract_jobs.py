@@ -296,10 +296,10 @@ def incr_text_cursor(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@job("SELECT page_id, url FROM pages WHERE html > '<html lang=''en''>'")
+@job("SELECT page_id, url FROM pages WHERE url > 'http://o''brien'")
 def incr_text_quoted(spark: SparkSession, folder: str) -> DataFrame:
     pages = read_table(spark, folder, "pages")
-    return read_past(pages, "html", resume="<html lang='en'>").select("page_id", "url")
+    return read_past(pages, "url", resume="http://o'brien").select("page_id", "url")
 
 
 @job("""
