@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidemark.errors import ColumnMismatch, KeyProblem, TidemarkError
 from tidemark.functions.names import resolve
-from tidemark.operators.incremental import frontier
+from tidemark.operators.incremental import frontier, read_past
 from tidemark.sinks import jdbc
 from tidemark.sources import jdbc as source
 from tidemark.sources.jdbc import as_subquery, hash_predicates, range_predicates
@@ -117,15 +117,44 @@ def test_the_database_finds_the_frontier(spark, monkeypatch, cursor, low):
     events = spark.read.parquet(EVENTS)
 
     def read_query(session, url, query, properties=None, fetch_rows=1000):
-        if query.startswith("SELECT *"):
+        if query == "SELECT * FROM events":
             return events
         value, count = db.execute(query).fetchall()[0]
         kind = events.schema[resolve(events.columns, cursor)].dataType.simpleString()
         return session.createDataFrame([(value, count)], f"HI {kind}, N long")
 
     monkeypatch.setattr(source, "read_query", read_query)
-    found = source.read_frontier(spark, "jdbc:none", "SELECT * FROM events", cursor, low)
-    assert found == frontier(events, cursor, low)
+    orders = source.QuerySource(spark, "jdbc:none", "SELECT * FROM events", cursor, "event_id", 4)
+    assert orders.look_ahead(low, None) == frontier(events, cursor, low)
+
+
+@pytest.mark.parametrize(
+    ("cursor", "resume", "initial", "upto"),
+    [
+        ("event_id", None, None, None),
+        ("EVENT_ID", "100", "5", "9000"),
+        ("ts", None, "2024-01-03 00:00:00.000000", "2024-01-20 12:00:00.000000"),
+        ("maybe", None, None, "2024-01-20 12:00:00.000000"),
+        ("maybe", "2024-01-10 00:00:00.000000", None, None),
+        ("event_type", "o'brien", None, "signup"),
+    ],
+)
+def test_the_database_cuts_the_query_to_one_run(
+    spark, monkeypatch, cursor, resume, initial, upto
+):
+    db = duckdb.connect()
+    sql = (
+        "SELECT event_id, event_type, ts, CASE WHEN event_type <> 'error' THEN ts END AS maybe "
+        "FROM {events}"
+    )
+    events = spark.sql(sql, events=spark.read.parquet(EVENTS))
+    query = sql.replace("{events}", f"'{EVENTS}'")
+    monkeypatch.setattr(source, "read_query", lambda *_: events)
+    increments = source.QuerySource(spark, "jdbc:none", query, cursor, "event_id", 4)
+    cut = increments.increment(resume, initial, upto)
+    expected = read_past(events, cursor, resume, initial, upto).select("event_id").collect()
+    found = db.execute(f"SELECT event_id FROM {as_subquery(cut)}").fetchall()
+    assert sorted(found) == sorted(tuple(r) for r in expected)
 
 
 def test_sql_literals():

@@ -22,7 +22,7 @@ from tidemark.operators.chunks import chunk_manifest, with_positions
 from tidemark.operators.describe import canonical
 from tidemark.operators.reconcile import differing_rows
 from tidemark.plans.state import SyncState
-from tidemark.plans.sync import sync, sync_to
+from tidemark.plans.sync import FrameSource, sync, sync_to
 from tidemark.sinks.files import SMALL_MERGES_BEFORE_PACKING, FileTarget
 from tidemark.sinks.jsonl import write_json_lines
 from tidemark.streaming.upsert import merge_batch, stream_upsert
@@ -275,15 +275,15 @@ def test_align_rejects_doubles(spark):
 def test_sync_resumes_and_repeats_nothing(spark, tmp_path):
     source = spark.range(100).selectExpr("cast(id AS int) AS id", "'g' AS grp", "0D AS v", "'o' AS note")
     target = FileTarget.create(spark, str(tmp_path / "t"), source.schema)
-    one = sync(source, target, "s", "id", initial="9", upto="49")
+    one = sync(FrameSource(source, "id", upto="49"), target, "s", initial="9")
     assert (one.resumed_from, one.watermark, one.rows_written) == (None, "49", 40)
-    two = sync(source, target, "s", "ID", initial="9")
+    two = sync(FrameSource(source, "ID"), target, "s", initial="9")
     assert (two.resumed_from, two.watermark, two.rows_written) == ("49", "99", 50)
-    three = sync(source, target, "s", "id")
+    three = sync(FrameSource(source, "id"), target, "s")
     assert (three.rows_read, three.watermark) == (0, "99")
     assert sorted(r["id"] for r in target.read().collect()) == list(range(10, 100))
     # Another sync into the same target has its own watermark.
-    assert sync(source.where("id < 3"), target, "other", "id").rows_written == 3
+    assert sync(FrameSource(source.where("id < 3"), "id"), target, "other").rows_written == 3
 
 
 @pytest.mark.parametrize(
@@ -308,9 +308,9 @@ def test_sync_by_every_kind_of_cursor(spark, tmp_path, cursor, stop):
         "concat('n', lpad(cast(id AS string), 2, '0')) AS name",
     )
     target = FileTarget.create(spark, str(tmp_path / "t"), source.schema)
-    one = sync(source, target, "s", cursor, upto=stop)
-    two = sync(source, target, "s", cursor)
-    three = sync(source, target, "s", cursor)
+    one = sync(FrameSource(source, cursor, upto=stop), target, "s")
+    two = sync(FrameSource(source, cursor), target, "s")
+    three = sync(FrameSource(source, cursor), target, "s")
     assert (one.rows_written, one.watermark) == (5, stop)
     assert (two.rows_written, two.resumed_from, three.rows_read) == (7, stop, 0)
     assert sorted(r["id"] for r in target.read().collect()) == list(range(12))
@@ -330,15 +330,15 @@ def test_sync_to_writes_state_after_the_load(spark, tmp_path):
         return len(loaded[-1])
 
     with pytest.raises(RuntimeError):
-        sync_to(source, failing, state, "s", "id")
+        sync_to(FrameSource(source, "id"), failing, state, "s")
     assert state.load("s") is None
-    sync_to(source.where("id < 15"), load, state, "s", "id")
+    sync_to(FrameSource(source.where("id < 15"), "id"), load, state, "s")
     assert state.load("s") == "14"
-    report = sync_to(source, load, state, "s", "id")
+    report = sync_to(FrameSource(source, "id"), load, state, "s")
     assert loaded == [list(range(15)), list(range(15, 20))]
     assert (report.resumed_from, report.watermark) == ("14", "19")
     with pytest.raises(VerifyFailed):
-        sync_to(source, lambda df: 3, SyncState(spark, str(tmp_path / "state2")), "s", "id")
+        sync_to(FrameSource(source, "id"), lambda df: 3, SyncState(spark, str(tmp_path / "n")), "s")
 
 
 def test_replayed_micro_batches_are_skipped(spark, tmp_path):

@@ -12,7 +12,7 @@ from tidemark.operators import merge, reconcile
 from tidemark.operators.align import align, append
 from tidemark.operators.describe import as_load_text, canonical_schema
 from tidemark.plans.registry import job
-from tidemark.plans.sync import sync
+from tidemark.plans.sync import FrameSource, sync
 from tidemark.sinks.files import FileTarget
 from tidemark.sinks.jsonl import write_json_lines
 from tidemark.sources.query import read_table
@@ -267,8 +267,8 @@ STOP = "2024-01-15 00:00:00.000000"
 def sync_two_runs(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table(spark, folder, "events")
     target = _new_target(spark, events.schema, ("event_id",))
-    sync(events, target, "events", "ts", mode="upsert", upto=STOP)
-    sync(events, target, "events", "ts", mode="upsert")
+    sync(FrameSource(events, "ts", upto=STOP), target, "events", mode="upsert")
+    sync(FrameSource(events, "ts"), target, "events", mode="upsert")
     return target.read()
 
 
@@ -290,9 +290,9 @@ def sync_reports(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table(spark, folder, "events")
     target = _new_target(spark, events.schema)
     reports = [
-        sync(events, target, "events", "ts", upto=STOP),
-        sync(events, target, "events", "ts"),
-        sync(events, target, "events", "ts"),
+        sync(FrameSource(events, "ts", upto=STOP), target, "events"),
+        sync(FrameSource(events, "ts"), target, "events"),
+        sync(FrameSource(events, "ts"), target, "events"),
     ]
     return spark.createDataFrame(
         [

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from typing import Protocol
 
 from pyspark.sql import DataFrame
 
@@ -17,7 +18,37 @@ from tidemark.operators.incremental import Frontier, frontier, read_past
 from tidemark.plans.state import SyncState
 from tidemark.sinks.files import FileTarget
 
-LookAhead = Callable[[object | None, object | None], Frontier]
+
+class Source(Protocol):
+    """What a sync reads from. A bound is the stored watermark, else the initial one."""
+
+    def look_ahead(self, stored: object | None, initial: object | None) -> Frontier:
+        """The ceiling of the rows past the bound, and their number."""
+
+    def read(
+        self, stored: object | None, initial: object | None, ceiling: str | None
+    ) -> DataFrame:
+        """The rows past the bound, up to the ceiling."""
+
+
+@dataclass(frozen=True)
+class FrameSource:
+    """A frame with a cursor column; ``upto`` is a ceiling set by the user."""
+
+    rows: DataFrame
+    cursor: str
+    upto: str | None = None
+
+    def _within(self) -> DataFrame:
+        return self.rows if self.upto is None else read_past(self.rows, self.cursor, upto=self.upto)
+
+    def look_ahead(self, stored: object | None, initial: object | None) -> Frontier:
+        return frontier(self._within(), self.cursor, stored, initial)
+
+    def read(
+        self, stored: object | None, initial: object | None, ceiling: str | None
+    ) -> DataFrame:
+        return read_past(self._within(), self.cursor, stored, initial, ceiling)
 
 
 @dataclass(frozen=True)
@@ -31,50 +62,43 @@ class SyncReport:
 
 
 def sync(
-    source: DataFrame,
+    source: Source,
     target: FileTarget,
     name: str,
-    cursor: str,
     mode: str = "append",
     initial: object | None = None,
-    upto: str | None = None,
-    look_ahead: LookAhead | None = None,
 ) -> SyncReport:
     """One run into a file target, which publishes its watermark with the rows.
 
     So a run that is interrupted anywhere can simply be started again: nothing
-    is lost and nothing is loaded twice, for appends as well as upserts. ``upto``
-    stops a run early, for catching up in bounded steps. ``look_ahead`` works out the
-    ceiling where the source can do it better than a scan (``sources.jdbc.read_frontier``);
-    it is given the stored and the initial watermark.
+    is lost and nothing is loaded twice, for appends as well as upserts.
     """
     if mode not in ("append", "upsert"):
         raise ValueError(f"mode {mode!r}: use 'append' or 'upsert'")
-    if upto is not None and look_ahead is not None:
-        raise ValueError("with look_ahead, the ceiling is its own: leave out upto")
     stored = target.version().markers.get(name)
-    within = source if upto is None else read_past(source, cursor, upto=upto)
-    ahead = look_ahead(stored, initial) if look_ahead else frontier(within, cursor, stored, initial)
+    ahead = source.look_ahead(stored, initial)
     if not ahead.rows:
         return SyncReport(stored, stored, 0, 0, 0, 0)
-    rows = read_past(within, cursor, stored, initial, ahead.watermark)
+    rows = source.read(stored, initial, ahead.watermark)
     markers = {} if ahead.watermark is None else {name: ahead.watermark}
     load = target.append if mode == "append" else target.upsert
-    report = load(rows, markers=markers, at_least=ahead.rows)
+    done = load(rows, markers=markers, at_least=ahead.rows)
     return SyncReport(
-        stored, ahead.watermark or stored, ahead.rows, report.received,
-        report.inserted, report.updated,
+        resumed_from=stored,
+        watermark=ahead.watermark or stored,
+        rows_read=ahead.rows,
+        rows_written=done.received,
+        inserted=done.inserted,
+        updated=done.updated,
     )
 
 
 def sync_to(
-    source: DataFrame,
+    source: Source,
     load: Callable[[DataFrame], int],
     state: SyncState,
     name: str,
-    cursor: str,
     initial: object | None = None,
-    look_ahead: LookAhead | None = None,
 ) -> SyncReport:
     """One run into any other sink; ``load`` returns the rows it received.
 
@@ -82,10 +106,10 @@ def sync_to(
     the same range again: harmless for an upsert, repeated rows for an append.
     """
     stored = state.load(name)
-    ahead = look_ahead(stored, initial) if look_ahead else frontier(source, cursor, stored, initial)
+    ahead = source.look_ahead(stored, initial)
     if not ahead.rows:
         return SyncReport(stored, stored, 0, 0, 0, 0)
-    written = load(read_past(source, cursor, stored, initial, ahead.watermark))
+    written = load(source.read(stored, initial, ahead.watermark))
     if written < ahead.rows:
         raise VerifyFailed(f"{ahead.rows} rows to read, but {written} were written")
     if ahead.watermark is not None:

@@ -8,6 +8,7 @@ not be the cursor.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,32 +93,79 @@ def sql_literal(text: str, kind: T.DataType, name: str = "?") -> str:
     return text
 
 
-def frontier_query(query: str, column: str, low: str | None) -> str:
-    """The ceiling of the next run and its number of rows, worked out by the database."""
+def bounded_query(query: str, column: str, low: str | None = None, high: str | None = None) -> str:
+    """The query cut to ``low < column <= high`` (SQL literals); NULLs only without ``low``."""
     quoted = quote_name(column)
-    where = "" if low is None else f" WHERE {quoted} > {low}"
-    return f'SELECT MAX({quoted}) "HI", COUNT(*) "N" FROM {as_subquery(query)}{where}'
+    conditions = [] if low is None else [f"{quoted} > {low}"]
+    if high is not None:
+        under = f"{quoted} <= {high}"
+        conditions.append(under if low is not None else f"({under} OR {quoted} IS NULL)")
+    if not conditions:
+        return query
+    return f"SELECT * FROM {as_subquery(query)} WHERE " + " AND ".join(conditions)
 
 
-def read_frontier(
-    spark: SparkSession,
-    url: str,
-    query: str,
-    cursor: str,
-    resume: object | None = None,
-    initial: object | None = None,
-    properties: Mapping[str, str] | None = None,
-) -> Frontier:
-    """:func:`tidemark.operators.incremental.frontier` without moving any rows."""
-    schema = read_query(spark, url, query, properties).schema
-    name = resolve(schema.names, cursor)
-    kind = schema[name].dataType
-    low = lower_bound(resume, initial)
-    literal = None if low is None else sql_literal(low, kind, name)
-    found = read_query(spark, url, frontier_query(query, name, literal), properties)
-    high = F.col(found.columns[0]).cast(kind)
-    row = found.select(to_text(high, kind, name).alias("hi"), F.col(found.columns[1])).first()
-    return Frontier(row[0], int(row[1]))
+def frontier_query(query: str, column: str) -> str:
+    """The highest cursor of a query, and its number of rows."""
+    return f'SELECT MAX({quote_name(column)}) "HI", COUNT(*) "N" FROM {as_subquery(query)}'
+
+
+@dataclass(frozen=True)
+class QuerySource:
+    """A database query with a cursor column, read one run at a time in parallel.
+
+    The bounds are put into the query itself. A filter on a frame would be pushed to
+    the database just as well, but the ranges would then span the whole table, and one
+    connection would get most of the new rows.
+    """
+
+    spark: SparkSession
+    url: str
+    query: str
+    cursor: str
+    partition_column: str
+    partitions: int
+    properties: Mapping[str, str] | None = None
+    fetch_rows: int = 1000
+
+    def schema(self) -> T.StructType:
+        """From the database's description of the query; no rows are read."""
+        return read_query(self.spark, self.url, self.query, self.properties).schema
+
+    def increment(
+        self, stored: object | None, initial: object | None, ceiling: str | None = None
+    ) -> str:
+        """The query cut to one run."""
+        schema = self.schema()
+        name = resolve(schema.names, self.cursor)
+        kind = schema[name].dataType
+        bounds = (lower_bound(stored, initial), ceiling)
+        literals = [None if b is None else sql_literal(b, kind, name) for b in bounds]
+        return bounded_query(self.query, name, *literals)
+
+    def look_ahead(self, stored: object | None, initial: object | None) -> Frontier:
+        """Worked out by the database: one row is fetched."""
+        schema = self.schema()
+        name = resolve(schema.names, self.cursor)
+        kind = schema[name].dataType
+        summary = frontier_query(self.increment(stored, initial), name)
+        found = read_query(self.spark, self.url, summary, self.properties)
+        high, count = (F.col(c) for c in found.columns)
+        row = found.select(to_text(high.cast(kind), kind, name).alias("hi"), count).first()
+        return Frontier(row[0], int(row[1]))
+
+    def read(
+        self, stored: object | None, initial: object | None, ceiling: str | None
+    ) -> DataFrame:
+        return read_in_ranges(
+            self.spark,
+            self.url,
+            self.increment(stored, initial, ceiling),
+            self.partition_column,
+            self.partitions,
+            self.properties,
+            self.fetch_rows,
+        )
 
 
 def range_predicates(column: str, splits: Sequence[str]) -> list[str]:
