@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from tidemark.errors import ColumnMismatch, KeyProblem, TidemarkError
 from tidemark.functions.names import resolve
 from tidemark.operators.incremental import frontier, read_past
+from tidemark.plans.state import SyncState
+from tidemark.plans.sync import sync_to
 from tidemark.sinks import jdbc
 from tidemark.sources import jdbc as source
 from tidemark.sources.jdbc import as_subquery, hash_predicates, range_predicates
@@ -164,6 +166,56 @@ def test_sql_literals():
         source.sql_literal("1; DROP TABLE t", T.LongType())
 
 
+class Reader:
+    """Records what a JDBC read is asked for."""
+
+    def __init__(self, bounds):
+        self.bounds, self.asked = bounds, {}
+
+    def option(self, name, value):
+        self.asked[name] = str(value)
+        return self
+
+    def load(self):
+        return self
+
+    def first(self):
+        return self.bounds
+
+
+def test_ranges_come_from_the_bounds_of_the_query(spark, monkeypatch):
+    readers = []
+
+    def reader(*_):
+        readers.append(Reader((3, 900)))
+        return readers[-1]
+
+    monkeypatch.setattr(source, "_reader", reader)
+    source.read_in_ranges(spark, "jdbc:none", "SELECT * FROM t", "id", 20, fetch_rows=0)
+    bounds, ranged = (r.asked for r in readers)
+    assert bounds["dbtable"] == '(SELECT MIN("ID") "LO", MAX("ID") "HI" FROM (SELECT * FROM t) q_) q_'
+    assert ranged == {
+        "dbtable": "(SELECT * FROM t) q_",
+        "partitionColumn": '"ID"',
+        "lowerBound": "3",
+        "upperBound": "900",
+        "numPartitions": "20",
+        "fetchsize": "1",
+    }
+
+
+def test_an_empty_query_is_read_without_ranges(spark, monkeypatch):
+    readers = []
+
+    def reader(*_):
+        readers.append(Reader((None, None)))
+        return readers[-1]
+
+    monkeypatch.setattr(source, "_reader", reader)
+    source.read_in_ranges(spark, "jdbc:none", "SELECT * FROM t", "id", 20)
+    assert "numPartitions" not in readers[-1].asked
+
+
 class Statement:
     def __init__(self, log, fails):
         self.log, self.fails = log, fails
@@ -305,3 +357,27 @@ def test_a_failed_merge_leaves_the_target_and_no_staging(spark, db, wired, monke
     with pytest.raises(KeyProblem, match="repeat"):
         wired(spark.createDataFrame([(2, "z"), (2, "y")], "id int, name string"), ["id"])
     assert found(db) == before and tables(db) == ["SINK"]
+
+
+def test_a_sync_from_table_to_table(spark, db, wired, monkeypatch, tmp_path):
+    db.execute('CREATE TABLE "ORDERS" ("ID" INTEGER, "NAME" VARCHAR, "TS" TIMESTAMP)')
+    read = jdbc.read_query  # the stand-in
+    monkeypatch.setattr(source, "read_query", lambda s, url, query, *_: read(s, url, query, {}))
+    monkeypatch.setattr(
+        source, "read_in_ranges", lambda s, url, query, *_: read(s, url, query, {})
+    )
+    orders = source.QuerySource(spark, "jdbc:none", 'SELECT * FROM "ORDERS"', "ts", "id", 4)
+    state = SyncState(spark, str(tmp_path / "state"))
+
+    def run():
+        return sync_to(orders, lambda rows: wired(rows, ["id"]), state, "orders")
+
+    assert run().rows_read == 0 and state.load("orders") is None
+    db.execute("INSERT INTO \"ORDERS\" VALUES (2, 'B', '2024-03-01'), (7, 'G', '2024-03-02 10:00:00.5')")
+    first = run()
+    assert (first.rows_written, first.watermark) == (2, "2024-03-02 10:00:00.500000")
+    db.execute("INSERT INTO \"ORDERS\" VALUES (7, 'H', '2024-03-03'), (8, 'I', '2024-02-01')")
+    second = run()
+    assert (second.resumed_from, second.rows_written) == (first.watermark, 1)
+    assert run().rows_read == 0
+    assert [(r[0], r[1]) for r in found(db)] == [(1, "a"), (2, "B"), (7, "H")]
