@@ -13,6 +13,13 @@ def test_sizes_come_from_the_leaves(spark):
     assert sizing.scanned_bytes(joined) == 2 * size
 
 
+def test_unknown_sizes_do_not_count(spark):
+    local = spark.createDataFrame([(1,)], "a int")
+    assert sizing.scanned_bytes(local) == 0
+    assert sizing.scanned_bytes(spark.createDataFrame([], "a int")) == 0
+    assert sizing.scanned_bytes(spark.createDataFrame(local.rdd, "a int")) == 0
+
+
 def test_large_inputs_raise_the_number_of_partitions(spark, monkeypatch):
     lineitem = spark.read.parquet(LINEITEM)
     before = spark.conf.get("spark.sql.shuffle.partitions")

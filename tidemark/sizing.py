@@ -19,12 +19,15 @@ _SETTING = "spark.sql.shuffle.partitions"
 
 
 def scanned_bytes(df: DataFrame) -> int:
-    """Size of the files (or other leaves) under a plan, as the planner knows it.
+    """Size of the files (or other leaves) under a plan, as far as the planner knows it.
 
-    Leaves only: the planner's guess for a join above them is their product.
+    Leaves only: the planner's guess for a join above them is their product. Leaves
+    of unknown size (a database table, a local list) do not count.
     """
+    unknown = df.sparkSession._jsparkSession.sessionState().conf().defaultSizeInBytes()
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < unknown)
 
 
 def wanted_partitions(spark: SparkSession, *frames: DataFrame) -> int:
