@@ -16,11 +16,11 @@ import time
 from pyspark.sql import SparkSession
 
 from tidemark import storage
-from tidemark.plans import extract_jobs, load_jobs  # noqa: F401 - registers the jobs
-from tidemark.plans.load_jobs import _new_target
+from tidemark.plans import extract_jobs
+from tidemark.plans.load_jobs import new_target
 from tidemark.plans.registry import JOBS
 from tidemark.sinks.jsonl import write_json_lines
-from tidemark.sources.query import query_scan, read_table
+from tidemark.sources.query import read_table
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -82,8 +82,7 @@ def drain(frame) -> None:
 
 def full_read_to_json_lines(spark: SparkSession) -> tuple[int, float]:
     """A query of 34 columns, every row, rendered and written as JSON lines."""
-    tables = {name: read_table(spark, FOLDER, name) for name in extract_jobs.WIDE_TABLES}
-    wide = query_scan(spark, extract_jobs.WIDE, **tables)
+    wide = extract_jobs.wide_query(spark, FOLDER)
     assert len(wide.columns) == 34
     rows = wide.count()
     seconds = [
@@ -97,7 +96,7 @@ def keyed_upsert(spark: SparkSession) -> tuple[int, float]:
     """``orders``, all of it, upserted by key into a target that already holds it."""
     orders = read_table(spark, FOLDER, "orders")
     rows = orders.count()
-    target = _new_target(spark, orders.schema, ("o_orderkey",))
+    target = new_target(spark, orders.schema, ("o_orderkey",))
     target.append(orders)
     return rows, statistics.median([timed(lambda: target.upsert(orders)) for _ in range(RUNS)])
 

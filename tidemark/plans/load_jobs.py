@@ -15,6 +15,7 @@ from tidemark.plans.registry import job
 from tidemark.plans.sync import FrameSource, sync
 from tidemark.sinks.files import FileTarget
 from tidemark.sinks.jsonl import write_json_lines
+from tidemark.sizing import spread
 from tidemark.sources.query import read_table
 from tidemark.streaming.upsert import stream_upsert as start_stream
 
@@ -51,7 +52,7 @@ def _stage(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _new_target(
+def new_target(
     spark: SparkSession, schema: T.StructType, keys: tuple[str, ...] = ()
 ) -> FileTarget:
     root = storage.new_folder(spark, "target")
@@ -71,7 +72,7 @@ FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01'
 """)
 def append_atomic(spark: SparkSession, folder: str) -> DataFrame:
     old = _target(spark, folder)
-    target = _new_target(spark, old.schema)
+    target = new_target(spark, old.schema)
     target.append(old)
     target.append(_stage(spark, folder).select("o_totalprice", "o_orderdate", "o_orderkey"))
     return target.read()
@@ -104,7 +105,7 @@ def align_columns(spark: SparkSession, folder: str) -> DataFrame:
 @job("SELECT * FROM events")
 def typed_write(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table(spark, folder, "events")
-    target = _new_target(spark, events.schema)
+    target = new_target(spark, events.schema)
     target.append(as_load_text(events))
     return target.read()
 
@@ -113,7 +114,7 @@ def typed_write(spark: SparkSession, folder: str) -> DataFrame:
 def load_empty(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders")
     nothing = orders.where("o_orderdate < TIMESTAMP_NTZ '1900-01-01 00:00:00'")
-    target = _new_target(spark, orders.schema, ("o_orderkey",))
+    target = new_target(spark, orders.schema, ("o_orderkey",))
     target.append(orders)
     target.append(nothing)
     target.upsert(nothing)
@@ -123,7 +124,7 @@ def load_empty(spark: SparkSession, folder: str) -> DataFrame:
 @job("SELECT * FROM orders")
 def abort_leaves_target(spark: SparkSession, folder: str) -> DataFrame:
     orders = read_table(spark, folder, "orders")
-    target = _new_target(spark, orders.schema, ("o_orderkey",))
+    target = new_target(spark, orders.schema, ("o_orderkey",))
     target.append(orders)
     unreadable = orders.withColumn(
         "o_totalprice",
@@ -148,7 +149,7 @@ def abort_leaves_target(spark: SparkSession, folder: str) -> DataFrame:
 @job(f"WITH t AS ({TARGET}), s AS ({STAGE}) {UPSERTED}")
 def upsert_merge(spark: SparkSession, folder: str) -> DataFrame:
     old = _target(spark, folder)
-    target = _new_target(spark, old.schema, ("o_orderkey",))
+    target = new_target(spark, old.schema, ("o_orderkey",))
     target.append(old)
     target.upsert(_stage(spark, folder))
     return target.read()
@@ -203,7 +204,7 @@ def upsert_null_key(spark: SparkSession, folder: str) -> DataFrame:
         df.select(F.expr(NULL_KEYS[side]).alias("k"), "o_custkey", "o_totalprice")
         for side, df in (("t", _target(spark, folder)), ("s", _stage(spark, folder)))
     )
-    target = _new_target(spark, old.schema, ("k",))
+    target = new_target(spark, old.schema, ("k",))
     target.append(old)
     target.upsert(new)
     return target.read()
@@ -266,7 +267,7 @@ STOP = "2024-01-15 00:00:00.000000"
 @job("SELECT * FROM events")
 def sync_two_runs(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table(spark, folder, "events")
-    target = _new_target(spark, events.schema, ("event_id",))
+    target = new_target(spark, events.schema, ("event_id",))
     sync(FrameSource(events, "ts", upto=STOP), target, "events", mode="upsert")
     sync(FrameSource(events, "ts"), target, "events", mode="upsert")
     return target.read()
@@ -288,7 +289,7 @@ FROM events
 """)
 def sync_reports(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table(spark, folder, "events")
-    target = _new_target(spark, events.schema)
+    target = new_target(spark, events.schema)
     reports = [
         sync(FrameSource(events, "ts", upto=STOP), target, "events"),
         sync(FrameSource(events, "ts"), target, "events"),
@@ -306,7 +307,7 @@ def sync_reports(spark: SparkSession, folder: str) -> DataFrame:
 @job(f"WITH t AS ({TARGET}), s AS ({STAGE}) {UPSERTED}")
 def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     old = _target(spark, folder)
-    target = _new_target(spark, old.schema, ("o_orderkey",))
+    target = new_target(spark, old.schema, ("o_orderkey",))
     target.append(old)
     # Deliveries that overlap by half a year; an order has the same values in each.
     feed = storage.new_folder(spark, "feed")
@@ -334,7 +335,7 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
 def jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     lineitem = read_table(spark, folder, "lineitem")
     out = storage.new_folder(spark, "jsonl")
-    write_json_lines(lineitem, out)
+    write_json_lines(spread(lineitem), out)
     storage.remove_at_exit(spark, out)
     text = spark.read.schema(canonical_schema(lineitem.schema)).json(out)
     return align(text, lineitem.schema)
@@ -361,7 +362,7 @@ def binary_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     documents = read_table(spark, folder, "documents").select(
         "doc_id", F.encode("text", "UTF-8").alias("body")
     )
-    target = _new_target(spark, documents.schema, ("doc_id",))
+    target = new_target(spark, documents.schema, ("doc_id",))
     target.upsert(documents)
     return target.read().select(
         "doc_id", F.octet_length("body").alias("bytes"), F.sha2("body", 256).alias("digest")
@@ -410,7 +411,7 @@ SELECT 'errors lost', count(*), count(*) FILTER (event_type <> 'error'), false F
 """)
 def reconcile_counts(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table(spark, folder, "events")
-    target = _new_target(spark, events.schema, ("event_id",))
+    target = new_target(spark, events.schema, ("event_id",))
     target.append(events)
     copy = target.read()
     last = F.col("event_id") == F.lit(copy.agg(F.max("event_id")).first()[0])
