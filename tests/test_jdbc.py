@@ -318,7 +318,8 @@ def wired(spark, db, monkeypatch):
         return session.createDataFrame(result.fetchall(), schema)
 
     def write(self, url, table, mode, properties):
-        assert mode == "append" and properties["batchsize"] == "1000"
+        assert mode == "append"
+        assert (properties["batchsize"], properties["numPartitions"]) == ("1000", "16")
         names = ", ".join(f'"{c}"' for c in self._df.columns)
         marks = ", ".join("?" for _ in self._df.columns)
         for row in self._df.collect() * 2:

@@ -141,5 +141,6 @@ def with_chunks(
     """Every row with the number of its chunk, as counted by :func:`chunk_manifest`."""
     placed = with_positions(df, cursor, stable_input, AT)
     return placed.select(
-        F.expr(f"{AT} div {max(1, chunk_rows)}").alias("chunk"), *[F.col(ref(c)) for c in df.columns]
+        F.expr(f"{AT} div {max(1, chunk_rows)}").alias("chunk"),
+        *[F.col(ref(c)) for c in df.columns],
     )

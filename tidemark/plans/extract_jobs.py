@@ -442,7 +442,8 @@ SELECT 'hash', l_orderkey % 8, count(*) FROM lineitem GROUP BY ALL
 """)
 def jdbc_partitions(spark: SparkSession, folder: str) -> DataFrame:
     """The predicates a partitioned read sends, run over a table: each row in one of them."""
-    splits = [f"TIMESTAMP_NTZ '{day} 00:00:00'" for day in ("1996-01-01", "1998-01-01", "2001-06-01")]
+    days = ("1996-01-01", "1998-01-01", "2001-06-01")
+    splits = [f"TIMESTAMP_NTZ '{day} 00:00:00'" for day in days]
     lineitem = read_table(spark, folder, "lineitem")
 
     def rows_per(split: str, predicates: list[str]) -> DataFrame:

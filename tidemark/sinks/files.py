@@ -31,7 +31,6 @@ from tidemark.sizing import sized_shuffles
 
 BUCKET = "tm_bucket"
 
-
 # Merges of a small stage leave the target's files as they are, plus small new ones;
 # every so often one merge packs them again.
 SMALL_MERGES_BEFORE_PACKING = 16

@@ -112,9 +112,14 @@ def load_table(
     properties: Mapping[str, str] | None = None,
     keys: Sequence[str] = (),
     batch_rows: int = 1000,
+    connections: int = 16,
     connect: Callable = open_connection,
 ) -> int:
-    """Append, or upsert when ``keys`` are given; returns the rows received."""
+    """Append, or upsert when ``keys`` are given; returns the rows received.
+
+    At most ``connections`` tasks write to the database at a time, ``batch_rows`` rows
+    per statement.
+    """
     spark, properties = df.sparkSession, dict(properties or {})
     described = read_query(spark, url, f"SELECT * FROM {quote_path(target)}", properties).schema
     aligned = align(df, described)
@@ -138,7 +143,11 @@ def load_table(
             url,
             quote_path(staging),
             mode="append",
-            properties={**properties, "batchsize": str(batch_rows)},
+            properties={
+                **properties,
+                "batchsize": str(batch_rows),
+                "numPartitions": str(connections),
+            },
         )
         distinct = f'SELECT COUNT(DISTINCT {quote_name(ROW_NUMBER)}) "N" FROM {quote_path(staging)}'
         arrived = int(read_query(spark, url, distinct, properties).first()[0])
