@@ -168,7 +168,7 @@ def test_many_small_merges_are_packed(spark, tmp_path):
         target.upsert(base.withColumn("v", F.col("v") + 1))
     assert target.version().small_merges == 0
     assert target.read().count() == 50
-    running = tmp_path / "t" / "data" / "run=r0"
+    running = tmp_path / "t" / "data" / "tm_run=r0"
     running.mkdir()
     gone = target.expire(keep=1)
     assert len(gone) == SMALL_MERGES_BEFORE_PACKING + 1 and running.exists()
@@ -251,7 +251,7 @@ def test_missing_columns_keep_or_null(spark):
 
 
 def test_any_column_name_can_be_loaded(spark, tmp_path):
-    names = ["weird name", "a.b", 'q"q', "part", "_at", "position"]
+    names = ["weird name", "a.b", 'q"q', "part", "_at", "position", "run", "rows"]
     df = spark.range(20).select(*[(F.col("id") + i).alias(n) for i, n in enumerate(names)])
     target = FileTarget.create(spark, str(tmp_path / "t"), df.schema, ["a.b", "WEIRD NAME".lower()], 3)
     target.append(df)
@@ -265,6 +265,11 @@ def test_any_column_name_can_be_loaded(spark, tmp_path):
     assert canonical(df).columns == names
 
 
+def test_the_targets_own_folder_names_are_reserved(spark, tmp_path):
+    with pytest.raises(ColumnMismatch):
+        FileTarget.create(spark, str(tmp_path / "t"), spark.range(1).toDF("TM_Bucket").schema)
+
+
 def test_align_rejects_doubles(spark):
     schema = spark.createDataFrame([], SCHEMA).schema
     df = spark.createDataFrame([(1, 2)], "x int, y int").toDF("ID", "Id")

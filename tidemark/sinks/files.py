@@ -6,8 +6,8 @@ readers see the previous version. A keyed target is divided into buckets of its
 key, and an upsert reads and rewrites only the buckets its rows fall in.
 
     <root>/versions/00000012.json     the published versions
-    <root>/data/run=<id>/...          rows of one load (tm_bucket=<n>/ if keyed)
-    <root>/staging/run=<id>           staged rows of a running upsert
+    <root>/data/tm_run=<id>/...       rows of one load (tm_bucket=<n>/ if keyed)
+    <root>/staging/<id>               staged rows of a running upsert
 """
 
 from __future__ import annotations
@@ -23,13 +23,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import storage
-from tidemark.errors import CommitConflict, KeyProblem, TidemarkError, VerifyFailed
+from tidemark.errors import (
+    ColumnMismatch,
+    CommitConflict,
+    KeyProblem,
+    TidemarkError,
+    VerifyFailed,
+)
 from tidemark.functions.names import ref, resolve_all
 from tidemark.operators.align import align
 from tidemark.operators.merge import has_key, merge_keys, merge_parts, require_unique_keys
 from tidemark.sizing import sized_shuffles
 
-BUCKET = "tm_bucket"
+RUN, BUCKET = "tm_run", "tm_bucket"
 
 # Merges of a small stage leave the target's files as they are, plus small new ones;
 # every so often one merge packs them again.
@@ -89,10 +95,15 @@ class FileTarget:
         """An empty target. ``keys`` make it upsertable; choose ``buckets`` so that one
         bucket of the grown target is a few GB."""
         target = cls(spark, root)
+        if taken := {RUN, BUCKET} & {name.lower() for name in schema.names}:
+            raise ColumnMismatch(f"a target cannot have columns named {sorted(taken)}")
         keys = resolve_all(schema.names, keys)
         target._publish(Version(1, schema.json(), keys, max(1, buckets) if keys else 0))
         return target
 
+    def _folder(self, run: str) -> str:
+        return os.path.join(self.root, "data", f"{RUN}={run}")
+
     def _file(self, number: int) -> str:
         return os.path.join(self.root, "versions", f"{number:08d}.json")
 
@@ -123,7 +134,7 @@ class FileTarget:
         data = os.path.join(self.root, "data")
         paths = []
         for part in version.parts:
-            folder = os.path.join(data, f"run={part.run}")
+            folder = self._folder(part.run)
             live = [b for b in part.rows if only is None or b in only]
             if part.whole and len(live) == len(part.rows):
                 paths.append(folder)
@@ -153,7 +164,7 @@ class FileTarget:
 
     def _write_part(self, rows: DataFrame, version: Version, run: str) -> Part:
         """Write ``rows`` (with their bucket, if keyed) and count them from the footers."""
-        folder = os.path.join(self.root, "data", f"run={run}")
+        folder = self._folder(run)
         if not version.buckets:
             rows.write.parquet(folder)
             count = self.spark.read.schema(rows.schema).parquet(folder).count()
@@ -180,7 +191,7 @@ class FileTarget:
     ) -> LoadReport:
         """Run one load; whatever happens before the publish leaves the target as it was."""
         run = "r" + uuid.uuid4().hex
-        data = os.path.join(self.root, "data", f"run={run}")
+        data = self._folder(run)
         try:
             version, received, inserted = load(self.version(), run)
             if received < at_least:
@@ -189,7 +200,7 @@ class FileTarget:
             storage.remove(self.spark, data)
             raise
         finally:
-            storage.remove(self.spark, os.path.join(self.root, "staging", f"run={run}"))
+            storage.remove(self.spark, os.path.join(self.root, "staging", run))
         try:
             self._publish(version)
         except CommitConflict:
@@ -231,7 +242,7 @@ class FileTarget:
             incoming = align(df, schema)
             merge_keys(incoming.columns, old.keys)
 
-            staging = os.path.join(self.root, "staging", f"run={run}")
+            staging = os.path.join(self.root, "staging", run)
             self._bucketed(incoming, old, pack=False).write.parquet(staging)
             staged = self.spark.read.parquet(staging)
             with sized_shuffles(self.spark, staged):
@@ -321,7 +332,7 @@ class FileTarget:
         used = {p.run for number in new for p in self.version(number).parts}
         gone = sorted({p.run for number in old for p in self.version(number).parts} - used)
         for run in gone:
-            storage.remove(self.spark, os.path.join(self.root, "data", f"run={run}"))
+            storage.remove(self.spark, self._folder(run))
         for number in old:
             storage.remove(self.spark, self._file(number))
         return gone
