@@ -12,7 +12,8 @@ from tidemark.operators import merge, reconcile
 from tidemark.operators.align import align, append
 from tidemark.operators.describe import as_load_text, canonical_schema
 from tidemark.plans.registry import job
-from tidemark.plans.sync import FrameSource, sync
+from tidemark.plans.state import SyncState
+from tidemark.plans.sync import FrameSource, sync, sync_to
 from tidemark.sinks.files import FileTarget
 from tidemark.sinks.jsonl import write_json_lines
 from tidemark.sizing import spread
@@ -354,6 +355,36 @@ def jsonl_ordered_export(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(canonical_schema(events.schema)).json(out)
 
 
+@job(f"""
+SELECT CASE WHEN ts <= TIMESTAMP '2024-01-15' THEN 'run 1' ELSE 'run 2' END AS run,
+       cast(event_id AS varchar) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts,
+       cast(user_id AS varchar) AS user_id, event_type, value, props
+FROM events WHERE ts > TIMESTAMP '2024-01-03 12:00:00'
+""")
+def jsonl_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs into JSON lines, with the watermark in a state folder."""
+    events = read_table(spark, folder, "events")
+    out = storage.new_folder(spark, "jsonl")
+    state = SyncState(spark, storage.new_folder(spark, "state"))
+
+    def load(run: str):
+        def write(rows: DataFrame) -> int:
+            write_json_lines(rows, f"{out}/{run}")
+            return read(run).count()
+
+        return write
+
+    def read(run: str) -> DataFrame:
+        return spark.read.schema(canonical_schema(events.schema)).json(f"{out}/{run}")
+
+    start = "2024-01-03 12:00:00"
+    sync_to(FrameSource(events, "ts", upto=STOP), load("1"), state, "events", initial=start)
+    sync_to(FrameSource(events, "TS"), load("2"), state, "events", initial=start)
+    storage.remove_at_exit(spark, out)
+    runs = [read(run).select(F.lit(f"run {run}").alias("run"), "*") for run in ("1", "2")]
+    return runs[0].unionByName(runs[1])
+
+
 @job("""
 SELECT doc_id, octet_length(encode(text)) AS bytes, sha256(text) AS digest
 FROM documents
