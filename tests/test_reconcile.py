@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.errors import ColumnMismatch
 from tidemark.operators.reconcile import (
     differing_rows,
     mismatch_counts,
@@ -87,6 +88,12 @@ def test_empty_sides(spark):
     assert kinds == {"missing"}
 
 
+def test_key_names_of_the_result_are_refused(spark):
+    with pytest.raises(ColumnMismatch):
+        df = frame(spark, SOURCE).withColumnRenamed("k", "Kind")
+        differing_rows(df, df, ["kind"])
+
+
 def test_mismatch_counts(spark):
     got = mismatch_counts(frame(spark, SOURCE), frame(spark, COPY), ["k"])
     expected = Counter(

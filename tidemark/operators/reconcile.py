@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.errors import ColumnMismatch
 from tidemark.functions.names import ref, resolve, resolve_all
 from tidemark.operators.describe import numbered
 from tidemark.storage import materialize
@@ -105,6 +106,8 @@ def differing_rows(
     columns that differ (``differing``) are then worked out for changed keys only.
     """
     keys = resolve_all(source.columns, keys)
+    if taken := {"kind", "differing"} & {k.lower() for k in keys}:
+        raise ColumnMismatch(f"rename the key columns {sorted(taken)}: the result has its own")
     columns = resolve_all(source.columns, columns or [c for c in source.columns if c not in keys])
     read, written = F.col("_read"), F.col("_written")
 
