@@ -1,0 +1,64 @@
+"""Run by test_retries: loads and orders rows while first attempts of tasks fail."""
+
+from __future__ import annotations
+
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from pyspark import TaskContext  # noqa: E402
+from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql.types import LongType  # noqa: E402
+
+from tidemark.operators.chunks import chunk_manifest, with_positions  # noqa: E402
+from tidemark.operators.reconcile import differing_rows, reconcile_counts  # noqa: E402
+from tidemark.sinks.files import FileTarget  # noqa: E402
+
+
+@F.udf(LongType())
+def shaky(value):
+    context = TaskContext.get()
+    if context.attemptNumber() == 0 and value % 400 == 399:
+        raise RuntimeError("first attempt")
+    return value
+
+
+def main(folder: str) -> None:
+    spark = (
+        SparkSession.builder.master("local[4,3]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "4")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("OFF")
+    rows = 4000
+    stable = spark.range(0, rows, 1, 8).selectExpr(
+        "id", "if(id % 3 = 0, 7, id) AS c", "cast(id AS double) AS v"
+    )
+    source = stable.withColumn("id", shaky("id"))
+
+    target = FileTarget.create(spark, folder, stable.schema, ["id"], 4)
+    assert target.append(source).received == rows
+    changed = source.where("c > 1000").withColumn("v", F.col("v") + 1)
+    report = target.upsert(changed)
+    assert (report.inserted, report.received) == (0, changed.count())
+    expected = stable.withColumn("v", F.col("v") + (F.col("c") > 1000).cast("int"))
+    assert tuple(reconcile_counts(expected, target.read()).first()) == (rows, rows, True)
+    assert differing_rows(expected, target.read(), ["id"]).isEmpty()
+
+    placed = with_positions(source, "c").collect()
+    assert sorted(r["position"] for r in placed) == list(range(rows))
+    assert sorted(r["id"] for r in placed) == list(range(rows))
+    in_order = [r["c"] for r in sorted(placed, key=lambda r: r["position"])]
+    assert in_order == sorted(in_order)
+
+    chunks = chunk_manifest(source, "c", 100).orderBy("chunk").collect()
+    assert [r["rows"] for r in chunks] == [100] * 40
+    assert [r["watermark"] for r in chunks] == [str(in_order[100 * i + 99]) for i in range(40)]
+    print("survived")
+
+
+if __name__ == "__main__":
+    main(sys.argv[1])
