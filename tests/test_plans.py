@@ -6,15 +6,15 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
+from tidemark.plans.registry import JOBS
 
 FOLDER = "/root/testdata/sf0.001"
 BANNED = ["CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "SortAggregate"]
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(JOBS))
 def test_plan(spark, name):
-    plan = contract.queries()[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    plan = JOBS[name].run(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     nodes = "\n".join(re.split(r"[\[(]", line)[0] for line in plan.splitlines())
     for node in BANNED:
         if node == "SortAggregate" and name in ("watermark", "reconcile_counts"):
