@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality
+from tidemark.llm import lines, quality, shards, simhash
 from tidemark.llm.common import table
 
 
@@ -14,6 +14,18 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_digest(table(spark, folder, "documents"))
 
 
+def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.simhash_digest(table(spark, folder, "documents"))
+
+
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.line_digest(table(spark, folder, "documents"))
+
+
+def op9_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return shards.shard_digest(table(spark, folder, "documents"))
+
+
 #: The beta prior and its moments as in ``quality``; one line a rule.
 QUALITY_SQL = r"""
 WITH split AS (
@@ -76,8 +88,40 @@ judged AS (
 SELECT * FROM judged
 """
 
+LINES_SQL = r"""
+WITH split AS (
+  SELECT row_number() OVER () AS rid, doc_id, text, string_split(text, chr(10)) AS lines
+  FROM documents),
+windows AS (
+  SELECT rid, doc_id, i, lines[i:i+2] AS w
+  FROM (SELECT rid, doc_id, lines, unnest(range(1, len(lines) - 1)) AS i FROM split)
+  WHERE regexp_matches(array_to_string(lines[i:i+2], ''), '[^\x20\x09-\x0D]')),
+later AS (
+  SELECT rid, i FROM (
+    SELECT rid, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS nth FROM windows)
+  WHERE nth > 1),
+covered AS (
+  SELECT rid, list(DISTINCT i + k) AS gone
+  FROM later, (SELECT unnest(range(0, 3)) AS k) GROUP BY rid),
+kept AS (
+  SELECT rid, string_agg(lines[i], chr(10) ORDER BY i) AS text, count(*) AS n
+  FROM (SELECT rid, lines, unnest(range(1, len(lines) + 1)) AS i FROM split)
+  JOIN covered USING (rid) WHERE NOT list_contains(gone, i) GROUP BY rid)
+SELECT s.doc_id,
+       CASE WHEN c.gone IS NULL THEN s.text ELSE coalesce(k.text, '') END AS text,
+       coalesce(len(s.lines), 0)::BIGINT AS n_lines,
+       CASE WHEN c.gone IS NULL THEN 0 ELSE len(s.lines) - coalesce(k.n, 0) END::BIGINT AS n_removed
+FROM split s LEFT JOIN covered c USING (rid) LEFT JOIN kept k USING (rid)
+"""
+
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_line_dedup": op4_line_dedup,
+    "op9_kd_shards": op9_kd_shards,
 }
 
-SQL: dict[str, str] = {"op1_quality_rules": QUALITY_SQL.strip()}
+SQL: dict[str, str] = {
+    "op1_quality_rules": QUALITY_SQL.strip(),
+    "op4_line_dedup": LINES_SQL.strip(),
+}
