@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import quality
+from tidemark.llm import lines, mix, pieces, quality, simhash
 from tidemark.llm.common import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -17,8 +17,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of three lines stay where they occur first."""
+    return lines.drop_repeated_lines(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays."""
+    return simhash.keep_first(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words taken by source to its target; a document comes once for each epoch it is in."""
+    return mix.mixed_texts(docs)
+
+
+def sentence_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source and the piece ids."""
+    return pieces.encoded_documents(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("SimHash near-dedup", near_dedup),
+    ("mixing sources to target weights", mix_sources),
+    ("SentencePiece encoding and decoding", sentence_pieces),
 ]
 
 #: The mix and the pieces can't be stated in SQL; tests/llm compares with brute force.

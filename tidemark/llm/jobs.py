@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import lines, quality, shards, simhash
+from tidemark.llm import lines, mix, pieces, quality, shards, simhash
 from tidemark.llm.common import table
 
 
@@ -22,10 +22,18 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.line_digest(table(spark, folder, "documents"))
 
 
+def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mix.mix_digest(table(spark, folder, "documents"))
+
+
 def op9_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.shard_digest(table(spark, folder, "documents"))
 
 
+def op10_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.piece_digest(table(spark, folder, "documents"))
+
+
 #: The beta prior and its moments as in ``quality``; one line a rule.
 QUALITY_SQL = r"""
 WITH split AS (
@@ -118,7 +126,9 @@ JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op6_mix_sources": op6_mix_sources,
     "op9_kd_shards": op9_kd_shards,
+    "op10_sentence_pieces": op10_sentence_pieces,
 }
 
 SQL: dict[str, str] = {

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,17 +32,7 @@ BINS = 1024
 GROUPS = 50
 TIE_BITS = 31
 _LARGEST = (1 << 32) - 1
-
-
-@dataclass
-class Node:
-    """A part of the table that becomes ``leaves`` shards, the first of them ``first``."""
-
-    first: int
-    leaves: int
-    cut: tuple[int, int] | None = None  # dimension, largest coordinate of the left side
-    left: Node | None = None
-    right: Node | None = None
+_HIGHEST = (1 << 63) - 1
 
 
 def _value(df: DataFrame, name: str) -> Column:
@@ -70,61 +60,69 @@ def narrow(docs: DataFrame, dimensions: list[str]) -> DataFrame:
     )
 
 
-def place(root: Node, coordinate: list[Column], of=lambda node: node.first) -> Column:
-    """The value of ``of`` for the lowest node of the tree a row falls in."""
-    if root.cut is None:
-        return F.lit(of(root))
-    dimension, largest = root.cut
-    left, right = (place(side, coordinate, of) for side in (root.left, root.right))
-    return F.when(coordinate[dimension] <= largest, left).otherwise(right)
+def _small(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
+    """A few rows, one a node at most, to be broadcast: values, so that plans stay alike."""
+    values = ", ".join(f"({', '.join(f'{x}L' for x in row)})" for row in rows)
+    return F.broadcast(spark.sql(f"SELECT * FROM VALUES {values} AS t({names})"))
+
+
+def _along(axis: Column, dimensions: int) -> Column:
+    """The coordinate of a row along the dimension that ``axis`` names."""
+    chosen = F.col("c0")
+    for i in range(1, dimensions):
+        chosen = F.when(axis == i, F.col(f"c{i}")).otherwise(chosen)
+    return chosen
+
+
+def _descend(rows: DataFrame, cuts: list[tuple], dimensions: int) -> DataFrame:
+    """Rows of the nodes that were cut move on to one of their two sides."""
+    table = _small(rows.sparkSession, cuts, "node, axis, largest, lower, upper")
+    side = F.when(_along(F.col("axis"), dimensions) <= F.col("largest"), F.col("lower"))
+    moved = F.coalesce(side.otherwise(F.col("upper")), F.col("node"))
+    moved = F.when(F.col("axis").isNull(), F.col("node")).otherwise(moved)
+    kept = [c for c in rows.columns if c != "node"]
+    return rows.join(table, "node", "left").select(*kept, moved.alias("node"))
 
 
-def grow(rows: DataFrame, dimensions: int, leaves: int, tolerance: float) -> Node:
-    """The tree over ``rows`` (size and coordinates c0, c1, ...)."""
-    coordinate = [F.col(f"c{i}") for i in range(dimensions)]
-    root, widest = Node(0, leaves), None
-    frontier = [root] if leaves > 1 else []
+def grow(rows: DataFrame, dimensions: int, leaves: int, tolerance: float) -> DataFrame:
+    """``rows`` (size and coordinates c0, c1, ...) with the leaf of each in ``node``."""
+    rows = rows.withColumn("node", F.lit(0).cast("long"))
+    frontier = {0: leaves} if leaves > 1 else {}
+    widest = None
     while frontier:
-        node = place(root, coordinate)
-        stats = (
-            rows.withColumn("node", node)
-            .groupBy("node")
-            .agg(
-                F.sum("size").alias("size"),
-                *[F.min(c).alias(f"low{i}") for i, c in enumerate(coordinate)],
-                *[F.max(c).alias(f"high{i}") for i, c in enumerate(coordinate)],
-            )
-            .collect()
+        stats = rows.groupBy("node").agg(
+            F.sum("size").alias("size"),
+            *[F.min(f"c{i}").alias(f"low{i}") for i in range(dimensions)],
+            *[F.max(f"c{i}").alias(f"high{i}") for i in range(dimensions)],
         )
-        by_node = {row["node"]: row for row in stats}
-        spans = {
-            k: [row[f"high{i}"] - row[f"low{i}"] for i in range(dimensions)]
-            for k, row in by_node.items()
-        }
-        widest = widest or [max(1, x) for x in spans.get(0, [1] * dimensions)]
         searches = []
-        for node_ in frontier:
-            if node_.first not in by_node:  # no rows left to cut
-                continue
-            row, span = by_node[node_.first], spans[node_.first]
-            axis = max(range(dimensions), key=lambda i: span[i] / widest[i])
-            share = row["size"] * (node_.leaves // 2) / node_.leaves
-            searches.append(
-                _Search(node_, axis, row[f"low{axis}"], row[f"high{axis}"], share, row["size"])
-            )
-        _find_cuts(rows, root, coordinate, searches, tolerance)
-        frontier = []
-        for search in searches:
-            frontier += search.split()
-        frontier = [n for n in frontier if n.leaves > 1]
-    return root
+        for row in stats.collect():  # at most one row a leaf
+            spans = [row[f"high{i}"] - row[f"low{i}"] for i in range(dimensions)]
+            widest = widest or [max(1, x) for x in spans]
+            if row["node"] in frontier:
+                axis = max(range(dimensions), key=lambda i: spans[i] / widest[i])
+                n = frontier[row["node"]]
+                searches.append(
+                    _Search(
+                        row["node"], n, axis, row[f"low{axis}"], row[f"high{axis}"],
+                        row["size"] * (n // 2) / n, row["size"],
+                    )
+                )
+        if not searches:  # no rows
+            break
+        _find_cuts(rows, dimensions, searches, tolerance)
+        rows = _descend(rows, [s.as_cut() for s in searches], dimensions)
+        sides = [side for s in searches for side in s.sides()]
+        frontier = {first: n for first, n in sides if n > 1}
+    return rows
 
 
 @dataclass
 class _Search:
-    """The range that holds the cut of a node, and the bytes below it."""
+    """The range that holds the cut of a node with ``leaves`` leaves, and the bytes below it."""
 
-    node: Node
+    node: int  # its first leaf
+    leaves: int
     axis: int
     low: int
     high: int
@@ -156,48 +154,37 @@ class _Search:
             total = after
         self.cut = self.high
 
-    def split(self) -> list[Node]:
-        half = self.node.leaves // 2
-        self.node.cut = (self.axis, self.cut)
-        self.node.left = Node(self.node.first, half)
-        self.node.right = Node(self.node.first + half, self.node.leaves - half)
-        return [self.node.left, self.node.right]
-
-
-def _find_cuts(rows, root, coordinate, searches: list[_Search], tolerance: float) -> None:
-    open_ = searches
-    while open_:
-        by_first = {s.node.first: s for s in open_}
-
-        binned = rows.select(
-            place(root, coordinate).alias("node"),
-            _bin(root, coordinate, by_first).alias("bin"),
-            "size",
-        ).where("bin IS NOT NULL")
-        found: dict[int, dict[int, int]] = {first: {} for first in by_first}
-        for row in binned.groupBy("node", "bin").agg(F.sum("size").alias("size")).collect():
-            found[row["node"]][row["bin"]] = row["size"]
-        for s in open_:
-            s.narrowed(found[s.node.first], tolerance)
-        open_ = [s for s in open_ if s.cut is None]
-
+    def sides(self) -> list[tuple[int, int]]:
+        half = self.leaves // 2
+        return [(self.node, half), (self.node + half, self.leaves - half)]
 
-def _bin(root: Node, coordinate: list[Column], searches: dict[int, _Search]) -> Column:
-    def bin_of(node: Node) -> Column:
-        s = searches.get(node.first)
-        if s is None:
-            return F.lit(None).cast("long")
-        at = coordinate[s.axis]
-        offset = F.call_function("div", at - F.lit(s.low), F.lit(s.step).cast("long"))
-        return F.when(at.between(s.low, s.high), offset)
+    def as_cut(self) -> tuple:
+        (lower, _), (upper, _) = self.sides()
+        return self.node, self.axis, min(self.cut, _HIGHEST), lower, upper
 
-    def walk(node: Node) -> Column:
-        if node.cut is None:
-            return bin_of(node)
-        axis, largest = node.cut
-        return F.when(coordinate[axis] <= largest, walk(node.left)).otherwise(walk(node.right))
 
-    return walk(root)
+def _find_cuts(rows, dimensions: int, searches: list[_Search], tolerance: float) -> None:
+    """Divide the ranges of all searches, a pass over ``rows`` a time, until each has its cut."""
+    while searches:
+        table = _small(
+            rows.sparkSession,
+            [(s.node, s.axis, s.low, s.high, s.step) for s in searches],
+            "node, axis, low, high, step",
+        )
+        at = _along(F.col("axis"), dimensions)
+        bins = (
+            rows.join(table, "node")
+            .withColumn("at", at)
+            .where("at BETWEEN low AND high")
+            .groupBy("node", F.expr("(at - low) DIV step").alias("bin"))
+            .agg(F.sum("size").alias("size"))
+        )
+        found: dict[int, dict[int, int]] = {s.node: {} for s in searches}
+        for row in bins.collect():  # at most BINS rows a node
+            found[row["node"]][row["bin"]] = row["size"]
+        for s in searches:
+            s.narrowed(found[s.node], tolerance)
+        searches = [s for s in searches if s.cut is None]
 
 
 def kd_shards(
@@ -226,18 +213,22 @@ def kd_shards(
         F.col("text_key").isin(heavy), F.xxhash64("doc_id", "row", "text_key")
     ).otherwise(F.col("text_key"))
     tie = tie.bitwiseAND(F.lit((1 << TIE_BITS) - 1))
-    placed = rows.select(
-        "*",
-        *[
-            F.shiftleft(f"d{i}", TIE_BITS).bitwiseOR(tie).alias(f"c{i}")
-            for i in range(len(dimensions))
-        ],
+    placed = written(
+        rows.select(
+            "doc_id", "size", "text_crc32", "text_key", "row",
+            *[
+                F.shiftleft(f"d{i}", TIE_BITS).bitwiseOR(tie).alias(f"c{i}")
+                for i in range(len(dimensions))
+            ],
+        ),
+        "placed",
     )
-    tree = grow(placed, len(dimensions), leaves, tolerance)
-    shard = place(tree, [F.col(f"c{i}") for i in range(len(dimensions))])
+    leaf = grow(placed, len(dimensions), leaves, tolerance)
     sharded = written(
-        placed.select("doc_id", "size", "text_crc32", "text_key", "row", shard.alias("shard"))
-        .withColumn("__one", F.lit(1)),
+        leaf.select(
+            "doc_id", "size", "text_crc32", "text_key", "row",
+            F.col("node").alias("shard"), F.lit(1).alias("__one"),
+        ),
         "sharded",
     )
     numbered = running(
