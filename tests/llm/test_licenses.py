@@ -1,0 +1,53 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from tests.compare import assert_same, open_tables
+from tests.llm.data import frame
+from tidemark.llm import licenses
+
+
+def plain(rows):
+    out = {}
+    for doc, text, *_ in rows:
+        if text is None:
+            continue
+        for unit in {*text.split("\n"), *re.split(r"\n\s*\n", text), text}:
+            have = set(licenses.bigrams(unit))
+            for name, texts in licenses.TEMPLATES.items():
+                for t in texts:
+                    want = set(licenses.bigrams(t))
+                    dice = 2 * len(have & want) / (len(have) + len(want))
+                    if dice >= licenses.LEAST:
+                        out[doc, name] = max(dice, out.get((doc, name), 0))
+    return out
+
+
+def test_awkward_rows(spark):
+    apache = licenses.TEMPLATES["Apache-2.0-notice"][0]
+    rows = [
+        (1, apache), (2, apache.replace(". ", ".\n")), (3, "x\n\n" + apache.upper() + "\n\ny"), (4, "LICENSED UNDER CC BY 4.0!"),
+        (5, "Released under the MIT License\nLicensed under CC-BY-NC 4.0"), (6, None), (7, ""), (8, "license"), (9, "word " * 9000),
+        (10, "This work is now licensed under the GNU General Public License, version 3."), (None, "Released under the MIT License."),
+        (5, "Released under the MIT License"), (11, "under the License it works"),
+    ]
+    rows = [(*r, *(None,) * 8) for r in rows]
+    found = {(r["doc_id"], r["license"]): r["dice"] for r in licenses.license_scan(frame(spark, rows)).collect()}
+    assert found == pytest.approx(plain(rows))
+    assert licenses.license_scan(frame(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("size", [1, 2, 5, 11, 60])
+def test_size_bounds_lose_nothing(size):
+    allowed = licenses.sizes_allowed(size, 0.8)
+    for n in range(1, 200):
+        reachable = 2 * min(n, size) / (n + size) >= 0.8
+        assert (n in allowed) == reachable
+
+
+def test_given_table(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert_same(licenses.license_scan(docs), open_tables(folder), licenses.license_sql())

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import lines, mix, pieces, quality, shards, simhash
+from tidemark.llm import chat, hashing, licenses, lines, mix, pieces, private, quality, shards, simhash
 from tidemark.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_digest(table(spark, folder, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_scan(table(spark, folder, "documents"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_digest(table(spark, folder, "documents"))
 
@@ -22,10 +26,22 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.line_digest(table(spark, folder, "documents"))
 
 
+def op5_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.chat_digest(table(spark, folder, "conversations"))
+
+
 def op6_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix.mix_digest(table(spark, folder, "documents"))
 
 
+def op7_private_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return private.private_digest(table(spark, folder, "documents"))
+
+
+def op8_multi_index_hashing(spark: SparkSession, folder: str) -> DataFrame:
+    return hashing.neighbour_digest(table(spark, folder, "embeddings"))
+
+
 def op9_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.shard_digest(table(spark, folder, "documents"))
 
@@ -124,14 +140,19 @@ FROM split s LEFT JOIN covered c USING (rid) LEFT JOIN kept k USING (rid)
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_license_scan": op2_license_scan,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_chat_format": op5_chat_format,
     "op6_mix_sources": op6_mix_sources,
+    "op7_private_spans": op7_private_spans,
+    "op8_multi_index_hashing": op8_multi_index_hashing,
     "op9_kd_shards": op9_kd_shards,
     "op10_sentence_pieces": op10_sentence_pieces,
 }
 
 SQL: dict[str, str] = {
     "op1_quality_rules": QUALITY_SQL.strip(),
+    "op2_license_scan": licenses.license_sql().strip(),
     "op4_line_dedup": LINES_SQL.strip(),
 }
