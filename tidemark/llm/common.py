@@ -13,7 +13,7 @@ from tidemark.sources.query import read_table
 #: White space between words, as a class of Java and Python patterns.
 GAP = r"[\x20\x09-\x0D]+"
 
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 5_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -193,7 +193,8 @@ def mixed(sized: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
         "__row", "source_id", "block", (low - F.col("start")).alias("offset"),
         (F.least(F.col("end"), (F.col("block") + 1) * n) - low).alias("words"),
     )
-    return sources, pieces.join(slots(sources, mix), ["source_id", "block"])
+    # Slots are made of few rows, so Spark takes them for a small table; they grow with the text.
+    return sources, pieces.join(slots(sources, mix).hint("merge"), ["source_id", "block"])
 
 
 def mix_digest(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
