@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 from tidemark.llm.common import text_key, written
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-HEAD = 1 << 19
+HEAD = 1 << 18
 LONGEST = 256
 CHARS_PER_GROUP = 16_000_000
 _HEAD_LENGTH = 32  # characters of a unit of the head, so that its size is bounded
@@ -179,12 +179,15 @@ def solved(units: DataFrame, words: Vocabulary) -> DataFrame:
 
 
 def _counts(pattern: str):
+    """Counts by task of all texts; what a task sees only once does not bear on what is frequent."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units, seen = _units(pattern), Counter()
 
         def rows():
+            often = {u: n for u, n in seen.items() if n > 1}
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["unit", "n"]
+                [pa.array(list(often), pa.string()), pa.array(list(often.values()), pa.int64())], names=["unit", "n"]
             )
 
         for batch in batches:
@@ -204,7 +207,7 @@ def frequent(texts: DataFrame, words: Vocabulary, most: int = HEAD) -> DataFrame
     found = texts.mapInArrow(_counts(words.pattern), "unit string, n long")
     bin_ = F.floor(F.log2("n") * _BINS).cast("int")
     units = written(
-        found.groupBy("unit").agg(F.sum("n").alias("n")).where("n > 1").select("unit", bin_.alias("bin"))
+        found.groupBy("unit").agg(F.sum("n").alias("n")).select("unit", bin_.alias("bin"))
         .where(F.length("unit") <= _HEAD_LENGTH),
         "units",
     )
@@ -214,16 +217,17 @@ def frequent(texts: DataFrame, words: Vocabulary, most: int = HEAD) -> DataFrame
         if total > most:
             least = row["bin"] + 1
             break
-    return units.where(F.col("bin") >= least).select("unit")
+    # Dealt out by unit before their substrings are made, so edges need no shuffle.
+    return units.where(F.col("bin") >= least).select("unit").repartition("unit")
 
 
 def _rare(pattern: str, head):
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, known = _units(pattern), head.value.keys()
+        units, known = _units(pattern), head.value
         for batch in batches:
             by_group: dict[int, set[str]] = {}
             for text, group in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                new = set(units(text.as_py())) - known
+                new = set(units(text.as_py())).difference(known)  # a dict: looked up, not copied
                 if new:
                     by_group.setdefault(group, set()).update(new)
             for group, new in by_group.items():
@@ -258,42 +262,27 @@ class _Known(dict):
 
 
 def _assemble(pattern: str, head):
-    """Rows sorted by (group, kind): the group's units, then its documents."""
-
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def assemble(documents: pa.Table, solved_units: pa.Table) -> pa.Table:
+        """The documents of a group, with the ids of its own units and of the head."""
         import zstandard
 
         units, unpack = _units(pattern), zstandard.ZstdDecompressor().decompress
-        known, at = _Known(head.value), None
-        for batch in batches:
-            group, unit, ids, row, packed = (
-                batch.column(batch.schema.get_field_index(c)) for c in ("group", "unit", "ids", "row", "packed")
-            )
-            groups, names = group.to_numpy(), unit.to_pylist()
-            codes = ids.to_pylist()
-            texts, done, start, size = [], [], 0, 0
-            for i in range(batch.num_rows):
-                if groups[i] != at:
-                    known, at = _Known(head.value), groups[i]
-                if names[i] is not None:
-                    known[names[i]] = np.array(codes[i], np.int32).tobytes()
-                    if not texts:
-                        start = i + 1
-                        continue
-                    yield _encoded(row.slice(start, len(texts)), texts, done)
-                    texts, done, start, size = [], [], i + 1, 0
-                    continue
-                text = packed[i].as_py()
-                text = None if text is None else unpack(text).decode()
-                coded = None if text is None else b"".join(map(known.__getitem__, units(text)))
-                texts.append(text)
-                done.append(coded)
-                size += len(coded or b"")
-                if size > _BYTES_OUT:
-                    yield _encoded(row.slice(start, len(texts)), texts, done)
-                    texts, done, start, size = [], [], i + 1, 0
-            if texts:
-                yield _encoded(row.slice(start, len(texts)), texts, done)
+        known = _Known(head.value)
+        for unit, ids in zip(solved_units.column("unit").to_pylist(), solved_units.column("ids"), strict=True):
+            known[unit] = ids.values.to_numpy().tobytes()
+        out, texts, coded, start, size = [], [], [], 0, 0
+        rows = documents.column("row").combine_chunks()
+        for packed in documents.column("packed"):
+            text = None if packed.as_py() is None else unpack(packed.as_py()).decode()
+            texts.append(text)
+            coded.append(None if text is None else b"".join(map(known.__getitem__, units(text))))
+            size += len(coded[-1] or b"")
+            if size > _BYTES_OUT:
+                out.append(_encoded(rows.slice(start, len(texts)), texts, coded))
+                start, size = start + len(texts), 0
+                texts, coded = [], []
+        out.append(_encoded(rows.slice(start, len(texts)), texts, coded))
+        return pa.Table.from_batches(out)
 
     return assemble
 
@@ -340,22 +329,11 @@ def encode(docs: DataFrame, model: str = MODEL, keep: list[str] | None = None) -
     packed = given.mapInArrow(
         _compress, T.StructType().add("group", T.IntegerType()).add("row", row_type).add("packed", T.BinaryType())
     )
-    nothing = F.lit(None)
-    together = units.select(
-        "group", F.lit(0).alias("kind"), "unit", "ids", nothing.cast(row_type).alias("row"),
-        nothing.cast("binary").alias("packed"),
-    ).unionByName(
-        packed.select(
-            "group", F.lit(1).alias("kind"), nothing.cast("string").alias("unit"),
-            nothing.cast("array<int>").alias("ids"), "row", "packed",
-        )
-    )
     out = T.StructType().add("row", row_type).add("text", T.StringType())
     out = out.add("ids", T.ArrayType(T.IntegerType()))
-    done = (
-        together.repartition(groups, "group")
-        .sortWithinPartitions("group", "kind")
-        .mapInArrow(_assemble(words.pattern, head), out)
+    # The units are partitioned by group already: only the documents are shuffled here.
+    done = packed.groupBy("group").cogroup(units.groupBy("group")).applyInArrow(
+        _assemble(words.pattern, head), out
     )
     return done.select(*[F.col("row")[c].alias(c) for c in keep], "text", "ids")
 
