@@ -43,7 +43,7 @@ from tidemark.llm.common import text_key, written
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 HEAD = 1 << 18
 LONGEST = 256
-CHARS_PER_GROUP = 16_000_000
+CHARS_PER_GROUP = 8_000_000
 _HEAD_LENGTH = 32  # characters of a unit of the head, so that its size is bounded
 _FLUSH = 300_000
 _BYTES_OUT = 8 << 20
@@ -338,26 +338,55 @@ def encode(docs: DataFrame, model: str = MODEL, keep: list[str] | None = None) -
     return done.select(*[F.col("row")[c].alias(c) for c in keep], "text", "ids")
 
 
+def _spelled(model: str):
+    """Text of ids: the space put before a text when it was coded goes."""
+    spell = vocabulary(model).bytes_of().__getitem__
+    return lambda ids: b"".join(map(spell, ids.tolist())).decode()[1:]
+
+
 def decode(ids: Column, model: str = MODEL) -> Column:
     """The text of ids; null for null. Ids that the table lacks fail."""
 
     @F.pandas_udf("string")
     def text(ids: pd.Series) -> pd.Series:
-        spell = vocabulary(model).bytes_of().__getitem__
-        # The space put before a text when it was coded goes.
-        return pd.Series([None if x is None else b"".join(map(spell, x.tolist())).decode()[1:] for x in ids], dtype=object)
+        spelled = _spelled(model)
+        return pd.Series([None if x is None else spelled(x) for x in ids], dtype=object)
 
     return text(ids)
 
 
+def _compared(model: str):
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        spelled = _spelled(model)
+        for batch in batches:
+            rows = []
+            for text, ids in zip(batch.column(1), batch.column(2), strict=True):
+                if ids.values is None:
+                    rows.append((None, None, text.as_py() is None))
+                    continue
+                values = ids.values.to_numpy()
+                digest = xxhash.xxh64_hexdigest(values.tobytes())
+                rows.append((len(values), digest, spelled(values) == text.as_py()))
+            made = zip(*rows, strict=True) if rows else [[], [], []]
+            types = [pa.int64(), pa.string(), pa.bool_()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *(pa.array(c, t) for c, t in zip(made, types, strict=True))],
+                names=["doc_id", "n_pieces", "ids_xxh64", "lossless"],
+            )
+
+    return compare
+
+
 def piece_digest(documents: DataFrame, model: str = MODEL) -> DataFrame:
-    """Number and hash of the pieces of every document, and whether they read back exactly."""
-    coded = encode(documents.select("doc_id", "text"), model)
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_pieces"),
-        F.xxhash64("ids").alias("ids_xxh64"),
-        decode(F.col("ids"), model).eqNullSafe(F.col("text")).alias("lossless"),
+    """Number and hash of the pieces of every document, and whether they read back exactly.
+
+    Texts and ids stream through the comparison; a column function would queue them on disk.
+    """
+    coded = encode(documents.select(F.col("doc_id").cast("long"), "text"), model)
+    return coded.select("doc_id", "text", "ids").mapInArrow(
+        _compared(model), "doc_id long, n_pieces long, ids_xxh64 string, lossless boolean"
     )
 
 
