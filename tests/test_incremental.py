@@ -153,3 +153,8 @@ def test_copies_are_spread_over_sort_ranges(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert sum(r[0] for r in sizes) == 40_000
     assert len(sizes) > 4 and max(r[0] for r in sizes) < 20_000
+
+
+def test_nan_does_not_move_the_watermark(spark):
+    rows = spark.createDataFrame([(1.5,), (float("nan"),), (None,)], "c double")
+    assert high_watermark(rows, "c").first()["watermark"] == "1.5"

@@ -33,14 +33,4 @@ def test_large_inputs_raise_the_number_of_partitions(spark, monkeypatch):
         assert spark.conf.get("spark.sql.shuffle.partitions") == str(wanted)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     monkeypatch.setattr(sizing, "BYTES_PER_PARTITION", 1)
-    assert sizing.wanted_partitions(spark, lineitem) == sizing.MOST_PARTITIONS
-
-
-def test_only_a_small_scan_of_few_splits_is_spread(spark, monkeypatch):
-    lineitem = spark.read.parquet(LINEITEM)
-    assert sizing.spread(lineitem).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert sizing.spread(lineitem).count() == lineitem.count()
-    many = spark.range(0, 100, 1, 50)
-    assert sizing.spread(many) is many
-    monkeypatch.setattr(sizing, "SMALL_INPUT", 1000)
-    assert sizing.spread(lineitem) is lineitem
+    assert sizing.wanted_partitions(spark, lineitem) == sizing.scanned_bytes(lineitem)  # no cap

@@ -45,12 +45,15 @@ def read_past(
 
 
 def watermark_of(df: DataFrame, cursor: str) -> Column:
-    """Aggregate: the highest cursor value as text. NULLs and bytes never move it."""
+    """Aggregate: the highest cursor value as text. NULLs, NaNs and bytes never move it."""
     name = resolve(df.columns, cursor)
     kind = df.schema[name].dataType
     if isinstance(kind, T.BinaryType):
         return F.max(F.lit(None).cast("string"))
-    return to_text(F.max(ref(name)), kind, name)
+    value = F.col(ref(name))
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        value = F.when(~F.isnan(value), value)  # NaN sorts above all, and would end every later run
+    return to_text(F.max(value), kind, name)
 
 
 def high_watermark(df: DataFrame, cursor: str) -> DataFrame:

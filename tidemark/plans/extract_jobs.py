@@ -12,7 +12,6 @@ from tidemark.operators.chunks import with_chunks, with_positions
 from tidemark.operators.describe import as_load_text, canonical, profile_columns
 from tidemark.operators.incremental import high_watermark, read_past
 from tidemark.plans.registry import job
-from tidemark.sizing import spread
 from tidemark.sources.jdbc import hash_predicates, range_predicates
 from tidemark.sources.query import query_scan as run_query
 from tidemark.sources.query import read_table
@@ -96,7 +95,6 @@ def wide_full_read(spark: SparkSession, folder: str) -> DataFrame:
 
 def wide_query(spark: SparkSession, folder: str) -> DataFrame:
     tables = {name: read_table(spark, folder, name) for name in WIDE_TABLES}
-    tables["lineitem"] = spread(tables["lineitem"])
     return run_query(spark, WIDE, **tables)
 
 

@@ -16,7 +16,6 @@ from tidemark.plans.state import SyncState
 from tidemark.plans.sync import FrameSource, sync, sync_to
 from tidemark.sinks.files import FileTarget
 from tidemark.sinks.jsonl import write_json_lines
-from tidemark.sizing import spread
 from tidemark.sources.query import read_table
 from tidemark.streaming.upsert import stream_upsert as start_stream
 
@@ -329,16 +328,48 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return target.read()
 
 
+@job(f"""
+WITH t AS (SELECT {NULL_KEYS['t']} AS k, o_custkey, o_totalprice FROM ({TARGET})),
+     s AS (SELECT {NULL_KEYS['s']} AS k, o_custkey, o_totalprice FROM ({STAGE}))
+SELECT coalesce(t.k, s.k) AS k, coalesce(s.o_custkey, t.o_custkey) AS o_custkey,
+       coalesce(s.o_totalprice, t.o_totalprice) AS o_totalprice
+FROM t FULL JOIN s ON t.k = s.k
+UNION ALL SELECT k, o_custkey, o_totalprice FROM s WHERE k IS NULL
+""")
+def stream_upsert_null_key(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed that delivers every row twice: keyed rows merge, keyless ones are all inserted."""
+    old, new = (
+        df.select(F.expr(NULL_KEYS[side]).alias("k"), "o_custkey", "o_totalprice")
+        for side, df in (("t", _target(spark, folder)), ("s", _stage(spark, folder)))
+    )
+    target = new_target(spark, old.schema, ("k",))
+    target.append(old)
+    feed = storage.new_folder(spark, "feed")
+    new.unionByName(new).repartition(6, "o_custkey").write.parquet(feed)
+    storage.remove_at_exit(spark, feed)
+    stream = (
+        spark.readStream.schema(old.schema).option("maxFilesPerTrigger", 2).parquet(feed)
+    )
+    checkpoint = storage.new_folder(spark, "stream")
+    start_stream(stream, target, "orders", checkpoint).awaitTermination()
+    return target.read()
+
+
 # -- export and round trips --------------------------------------------------------
 
 
+def _read_json(spark: SparkSession, schema: T.StructType, folder: str) -> DataFrame:
+    """Exported lines; a torn one stops the job."""
+    return spark.read.schema(canonical_schema(schema)).json(folder, mode="FAILFAST")
+
+
 @job("SELECT * FROM lineitem")
 def jsonl_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     lineitem = read_table(spark, folder, "lineitem")
     out = storage.new_folder(spark, "jsonl")
-    write_json_lines(spread(lineitem), out)
+    write_json_lines(lineitem, out)
     storage.remove_at_exit(spark, out)
-    text = spark.read.schema(canonical_schema(lineitem.schema)).json(out)
+    text = _read_json(spark, lineitem.schema, out)
     return align(text, lineitem.schema)
 
 
@@ -352,7 +383,7 @@ def jsonl_ordered_export(spark: SparkSession, folder: str) -> DataFrame:
     out = storage.new_folder(spark, "jsonl")
     write_json_lines(events, out, cursor="ts", chunk_rows=2000, stable_input=True)
     storage.remove_at_exit(spark, out)
-    return spark.read.schema(canonical_schema(events.schema)).json(out)
+    return _read_json(spark, events.schema, out)
 
 
 @job(f"""
@@ -375,7 +406,7 @@ def jsonl_incremental(spark: SparkSession, folder: str) -> DataFrame:
         return write
 
     def read(run: str) -> DataFrame:
-        return spark.read.schema(canonical_schema(events.schema)).json(f"{out}/{run}")
+        return _read_json(spark, events.schema, f"{out}/{run}")
 
     start = "2024-01-03 12:00:00"
     sync_to(FrameSource(events, "ts", upto=STOP), load("1"), state, "events", initial=start)

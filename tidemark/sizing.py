@@ -13,8 +13,6 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 
 BYTES_PER_PARTITION = 256 << 20  # of files scanned, so compressed; sorts may spill
-SMALL_INPUT = 1 << 30
-MOST_PARTITIONS = 40_000  # beyond this, shuffle bookkeeping costs more than it saves
 
 _SETTING = "spark.sql.shuffle.partitions"
 
@@ -33,7 +31,7 @@ def scanned_bytes(df: DataFrame) -> int:
 
 def wanted_partitions(spark: SparkSession, *frames: DataFrame) -> int:
     bytes_ = sum(scanned_bytes(df) for df in frames)
-    from_size = min(MOST_PARTITIONS, -(-bytes_ // BYTES_PER_PARTITION))
+    from_size = -(-bytes_ // BYTES_PER_PARTITION)
     return max(from_size, int(spark.conf.get(_SETTING)))
 
 
@@ -45,18 +43,6 @@ def range_partitioned(df: DataFrame, order: list[Column]) -> DataFrame:
     return df.repartitionByRange(*order)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a small scan dealt out to all cores, for costly work on few file splits.
-
-    A file of one row group is read by one task, however many cores there are. Inputs
-    over ``SMALL_INPUT``, or with a split for every core, are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if scanned_bytes(df) > SMALL_INPUT or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
-
-
 @contextmanager
 def sized_shuffles(spark: SparkSession, *frames: DataFrame) -> Iterator[None]:
     """For the actions inside: enough shuffle partitions for these inputs."""

@@ -14,9 +14,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import storage
+from tidemark.functions.names import resolve_all
+from tidemark.operators.merge import has_key
 from tidemark.sinks.files import FileTarget
 
 
+def delivered(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """A batch as it is merged: sources deliver at least once, so equal keyed rows are one row.
+
+    Rows without a full key match nothing and are all inserted, equal ones as well.
+    """
+    full = has_key(resolve_all(batch.columns, keys))
+    return batch.where(full).distinct().unionByName(batch.where(~full))
+
+
 def merge_batch(target: FileTarget, stream_id: Callable[[], str]):
     """The ``foreachBatch`` function of one stream."""
 
@@ -26,8 +37,7 @@ def merge_batch(target: FileTarget, stream_id: Callable[[], str]):
         name = stream_id()
         done = own.version().markers.get(name)
         if done is None or int(done) < batch_id:
-            # Sources deliver at least once: equal rows in a batch are one row.
-            own.upsert(batch.distinct(), markers={name: str(batch_id)})
+            own.upsert(delivered(batch, own.version().keys), markers={name: str(batch_id)})
 
     return merge
 
