@@ -15,7 +15,7 @@ Units are solved in two sets. The most frequent (``HEAD`` at most, by their coun
 whole corpus) are solved once and broadcast. The rest, mostly words that occur once or
 twice, are solved by groups of documents: a document's group is a hash of it, its rare
 units go to that group, are solved there, and meet the group's documents, which come
-compressed. Groups grow in number with the text, so each fits a task.
+compressed. Groups grow in number with the text, so that the edges of one are grouped in memory.
 
 Spaces are coded with the pieces' space mark and read back exactly, also several, leading and
 trailing ones; a text's own U+2581 is coded as bytes. Unbroken runs over ``LONGEST`` characters
@@ -43,7 +43,8 @@ from tidemark.llm.common import text_key, written
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 HEAD = 1 << 18
 LONGEST = 256
-CHARS_PER_GROUP = 8_000_000
+CHARS_PER_GROUP = 2_000_000
+HEAD_TASKS = 64
 _HEAD_LENGTH = 32  # characters of a unit of the head, so that its size is bounded
 _FLUSH = 300_000
 _BYTES_OUT = 8 << 20
@@ -218,7 +219,7 @@ def frequent(texts: DataFrame, words: Vocabulary, most: int = HEAD) -> DataFrame
             least = row["bin"] + 1
             break
     # Dealt out by unit before their substrings are made, so edges need no shuffle.
-    return units.where(F.col("bin") >= least).select("unit").repartition("unit")
+    return units.where(F.col("bin") >= least).select("unit").repartition(HEAD_TASKS, "unit")
 
 
 def _rare(pattern: str, head):
