@@ -180,15 +180,12 @@ def solved(units: DataFrame, words: Vocabulary) -> DataFrame:
 
 
 def _counts(pattern: str):
-    """Counts by task of all texts; what a task sees only once does not bear on what is frequent."""
-
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units, seen = _units(pattern), Counter()
 
         def rows():
-            often = {u: n for u, n in seen.items() if n > 1}
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(often), pa.string()), pa.array(list(often.values()), pa.int64())], names=["unit", "n"]
+                [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["unit", "n"]
             )
 
         for batch in batches:
@@ -208,7 +205,7 @@ def frequent(texts: DataFrame, words: Vocabulary, most: int = HEAD) -> DataFrame
     found = texts.mapInArrow(_counts(words.pattern), "unit string, n long")
     bin_ = F.floor(F.log2("n") * _BINS).cast("int")
     units = written(
-        found.groupBy("unit").agg(F.sum("n").alias("n")).select("unit", bin_.alias("bin"))
+        found.groupBy("unit").agg(F.sum("n").alias("n")).where("n > 1").select("unit", bin_.alias("bin"))
         .where(F.length("unit") <= _HEAD_LENGTH),
         "units",
     )
@@ -262,7 +259,7 @@ class _Known(dict):
         return self.head[unit]
 
 
-def _assemble(pattern: str, head):
+def _assemble(pattern: str, head, finish):
     def assemble(documents: pa.Table, solved_units: pa.Table) -> pa.Table:
         """The documents of a group, with the ids of its own units and of the head."""
         import zstandard
@@ -279,10 +276,10 @@ def _assemble(pattern: str, head):
             coded.append(None if text is None else b"".join(map(known.__getitem__, units(text))))
             size += len(coded[-1] or b"")
             if size > _BYTES_OUT:
-                out.append(_encoded(rows.slice(start, len(texts)), texts, coded))
+                out.append(finish(rows.slice(start, len(texts)), texts, coded))
                 start, size = start + len(texts), 0
                 texts, coded = [], []
-        out.append(_encoded(rows.slice(start, len(texts)), texts, coded))
+        out.append(finish(rows.slice(start, len(texts)), texts, coded))
         return pa.Table.from_batches(out)
 
     return assemble
@@ -301,8 +298,14 @@ def _encoded(rows: pa.Array, texts: list, coded: list) -> pa.RecordBatch:
 
 def encode(docs: DataFrame, model: str = MODEL, keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` (all, if none are named) of every row, its text, and its ids."""
-    spark, words = docs.sparkSession, vocabulary(model)
     keep = [c for c in (docs.columns if keep is None else keep) if c != "text"]
+    out = T.StructType().add("text", T.StringType()).add("ids", T.ArrayType(T.IntegerType()))
+    return _assembled(docs, model, keep, _encoded, out)
+
+
+def _assembled(docs: DataFrame, model: str, keep: list[str], finish, made: T.StructType) -> DataFrame:
+    """``keep`` and what ``finish`` makes of the rows, texts and ids of a group."""
+    spark, words = docs.sparkSession, vocabulary(model)
     texts = docs.where("text IS NOT NULL AND text != ''").select("text")
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     groups = max(1, -(-chars // CHARS_PER_GROUP))
@@ -330,13 +333,12 @@ def encode(docs: DataFrame, model: str = MODEL, keep: list[str] | None = None) -
     packed = given.mapInArrow(
         _compress, T.StructType().add("group", T.IntegerType()).add("row", row_type).add("packed", T.BinaryType())
     )
-    out = T.StructType().add("row", row_type).add("text", T.StringType())
-    out = out.add("ids", T.ArrayType(T.IntegerType()))
+    out = T.StructType([T.StructField("row", row_type), *made.fields])
     # The units are partitioned by group already: only the documents are shuffled here.
     done = packed.groupBy("group").cogroup(units.groupBy("group")).applyInArrow(
-        _assemble(words.pattern, head), out
+        _assemble(words.pattern, head, finish), out
     )
-    return done.select(*[F.col("row")[c].alias(c) for c in keep], "text", "ids")
+    return done.select(*[F.col("row")[c].alias(c) for c in keep], *made.names)
 
 
 def _spelled(model: str):
@@ -356,38 +358,27 @@ def decode(ids: Column, model: str = MODEL) -> Column:
     return text(ids)
 
 
-def _compared(model: str):
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _digested(model: str):
+    """In place of texts and ids: number and hash of the ids, and whether they read back."""
+
+    def digested(rows: pa.Array, texts: list, coded: list) -> pa.RecordBatch:
         import xxhash
 
         spelled = _spelled(model)
-        for batch in batches:
-            rows = []
-            for text, ids in zip(batch.column(1), batch.column(2), strict=True):
-                if ids.values is None:
-                    rows.append((None, None, text.as_py() is None))
-                    continue
-                values = ids.values.to_numpy()
-                digest = xxhash.xxh64_hexdigest(values.tobytes())
-                rows.append((len(values), digest, spelled(values) == text.as_py()))
-            made = zip(*rows, strict=True) if rows else [[], [], []]
-            types = [pa.int64(), pa.string(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, t) for c, t in zip(made, types, strict=True))],
-                names=["doc_id", "n_pieces", "ids_xxh64", "lossless"],
-            )
+        counts = [None if c is None else len(c) // 4 for c in coded]
+        hashes = [None if c is None else xxhash.xxh64_hexdigest(c) for c in coded]
+        same = [c is None or spelled(np.frombuffer(c, np.int32)) == t for c, t in zip(coded, texts, strict=True)]
+        made = [pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(same, pa.bool_())]
+        return pa.RecordBatch.from_arrays([rows, *made], names=["row", "n_pieces", "ids_xxh64", "lossless"])
 
-    return compare
+    return digested
 
 
 def piece_digest(documents: DataFrame, model: str = MODEL) -> DataFrame:
-    """Number and hash of the pieces of every document, and whether they read back exactly.
-
-    Texts and ids stream through the comparison; a column function would queue them on disk.
-    """
-    coded = encode(documents.select(F.col("doc_id").cast("long"), "text"), model)
-    return coded.select("doc_id", "text", "ids").mapInArrow(
-        _compared(model), "doc_id long, n_pieces long, ids_xxh64 string, lossless boolean"
+    """Number and hash of the pieces of every document, and whether they read back exactly."""
+    out = T.StructType().add("n_pieces", T.LongType()).add("ids_xxh64", T.StringType())
+    return _assembled(
+        documents, model, ["doc_id"], _digested(model), out.add("lossless", T.BooleanType())
     )
 
 
