@@ -1,7 +1,7 @@
 """SentencePiece encoding as a relational lattice, and decoding.
 
 A text, with a space before it, is cut into units where no piece of the table can cross:
-before spaces, and between a letter and a mark that no piece has behind a letter. The best
+before spaces, and before a mark that no piece has behind the character there. The best
 segmentation of a text is then that of its units, so each distinct unit is solved once:
 
 * its substrings, no longer than the longest piece, are exploded and joined with the piece
@@ -18,8 +18,8 @@ units go to that group, are solved there, and meet the group's documents, which
 compressed. Groups grow in number with the text, so that the edges of one are grouped in memory.
 
 Spaces are coded with the pieces' space mark and read back exactly, also several, leading and
-trailing ones; a text's own U+2581 is coded as bytes. Unbroken runs over ``LONGEST`` characters
-are cut there, so a unit's lattice is bounded. Null text gives null ids, an empty text none.
+trailing ones; a text's own U+2581 is coded as bytes. Unbroken runs over eight times
+``LONGEST`` characters are cut there, so a unit's lattice is bounded. Null text gives null ids, an empty text none.
 Other columns are handed through; empty tables give empty results.
 """
 
@@ -95,21 +95,22 @@ def vocabulary(model: str) -> Vocabulary:
 def unit_pattern(pieces: list[str]) -> str:
     """A pattern of units that no piece crosses.
 
-    Marks are the characters, no letters or digits, that follow nothing but a space or
-    another mark in any piece: a unit may end before them.
+    Marks are the characters, no letters or digits, that some piece holds. A unit goes on over a
+    mark only behind a character that the mark follows in some piece; it always goes on from a
+    mark to what comes after.
     """
     pairs = {p[i : i + 2] for p in pieces for i in range(len(p) - 1)}
     marks = {c for p in pieces for c in p if not c.isalnum() and c != " "}
-    while True:
-        bound = {b for a, b in pairs if b in marks and a != " " and a not in marks}
-        if not bound:
-            break
-        marks -= bound
-    some = "".join(re.escape(c) for c in sorted(marks))
+    joined: dict[str, str] = {}  # characters before a mark: the marks that go on behind them
+    for mark in sorted(marks):
+        before = "".join(re.escape(a) for a in sorted({x[0] for x in pairs if x[1] == mark} - marks - {" "}))
+        if before:
+            joined[before] = joined.get(before, "") + re.escape(mark)
+    some = "".join(map(re.escape, sorted(marks)))
     n = f"{{1,{LONGEST}}}"
-    if not some:
-        return f" {{0,{LONGEST}}}[^ ]{n}| {n}"
-    return f" {{0,{LONGEST}}}[^ {some}]{n}| {{0,{LONGEST}}}[{some}]{n}[^ {some}]{{0,{LONGEST}}}| {n}"
+    on = "".join(f"|(?<=[{before}])[{behind}]" for before, behind in joined.items())
+    word = f"(?:[^ {some}]{n}{on}){{1,8}}"
+    return f" {{0,{LONGEST}}}{word}| {{0,{LONGEST}}}[{some}]{n}(?:{word})?| {n}"
 
 
 def _units(pattern: str):
