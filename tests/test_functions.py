@@ -245,6 +245,32 @@ def test_conversion_by_target_type(spark):
         df.select(to_type(F.col("price"), T.DoubleType(), T.LongType(), "price")).collect()
 
 
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    ("value", "fits"),
+    [
+        ("12.345", False), ("12.340", True), ("12345e-3", False), ("12340e-3", True),
+        ("1.2e1", True), ("1500e-2", True), ("1e-99999999999", False), ("0e-9", True),
+        ("-0.00", True), ("100", True), ("123456789", False), (".5", True), ("7.", True),
+        (12.345, False), (12.25, True), (Decimal("1.2345"), False), (Decimal("1.2300"), True),
+    ],
+)
+def test_decimals_are_not_rounded(spark, value, fits, ansi):
+    have = {str: T.StringType(), float: T.DoubleType(), Decimal: T.DecimalType(18, 4)}[type(value)]
+    want = T.DecimalType(10, 2)
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([(value,)], T.StructType().add("x", have))
+        read = df.select(to_type(F.col("x"), have, want, "x"))
+        if fits:
+            assert read.first()[0] == Decimal(str(value))
+        else:
+            with pytest.raises(Exception, match="column x: cannot read"):
+                read.collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
 def test_nested_types_have_no_canonical_form():
     with pytest.raises(UnsupportedType):
         canonical_type(T.ArrayType(T.FloatType()))

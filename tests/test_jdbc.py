@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.errors import ColumnMismatch, KeyProblem, TidemarkError
+from tidemark.errors import ColumnMismatch, KeyProblem, TidemarkError, UnsupportedType
 from tidemark.functions.names import resolve
 from tidemark.operators.incremental import frontier, read_past
 from tidemark.plans.state import SyncState
@@ -166,54 +166,84 @@ def test_sql_literals():
         source.sql_literal("1; DROP TABLE t", T.LongType())
 
 
-class Reader:
-    """Records what a JDBC read is asked for."""
+VALUES = [
+    (1, "-70.5000000000", -7.25, "2023-12-31", "2023-12-31 23:59:59.5"),
+    (2, "0.0000000001", 0.0, "2024-01-01", "2024-03-10 02:30:00"),
+    (3, "1000000000000.0000000000", 1e12, "2024-02-29", "2024-11-03 01:30:00"),
+    (4, None, None, None, None),
+    *[(i, f"{i}.1250000000", i / 8, f"2024-05-{i % 28 + 1:02}", f"2024-05-01 00:00:{i}") for i in range(10, 40)],
+]
+COLUMNS = {"Price": "decimal(38,10)", "Ratio": "double", "Day": "date", "At": "timestamp_ntz", "Id": "int"}
 
-    def __init__(self, bounds):
-        self.bounds, self.asked = bounds, {}
 
-    def option(self, name, value):
-        self.asked[name] = str(value)
-        return self
+@pytest.fixture
+def mixed(spark, monkeypatch):
+    """A DuckDB table read in place of a server; gives the predicates asked for."""
+    db = duckdb.connect()
+    db.execute('CREATE TABLE t ("Id" INT, "Price" DECIMAL(38,10), "Ratio" DOUBLE, "Day" DATE, "At" TIMESTAMP)')
+    db.executemany("INSERT INTO t VALUES (?, ?, ?, ?, ?)", VALUES)
+    asked = []
 
-    def load(self):
-        return self
+    def read_query(session, url, query, properties=None, fetch_rows=1000):
+        rows = db.execute(query).fetchall()
+        if "MIN(" in query:
+            kind = COLUMNS[query.split('"')[1]]
+            return session.createDataFrame(rows, f"LO {kind}, HI {kind}")
+        schema = ", ".join(f"{c} {COLUMNS[c]}" for c in ("Id", "Price", "Ratio", "Day", "At"))
+        return session.createDataFrame(rows, schema)
 
-    def first(self):
-        return self.bounds
+    monkeypatch.setattr(source, "read_query", read_query)
+    monkeypatch.setattr(source, "read_by_predicates", lambda s, u, q, predicates, *_: asked.extend(predicates))
+    return db, asked
 
 
-def test_ranges_come_from_the_bounds_of_the_query(spark, monkeypatch):
-    readers = []
+@pytest.mark.parametrize("column", list(COLUMNS))
+def test_ranges_of_any_ordered_column_give_every_row_once(spark, mixed, column):
+    db, asked = mixed
+    source.read_in_ranges(spark, "jdbc:none", "SELECT * FROM t", column, 5)
+    assert len(asked) == 5
+    parts = [db.execute(f'SELECT "Id" FROM t WHERE {p}').fetchall() for p in asked]
+    assert sorted(i for part in parts for i in part) == sorted((v[0],) for v in VALUES)
+    assert sum(bool(part) for part in parts) > 1
 
-    def reader(*_):
-        readers.append(Reader((3, 900)))
-        return readers[-1]
 
-    monkeypatch.setattr(source, "_reader", reader)
-    source.read_in_ranges(spark, "jdbc:none", "SELECT * FROM t", "id", 20, fetch_rows=0)
-    bounds, ranged = (r.asked for r in readers)
-    assert bounds["dbtable"] == '(SELECT MIN("ID") "LO", MAX("ID") "HI" FROM (SELECT * FROM t) q_) q_'
-    assert ranged == {
-        "dbtable": "(SELECT * FROM t) q_",
-        "partitionColumn": '"ID"',
-        "lowerBound": "3",
-        "upperBound": "900",
-        "numPartitions": "20",
-        "fetchsize": "1",
-    }
+def test_an_empty_query_is_read_without_ranges(spark, mixed):
+    db, asked = mixed
+    empty = source.read_in_ranges(spark, "jdbc:none", "SELECT * FROM t WHERE FALSE", "Id", 20)
+    assert empty.isEmpty() and not asked
+
+
+def test_predicates_take_the_place_of_ranges(spark, mixed):
+    db, asked = mixed
+    hashed = hash_predicates('"Id"', 3)
+    rows = source.QuerySource(
+        spark, "jdbc:none", "SELECT * FROM t", "At", "Id", 4, predicates=hashed
+    )
+    rows.read(None, None, None)
+    assert asked == hashed
+
+
+def test_split_points():
+    zoned = source.split_points(
+        "2024-01-01 00:00:00.000000 +00:00", "2024-01-03 00:00:00.000000 +00:00", T.TimestampType(), 2
+    )
+    assert zoned == ["2024-01-02 00:00:00.000000 +00:00"]
+    assert source.split_points("3", "5", T.LongType(), 20) == ["3", "4", "5"]
+    assert source.split_points("1", "inf", T.DoubleType(), 4) == []
+    wide = "9" * 38
+    assert source.split_points("-" + wide, wide, T.DecimalType(38, 0), 2) == ["0"]
+    with pytest.raises(UnsupportedType):
+        source.split_points("a", "b", T.StringType(), 4)
 
 
-def test_an_empty_query_is_read_without_ranges(spark, monkeypatch):
-    readers = []
+def test_zoneless_times_are_read_as_such():
+    assert source._ZONELESS == {"preferTimestampNTZ": "true"}
 
-    def reader(*_):
-        readers.append(Reader((None, None)))
-        return readers[-1]
 
-    monkeypatch.setattr(source, "_reader", reader)
-    source.read_in_ranges(spark, "jdbc:none", "SELECT * FROM t", "id", 20)
-    assert "numPartitions" not in readers[-1].asked
+def test_catalog_names_are_quoted_as_they_are():
+    assert source.bounded_query("SELECT 1", "MixedCase", "1").endswith('WHERE "MixedCase" > 1')
+    assert '"MixedCase"' in jdbc.insert_statement("t", "s", ["MixedCase"])
+    assert 't."Key" = s."Key"' in jdbc.merge_statement("t", "s", ["Key", "v"], ["Key"])
 
 
 class Statement:

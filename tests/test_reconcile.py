@@ -80,6 +80,20 @@ def test_one_small_change_is_seen(spark, change):
     assert (row["rows_read"], row["rows_written"], row["same_content"]) == (500, len(changed), False)
 
 
+@pytest.mark.parametrize("wider", ["bigint", "decimal(20,2)", "string"])
+def test_a_wider_type_is_no_difference(spark, wider):
+    rows = [(1, 10, b""), (2, None, None), (3, -7, b"x")]
+    source = spark.createDataFrame(rows, "k int, n int, body binary")
+    copy = source.withColumn("n", F.col("n").cast(wider)).withColumn("k", F.col("k").cast("bigint"))
+    assert reconcile_counts(source, copy).first()["same_content"]
+    assert differing_rows(source, copy, ["k"]).isEmpty()
+    planted = copy.withColumn("n", F.when(F.col("k") == 3, F.lit(8).cast(wider)).otherwise(F.col("n")))
+    assert not reconcile_counts(source, planted).first()["same_content"]
+    assert [tuple(r) for r in differing_rows(source, planted, ["k"]).collect()] == [(3, "changed", ["n"])]
+    emptied = copy.withColumn("body", F.coalesce("body", F.lit(b"")))
+    assert [r["k"] for r in differing_rows(source, emptied, ["k"]).collect()] == [2]
+
+
 def test_empty_sides(spark):
     nothing, something = frame(spark, SOURCE).where("false"), frame(spark, SOURCE)
     assert tuple(reconcile_counts(nothing, nothing).first()) == (0, 0, True)

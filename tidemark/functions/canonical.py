@@ -174,6 +174,20 @@ def _or_fail(parsed: Column, text: Column, kind: T.DataType, name: str) -> Colum
     return F.coalesce(parsed, F.when(text.isNotNull(), F.raise_error(message).cast(kind)))
 
 
+def _keeps_digits(text: Column, scale: int) -> Column:
+    """Whether a number needs no more fraction digits than ``scale``.
+
+    The digits it needs: those written after the point, less zeros at the end, less the exponent.
+    """
+    parts = r"^[+-]?([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]+))?"
+    whole, fraction, power = (F.regexp_extract(text, parts, i) for i in (1, 2, 3))
+    digits = F.concat(whole, fraction)
+    used = F.rtrim(digits, F.lit("0"))
+    exponent = F.when(power == "", 0).otherwise(power.try_cast("int"))
+    needed = F.length(fraction) - (F.length(digits) - F.length(used)) - exponent.cast("long")
+    return (F.ltrim(used, F.lit("0")) == "") | (needed <= scale)
+
+
 def _interval_from(text: Column, kind: T.DataType) -> Column:
     def group(shape: str, index: int, cast: str) -> Column:
         return F.regexp_extract(text, shape, index).try_cast(cast)
@@ -194,7 +208,8 @@ def _interval_from(text: Column, kind: T.DataType) -> Column:
 
 
 def from_text(text: Column, kind: T.DataType, name: str = "?") -> Column:
-    """Canonical text as a value of ``kind``; unreadable text fails the job."""
+    """Canonical text as a value of ``kind``; unreadable text, or a number with more
+    fraction digits than a decimal has, fails the job."""
     check_supported(name, kind)
     if _is_text(kind):
         return text
@@ -205,7 +220,8 @@ def from_text(text: Column, kind: T.DataType, name: str = "?") -> Column:
     elif isinstance(kind, _INTEGRAL):
         parsed = F.when(_is(text, INTEGER_SHAPE), text.try_cast(kind))
     elif isinstance(kind, T.DecimalType):
-        parsed = F.when(_is(text, NUMBER_SHAPE), text.try_cast(kind))
+        fits = _is(text, NUMBER_SHAPE) & _keeps_digits(text, kind.scale)
+        parsed = F.when(fits, text.try_cast(kind))
     elif isinstance(kind, _FLOATING):
         parsed = F.when(_is(text, FLOAT_SHAPE), text.try_cast(kind))
     elif isinstance(kind, T.DateType):

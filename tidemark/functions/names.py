@@ -18,9 +18,14 @@ def fold_name(name: str) -> str:
     return name.upper() if _SIMPLE.fullmatch(name) else name
 
 
+def quote_exact(name: str) -> str:
+    """A name from a database's catalog as a quoted SQL identifier, as it is."""
+    return '"' + name.replace('"', '""') + '"'
+
+
 def quote_name(name: str) -> str:
-    """A name as a quoted SQL identifier, for statements sent to a database."""
-    return '"' + fold_name(name).replace('"', '""') + '"'
+    """A name given by a user as a quoted SQL identifier: folded if it is simple."""
+    return quote_exact(fold_name(name))
 
 
 def quote_path(name: str) -> str:

@@ -3,14 +3,20 @@
 Sides are compared as signed groups, never joined: each side's rows are hashed,
 combined on the map side, and summed with opposite signs. Repeated keys cost
 nothing extra, and no pair of rows is ever formed.
+
+Values are compared by their canonical text, so a copy in a wider type, or with its
+numbers as text, is equal; ``reconcile_schema`` reports the types. Bytes, and types
+without a canonical form, are compared as they are.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.errors import ColumnMismatch
+from tidemark.errors import ColumnMismatch, UnsupportedType
+from tidemark.functions.canonical import load_value
 from tidemark.functions.names import ref, resolve, resolve_all
 from tidemark.operators.describe import numbered
 from tidemark.storage import materialize
@@ -19,6 +25,13 @@ from tidemark.storage import materialize
 _PIECES = range(4)
 
 
+def _comparable(value: Column, kind: T.DataType) -> Column:
+    try:
+        return load_value(value, kind)
+    except UnsupportedType:
+        return value
+
+
 def _hash_pieces(values: list[Column]) -> list[Column]:
     """64-bit hash of the values in four 16-bit pieces; NULL and empty hash differently.
 
@@ -39,7 +52,8 @@ def reconcile_counts(source: DataFrame, copy: DataFrame) -> DataFrame:
     copy = copy.select([ref(resolve(copy.columns, c)) for c in source.columns])
 
     def summary(df: DataFrame, side: str) -> DataFrame:
-        pieces = _hash_pieces([F.col(f"c{i}") for i in range(len(df.columns))])
+        kinds = enumerate(f.dataType for f in df.schema)
+        pieces = _hash_pieces([_comparable(F.col(f"c{i}"), kind) for i, kind in kinds])
         return numbered(df).agg(
             F.lit(side).alias("side"),
             F.count("*").alias("rows"),
@@ -64,7 +78,9 @@ def _fold(
     """Per key: rows on each side, and for each group of columns whether it differs."""
 
     def side(df: DataFrame, read: int, written: int) -> DataFrame:
-        real = {c: F.col(ref(resolve(df.columns, c))) for g in [keys, *groups] for c in g}
+        names = {c: resolve(df.columns, c) for g in [keys, *groups] for c in g}
+        real = {c: F.col(ref(name)) for c, name in names.items()}
+        text = {c: _comparable(real[c], df.schema[name].dataType) for c, name in names.items()}
         sign = F.lit(read - written)
         return df.select(
             *[real[k].alias(k) for k in keys],
@@ -73,7 +89,7 @@ def _fold(
             *[
                 (sign * piece).alias(f"_{g}_{i}")
                 for g, group in enumerate(groups)
-                for i, piece in enumerate(_hash_pieces([real[c] for c in group]))
+                for i, piece in enumerate(_hash_pieces([text[c] for c in group]))
             ],
         )
 

@@ -513,6 +513,43 @@ def reconcile_bytes(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("differing", F.array_join("differing", ","))
 
 
+@job("""
+SELECT 'wider' AS copy, count(*) AS rows_read, count(*) AS rows_written, true AS same_content,
+       0 AS changed FROM lineitem
+UNION ALL
+SELECT 'wider, some changed', count(*), count(*), false,
+       count(DISTINCT l_orderkey) FILTER (l_linenumber = 7) FROM lineitem
+""")
+def reconcile_widened_types(spark: SparkSession, folder: str) -> DataFrame:
+    """A copy in wider types, and with its numbers as text, is equal; a changed value shows."""
+    lineitem = read_table(spark, folder, "lineitem").select(
+        "l_orderkey", F.col("l_linenumber").cast("int").alias("l_linenumber"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("price"), "l_shipdate",
+    )
+    wider = lineitem.select(
+        "l_orderkey", F.col("l_linenumber").cast("bigint").alias("l_linenumber"),
+        F.col("price").cast("decimal(20,4)").alias("price"), "l_shipdate",
+    )
+    copies = {
+        "wider": wider,
+        "wider, some changed": wider.withColumn(
+            "price", F.when(F.col("l_linenumber") == 7, -F.col("price")).otherwise(F.col("price"))
+        ),
+    }
+    found = []
+    for name, copy in copies.items():
+        changed = reconcile.differing_rows(lineitem, copy, ["l_orderkey"]).agg(
+            F.count("*").alias("changed")
+        )
+        found.append(
+            reconcile.reconcile_counts(lineitem, copy)
+            .select(F.lit(name).alias("copy"), "*")
+            .unionByName(changed, allowMissingColumns=True)
+            .agg(*[F.max(c).alias(c) for c in ("copy", "rows_read", "rows_written", "same_content", "changed")])
+        )
+    return found[0].unionByName(found[1])
+
+
 @job("""
 SELECT 'changed' AS kind, 'l_tax' AS column_name, count(*) AS keys
 FROM (SELECT DISTINCT l_orderkey FROM lineitem

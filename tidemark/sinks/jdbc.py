@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark import storage
 from tidemark.errors import VerifyFailed
-from tidemark.functions.names import quote_name, quote_path
+from tidemark.functions.names import quote_exact, quote_path
 from tidemark.operators.align import align
 from tidemark.operators.merge import merge_keys, require_unique_keys
 from tidemark.sources.jdbc import read_query
@@ -37,15 +37,15 @@ def staging_statement(target: str, staging: str) -> str:
     """A staging table with the target's own column types, and the row number."""
     return (
         f"CREATE TABLE {quote_path(staging)} AS SELECT t.*, "
-        f"CAST(NULL AS DECIMAL(19)) {quote_name(ROW_NUMBER)} "
+        f"CAST(NULL AS DECIMAL(19)) {quote_exact(ROW_NUMBER)} "
         f"FROM {quote_path(target)} t WHERE 1 = 0"
     )
 
 
 def staged_rows(staging: str, columns: Sequence[str]) -> str:
     """The staged rows, each once however often its task ran."""
-    listed = ", ".join(quote_name(c) for c in columns)
-    number = quote_name(ROW_NUMBER)
+    listed = ", ".join(quote_exact(c) for c in columns)
+    number = quote_exact(ROW_NUMBER)
     return (
         f"SELECT {listed} FROM (SELECT {listed}, ROW_NUMBER() OVER "
         f"(PARTITION BY {number} ORDER BY {number}) \"TM_COPY_\" FROM {quote_path(staging)}) d_ "
@@ -54,7 +54,7 @@ def staged_rows(staging: str, columns: Sequence[str]) -> str:
 
 
 def insert_statement(target: str, staging: str, columns: Sequence[str]) -> str:
-    listed = ", ".join(quote_name(c) for c in columns)
+    listed = ", ".join(quote_exact(c) for c in columns)
     return f"INSERT INTO {quote_path(target)} ({listed}) {staged_rows(staging, columns)}"
 
 
@@ -63,18 +63,18 @@ def merge_statement(
 ) -> str:
     """One set-based MERGE; with nothing but keys it only inserts."""
     keys = merge_keys(list(columns), list(keys))
-    changing = [f"{quote_name(c)} = s.{quote_name(c)}" for c in columns if c not in keys]
+    changing = [f"{quote_exact(c)} = s.{quote_exact(c)}" for c in columns if c not in keys]
     clauses = [
         f"MERGE INTO {quote_path(target)} t USING ({staged_rows(staging, columns)}) s",
-        "ON (" + " AND ".join(f"t.{quote_name(k)} = s.{quote_name(k)}" for k in keys) + ")",
+        "ON (" + " AND ".join(f"t.{quote_exact(k)} = s.{quote_exact(k)}" for k in keys) + ")",
     ]
     if changing:
         clauses.append("WHEN MATCHED THEN UPDATE SET " + ", ".join(changing))
     clauses.append(
         "WHEN NOT MATCHED THEN INSERT ("
-        + ", ".join(quote_name(c) for c in columns)
+        + ", ".join(quote_exact(c) for c in columns)
         + ") VALUES ("
-        + ", ".join(f"s.{quote_name(c)}" for c in columns)
+        + ", ".join(f"s.{quote_exact(c)}" for c in columns)
         + ")"
     )
     return " ".join(clauses)
@@ -149,7 +149,7 @@ def load_table(
                 "numPartitions": str(connections),
             },
         )
-        distinct = f'SELECT COUNT(DISTINCT {quote_name(ROW_NUMBER)}) "N" FROM {quote_path(staging)}'
+        distinct = f'SELECT COUNT(DISTINCT {quote_exact(ROW_NUMBER)}) "N" FROM {quote_path(staging)}'
         arrived = int(read_query(spark, url, distinct, properties).first()[0])
         if arrived != received:
             raise VerifyFailed(f"{received} rows staged, but {arrived} arrived")

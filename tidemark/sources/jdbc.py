@@ -9,20 +9,27 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime
+from decimal import Decimal, localcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.errors import UnsupportedType
 from tidemark.functions.canonical import to_text, typed_literal
-from tidemark.functions.names import quote_name, resolve
+from tidemark.functions.names import quote_exact, resolve
 from tidemark.operators.incremental import Frontier, lower_bound
 
 ALIAS = "q_"
 
 
+#: Times without a zone stay so: as instants they would depend on the zone of the session.
+_ZONELESS = {"preferTimestampNTZ": "true"}
+
+
 def _reader(spark: SparkSession, url: str, properties: Mapping[str, str] | None):
-    return spark.read.format("jdbc").option("url", url).options(**(properties or {}))
+    return spark.read.format("jdbc").option("url", url).options(**_ZONELESS, **(properties or {}))
 
 
 def as_subquery(query: str) -> str:
@@ -59,26 +66,51 @@ def read_in_ranges(
 
     The bounds come from a min/max query; they only shape the ranges, so rows
     outside them and NULLs are still read (by the last and the first range).
+    The ranges are predicates made here: Spark's own takes whole numbers only.
     """
-    column = quote_name(partition_column)
-    bounds = read_query(
+    schema = read_query(spark, url, query, properties).schema
+    name = resolve(schema.names, partition_column)
+    kind = schema[name].dataType
+    column = quote_exact(name)
+    ends = read_query(
         spark,
         url,
         f'SELECT MIN({column}) "LO", MAX({column}) "HI" FROM {as_subquery(query)}',
         properties,
-    ).first()
+    )
+    low, high = (to_text(F.col(c).cast(kind), kind, name) for c in ends.columns)
+    bounds = ends.select(low.alias("lo"), high.alias("hi")).first()
     if bounds[0] is None:
         return read_query(spark, url, query, properties, fetch_rows)
-    return (
-        _reader(spark, url, properties)
-        .option("dbtable", as_subquery(query))
-        .option("partitionColumn", column)
-        .option("lowerBound", str(bounds[0]))
-        .option("upperBound", str(bounds[1]))
-        .option("numPartitions", partitions)
-        .option("fetchsize", max(1, fetch_rows))
-        .load()
-    )
+    splits = [sql_literal(s, kind, name) for s in split_points(*bounds, kind, partitions)]
+    predicates = range_predicates(column, splits)
+    return read_by_predicates(spark, url, query, predicates, properties, fetch_rows)
+
+
+def split_points(low: str, high: str, kind: T.DataType, partitions: int) -> list[str]:
+    """Up to ``partitions - 1`` ascending values between two canonical texts, evenly spaced."""
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        first, last = (datetime.fromisoformat(t.replace(" +", "+")) for t in (low, high))
+        at = [first + (last - first) * i / partitions for i in range(1, partitions)]
+        dates = isinstance(kind, T.DateType)
+        points = [p.isoformat(" ", "microseconds")[: 10 if dates else None] for p in at]
+        if isinstance(kind, T.TimestampType):
+            points = [p.replace("+00:00", " +00:00") for p in points]
+    elif isinstance(kind, T.NumericType):
+        first, last = Decimal(low), Decimal(high)
+        if not (first.is_finite() and last.is_finite()):
+            return []
+        with localcontext(prec=80):
+            at = [first + (last - first) * i / partitions for i in range(1, partitions)]
+            if isinstance(kind, (T.FloatType, T.DoubleType)):
+                at = [Decimal(repr(float(p))) for p in at]
+            else:
+                unit = Decimal(1).scaleb(-getattr(kind, "scale", 0))
+                at = [p.quantize(unit) for p in at]
+        points = [f"{p:f}" for p in at]
+    else:
+        raise UnsupportedType(f"ranges of {kind.simpleString()}: give predicates instead")
+    return [p for p, before in zip(points, [None, *points]) if p != before]
 
 
 def sql_literal(text: str, kind: T.DataType, name: str = "?") -> str:
@@ -94,8 +126,11 @@ def sql_literal(text: str, kind: T.DataType, name: str = "?") -> str:
 
 
 def bounded_query(query: str, column: str, low: str | None = None, high: str | None = None) -> str:
-    """The query cut to ``low < column <= high`` (SQL literals); NULLs only without ``low``."""
-    quoted = quote_name(column)
+    """The query cut to ``low < column <= high`` (SQL literals); NULLs only without ``low``.
+
+    ``column`` is the name the database gives it.
+    """
+    quoted = quote_exact(column)
     conditions = [] if low is None else [f"{quoted} > {low}"]
     if high is not None:
         under = f"{quoted} <= {high}"
@@ -107,7 +142,7 @@ def bounded_query(query: str, column: str, low: str | None = None, high: str | N
 
 def frontier_query(query: str, column: str) -> str:
     """The highest cursor of a query, and its number of rows."""
-    return f'SELECT MAX({quote_name(column)}) "HI", COUNT(*) "N" FROM {as_subquery(query)}'
+    return f'SELECT MAX({quote_exact(column)}) "HI", COUNT(*) "N" FROM {as_subquery(query)}'
 
 
 @dataclass(frozen=True)
@@ -116,7 +151,8 @@ class QuerySource:
 
     The bounds are put into the query itself. A filter on a frame would be pushed to
     the database just as well, but the ranges would then span the whole table, and one
-    connection would get most of the new rows.
+    connection would get most of the new rows. ``predicates`` take the place of ranges of
+    the partition column where those would be uneven.
     """
 
     spark: SparkSession
@@ -127,6 +163,7 @@ class QuerySource:
     partitions: int
     properties: Mapping[str, str] | None = None
     fetch_rows: int = 1000
+    predicates: Sequence[str] | None = None
 
     def schema(self) -> T.StructType:
         """From the database's description of the query; no rows are read."""
@@ -157,10 +194,15 @@ class QuerySource:
     def read(
         self, stored: object | None, initial: object | None, ceiling: str | None
     ) -> DataFrame:
+        query = self.increment(stored, initial, ceiling)
+        if self.predicates:
+            return read_by_predicates(
+                self.spark, self.url, query, self.predicates, self.properties, self.fetch_rows
+            )
         return read_in_ranges(
             self.spark,
             self.url,
-            self.increment(stored, initial, ceiling),
+            query,
             self.partition_column,
             self.partitions,
             self.properties,
@@ -198,5 +240,5 @@ def read_by_predicates(
     properties: Mapping[str, str] | None = None,
     fetch_rows: int = 1000,
 ) -> DataFrame:
-    options = {**(properties or {}), "fetchsize": str(max(1, fetch_rows))}
+    options = {**_ZONELESS, **(properties or {}), "fetchsize": str(max(1, fetch_rows))}
     return spark.read.jdbc(url, as_subquery(query), predicates=list(predicates), properties=options)
