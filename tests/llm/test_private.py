@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.data import documents, frame
 from tidemark.llm import private
+from tidemark.llm.common import lowest
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
@@ -87,3 +88,14 @@ def test_awkward_rows(spark):
     assert private.private_digest(frame(spark, [])).collect() == []
     found = frame(spark, [(1, None) + (None,) * 8]).select(private.find_spans(F.col("text"), {}).alias("f"))
     assert found.first()["f"]["spans"] == ""
+
+
+def test_a_sample_is_of_different_texts_and_bounded_per_input(spark):
+    rows = spark.range(400_000).selectExpr("xxhash64(id) AS at").repartition(7)
+    low = lowest(rows, "at", 400_000, 1_000)
+    assert 1_000 < low.count() < 4_000
+    least = low.agg(F.max("at")).first()[0]
+    assert rows.where(F.col("at") <= least).count() == low.count()
+    assert lowest(rows, "at", 1_500, 1_000).count() == 400_000
+    copies = spark.createDataFrame([("call 5551234 now",)] * 50 + [("ip 10.0.0.1",), (None,), ("",)], "text string")
+    assert sorted(private.sample_texts(copies)) == ["10.0.0.1", "5551234"]

@@ -35,6 +35,16 @@ def text_key(text: Column) -> Column:
     return F.when(text.isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64(text))
 
 
+def lowest(rows: DataFrame, at: str, of: int, size: int) -> DataFrame:
+    """About twice ``size`` rows (all, if they are fewer): those of the lowest of ``of`` hashes ``at``.
+
+    A sample by ORDER BY and LIMIT sends that many rows of every partition to the driver;
+    taken from these rows, it sends no more than they are, whatever the size of the input.
+    """
+    bound = min((1 << 63) - 1, 2 * size * (1 << 64) // max(of, 1) - (1 << 63))
+    return rows.where(F.col(at) <= F.lit(bound))
+
+
 def bucket_count(rows: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
     return max(1, math.ceil(rows / rows_per_bucket))
 

@@ -8,7 +8,7 @@ one space apart (a region), cuts them into tokens and scores every segment of up
 last character, neighbours. Dynamic programming over the ends of segments chooses boundaries and
 kinds together. A predicted span is added if it overlaps no span of the fixed patterns.
 
-The weights are fitted by gradient on regions of a bounded sample (``SAMPLE`` documents with a digit or
+The weights are fitted by gradient on regions of a bounded sample (``SAMPLE`` different texts with a digit or
 ``@``, those of smallest hash), labelled by the fixed patterns where none of them failed; there is no other
 labelling. The fit is a few hundred short regions on the driver; decoding is a column expression.
 
@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import lowest
+
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 4_000
 REGIONS = 600
@@ -244,13 +246,11 @@ def fit(texts: list[str], seed: int = 11) -> dict[tuple[str, str], float]:
 
 
 def sample_texts(documents: DataFrame) -> list[str]:
-    rows = (
-        documents.where(F.col("text").rlike("[0-9@]"))
-        .select("text", F.xxhash64("text").alias("at"))
-        .orderBy("at", "text")
-        .limit(SAMPLE)
-        .select(F.expr("regexp_extract_all(text, '[^\\\\s]*[0-9@][^\\\\s]*( [^\\\\s]*[0-9@][^\\\\s]*)*', 0)").alias("chunks"))
-    )
+    texts = documents.where(F.col("text").rlike("[0-9@]")).select("text", F.xxhash64("text").alias("at"))
+    different = texts.agg(F.approx_count_distinct("at")).first()[0]
+    chunks = F.expr("regexp_extract_all(text, '[^\\\\s]*[0-9@][^\\\\s]*( [^\\\\s]*[0-9@][^\\\\s]*)*', 0)")
+    few = lowest(texts, "at", different, SAMPLE).select("at", chunks.alias("chunks"))
+    rows = few.groupBy("at").agg(F.min("chunks").alias("chunks")).orderBy("at").limit(SAMPLE)
     # Only the regions of the sample come to the driver, each with its neighbours gone.
     return ["\n".join(chunk for chunk in r["chunks"] if len(chunk) < 200) for r in rows.collect()]
 
