@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import lowest, written
 
 SAMPLE = 20_000
 AXES = 64
@@ -195,7 +195,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
         "vector-classes",
     )
     n = classes.count()
-    found_rows = classes.orderBy(F.xxhash64("class_id"), "class_id").limit(SAMPLE).select("vector").collect()
+    few = lowest(classes.withColumn("at", F.xxhash64("class_id")), "at", n, SAMPLE)
+    found_rows = few.orderBy("at", "class_id").limit(SAMPLE).select("vector").collect()
     empty = "query_id long, rank int, vec_id long, score double"
     if not found_rows:
         return vectors.sparkSession.createDataFrame([], empty)
