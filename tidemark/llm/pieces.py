@@ -4,10 +4,10 @@ A text, with a space before it, is cut into units where no piece of the table ca
 before spaces, and before a mark that no piece has behind the character there. The best
 segmentation of a text is then that of its units, so each distinct unit is solved once:
 
-* its substrings, no longer than the longest piece, are exploded and joined with the piece
-  table (broadcast; its size is that of the vocabulary);
-* the edges found are grouped by unit, and a Spark higher-order aggregate folds them from
-  left to right into the best path to every place (highest sum of scores; of equal ones,
+* its substrings, of the lengths of pieces that end in the same three characters, are exploded
+  and joined with the piece table (broadcast; its size is that of the vocabulary);
+* the edges found are grouped by unit, and a Spark higher-order aggregate folds them, in the
+  order of their ends, into the best path to every place (highest sum of scores; of equal ones,
   the one whose last piece starts first). A character that no piece equals is an edge of its
   UTF-8 bytes, ten below the worst score.
 
@@ -30,10 +30,12 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +51,8 @@ _HEAD_LENGTH = 32  # characters of a unit of the head, so that its size is bound
 _FLUSH = 300_000
 _BYTES_OUT = 8 << 20
 _BINS = 8  # of counts, by doubling
+_WORDS_KEPT = 1 << 16  # whose units a task remembers
+_SPACED = re.compile(" ( *[^ ]+| *)")
 
 
 @dataclass(frozen=True)
@@ -113,85 +117,128 @@ def unit_pattern(pieces: list[str]) -> str:
     return f" {{0,{LONGEST}}}{word}| {{0,{LONGEST}}}[{some}]{n}(?:{word})?| {n}"
 
 
+def _words(text: str | None) -> list[str]:
+    """A text cut at spaces, one of which is left out before each word; none for an empty text."""
+    if not text:
+        return []
+    if "  " in text or text[0] == " " or text[-1] == " ":
+        return _SPACED.findall(" " + text)
+    return text.split(" ")
+
+
 def _units(pattern: str):
+    """Of a word, or of a whole text: units never go on over a space behind another character."""
     find = re.compile(pattern).findall
     return lambda text: find(" " + text) if text else []
 
 
+def _units_of_word(pattern: str):
+    find = re.compile(pattern).findall
+    return lambda word: find(" " + word)
+
+
 def piece_table(spark, words: Vocabulary) -> DataFrame:
     rows = pd.DataFrame({"piece": words.pieces, "id": words.ids, "score": words.scores})
     return spark.createDataFrame(rows, "piece string, id int, score double")
 
 
+def suffix_table(spark, words: Vocabulary) -> DataFrame:
+    """For the last three characters before a place, the lengths of the pieces that may end there.
+
+    Other endings, and the first two places of a unit, have pieces of one or two characters.
+    """
+    lengths: dict[str, set[int]] = {p[-3:]: {1} for p in words.pieces if len(p) > 2}
+    for p in words.pieces:
+        if len(p) > 2:
+            lengths[p[-3:]].add(len(p))
+    pairs = {p for p in words.pieces if len(p) == 2}
+    for ending, of in lengths.items():
+        if ending[1:] in pairs:
+            of.add(2)
+    rows = pd.DataFrame({"ending": list(lengths), "lengths": [sorted(x) for x in lengths.values()]})
+    return spark.createDataFrame(rows, "ending string, lengths array<int>")
+
+
 def solved(units: DataFrame, words: Vocabulary) -> DataFrame:
     """``units`` (column unit, and others that partition it) with the ids of the best path."""
-    keys = units.columns
-    starts = units.select(*keys, F.explode(F.expr("sequence(0, length(unit) - 1)")).alias("start"))
-    spans = starts.select(
-        *keys, "start",
-        F.explode(F.expr(f"sequence(1, least({words.longest}, length(unit) - start))")).alias("n"),
-    )
-    substrings = spans.withColumn("piece", F.expr("substring(unit, start + 1, n)"))
-    edges = substrings.join(F.broadcast(piece_table(units.sparkSession, words)), "piece", "left").where(
+    keys, spark = units.columns, units.sparkSession
+    ends = units.select(*keys, F.explode(F.expr("sequence(1, length(unit))")).alias("end"))
+    ends = ends.withColumn("ending", F.expr("substring(unit, greatest(end - 2, 1), least(end, 3))"))
+    ends = ends.join(F.broadcast(suffix_table(spark, words)), "ending", "left")
+    short = F.array(F.lit(1), F.lit(2))
+    spans = ends.select(*keys, "end", F.explode(F.coalesce("lengths", short)).alias("n")).where("n <= end")
+    substrings = spans.withColumn("piece", F.expr("substring(unit, end - n + 1, n)"))
+    edges = substrings.join(F.broadcast(piece_table(spark, words)), "piece", "left").where(
         "id IS NOT NULL OR n = 1"
     )
-    code = F.hex(F.encode("piece", "UTF-8"))
-    spelled = F.transform(
-        F.sequence(F.lit(0), (F.length(code) / 2 - 1).cast("int")),
-        lambda k: (F.conv(F.substr(code, (2 * k + 1).cast("int"), F.lit(2)), 16, 10) + words.first_byte).cast("int"),
-    )
+    start = F.col("end") - F.col("n")
     edge = F.struct(
-        (F.col("start") + F.col("n")).alias("end"),
-        "start",
+        "end",
+        start.alias("start"),
         F.coalesce("score", F.lit(words.unknown_score)).alias("score"),
-        F.when(F.col("id").isNull(), spelled).otherwise(F.array("id")).alias("ids"),
+        F.coalesce("id", -F.col("end")).alias("id"),  # below zero: the bytes of the character there
     )
-    lattice = edges.groupBy(*keys).agg(F.collect_list(edge).alias("edges"))
-
-    def advance(best: Column, place: Column) -> Column:
-        ends = F.filter("edges", lambda e: e["end"] == place)
-        options = F.transform(
-            ends,
-            lambda e: F.struct(
-                (F.get(best, e["start"])["score"] + e["score"]).alias("score"),
-                (-e["start"]).alias("back"),
-                e["ids"].alias("ids"),
-            ),
+    # Ordered by end and start.
+    lattice = edges.groupBy(*keys).agg(F.sort_array(F.collect_list(edge)).alias("edges"))
+
+    def advance(path: Column, e: Column) -> Column:
+        """Best paths to the places before ``end``, and the best one yet to it."""
+        further, direct = e["end"] > path["end"], e["start"] == path["end"]
+        here = F.array(F.struct(path["score"].alias("score"), path["ids"].alias("ids")))
+        back = F.get(path["before"], e["start"])
+        score = F.when(direct, path["score"]).otherwise(back["score"]) + e["score"]
+        ids = F.concat(F.when(direct, path["ids"]).otherwise(back["ids"]), F.array(e["id"]))
+        return F.struct(
+            F.when(further, F.concat(path["before"], here)).otherwise(path["before"]).alias("before"),
+            e["end"].alias("end"),
+            F.when(further, score).otherwise(F.greatest(path["score"], score)).alias("score"),
+            F.when(further | (score > path["score"]), ids).otherwise(path["ids"]).alias("ids"),
         )
-        chosen = F.transform(
-            F.array(F.array_max(options)),
-            lambda o: F.struct(
-                o["score"].alias("score"),
-                F.concat(F.get(best, -o["back"])["ids"], o["ids"]).alias("ids"),
-            ),
+
+    def spelled(id_: Column) -> Column:
+        code = F.hex(F.encode(F.substr("unit", -id_, F.lit(1)), "UTF-8"))
+        places = F.sequence(F.lit(0), (F.length(code) / 2 - 1).cast("int"))
+        value = lambda k: F.conv(F.substr(code, (2 * k + 1).cast("int"), F.lit(2)), 16, 10)
+        return F.when(id_ >= 0, F.array(id_)).otherwise(
+            F.transform(places, lambda k: (value(k) + words.first_byte).cast("int"))
         )
-        return F.concat(best, chosen)
 
-    path = "array<struct<score:double,ids:array<int>>>"
-    start = F.array(F.struct(F.lit(0.0).alias("score"), F.array().cast("array<int>").alias("ids")))
+    none = F.array().cast("array<int>")
+    first = F.struct(
+        F.array().cast("array<struct<score:double,ids:array<int>>>").alias("before"),
+        F.lit(0).alias("end"),
+        F.lit(0.0).alias("score"),
+        none.alias("ids"),
+    )
     return lattice.select(
         *keys,
         F.aggregate(
-            F.expr("sequence(1, length(unit))"),
-            start.cast(path),
+            "edges",
+            first,
             advance,
-            lambda best: F.element_at(best, -1)["ids"],
+            lambda path: F.when(F.array_min(path["ids"]) >= 0, path["ids"]).otherwise(
+                F.flatten(F.transform(path["ids"], spelled))
+            ),
         ).alias("ids"),
     )
 
 
 def _counts(pattern: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, seen = _units(pattern), Counter()
+        units, seen = _units_of_word(pattern), Counter()
 
         def rows():
+            found: dict[str, int] = {}
+            for word, n in seen.items():
+                for unit in units(word):
+                    found[unit] = found.get(unit, 0) + n
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["unit", "n"]
+                [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["unit", "n"]
             )
 
         for batch in batches:
             for text in batch.column(0):
-                seen.update(units(text.as_py()))
+                seen.update(_words(text.as_py()))
                 if len(seen) > _FLUSH:
                     yield rows()
                     seen.clear()
@@ -222,11 +269,16 @@ def frequent(texts: DataFrame, words: Vocabulary, most: int = HEAD) -> DataFrame
 
 def _rare(pattern: str, head):
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, known = _units(pattern), head.value
+        units, known = _units_of_word(pattern), head.value
+
+        @lru_cache(maxsize=_WORDS_KEPT)
+        def unknown(word: str) -> tuple[str, ...]:
+            return tuple([u for u in units(word) if u not in known])
+
         for batch in batches:
             by_group: dict[int, set[str]] = {}
             for text, group in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                new = set(units(text.as_py())).difference(known)  # a dict: looked up, not copied
+                new = set(chain.from_iterable(map(unknown, set(_words(text.as_py())))))
                 if new:
                     by_group.setdefault(group, set()).update(new)
             for group, new in by_group.items():
@@ -251,13 +303,14 @@ def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Known(dict):
-    """Ids of units: the group's own, else those of the head."""
+    """Ids of words, from those of their units: the group's own, else those of the head."""
 
-    def __init__(self, head: dict):
-        self.head = head
+    def __init__(self, units, own: dict, head: dict):
+        self.units, self.own, self.head = units, own, head
 
-    def __missing__(self, unit: str) -> bytes:
-        return self.head[unit]
+    def __missing__(self, word: str) -> bytes:
+        ids = self[word] = b"".join([self.own.get(u) or self.head[u] for u in self.units(word)])
+        return ids
 
 
 def _assemble(pattern: str, head, finish):
@@ -265,16 +318,21 @@ def _assemble(pattern: str, head, finish):
         """The documents of a group, with the ids of its own units and of the head."""
         import zstandard
 
-        units, unpack = _units(pattern), zstandard.ZstdDecompressor().decompress
-        known = _Known(head.value)
-        for unit, ids in zip(solved_units.column("unit").to_pylist(), solved_units.column("ids"), strict=True):
-            known[unit] = ids.values.to_numpy().tobytes()
+        unpack = zstandard.ZstdDecompressor().decompress
+        own = {}
+        for part in solved_units.select(["unit", "ids"]).to_batches():
+            ids = part.column("ids")
+            coded_ids, ends = ids.flatten().to_numpy().tobytes(), np.cumsum(ids.value_lengths().to_numpy()) * 4
+            at = 0
+            for unit, end in zip(part.column("unit").to_pylist(), ends.tolist(), strict=True):
+                own[unit], at = coded_ids[at:end], end
+        known = _Known(_units_of_word(pattern), own, head.value)
         out, texts, coded, start, size = [], [], [], 0, 0
         rows = documents.column("row").combine_chunks()
         for packed in documents.column("packed"):
             text = None if packed.as_py() is None else unpack(packed.as_py()).decode()
             texts.append(text)
-            coded.append(None if text is None else b"".join(map(known.__getitem__, units(text))))
+            coded.append(None if text is None else b"".join(map(known.__getitem__, _words(text))))
             size += len(coded[-1] or b"")
             if size > _BYTES_OUT:
                 out.append(finish(rows.slice(start, len(texts)), texts, coded))
@@ -344,8 +402,16 @@ def _assembled(docs: DataFrame, model: str, keep: list[str], finish, made: T.Str
 
 def _spelled(model: str):
     """Text of ids: the space put before a text when it was coded goes."""
-    spell = vocabulary(model).bytes_of().__getitem__
-    return lambda ids: b"".join(map(spell, ids.tolist())).decode()[1:]
+    spell = vocabulary(model).bytes_of()
+    table = pa.array([spell.get(i) for i in range(max(spell) + 1)], pa.binary())
+
+    def spelled(ids: np.ndarray) -> str:
+        pieces = table.take(pa.array(ids, pa.int32()))
+        if pieces.null_count:
+            raise KeyError("an id that the table lacks")
+        return pc.binary_join(pa.ListArray.from_arrays([0, len(pieces)], pieces), b"")[0].as_py().decode()[1:]
+
+    return spelled
 
 
 def decode(ids: Column, model: str = MODEL) -> Column:
