@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -79,3 +80,22 @@ def test_recall(spark):
     found, expected = answers(hashing.nearest(table, F.col("vec_id") % 20 == 0)), plain([(i * 100 if i % 20 == 0 else i * 100 + 1, v) for i, v in rows])
     hits = sum(len({i for i, _ in v} & {i // 100 for i, _ in expected[q * 100]}) for q, v in found.items())
     assert hits >= 0.9 * sum(map(len, expected.values()))
+
+
+def test_recall_on_many_rows(spark, tmp_path):
+    """On 100,000 rows of the given covariance, where a fixed number of found codes loses neighbours."""
+    given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("embedding").collect()
+    given = np.array([r["embedding"] for r in given], np.float64)
+    dice = np.random.default_rng(6)
+    rows = dice.multivariate_normal(given.mean(axis=0), np.cov(given.T), 100_000).astype(np.float32)
+    pd.DataFrame({"vec_id": np.arange(len(rows)), "embedding": list(rows)}).to_parquet(tmp_path / "rows.parquet")
+    table = spark.read.parquet(str(tmp_path / "rows.parquet"))
+    found = answers(hashing.nearest(table, F.col("vec_id") % 250 == 0))
+    assert len(found) == 400
+    rows = rows.astype(np.float64)
+    hits = []
+    for q, listed in found.items():
+        squares = ((rows - rows[q]) ** 2).sum(1)
+        squares[q] = np.inf
+        hits.append(len({i for i, _ in listed} & set(np.argsort(squares)[:10].tolist())) / 10)
+    assert np.mean(hits) >= 0.9, np.mean(hits)

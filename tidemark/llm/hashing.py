@@ -8,9 +8,13 @@ Index: a code is cut into bytes, each indexed in a table of its own. Codes withi
 with the query, in one of m tables, up to r div m bits (tables after the first r mod m, one bit
 less), so probing all bytes that near in each table finds every code within r. Probes and
 entries meet by (table, high half of the byte), cut into blocks of bounded size, and are compared
-there with the whole code; a pair that several tables find is kept by the first. A query's r is
-where the sample holds its share of ``FOUND`` codes. What is found is ranked by exact distance on
-the original vectors. Queries that find fewer than k are searched again without a bound.
+there with the whole code; a pair that several tables find is kept by the first. What is found is
+ranked by exact distance on the original vectors. Queries that find fewer than k are searched again
+without a bound.
+
+Radius: up to ``CALIBRATED`` of the queries are answered exactly, by a scan of all rows that passes
+on those within the k-th distance to the sample only. A query's r is where the sample holds the
+share of codes that reaches ``RECALL`` of these answers, and no less than the share of ``FOUND``.
 
 Equal vectors are indexed once, with their k + 1 smallest ids, all that an answer can need.
 Null ids, and vectors null, zero, of null or non-finite components, or of another length than
@@ -32,6 +36,8 @@ SAMPLE = 20_000
 AXES = 64
 ROTATIONS = 4
 FOUND = 800
+CALIBRATED = 256
+RECALL = 0.95  # of the calibrating queries together; 0.9 is wanted of all
 LEAST_IN_SAMPLE = 50
 ENTRIES = 50_000  # of a block
 PROBES = 4_096
@@ -85,10 +91,48 @@ def _code(coder: Coder, vector: Column) -> Column:
     return code(vector)
 
 
-def _radius(coder: Coder, sample: np.ndarray, share: float, code: Column) -> Column:
-    known = coder.codes(sample)
-    place = min(len(known), max(LEAST_IN_SAMPLE, math.ceil(share * len(known))))
-
+def _squares(asked: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances of all pairs, and what rounding may add to each."""
+    sums = (asked**2).sum(1)[:, None] + (rows**2).sum(1)
+    return np.maximum(sums - 2 * asked @ rows.T, 0), 1e-9 * sums
+
+
+def calibrated_place(coder: Coder, sample: pd.DataFrame, classes: DataFrame, asked: DataFrame, k: int) -> int:
+    """The place in the sample, by bits from a query, that holds ``RECALL`` of true neighbours."""
+    asked = asked.withColumn("class_id", F.xxhash64("vector")).withColumn("at", F.xxhash64("query_id"))
+    few = lowest(asked, "at", asked.count(), CALIBRATED).orderBy("at", "query_id").limit(CALIBRATED)
+    chosen = few.select("class_id", "vector").collect()
+    if not chosen:
+        return 0
+    own = np.array([r["class_id"] for r in chosen])
+    vectors = np.array([r["vector"] for r in chosen], np.float64)
+    codes = coder.codes(vectors)
+    inside = np.stack(sample["vector"].to_numpy())
+    squares, spare = _squares(vectors, inside)
+    squares = np.where(own[:, None] == sample["class_id"].to_numpy(), np.inf, squares + spare)
+    # The k-th distance to the sample is no less than that to all rows.
+    bound = np.partition(squares, k - 1, axis=1)[:, k - 1] if len(inside) > k else np.full(len(own), np.inf)
+
+    def near(batches):
+        for rows in batches:
+            if len(rows):
+                have = np.stack(rows["vector"].to_numpy())
+                ids = rows["class_id"].to_numpy()
+                squares, spare = _squares(vectors, have)
+                q, e = np.nonzero((squares - spare <= bound[:, None]) & (own[:, None] != ids))
+                bits = _ONES[codes[q] ^ coder.codes(have)[e]].sum(1, dtype=np.int32)
+                yield pd.DataFrame({"query": q, "class_id": ids[e], "square": squares[q, e], "bits": bits})
+
+    found = classes.select("class_id", "vector").mapInPandas(near, "query int, class_id long, square double, bits int")
+    order = Window.partitionBy("query").orderBy("square", "class_id")
+    true = found.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k)
+    known = coder.codes(inside)
+    steps = [np.sort(_ONES[known ^ c].sum(1, dtype=np.int32)) for c in codes]
+    places = sorted(int(np.searchsorted(steps[r["query"]], r["bits"])) for r in true.select("query", "bits").collect())
+    return places[math.ceil(RECALL * len(places)) - 1] if places else 0
+
+
+def _radius(known: np.ndarray, place: int, code: Column) -> Column:
     @F.pandas_udf("int")
     def radius(codes: pd.Series) -> pd.Series:
         if place >= len(known):  # few vectors: all of them
@@ -196,7 +240,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     )
     n = classes.count()
     few = lowest(classes.withColumn("at", F.xxhash64("class_id")), "at", n, SAMPLE)
-    found_rows = few.orderBy("at", "class_id").limit(SAMPLE).select("vector").collect()
+    found_rows = few.orderBy("at", "class_id").limit(SAMPLE).select("class_id", "vector").collect()
     empty = "query_id long, rank int, vec_id long, score double"
     if not found_rows:
         return vectors.sparkSession.createDataFrame([], empty)
@@ -206,7 +250,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     index = written(classes.select("class_id", _code(coder, F.col("vector")).alias("code")), "codes")
     asked = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "vector")
     asked = asked.withColumn("code", _code(coder, F.col("vector")))
-    queries = written(asked.withColumn("radius", _radius(coder, sample, FOUND / n, F.col("code"))), "queries")
+    asked = written(asked, "asked")
+    drawn = pd.DataFrame({"class_id": [r["class_id"] for r in found_rows], "vector": list(sample)})
+    place = max(
+        LEAST_IN_SAMPLE, math.ceil(FOUND / n * len(sample)), calibrated_place(coder, drawn, classes, asked, k)
+    )
+    queries = written(asked.withColumn("radius", _radius(coder.codes(sample), place, F.col("code"))), "queries")
     result = written(_ranked(probed(index, queries, tables), queries, classes, k), "nearest")
     # Queries short of k, if there are more rows to find: again, without a bound.
     wanted = min(k, rows.count() - 1)
