@@ -53,3 +53,21 @@ def test_equal_texts_stay_together(spark):
     )
     spread = result.groupBy("text").agg(F.count_distinct("shard").alias("n"), F.sum("size").alias("b"))
     assert spread.where("n > 1 AND b < 400000 / 50").count() == 0
+
+
+def test_copies_from_other_sources_stay_together(spark):
+    """Along the registered dimensions; also where a few rows fill a shard."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select(
+        "doc_id", "text", "lang", "source", "n_chars"
+    )
+    copied = docs.where("doc_id % 4 = 0").select(
+        F.col("doc_id") + 10**6, "text", F.lit("xx"), F.concat(F.lit("other"), F.col("doc_id") % 9), "n_chars"
+    )
+    docs = docs.union(copied)
+    result = shards.shard_digest(docs).join(docs.select("doc_id", "text"), "doc_id")
+    total = result.agg(F.sum("size").alias("b"), F.max("size").alias("row")).first()
+    spread = result.groupBy("text").agg(
+        F.count("*").alias("copies"), F.count_distinct("shard").alias("n"), F.sum("size").alias("b")
+    )
+    light = spread.where("copies > 1").where(F.col("b") <= min(total["row"], total["b"] / 40 / 4))
+    assert light.count() > 200 and light.where("n > 1").count() == 0

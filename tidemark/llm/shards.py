@@ -8,10 +8,11 @@ quantiles of a level are found together: histograms of a bounded number of bins
 are summed by Spark, and the bin that holds the cut is divided again until the cut is
 within ``tolerance``. The driver sees histograms and cuts only.
 
-A coordinate is the dimension's value followed by 31 bits of the text's hash, so ties in a
-dimension can be cut and equal texts stay together. Texts whose copies weigh more than
-1/``GROUPS`` of a leaf (so at most ``GROUPS`` times the leaves of them) are cut by a hash of
-the row instead: no group of copies makes a leaf too large.
+A coordinate is the dimension's value, the smallest among the copies of a text, followed by
+31 bits of the text's hash, so ties in a dimension can be cut and equal texts stay together.
+Texts whose copies weigh more than 1/``GROUPS`` of a leaf (so at most ``GROUPS`` times the
+leaves of them), and more than the largest row or a quarter of a leaf, are cut by their own
+values and a hash of the row instead: no group of copies makes a leaf too large.
 
 Null text weighs the overhead only; a null dimension counts as its smallest value; null
 ids and equal rows are placed like any others; an empty table gives no rows.
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -199,25 +200,31 @@ def kd_shards(
     Give the number of ``shards``, or the bytes a leaf should reach.
     """
     rows = narrow(docs, dimensions)
-    total = rows.agg(F.sum("size").alias("size"), F.count("*").alias("rows")).first()
+    total = rows.agg(
+        F.sum("size").alias("size"), F.max("size").alias("largest"), F.count("*").alias("rows")
+    ).first()
     size = total["size"] or 0
     leaves = shards or max(1, round(size / target_bytes))
+    # A group no larger than the largest row unbalances shards no more than that row does.
+    light = max(size / (leaves * GROUPS), min(total["largest"] or 0, size / (leaves * 4)))
     heavy = [
         row["text_key"]
         for row in rows.groupBy("text_key")
         .agg(F.sum("size").alias("size"))
-        .where(F.col("size") > size / (leaves * GROUPS))
+        .where(F.col("size") > light)
         .collect()  # at most leaves * GROUPS rows
     ]
-    tie = F.when(
+    # Rows of the same group share a key and, by it, their coordinates.
+    group = F.when(
         F.col("text_key").isin(heavy), F.xxhash64("doc_id", "row", "text_key")
     ).otherwise(F.col("text_key"))
-    tie = tie.bitwiseAND(F.lit((1 << TIE_BITS) - 1))
+    tie = F.col("group").bitwiseAND(F.lit((1 << TIE_BITS) - 1))
+    copies = Window.partitionBy("group")
     placed = written(
-        rows.select(
+        rows.withColumn("group", group).select(
             "doc_id", "size", "text_crc32", "text_key", "row",
             *[
-                F.shiftleft(f"d{i}", TIE_BITS).bitwiseOR(tie).alias(f"c{i}")
+                F.shiftleft(F.min(f"d{i}").over(copies), TIE_BITS).bitwiseOR(tie).alias(f"c{i}")
                 for i in range(len(dimensions))
             ],
         ),
