@@ -51,3 +51,16 @@ def test_given_table(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     assert_same(licenses.license_scan(docs), open_tables(folder), licenses.license_sql())
+
+
+def test_whole_licenses_are_found(spark):
+    """Each license as a document, upper-cased, with a line of copyright before it."""
+    whole = {k: v[0] for k, v in licenses.templates().items() if k not in licenses.TEMPLATES}
+    names = sorted(whole)
+    assert {"Apache-2.0-text", "BSD-3-Clause-text", "GPL-3.0-text", "LGPL-2.1-text", "MPL-2.0-text"} <= whole.keys()
+    rows = [(i, "Copyright 2020 Somebody\n\n" + whole[n].upper(), *(None,) * 8) for i, n in enumerate(names)]
+    found = {(r["doc_id"], r["license"]): r["dice"] for r in licenses.license_scan(frame(spark, rows)).collect()}
+    for i, name in enumerate(names):
+        have, want = set(licenses.bigrams(rows[i][1])), set(licenses.bigrams(whole[name]))
+        assert found[i, name] == pytest.approx(2 * len(have & want) / (len(have) + len(want)))
+        assert found[i, name] > 0.95

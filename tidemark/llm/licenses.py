@@ -4,7 +4,8 @@ A unit of text is lower-cased, everything but letters and digits becomes one spa
 of its word bigrams is compared with each template's: 2 |A and B| / (|A| + |B|). A coefficient of
 ``least`` needs sizes within a factor (2 - least) / least, so units join only the templates whose
 size allows it: an equi-join on the number of bigrams with a small table of (size, template),
-bounded by the templates' sizes. Only what joins is compared.
+bounded by the templates' sizes. Only what joins is compared. Templates are the notices here and
+the whole licenses of ``license_texts``, the latter named ``-text``; ``license_sql`` has the notices.
 
 Null and empty texts, and units of one word, have no bigrams and no license. Repeated rows give
 one result row for each document id; null ids are one. Other columns are not read.
@@ -14,6 +15,8 @@ from __future__ import annotations
 
 import math
 import re
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,6 +60,13 @@ TEMPLATES = {
 }
 
 
+@lru_cache
+def templates() -> dict[str, list[str]]:
+    """The notices, and the whole licenses."""
+    folder = Path(__file__).parent / "license_texts"
+    return TEMPLATES | {f"{p.stem}-text": [p.read_text("utf-8")] for p in sorted(folder.glob("*.txt"))}
+
+
 def bigrams(text: str) -> list[str]:
     words = re.sub(r"[\W_]+", " ", text.lower()).split()
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
@@ -72,7 +82,7 @@ def template_rows(least: float = LEAST) -> list[tuple[str, int, int]]:
     """license, variant, size for every size of a unit that a template may meet."""
     return [
         (name, k, n)
-        for name, texts in TEMPLATES.items()
+        for name, texts in templates().items()
         for k, text in enumerate(texts)
         for n in sizes_allowed(len(bigrams(text)), least)
     ]
@@ -85,9 +95,12 @@ def unit_bigrams(unit: Column) -> Column:
 def license_scan(docs: DataFrame, least: float = LEAST) -> DataFrame:
     """doc_id, license, dice (its best unit's coefficient) of every license found."""
     spark = docs.sparkSession
-    templates = spark.createDataFrame(
-        [(name, k, n, bigrams(TEMPLATES[name][k])) for name, k, n in template_rows(least)],
-        "license string, variant int, size int, wanted array<string>",
+    # Apart from the sizes, as a whole license has thousands of both.
+    sizes = template_rows(least)
+    allowed = spark.createDataFrame(sizes, "license string, variant int, size int")
+    wanted = spark.createDataFrame(
+        [(name, k, bigrams(text)) for name, texts in templates().items() for k, text in enumerate(texts)],
+        "license string, variant int, wanted array<string>",
     )
     whole = docs.where("text IS NOT NULL").select("doc_id", "text")
     units = whole.select(
@@ -100,7 +113,7 @@ def license_scan(docs: DataFrame, least: float = LEAST) -> DataFrame:
     )
     words = units.select("doc_id", unit_bigrams(F.col("unit")).alias("words"))
     # Distinct bigrams are no more than words: a unit that is too short for all is dropped early.
-    shortest = min(n for _, _, n in template_rows(least))
+    shortest = min(n for _, _, n in sizes)
     pairs = F.transform(
         F.sequence(F.lit(0), F.size("words") - 2),
         lambda i: F.concat_ws(" ", F.get("words", i), F.get("words", i + 1)),
@@ -110,7 +123,8 @@ def license_scan(docs: DataFrame, least: float = LEAST) -> DataFrame:
     sized = found.withColumn("size", F.coalesce(F.size("bigrams"), F.lit(0)))
     shared = F.size(F.array_intersect("bigrams", "wanted"))
     dice = (2.0 * shared) / (F.col("size") + F.size("wanted"))
-    matched = sized.join(F.broadcast(templates), "size").withColumn("dice", dice).where(F.col("dice") >= least)
+    met = sized.join(F.broadcast(allowed), "size").join(F.broadcast(wanted), ["license", "variant"])
+    matched = met.withColumn("dice", dice).where(F.col("dice") >= least)
     return matched.groupBy("doc_id", "license").agg(F.max("dice").alias("dice"))
 
 
