@@ -2,8 +2,10 @@
 
 The words of a source are laid end to end (documents in the order of a hash) and packed
 into blocks of ``block_words``. A source's target says how many blocks it gives; how many of
-them fall in each output shard is one multinomial draw (shards drawn one by one and then
-held to the sources' totals have the same distribution). A source's slots are numbered through the
+them fall in each output shard is one multinomial draw over the shards. This is not a draw of
+source counts for each output shard: sources keep their totals and shards vary in size. The
+digest and the mixed texts are by document, so the draw does not show in them; only ``mixed``
+gives shard and slot. A source's slots are numbered through the
 shards; slot j takes block ``perm(j mod blocks)`` in epoch ``j div blocks``, where ``perm`` is a
 keyed permutation of the source's blocks, so no block comes up twice before all have come
 up once. Slots and the pieces of documents then join by (source, block).
