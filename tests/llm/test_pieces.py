@@ -78,3 +78,32 @@ def test_no_piece_crosses_a_unit():
         assert len(units("q" + piece if not piece.startswith(" ") else piece)) <= 2
         whole = units(piece[1:]) if piece.startswith(" ") and len(piece) > 1 else None
         assert whole is None or len(whole) == 1
+
+
+def test_ids_of_long_runs_are_those_of_their_cuts(spark):
+    """Marks and spaces are cut at LONGEST, other runs at eight times that; each cut has its own best path."""
+
+    def path(unit):
+        best = [(0.0, 0, [])]
+        for end in range(1, len(unit) + 1):
+            options = []
+            for start in range(max(0, end - WORDS.longest), end):
+                found = TABLE.get(unit[start:end])
+                if found:
+                    options.append((best[start][0] + found[1], -start, [found[0]]))
+                elif end - start == 1:
+                    spelled = [WORDS.first_byte + b for b in unit[start:end].encode()]
+                    options.append((best[start][0] + WORDS.unknown_score, -start, spelled))
+            score, back, ids = max(options)
+            best.append((score, back, best[-back][2] + ids))
+        return best[-1][2]
+
+    cases = {"-" * 600: [1 + 256, 256, 88], " " * 600: [256, 256, 89], "x" * 2500: [1 + 2048, 452]}
+    rows = [(i, text, *(None,) * 8) for i, text in enumerate(cases)]
+    coded = {r["text"]: r["ids"] for r in pieces.encode(frame(spark, rows), keep=["doc_id"]).collect()}
+    for text, lengths in cases.items():
+        whole, cuts = " " + text, []
+        for n in lengths:
+            cuts.append(whole[:n])
+            whole = whole[n:]
+        assert not whole and coded[text] == [i for unit in cuts for i in path(unit)]

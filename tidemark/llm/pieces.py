@@ -2,7 +2,8 @@
 
 A text, with a space before it, is cut into units where no piece of the table can cross:
 before spaces, and before a mark that no piece has behind the character there. The best
-segmentation of a text is then that of its units, so each distinct unit is solved once:
+segmentation of a text is then that of its units (but for the cuts of very long runs, below),
+so each distinct unit is solved once:
 
 * its substrings, of the lengths of pieces that end in the same three characters, are exploded
   and joined with the piece table (broadcast; its size is that of the vocabulary);
@@ -18,8 +19,10 @@ units go to that group, are solved there, and meet the group's documents, which
 compressed. Groups grow in number with the text, so that the edges of one are grouped in memory.
 
 Spaces are coded with the pieces' space mark and read back exactly, also several, leading and
-trailing ones; a text's own U+2581 is coded as bytes. Unbroken runs over eight times
-``LONGEST`` characters are cut there, so a unit's lattice is bounded. Null text gives null ids, an empty text none.
+trailing ones; a text's own U+2581 is coded as bytes. Runs of marks or of spaces over ``LONGEST``
+characters, and other unbroken runs over eight times that, are cut there, so a unit's lattice is
+bounded: a piece that would cross such a cut is lost, and ids may differ there from the best path
+of the whole text, though they read back exactly. Null text gives null ids, an empty text none.
 Other columns are handed through; empty tables give empty results.
 """
 
@@ -97,7 +100,7 @@ def vocabulary(model: str) -> Vocabulary:
 
 
 def unit_pattern(pieces: list[str]) -> str:
-    """A pattern of units that no piece crosses.
+    """A pattern of units that no piece crosses, but where a run is cut for its length.
 
     Marks are the characters, no letters or digits, that some piece holds. A unit goes on over a
     mark only behind a character that the mark follows in some piece; it always goes on from a
