@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chat, hashing, licenses, lines, mix, pieces, private, quality, shards, simhash
+from tidemark.llm import (
+    chat,
+    extract,
+    hashing,
+    licenses,
+    lines,
+    mix,
+    pieces,
+    private,
+    quality,
+    runs,
+    search,
+    shards,
+    simhash,
+)
 from tidemark.llm.common import table
 
 
@@ -50,6 +64,20 @@ def op10_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.piece_digest(table(spark, folder, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search_digest(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
+def op12_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return extract.page_digest(table(spark, folder, "pages"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.runs_digest(table(spark, folder, "documents"))
+
+
 #: The beta prior and its moments as in ``quality``; one line a rule.
 QUALITY_SQL = r"""
 WITH split AS (
@@ -149,10 +177,14 @@ JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_multi_index_hashing": op8_multi_index_hashing,
     "op9_kd_shards": op9_kd_shards,
     "op10_sentence_pieces": op10_sentence_pieces,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_html_extraction": op12_html_extraction,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 SQL: dict[str, str] = {
     "op1_quality_rules": QUALITY_SQL.strip(),
     "op2_license_scan": licenses.license_sql().strip(),
     "op4_line_dedup": LINES_SQL.strip(),
+    "op11_lexical_search": search.SEARCH_SQL.strip(),
 }
