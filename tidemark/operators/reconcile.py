@@ -11,6 +11,8 @@ without a canonical form, are compared as they are.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,7 +59,7 @@ def reconcile_counts(source: DataFrame, copy: DataFrame) -> DataFrame:
         return numbered(df).agg(
             F.lit(side).alias("side"),
             F.count("*").alias("rows"),
-            F.array(*[F.sum(piece) for piece in pieces]).alias("fingerprint"),
+            *[F.sum(piece).alias(f"sum_{i}") for i, piece in enumerate(pieces)],
         )
 
     # Two one-row summaries, folded into one row.
@@ -65,9 +67,10 @@ def reconcile_counts(source: DataFrame, copy: DataFrame) -> DataFrame:
     return both.agg(
         F.max(F.when(F.col("side") == "read", F.col("rows"))).alias("rows_read"),
         F.max(F.when(F.col("side") == "written", F.col("rows"))).alias("rows_written"),
-        (
-            (F.min("rows") == F.max("rows"))
-            & (F.min("fingerprint") == F.max("fingerprint"))
+        reduce(
+            lambda a, b: a & b,
+            # Sums of no rows are NULL.
+            [F.min(c).eqNullSafe(F.max(c)) for c in ["rows", *[f"sum_{i}" for i in _PIECES]]],
         ).alias("same_content"),
     )
 
