@@ -20,10 +20,11 @@ from tidemark.operators import merge
 from tidemark.operators.align import align
 from tidemark.operators.chunks import chunk_manifest, with_positions
 from tidemark.operators.describe import canonical
+from tidemark.operators.key_filter import key_filter, possible_keys, word_count
 from tidemark.operators.reconcile import differing_rows
 from tidemark.plans.state import SyncState
 from tidemark.plans.sync import FrameSource, sync, sync_to
-from tidemark.sinks.files import SMALL_MERGES_BEFORE_PACKING, FileTarget
+from tidemark.sinks.files import FileTarget
 from tidemark.sinks.jsonl import write_json_lines
 from tidemark.streaming.upsert import merge_batch, stream_upsert
 
@@ -65,15 +66,14 @@ def sides(spark):
     return old, new
 
 
-@pytest.mark.parametrize("small", [True, False])
 @pytest.mark.parametrize("threshold", ["-1", "10MB"])
-def test_upsert_equals_row_by_row_merge(spark, sides, small, threshold):
+def test_upsert_equals_row_by_row_merge(spark, sides, threshold):
     old, new = sides
     names = ["id", "grp", "v", "note"]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
         got = merge.upsert(
-            spark.createDataFrame(old, SCHEMA), spark.createDataFrame(new, SCHEMA), ["ID", "grp"], small
+            spark.createDataFrame(old, SCHEMA), spark.createDataFrame(new, SCHEMA), ["ID", "grp"]
         )
         assert rows(got) == brute_force(old, new, names, ["id", "grp"])
     finally:
@@ -83,6 +83,7 @@ def test_upsert_equals_row_by_row_merge(spark, sides, small, threshold):
 @pytest.mark.parametrize("threshold", ["-1", "10MB"])
 def test_file_target_equals_row_by_row_merge(spark, tmp_path, sides, threshold):
     old, new = sides
+    old = old[199:]  # a target holds a key once
     target = FileTarget.create(
         spark, str(tmp_path / "t"), spark.createDataFrame([], SCHEMA).schema, ["id", "grp"], 5
     )
@@ -109,11 +110,12 @@ def test_any_sequence_of_loads_equals_the_model(spark, tmp_path, seed):
     schema = spark.createDataFrame([], SCHEMA).schema
     target = FileTarget.create(spark, str(tmp_path / "t"), schema, keys, rng.choice([1, 3, 8]))
     model: list = []
+    refused = 0
 
     def some_rows(unique):
         made = {}
-        for _ in range(rng.randrange(0, 60)):
-            key = (rng.choice([None, *range(12)]), rng.choice("abc"))
+        for _ in range(rng.choice([0, 2, 5, 30])):
+            key = (rng.choice([None, *range(40)]), rng.choice("abc"))
             row = (*key, float(rng.randrange(9)), rng.choice([None, "n"]))
             if unique and key[0] is not None:
                 made[key] = row
@@ -124,10 +126,19 @@ def test_any_sequence_of_loads_equals_the_model(spark, tmp_path, seed):
     for _ in range(8):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", rng.choice(["-1", "10MB"]))
         try:
-            if rng.random() < 0.3:
-                new = some_rows(unique=False)
-                assert target.append(spark.createDataFrame(new, SCHEMA)).received == len(new)
-                model = model + new
+            if rng.random() < 0.5:
+                new = some_rows(unique=rng.random() < 0.8)
+                held = [r[:2] for r in model + new if r[0] is not None]
+                if len(held) > len(set(held)):
+                    with pytest.raises(KeyProblem):
+                        target.append(spark.createDataFrame(new, SCHEMA))
+                    refused += 1
+                else:
+                    assert target.append(spark.createDataFrame(new, SCHEMA)).received == len(new)
+                    model = model + new
+            elif rng.random() < 0.2:
+                target.pack()
+                assert len(target.version().parts) <= 1
             else:
                 new = some_rows(unique=True)
                 report = target.upsert(spark.createDataFrame(new, SCHEMA))
@@ -140,42 +151,151 @@ def test_any_sequence_of_loads_equals_the_model(spark, tmp_path, seed):
             spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_small_merges_do_not_shuffle_the_target(spark):
+def test_a_merge_reads_and_shuffles_each_side_once(spark):
     old = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
     new = old.where("o_orderdate > TIMESTAMP_NTZ '2001-07-01 00:00:00'")
-    kept, _ = merge.merge_parts(old, new, ["o_orderkey"], small_stage=True)
-    text = kept._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
-    assert text.count("Exchange") == 1  # the broadcast of the staged rows
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = merge.merge_rows(old, new, ["o_orderkey"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2
+    # Keyed rows of each side; keyless rows, which the scan can skip by its statistics.
+    assert plan.count("FileScan") == 4
+    assert plan.count("IsNull(o_orderkey)") == 2 and plan.count("IsNotNull(o_orderkey)") == 2
+
+
+def files_of(target):
+    version = target.version()
+    return {r[0] for r in target._rows(version).select(target._file_of(version)).distinct().collect()}
 
 
-def test_only_touched_buckets_are_rewritten(spark, tmp_path):
-    base = spark.range(2000).selectExpr("cast(id AS int) AS id", "'g' AS grp", "1D AS v", "'o' AS note")
+def numbers(spark, n):
+    return spark.range(n).selectExpr("cast(id AS int) AS id", "'g' AS grp", "1D AS v", "'o' AS note")
+
+
+def test_only_files_that_hold_a_staged_key_are_rewritten(spark, tmp_path):
+    base = numbers(spark, 2000)
     target = FileTarget.create(spark, str(tmp_path / "t"), base.schema, ["id"], 16)
+    target.append(base.where("id < 1000"))
+    target.append(base.where("id >= 1000"))
+    before = files_of(target)
+    report = target.upsert(base.where("id = 5").withColumn("v", F.lit(9.0)))
+    assert (report.received, report.inserted, report.updated, report.rewritten) == (1, 0, 1, 1)
+    assert len(before - files_of(target)) == 1 and len(files_of(target) - before) == 1
+    assert target.read().where("v = 9").select("id").collect()[0][0] == 5
+    # Rows the target does not hold rewrite nothing, in the same buckets or not.
+    kept = files_of(target)
+    report = target.upsert(base.withColumn("id", F.col("id") + 5000))
+    assert (report.inserted, report.rewritten) == (2000, 0) and kept < files_of(target)
+    assert target.read().count() == target.count() == 4000
+
+
+def test_rewritten_files_are_not_even_scanned(spark, tmp_path):
+    base = numbers(spark, 100)
+    target = FileTarget.create(spark, str(tmp_path / "t"), base.schema, ["id"], 4)
     target.append(base)
     target.upsert(base.where("id = 5").withColumn("v", F.lit(9.0)))
-    first, second = target.version().parts
-    assert len(first.rows) == 15 and not first.whole and len(second.rows) == 1
-    assert target.read().where("v = 9").select("id").collect()[0][0] == 5
-    assert target.read().count() == target.count() == 2000
+    gone = [name for part in target.version().parts for name in part.gone]
+    assert len(gone) == 1
+    scan = target.read()
+    listed = scan._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    scan.collect()
+    assert listed.metrics().apply("numFiles").value() == len(files_of(target))
 
 
-def test_many_small_merges_are_packed(spark, tmp_path):
-    base = spark.range(50).selectExpr("cast(id AS int) AS id", "'g' AS grp", "0D AS v", "'o' AS note")
-    target = FileTarget.create(spark, str(tmp_path / "t"), base.schema, ["id"], 2)
+def test_periods_that_are_not_staged_keep_their_files(spark, tmp_path):
+    base = spark.range(600).selectExpr(
+        "cast(id AS int) AS id", "date_add(DATE '2024-01-01', cast(id div 100 AS int)) AS day", "0 AS v"
+    )
+    target = FileTarget.create(spark, str(tmp_path / "t"), base.schema, ["id", "day"], 3, period="DAY")
+    target.append(base)
+
+    def days():
+        rows = target._rows(target.version()).select("tm_period", "_metadata.file_path")
+        out = {}
+        for day, name in rows.distinct().collect():
+            out.setdefault(day, set()).add(name)
+        return out
+
+    before = days()
+    new = base.where("day = DATE '2024-01-03'").unionAll(
+        spark.sql("SELECT 9999, DATE '2024-02-01', 1 UNION ALL SELECT 1, NULL, 2 UNION ALL SELECT 1, NULL, 2")
+    )
+    report = target.upsert(new.withColumn("v", F.col("v") + 7))
+    after = days()
+    assert (report.inserted, report.updated) == (3, 100)
+    assert not before["2024-01-03"] & after["2024-01-03"] and after.keys() - before.keys() == {"2024-02-01", None}
+    assert all(after[d] == before[d] for d in before if d != "2024-01-03")
+    assert target.read().where("v = 7").count() == 100
+    held = target._held(target._placed(base.where("id = 5"), target.version()), target.version())
+    scan = held._jdf.queryExecution().executedPlan().toString()
+    assert "tm_period" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    with pytest.raises(KeyProblem, match="period"):
+        FileTarget.create(spark, str(tmp_path / "u"), base.schema, ["id"], 3, period="day")
+
+
+def test_a_key_is_appended_once(spark, tmp_path):
+    base = numbers(spark, 300)
+    target = FileTarget.create(spark, str(tmp_path / "t"), base.schema, ["id", "grp"], 4)
     target.append(base)
-    for _ in range(SMALL_MERGES_BEFORE_PACKING + 1):
-        target.upsert(base.withColumn("v", F.col("v") + 1))
-    assert target.version().small_merges == 0
-    assert target.read().count() == 50
+    version = target.version()
+    for again in (base, base.where("id = 7"), base.withColumn("id", F.col("id") + 299)):
+        with pytest.raises(KeyProblem, match="in the target"):
+            target.append(again)
+    twice = base.withColumn("id", F.col("id") + 300)
+    with pytest.raises(KeyProblem, match="repeat"):
+        target.append(twice.unionAll(twice))
+    assert target.version() == version
+    assert [len(storage.list_names(spark, str(tmp_path / "t" / d))) for d in ("data", "filters")] == [1, 1]
+    # Rows without a full key match nothing, so they may repeat; a key that an upsert moved
+    # to another load is found there.
+    keyless = base.withColumn("id", F.lit(None).cast("int"))
+    target.append(keyless.unionAll(keyless))
+    target.append(twice)
+    target.upsert(base.where("id < 20"))
+    with pytest.raises(KeyProblem, match="in the target"):
+        target.append(base.where("id = 19"))
+    assert target.count() == target.read().count() == 1200
+
+
+def test_zeros_of_either_sign_are_one_key(spark, tmp_path):
+    target = FileTarget.create(spark, str(tmp_path / "t"), spark.createDataFrame([], "k double, v int").schema, ["k"], 7)
+    target.append(spark.createDataFrame([(0.0, 1), (float("nan"), 2)], "k double, v int"))
+    with pytest.raises(KeyProblem):
+        target.append(spark.createDataFrame([(-0.0, 1)], "k double, v int"))
+    assert target.upsert(spark.createDataFrame([(-0.0, 3), (float("nan"), 4)], "k double, v int")).updated == 2
+    assert sorted(r["v"] for r in target.read().collect()) == [3, 4]
+
+
+def test_filters_deny_no_key_and_most_others(spark):
+    keys = spark.range(5000).selectExpr("id", "cast(id AS string) AS s")
+    words = word_count(5000)
+    made = key_filter(keys, ["id", "s"], words)
+    assert possible_keys(keys, ["id", "s"], made, words).count() == 5000
+    others = spark.range(5000, 25_000).selectExpr("id", "cast(id AS string) AS s")
+    assert possible_keys(others, ["id", "s"], made, words).count() < 600
+
+
+def test_version_file_grows_with_loads_only_and_packing_empties_it(spark, tmp_path):
+    base = numbers(spark, 40)
+    target = FileTarget.create(spark, str(tmp_path / "t"), base.schema, ["id"], 64)
+    for i in range(6):
+        target.append(base.withColumn("id", F.col("id") + 40 * i))
+    version = target.version()
+    size = len(storage.read_text(spark, target._file(version.number)))
+    assert [p.gone for p in version.parts] == [[]] * 6
+    assert size < 700 + 6 * 100  # so 200 appends take some 20 kB, whatever the buckets
+    files = len(files_of(target))
+    before = rows(target.read())
+    report = target.pack()
+    assert report.received == 0 and rows(target.read()) == before
+    assert len(target.version().parts) == 1 and len(files_of(target)) < files
     running = tmp_path / "t" / "data" / "tm_run=r0"
     running.mkdir()
-    gone = target.expire(keep=1)
-    assert len(gone) == SMALL_MERGES_BEFORE_PACKING + 1 and running.exists()
-    assert rows(target.read()) == rows(base.withColumn("v", F.lit(1.0)))
-    assert target.expire(keep=1) == []
-    target.append(base)
-    assert target.read().count() == 100
+    assert len(target.expire(keep=1)) == 6 and running.exists()
+    assert len(storage.list_names(spark, str(tmp_path / "t" / "filters"))) == 1
+    assert rows(target.read()) == before and target.expire(keep=1) == []
 
 
 def test_readers_of_a_version_are_not_disturbed(spark, tmp_path):
@@ -197,11 +317,12 @@ def test_failures_leave_the_target_and_no_data(spark, tmp_path):
     before, version = rows(target.read()), target.version()
     data = storage.list_names(spark, str(tmp_path / "t" / "data"))
     bad = base.withColumn("v", F.when(F.col("id") == 7, "?").otherwise("1"))
+    fresh = base.withColumn("id", F.col("id") + 100)
     for load in (target.append, target.upsert):
         with pytest.raises(Exception, match=r"column v: cannot read '\?'"):
             load(bad)
         with pytest.raises(VerifyFailed):
-            load(base, at_least=11)
+            load(fresh, at_least=11)
     with pytest.raises(KeyProblem, match="repeat"):
         target.upsert(base.unionAll(base))
     with pytest.raises(ColumnMismatch):

@@ -4,10 +4,11 @@ A match overwrites every incoming non-key column, NULL included; a row without
 a match is inserted; target columns that are not incoming keep their value.
 A NULL in any key column never matches.
 
-Shape of the plan: target LEFT JOIN stage for the updates, stage ANTI JOIN
-target keys for the inserts. Unlike one full outer join, both let the planner
-broadcast a small stage and let AQE split a skewed target key; rows with a NULL
-key bypass the joins, so they are never gathered in one shuffle partition.
+Shape of the plan: one full outer join on the key, so each side is read and
+shuffled once. Rows with a NULL key bypass it, so they are never gathered in one
+shuffle partition. Keys are unique on both sides: staged ones are checked, and a
+file target refuses a second row for a key. In a frame that repeats a key all its
+rows are updated, but by one task.
 """
 
 from __future__ import annotations
@@ -22,6 +23,10 @@ from tidemark.functions.names import ref, resolve_all
 from tidemark.operators.align import align
 
 
+SIDE = "tm_side"
+KEPT, UPDATED, INSERTED = range(3)
+
+
 def _all(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
@@ -56,67 +61,53 @@ def require_unique_keys(stage: DataFrame, keys: list[str]) -> None:
         raise KeyProblem(f"the staged rows repeat merge keys, for example {shown}")
 
 
-def merge_parts(
-    target: DataFrame, stage: DataFrame, keys: list[str], small_stage: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """The target's rows after the merge, and the rows the merge adds.
+def merge_rows(target: DataFrame, stage: DataFrame, keys: list[str]) -> DataFrame:
+    """The target's rows after the merge, each with what became of it in ``SIDE``.
 
-    ``small_stage`` says the staged rows were measured to be under the broadcast
-    threshold. The target is then not shuffled at all, so its NULL keys need no
-    care, and its keys are cut down to the staged ones before the anti join.
-    The result is the same either way.
+    ``SIDE`` is KEPT, UPDATED or INSERTED.
     """
     stage = align(stage, target.schema)
     keys = merge_keys(stage.columns, keys)
-    changing = [c for c in stage.columns if c not in keys]
     staged_name = {c: f"_staged_{i}" for i, c in enumerate(stage.columns)}
     renamed = stage.toDF(*staged_name.values())
     same_key = _all([F.col(ref(k)) == F.col(staged_name[k]) for k in keys])
     staged_has_key = has_key([staged_name[k] for k in keys])
 
-    kept = target
-    if changing:
-        staged = renamed.where(staged_has_key).withColumn("_matched", F.lit(True))
-        joining = target if small_stage else target.where(has_key(keys))
-        kept = joining.join(staged, same_key, "left").select(
-            [
-                F.when(F.col("_matched"), F.col(staged_name[c])).otherwise(F.col(ref(c))).alias(c)
-                if c in changing
-                else F.col(ref(c))
-                for c in target.columns
-            ]
-        )
-        if not small_stage:
-            kept = kept.unionByName(target.where(~has_key(keys)))
-
-    target_keys = target.where(has_key(keys)).select([ref(k) for k in keys])
-    if small_stage:
-        staged_keys = renamed.select([staged_name[k] for k in keys])
-        target_keys = target_keys.join(staged_keys, same_key, "left_semi")
-    hit = target_keys.distinct().toDF(*[f"_hit_{i}" for i in range(len(keys))])
-    on = _all([F.col(staged_name[k]) == F.col(f"_hit_{i}") for i, k in enumerate(keys)])
-    unmatched = (
-        renamed.where(staged_has_key)
-        .join(hit, on, "left_anti")
-        .unionByName(renamed.where(~staged_has_key))
+    held = target.where(has_key(keys)).withColumn("_held", F.lit(True))
+    arrived = renamed.where(staged_has_key).withColumn("_arrived", F.lit(True))
+    is_held, has_arrived = F.col("_held").isNotNull(), F.col("_arrived").isNotNull()
+
+    def value(name: str) -> Column:
+        if name in keys:
+            return F.coalesce(F.col(ref(name)), F.col(staged_name[name]))
+        if name in staged_name:
+            return F.when(has_arrived, F.col(staged_name[name])).otherwise(F.col(ref(name)))
+        return F.col(ref(name))
+
+    side = (
+        F.when(is_held & has_arrived, F.lit(UPDATED))
+        .when(is_held, F.lit(KEPT))
+        .otherwise(F.lit(INSERTED))
+    )
+    keyed = held.join(arrived, same_key, "full_outer").select(
+        *[value(c).alias(c) for c in target.columns], side.alias(SIDE)
     )
-    added = unmatched.select(
-        [
+    added = renamed.where(~staged_has_key).select(
+        *[
             F.col(staged_name[f.name]).alias(f.name)
             if f.name in staged_name
             else F.lit(None).cast(f.dataType).alias(f.name)
             for f in target.schema
-        ]
+        ],
+        F.lit(INSERTED).alias(SIDE),
     )
-    return kept, added
+    keyless = target.where(~has_key(keys)).withColumn(SIDE, F.lit(KEPT))
+    return keyed.unionByName(keyless).unionByName(added)
 
 
-def upsert(
-    target: DataFrame, stage: DataFrame, keys: list[str], small_stage: bool = False
-) -> DataFrame:
+def upsert(target: DataFrame, stage: DataFrame, keys: list[str]) -> DataFrame:
     """The whole target after the merge. Staged keys must be unique (see above)."""
-    kept, added = merge_parts(target, stage, keys, small_stage)
-    return kept.unionByName(added)
+    return merge_rows(target, stage, keys).drop(SIDE)
 
 
 def load_report(target: DataFrame, stage: DataFrame, keys: list[str]) -> DataFrame:

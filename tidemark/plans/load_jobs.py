@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark import storage
+from tidemark.errors import KeyProblem
 from tidemark.functions.canonical import from_text, to_text
 from tidemark.operators import merge, reconcile
 from tidemark.operators.align import align, append
@@ -53,10 +54,13 @@ def _stage(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def new_target(
-    spark: SparkSession, schema: T.StructType, keys: tuple[str, ...] = ()
+    spark: SparkSession,
+    schema: T.StructType,
+    keys: tuple[str, ...] = (),
+    period: str | None = None,
 ) -> FileTarget:
     root = storage.new_folder(spark, "target")
-    target = FileTarget.create(spark, root, schema, keys, BUCKETS)
+    target = FileTarget.create(spark, root, schema, keys, BUCKETS, period)
     storage.remove_at_exit(spark, root)
     return target
 
@@ -210,6 +214,44 @@ def upsert_null_key(spark: SparkSession, folder: str) -> DataFrame:
     return target.read()
 
 
+@job(f"""
+SELECT strftime(o_orderdate, '%Y-%m') AS o_month, * FROM (WITH t AS ({TARGET}), s AS ({STAGE}) {UPSERTED})
+""")
+def upsert_by_period(spark: SparkSession, folder: str) -> DataFrame:
+    """The month of an order is part of its key: only months that are delivered are read."""
+    old, new = (
+        df.select(F.date_format("o_orderdate", "yyyy-MM").alias("o_month"), "*")
+        for df in (_target(spark, folder), _stage(spark, folder))
+    )
+    target = new_target(spark, old.schema, ("o_month", "o_orderkey"), period="o_month")
+    target.append(old)
+    target.upsert(new)
+    return target.read()
+
+
+@job(f"""
+SELECT o_orderkey, o_totalprice FROM ({TARGET})
+UNION ALL SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01'
+""")
+def append_duplicate_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """A key is stored once: deliveries that repeat one are refused, whole, and leave no trace."""
+    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    old = _target(spark, folder).select("o_orderkey", "o_totalprice")
+    later = _stage(spark, folder).where("o_orderdate >= TIMESTAMP_NTZ '2000-01-01 00:00:00'")
+    new = later.select("o_orderkey", F.col("o_totalprice") - 1)
+    target = new_target(spark, old.schema, ("o_orderkey",))
+    target.append(old)
+    one = orders.orderBy(F.desc("o_orderkey")).limit(1)
+    for repeated in (_stage(spark, folder).select(old.columns), old, one.unionAll(one)):
+        try:
+            target.append(repeated)
+        except KeyProblem:
+            continue
+        raise AssertionError("a key was stored twice")
+    target.append(new.toDF(*old.columns))
+    return target.read()
+
+
 @job("""
 SELECT conv_id, turn, role, CASE WHEN role <> 'system' THEN role || ': ' || text ELSE text END AS text
 FROM conversations
@@ -543,9 +585,9 @@ def reconcile_widened_types(spark: SparkSession, folder: str) -> DataFrame:
         )
         found.append(
             reconcile.reconcile_counts(lineitem, copy)
-            .select(F.lit(name).alias("copy"), "*")
             .unionByName(changed, allowMissingColumns=True)
-            .agg(*[F.max(c).alias(c) for c in ("copy", "rows_read", "rows_written", "same_content", "changed")])
+            .agg(*[F.max(c).alias(c) for c in ("rows_read", "rows_written", "same_content", "changed")])
+            .select(F.lit(name).alias("copy"), "*")
         )
     return found[0].unionByName(found[1])
 

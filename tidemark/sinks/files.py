@@ -2,11 +2,18 @@
 
 Data is written to a folder of its own; a small version file naming the live
 folders is then published in one step. Until that step, and after any failure,
-readers see the previous version. A keyed target is divided into buckets of its
-key, and an upsert reads and rewrites only the buckets its rows fall in.
+readers see the previous version.
+
+A keyed target holds a key once, as a table with a primary key does. It is divided
+into buckets of its key and, if one of its key columns is named as period, by that
+column. A load looks only at the periods and buckets its keys fall in; Bloom filters
+kept beside the data then leave the keys that may be there already, and a join with
+the target's key columns finds the files they are in. An append stops if there are
+any; an upsert rewrites those files and no others.
 
     <root>/versions/00000012.json     the published versions
-    <root>/data/tm_run=<id>/...       rows of one load (tm_bucket=<n>/ if keyed)
+    <root>/data/tm_run=<id>/...       rows of one load (tm_period=<p>/tm_bucket=<n>/ if keyed)
+    <root>/filters/tm_run=<id>/       Bloom filter of the load's keys
     <root>/staging/<id>               staged rows of a running upsert
 """
 
@@ -17,8 +24,9 @@ import os
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field, replace
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,26 +40,31 @@ from tidemark.errors import (
 )
 from tidemark.functions.names import ref, resolve_all
 from tidemark.operators.align import align
-from tidemark.operators.merge import has_key, merge_keys, merge_parts, require_unique_keys
+from tidemark.operators.key_filter import key_filter, key_values, possible_keys, word_count
+from tidemark.operators.merge import (
+    INSERTED,
+    SIDE,
+    UPDATED,
+    has_key,
+    merge_keys,
+    merge_rows,
+    require_unique_keys,
+)
 from tidemark.sizing import sized_shuffles
 
-RUN, BUCKET = "tm_run", "tm_bucket"
-
-# Merges of a small stage leave the target's files as they are, plus small new ones;
-# every so often one merge packs them again.
-SMALL_MERGES_BEFORE_PACKING = 16
+RUN, PERIOD, BUCKET = "tm_run", "tm_period", "tm_bucket"
+_FILE = "_metadata"
 
 
 @dataclass(frozen=True)
 class Part:
-    """The live rows of one load: rows per bucket (one bucket, "", if unkeyed).
-
-    ``whole`` parts still have every bucket that was written.
-    """
+    """One load: its data files, those whose rows later loads have rewritten (by their path
+    below the data folder), and the words of its key filter (0: it holds no full key)."""
 
     run: str
-    rows: dict[str, int]
-    whole: bool = True
+    files: int
+    words: int = 0
+    gone: list[str] = field(default_factory=list)
 
 
 @dataclass(frozen=True)
@@ -59,21 +72,32 @@ class Version:
     number: int
     schema: str
     keys: list[str] = field(default_factory=list)
+    period: str | None = None
     buckets: int = 0
+    rows: int = 0
     parts: list[Part] = field(default_factory=list)
-    small_merges: int = 0
     # Per sync or stream: the last position loaded, published with the rows.
     markers: dict[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
 class LoadReport:
-    """``received`` counts the rows handed over, not the rows changed."""
+    """``received`` counts the rows handed over, not the rows changed; ``rewritten`` the
+    files of the target that held a key of theirs."""
 
     received: int
     inserted: int
     updated: int
     version: int
+    rewritten: int = 0
+
+
+@dataclass(frozen=True)
+class _Loaded:
+    version: Version
+    received: int = 0
+    inserted: int = 0
+    rewritten: int = 0
 
 
 class FileTarget:
@@ -91,19 +115,30 @@ class FileTarget:
         schema: T.StructType,
         keys: Sequence[str] = (),
         buckets: int = 64,
+        period: str | None = None,
     ) -> FileTarget:
         """An empty target. ``keys`` make it upsertable; choose ``buckets`` so that one
-        bucket of the grown target is a few GB."""
+        bucket of the grown target (of one period, if it has a ``period``) is a few GB.
+        ``period`` is a key column of few values that a row never changes, like its month."""
         target = cls(spark, root)
-        if taken := {RUN, BUCKET} & {name.lower() for name in schema.names}:
+        reserved = {RUN, PERIOD, BUCKET, SIDE, _FILE}
+        if taken := reserved & {name.lower() for name in schema.names}:
             raise ColumnMismatch(f"a target cannot have columns named {sorted(taken)}")
         keys = resolve_all(schema.names, keys)
-        target._publish(Version(1, schema.json(), keys, max(1, buckets) if keys else 0))
+        if period is not None:
+            period = resolve_all(schema.names, [period])[0]
+            if period not in keys:
+                raise KeyProblem(f"the period {period!r} is not one of the keys {keys}")
+        buckets = max(1, buckets) if keys else 0
+        target._publish(Version(1, schema.json(), keys, period, buckets))
         return target
 
     def _folder(self, run: str) -> str:
         return os.path.join(self.root, "data", f"{RUN}={run}")
 
+    def _filter(self, run: str) -> str:
+        return os.path.join(self.root, "filters", f"{RUN}={run}")
+
     def _file(self, number: int) -> str:
         return os.path.join(self.root, "versions", f"{number:08d}.json")
 
@@ -127,103 +162,176 @@ class FileTarget:
     # -- reading -----------------------------------------------------------------
 
     def read(self, number: int | None = None) -> DataFrame:
-        return self._read(self.version(number))
-
-    def _read(self, version: Version, only: set[str] | None = None) -> DataFrame:
-        schema = T.StructType.fromJson(json.loads(version.schema))
-        data = os.path.join(self.root, "data")
-        paths = []
-        for part in version.parts:
-            folder = self._folder(part.run)
-            live = [b for b in part.rows if only is None or b in only]
-            if part.whole and len(live) == len(part.rows):
-                paths.append(folder)
-            else:
-                paths += [os.path.join(folder, f"{BUCKET}={b}") for b in live]
+        version = self.version(number)
+        return self._rows(version).select([ref(name) for name in self._schema(version).names])
+
+    @staticmethod
+    def _schema(version: Version) -> T.StructType:
+        return T.StructType.fromJson(json.loads(version.schema))
+
+    def _layout(self, version: Version) -> list[str]:
+        """The folders' columns below a run, outermost first."""
+        return [PERIOD] * bool(version.period) + [BUCKET] * bool(version.buckets)
+
+    def _stored(self, version: Version) -> T.StructType:
+        """The schema with the folders' columns."""
+        stored = self._schema(version).add(RUN, T.StringType())
+        for name in self._layout(version):
+            stored = stored.add(name, T.IntegerType() if name == BUCKET else T.StringType())
+        return stored
+
+    def _rows(self, version: Version) -> DataFrame:
+        """The live rows; files that were rewritten are left out when files are listed."""
+        paths = [self._folder(part.run) for part in version.parts]
         if not paths:
-            return self.spark.createDataFrame([], schema)
-        return (
-            self.spark.read.schema(schema)
-            .option("basePath", data)
+            return self.spark.createDataFrame([], self._stored(version))
+        rows = (
+            self.spark.read.schema(self._stored(version))
+            .option("basePath", os.path.join(self.root, "data"))
             .parquet(*paths)
-            .select([ref(name) for name in schema.names])
         )
+        gone = [name for part in version.parts for name in part.gone]
+        return rows.where(~self._file_of(version).isin(gone)) if gone else rows
+
+    def _file_of(self, version: Version) -> Column:
+        """The path of a row's file below the data folder; known when files are listed."""
+        path = F.col(f"{_FILE}.file_path")
+        return F.substring_index(path, "/", -(2 + len(self._layout(version))))
 
     def count(self) -> int:
         """Rows of the newest version, from the version file."""
-        return sum(n for part in self.version().parts for n in part.rows.values())
+        return self.version().rows
 
     # -- writing -----------------------------------------------------------------
 
-    def _bucket(self, version: Version, columns: list[str]) -> Column:
+    def _bucket(self, version: Version) -> Column:
         """Bucket of the key; rows without a full key never match, so they are spread."""
-        keys = F.xxhash64(*[F.col(ref(k)) for k in version.keys])
-        anything = F.xxhash64(*[F.col(ref(c)) for c in columns])
+        schema = self._schema(version)
+        keys = F.xxhash64(*key_values(schema, version.keys))
+        anything = F.xxhash64(*[F.col(ref(c)) for c in schema.names])
         chosen = F.when(has_key(version.keys), keys).otherwise(anything)
         return F.pmod(chosen, F.lit(version.buckets)).cast("int")
 
-    def _write_part(self, rows: DataFrame, version: Version, run: str) -> Part:
-        """Write ``rows`` (with their bucket, if keyed) and count them from the footers."""
-        folder = self._folder(run)
-        if not version.buckets:
-            rows.write.parquet(folder)
-            count = self.spark.read.schema(rows.schema).parquet(folder).count()
-            return Part(run, {"": count} if count else {})
-        rows.write.partitionBy(BUCKET).parquet(folder)
-        if not any(n.startswith(f"{BUCKET}=") for n in storage.list_names(self.spark, folder)):
-            return Part(run, {})
-        written = self.spark.read.schema(rows.schema).parquet(folder)
-        per_bucket = written.groupBy(BUCKET).count().orderBy(BUCKET).collect()
-        return Part(run, {str(r[BUCKET]): r["count"] for r in per_bucket})
-
-    def _bucketed(self, rows: DataFrame, version: Version, pack: bool = True) -> DataFrame:
-        """Rows with their bucket. Packing is a rebalance, not a repartition: AQE cuts an
-        oversized bucket into several files and puts small ones together."""
-        if not version.buckets:
-            return rows
-        placed = rows.withColumn(BUCKET, self._bucket(version, rows.columns))
-        return placed.hint("rebalance", BUCKET) if pack else placed
-
-    def _load(
-        self,
-        load: Callable[[Version, str], tuple[Version, int, int]],
-        at_least: int,
-    ) -> LoadReport:
+    def _placed(self, rows: DataFrame, version: Version) -> DataFrame:
+        """Rows of the target's schema with the columns of their folders."""
+        if version.buckets:
+            rows = rows.withColumn(BUCKET, self._bucket(version))
+        if version.period:
+            rows = rows.withColumn(PERIOD, F.col(ref(version.period)).cast("string"))
+        return rows
+
+    def _write(
+        self, rows: DataFrame, version: Version, run: str, **counts: Column
+    ) -> dict[str, int]:
+        """Write rows of a load, and return ``counts`` and their number, ``rows``.
+
+        They are observed above the last exchange, in the tasks that write: only the
+        attempt that is committed counts, whatever ran twice. The exchange is a rebalance,
+        so AQE cuts an oversized bucket into several files and puts small ones together.
+        """
+        layout, seen = self._layout(version), Observation()
+        placed = self._placed(rows, version)
+        if layout:
+            placed = placed.hint("rebalance", *layout)
+        counts = {"rows": F.count("*"), **counts}
+        observed = placed.observe(seen, *[c.alias(name) for name, c in counts.items()])
+        writer = observed.drop(SIDE).write
+        (writer.partitionBy(*layout) if layout else writer).parquet(self._folder(run))
+        return {name: seen.get[name] or 0 for name in counts}
+
+    def _part(self, version: Version, run: str, rows: int) -> Part:
+        """The part a load wrote, with the filter of its keys."""
+        files = storage.count_files(self.spark, self._folder(run), ".parquet")
+        if not version.keys:
+            return Part(run, files)
+        keys = self._rows(replace(version, parts=[Part(run, files)])).where(has_key(version.keys))
+        words = word_count(rows)
+        key_filter(keys, version.keys, words).write.parquet(self._filter(run))
+        return Part(run, files, words)
+
+    def _held(self, keys: DataFrame, version: Version) -> DataFrame:
+        """The live target rows (key columns, load and file) of ``keys``, which have the
+        columns of their folders. Only folders that these name are listed, and only keys that the
+        filter of a live load does not deny are joined."""
+        layout = self._layout(version)
+        sizes = sorted({p.words for p in version.parts if p.words})
+        own = [ref(k) for k in version.keys]
+        named = keys.select(layout).distinct().collect() if sizes else []  # a row per folder
+        if not named:
+            return self._rows(replace(version, parts=[])).select(*own, RUN, F.lit("").alias("file"))
+        may_be = [
+            possible_keys(
+                keys,
+                version.keys,
+                self.spark.read.parquet(
+                    *[self._filter(p.run) for p in version.parts if p.words == words]
+                ),
+                words,
+            )
+            for words in sizes
+        ]
+        wanted = reduce(DataFrame.unionAll, may_be).toDF(*[f"_may_{k}" for k in range(len(own))])
+        current = self._rows(version).where(has_key(version.keys))
+        for place in layout:
+            current = current.where(F.col(place).isin(sorted({r[place] for r in named})))
+        same = [F.col(k) == F.col(f"_may_{i}") for i, k in enumerate(own)]
+        return current.select(*own, RUN, self._file_of(version).alias("file")).join(
+            wanted, same, "left_semi"
+        )
+
+    def _load(self, load: Callable[[Version, str], _Loaded], at_least: int) -> LoadReport:
         """Run one load; whatever happens before the publish leaves the target as it was."""
         run = "r" + uuid.uuid4().hex
-        data = self._folder(run)
+        made = [self._folder(run), self._filter(run)]
         try:
-            version, received, inserted = load(self.version(), run)
-            if received < at_least:
-                raise VerifyFailed(f"{at_least} rows to read, but {received} arrived")
+            done = load(self.version(), run)
+            if done.received < at_least:
+                raise VerifyFailed(f"{at_least} rows to read, but {done.received} arrived")
         except BaseException:
-            storage.remove(self.spark, data)
+            for folder in made:
+                storage.remove(self.spark, folder)
             raise
         finally:
             storage.remove(self.spark, os.path.join(self.root, "staging", run))
         try:
-            self._publish(version)
+            self._publish(done.version)
         except CommitConflict:
-            storage.remove(self.spark, data)
+            for folder in made:
+                storage.remove(self.spark, folder)
             raise
-        return LoadReport(received, inserted, received - inserted, version.number)
+        updated = done.received - done.inserted
+        return LoadReport(done.received, done.inserted, updated, done.version.number, done.rewritten)
 
     def append(
         self, df: DataFrame, markers: dict[str, str] | None = None, at_least: int = 0
     ) -> LoadReport:
-        """All rows or none; fewer than ``at_least`` is a failure. Running it again
-        appends again: only the caller's markers tell whether rows were loaded."""
+        """All rows or none; fewer than ``at_least`` is a failure, and so is a key that is
+        there already, in these rows or in the target (rows without a full key may
+        repeat). Without keys, running it again appends again: only the caller's markers
+        tell whether rows were loaded."""
 
-        def load(old: Version, run: str) -> tuple[Version, int, int]:
-            rows = align(df, T.StructType.fromJson(json.loads(old.schema)), fill_missing=True)
+        def load(old: Version, run: str) -> _Loaded:
+            rows = align(df, self._schema(old), fill_missing=True)
             with sized_shuffles(self.spark, rows):
-                part = self._write_part(self._bucketed(rows, old), old, run)
-            received = sum(part.rows.values())
-            new = self._next(old, markers, old.parts + [part] if received else old.parts)
-            return new, received, received
+                received = self._write(rows, old, run)["rows"]
+            if not received:
+                storage.remove(self.spark, self._folder(run))
+                return _Loaded(self._next(old, markers))
+            part = self._part(old, run, received)
+            if old.keys:
+                written = self._rows(replace(old, parts=[part])).where(has_key(old.keys))
+                require_unique_keys(written, old.keys)
+                self._refuse(self._held(written, old), old)
+            return _Loaded(self._next(old, markers, received, [*old.parts, part]), received, received)
 
         return self._load(load, at_least)
 
+    def _refuse(self, held: DataFrame, version: Version) -> None:
+        samples = held.drop(RUN, "file").limit(3).collect()
+        if samples:
+            shown = "; ".join(str(row.asDict()) for row in samples)
+            raise KeyProblem(f"keys of the appended rows are in the target, for example {shown}")
+
     def upsert(
         self,
         df: DataFrame,
@@ -231,10 +339,10 @@ class FileTarget:
         markers: dict[str, str] | None = None,
         at_least: int = 0,
     ) -> LoadReport:
-        """Stage the rows, check them, merge them by key, publish."""
+        """Stage the rows, check them, merge them by key into the files that hold one, publish."""
 
-        def load(old: Version, run: str) -> tuple[Version, int, int]:
-            schema = T.StructType.fromJson(json.loads(old.schema))
+        def load(old: Version, run: str) -> _Loaded:
+            schema = self._schema(old)
             if not old.keys:
                 raise KeyProblem(f"the target at {self.root} was created without keys")
             if keys and set(merge_keys(schema.names, list(keys))) != set(old.keys):
@@ -242,83 +350,78 @@ class FileTarget:
             incoming = align(df, schema)
             merge_keys(incoming.columns, old.keys)
 
-            staging = os.path.join(self.root, "staging", run)
-            self._bucketed(incoming, old, pack=False).write.parquet(staging)
-            staged = self.spark.read.parquet(staging)
-            with sized_shuffles(self.spark, staged):
-                received, touched = self._check_stage(staged, old)
-            staged = staged.drop(BUCKET)
+            staging, seen = os.path.join(self.root, "staging", run), Observation()
+            incoming.observe(seen, F.count("*").alias("rows")).write.parquet(staging)
+            received = seen.get["rows"] or 0
             if not received:
-                return self._next(old, markers, old.parts), 0, 0
-
-            before = sum(n for p in old.parts for b, n in p.rows.items() if b in touched)
-            small = self._fits_broadcast(staged)
-            pack = not small or old.small_merges >= SMALL_MERGES_BEFORE_PACKING
-            current = self._read(old, touched)
-            if not before:
-                merged = self._bucketed(align(staged, schema, fill_missing=True), old)
-            else:
-                kept, added = merge_parts(current, staged, old.keys, small)
-                if pack:
-                    merged = self._bucketed(kept.unionByName(added), old)
-                else:
-                    merged = self._bucketed(kept, old, pack=False).unionByName(
-                        self._bucketed(added, old)
-                    )
+                return _Loaded(self._next(old, markers))
+            staged = self.spark.read.schema(incoming.schema).parquet(staging)
+            with sized_shuffles(self.spark, staged):
+                require_unique_keys(staged, old.keys)
+                full = align(staged.where(has_key(old.keys)), schema, fill_missing=True)
+                held = self._held(self._placed(full, old), old)
+                hit: dict[str, list[str]] = {}
+                for row in held.select(RUN, "file").distinct().collect():
+                    hit.setdefault(row[RUN], []).append(row["file"])
+            files = sorted(name for names in hit.values() for name in names)
+            current = self._rows(replace(old, parts=[p for p in old.parts if p.run in hit]))
+            if files:
+                current = current.where(self._file_of(old).isin(files))
+            merged = merge_rows(current.select([ref(c) for c in schema.names]), staged, old.keys)
             with sized_shuffles(self.spark, current, staged):
-                part = self._write_part(merged, old, run)
-            inserted = sum(part.rows.values()) - before
-            if not 0 <= inserted <= received:
-                raise VerifyFailed(f"{received} rows staged, but {inserted} inserted")
-            untouched = [
-                replace(p, rows=left, whole=p.whole and len(left) == len(p.rows))
-                for p in old.parts
-                if (left := {b: n for b, n in p.rows.items() if b not in touched})
-            ]
-            new = self._next(old, markers, untouched + [part])
-            return (
-                replace(new, small_merges=0 if pack else old.small_merges + 1),
-                received,
-                inserted,
-            )
+                wrote = self._write(
+                    merged,
+                    old,
+                    run,
+                    updated=F.count_if(F.col(SIDE) == UPDATED),
+                    inserted=F.count_if(F.col(SIDE) == INSERTED),
+                )
+            inserted = wrote["inserted"]
+            if wrote["updated"] + inserted != received:
+                raise VerifyFailed(f"{received} rows staged, but {wrote} written")
+            part = self._part(old, run, wrote["rows"])
+            parts = [*self._without(old, hit), part]
+            return _Loaded(self._next(old, markers, inserted, parts), received, inserted, len(files))
 
         return self._load(load, at_least)
 
-    def _check_stage(self, staged: DataFrame, version: Version) -> tuple[int, set[str]]:
-        """Rows staged and the buckets their keys fall in; a repeated key is an error.
+    @staticmethod
+    def _without(version: Version, files: dict[str, list[str]]) -> list[Part]:
+        """The parts once ``files`` are rewritten; a part with no file left is forgotten."""
+        left = [replace(p, gone=sorted({*p.gone, *files.get(p.run, [])})) for p in version.parts]
+        return [p for p in left if len(p.gone) < p.files]
 
-        Rows without a full key are only added, so they touch no bucket. At most one
-        row per bucket comes back to the driver.
-        """
-        by_key = staged.groupBy(BUCKET, *[ref(k) for k in version.keys]).agg(
-            F.count("*").alias("copies")
-        )
-        found = (
-            by_key.groupBy(BUCKET)
-            .agg(
-                F.sum("copies").alias("rows"),
-                F.max(F.when(has_key(version.keys), F.col("copies"))).alias("copies"),
-            )
-            .collect()
-        )
-        if any((r["copies"] or 0) > 1 for r in found):
-            require_unique_keys(staged, version.keys)
-        touched = {str(r[BUCKET]) for r in found if r["copies"] is not None}
-        return sum(r["rows"] for r in found), touched
+    def pack(self) -> LoadReport:
+        """Rewrite all live rows as one load with files of even size; for the caller to run
+        when many small loads have come in. Readers of earlier versions are not disturbed."""
+
+        def load(old: Version, run: str) -> _Loaded:
+            if not old.parts:
+                return _Loaded(self._next(old, None))
+            rows = self._rows(old).select([ref(c) for c in self._schema(old).names])
+            with sized_shuffles(self.spark, rows):
+                written = self._write(rows, old, run)["rows"]
+            if written != old.rows:
+                raise VerifyFailed(f"{old.rows} rows to pack, but {written} written")
+            return _Loaded(self._next(old, None, 0, [self._part(old, run, written)]))
+
+        return self._load(load, 0)
 
     def _next(
-        self, old: Version, markers: dict[str, str] | None, parts: list[Part]
+        self,
+        old: Version,
+        markers: dict[str, str] | None,
+        more: int = 0,
+        parts: list[Part] | None = None,
     ) -> Version:
         return replace(
-            old, number=old.number + 1, parts=parts, markers={**old.markers, **(markers or {})}
+            old,
+            number=old.number + 1,
+            rows=old.rows + more,
+            parts=old.parts if parts is None else parts,
+            markers={**old.markers, **(markers or {})},
         )
 
-    def _fits_broadcast(self, staged: DataFrame) -> bool:
-        """Whether the planner's own size estimate is under its broadcast threshold."""
-        threshold = self.spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-        size = staged._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return size <= threshold
-
     def expire(self, keep: int = 2) -> list[str]:
         """Forget all but the newest ``keep`` versions, and the loads only they did not use.
 
@@ -333,6 +436,7 @@ class FileTarget:
         gone = sorted({p.run for number in old for p in self.version(number).parts} - used)
         for run in gone:
             storage.remove(self.spark, self._folder(run))
+            storage.remove(self.spark, self._filter(run))
         for number in old:
             storage.remove(self.spark, self._file(number))
         return gone

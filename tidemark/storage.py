@@ -65,6 +65,15 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(path))
 
 
+def count_files(spark: SparkSession, folder: str, ending: str) -> int:
+    """Files below a folder whose name ends so."""
+    fs, path = _open(spark, folder)
+    files, count = fs.listFiles(path, True), 0
+    while files.hasNext():
+        count += files.next().getPath().getName().endswith(ending)
+    return count
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     fs, path = _open(spark, folder)
     fs.delete(path, True)
