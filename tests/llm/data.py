@@ -6,7 +6,7 @@ import random
 
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, "
-    "n_words long, kept string, shard int, starts string, lines string"
+    "n_words long, kept string, shard int, starts string, lines string, epoch string, runs string"
 )
 
 
@@ -29,11 +29,14 @@ def documents() -> list[tuple]:
     rows = []
     for i, text in enumerate(texts):
         source = None if i % 7 == 3 else f"src{min(i % 5, 2)}"
-        rows.append((i * 3, text, "en", source, None if i % 11 == 5 else len(text or "")) + (i, "x", 7, "s", None))
-    rows += [rows[10], rows[10], rows[0], (None, base, None, None, None, None, None, None, None, None)]
-    rows += [(None, None, None, "src9", 0, 1, "", 1, "", "")] * 2
+        rows.append((i * 3, text, "en", source, None if i % 11 == 5 else len(text or "")) + (i, "x", 7, "s", None, "e", None))
+    rows += [rows[10], rows[10], rows[0], (None, base) + (None,) * 10]
+    rows += [(None, None, None, "src9", 0, 1, "", 1, "", "", "", "")] * 2
     return rows
 
 
 def frame(spark, rows=None):
-    return spark.createDataFrame(documents() if rows is None else rows, SCHEMA)
+    """``rows``, filled up with nulls, or the table above."""
+    width = SCHEMA.count(",") + 1
+    given = documents() if rows is None else rows
+    return spark.createDataFrame([(*r, *[None] * (width - len(r))) for r in given], SCHEMA)

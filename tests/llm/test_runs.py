@@ -95,7 +95,7 @@ def test_awkward_rows(spark):
 
 
 def test_given_columns_come_back(spark):
-    given = frame(spark).withColumnRenamed("kept", "collapsed").withColumnRenamed("starts", "runs")
+    given = frame(spark).withColumnRenamed("kept", "collapsed")
     out = runs.periodic_runs(given)
     assert out.columns == [*given.columns, "__runs"]
     assert Counter(map(str, out.drop("__runs").collect())) == Counter(map(str, given.collect()))

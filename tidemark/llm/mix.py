@@ -224,7 +224,7 @@ def mixed_texts(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
     pieces = taken.groupBy("__row", "epoch").agg(
         F.sort_array(F.collect_list(F.struct("offset", "words"))).alias("__pieces"),
         F.sum("words").alias("__taken"),
-    )
+    ).drop("epoch")  # a document may have a column of that name
     parts = F.transform(
         "__pieces",
         lambda p: F.slice("__words", (p["offset"] + 1).cast("int"), p["words"].cast("int")),
