@@ -259,7 +259,6 @@ def keep_first(documents: DataFrame) -> DataFrame:
     alike = given.join(
         kept, given["doc_id"].eqNullSafe(kept["__id"]) & (given["__text"] == kept["__key"])
     )
-    # Rows equal in id and text are one document.
-    return (
-        alike.groupBy("__id", "__key").agg(F.first("__row").alias("__row")).select("__row.*")
-    )
+    # Rows equal in id and text are one document: of its rows, the one of least hash.
+    one = F.min_by("__row", F.xxhash64("__row")).alias("__row")
+    return alike.groupBy("__id", "__key").agg(one).select("__row.*")
