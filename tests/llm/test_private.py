@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import random
 import re
+import string
+import tracemalloc
 
 from pyspark.sql import functions as F
 
@@ -53,6 +56,7 @@ def test_the_model_reads_what_stands_side_by_side(spark):
     weights = private.fit(texts)
     assert weights == private.fit(texts)
     text = "call +1 (826) 555-4081 190.137.223.204 or pay 4111111111111111 5500005555555559 today, version 4.0."
+    weights = private.by_feature(weights)
     _, added = private.spans_of(text, weights)
     assert {(k, text[a:b]) for k, a, b in added} == {
         ("phone", "+1 (826) 555-4081"), ("card", "4111111111111111"), ("card", "5500005555555559"),
@@ -61,25 +65,50 @@ def test_the_model_reads_what_stands_side_by_side(spark):
     assert clean == []
 
 
+def brute_best(text, weights):
+    """The best sum of scores over all ways to cut a text into outside tokens and spans."""
+    tokens = list(private.tokens_of(text, 0, len(text)))
+    best = [0.0]
+    for j in range(1, len(tokens) + 1):
+        ways = [best[j - 1]]
+        for i in range(max(0, j - private.LONGEST), j):
+            a, b = tokens[i][0], tokens[j - 1][1]
+            part = text[a:b]
+            if len(part) >= 5 and part[-1].isalnum() and (part[0].isalnum() or part[0] in "+("):
+                if "@" in part or sum(c in "0123456789" for c in part) >= 4:
+                    seen = private.features(text, a, b)
+                    ways += [best[i] + sum(weights.get((k, f), 0.0) for f in seen) for k in private.KINDS]
+        best.append(max(ways))
+    return best[-1]
+
+
 def test_dynamic_programming_finds_the_best_segmentation():
-    text = "ab@c.de 12.34.56.78 9"
-    lattice = private.Lattice(text, 0, len(text))
-    weights = {("ip", "digits=8"): 1.5, ("email", "bias"): 0.4, ("phone", "spaces=1"): 1.2, ("card", "digits=6"): 0.9}
-    rows = lattice.scored(weights)
-
-    def every(at):
-        if at == 0:
-            yield 0.0
-        for i, _, score, _ in rows[at] if at else []:
-            for rest in every(i):
-                yield rest + score
-
-    spans = lattice.best(weights)
-    found = {(lattice.tokens[i][0], lattice.tokens[j - 1][1], k): s for j, row in enumerate(rows) for i, k, s, _ in row if k}
-    short = private.Lattice(text, 0, 7)
-    assert len(short.tokens) == 5
-    total = sum(found[a, b, k] for k, a, b in spans)
-    assert abs(total - max(every(len(lattice.tokens)))) < 1e-9
+    dice = random.Random(4)
+    pieces = ["ab", "@", "c.de", "12.34", ".", "56", " ", "+1", "(4)", "-", "é9", "4111 1111", "x@y.z", "²", "7"]
+    for _ in range(150):
+        text = "".join(dice.choices(pieces, k=dice.randint(1, 25)))
+        if not text.strip():
+            continue
+        seen = {f for a, b in [(0, len(text))] for f in private.features(text, a, b)} | {
+            "bias", "luhn=True,True,False", "octets=True", "address=True", "spaces=0", "spaces=1", "before=space",
+            "before=edge", "after=edge", *[f"digits={n}" for n in range(20)], "first=9", "first=+", "first=a",
+        }
+        weights = {(k, f): dice.gauss(-0.1, 1) for k in private.KINDS for f in sorted(seen)}
+        spans = private.best_spans(text, 0, len(text), private.by_feature(weights))
+        assert all(x[2] <= y[1] for x, y in zip(spans, spans[1:]))
+        total = sum(weights.get((k, f), 0.0) for k, a, b in spans for f in private.features(text, a, b))
+        assert abs(total - brute_best(text, weights)) < 1e-9
+
+
+def test_a_long_unbroken_text_needs_little_memory():
+    dice = random.Random(2)
+    text = "".join(dice.choices(string.ascii_letters + string.digits + "+/", k=150_000)) + "@"
+    weights = private.by_feature({(kind, "bias"): -2.0 for kind in private.KINDS} | {("card", "digits=7"): 3.0})
+    tracemalloc.start()
+    spans = private.best_spans(text, 0, len(text), weights)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert spans and peak < 3_000_000
 
 
 def test_awkward_rows(spark):

@@ -13,7 +13,8 @@ The weights are fitted by gradient on regions of a bounded sample (``SAMPLE`` di
 labelling. The fit is a few hundred short regions on the driver; decoding is a column expression.
 
 Null text is empty and has no spans; equal rows have equal spans; an empty table gives no rows.
-Patterns are linear in the text's length, and so is decoding. Other columns are not read.
+Patterns are linear in the text's length, and so is decoding, in memory that does not grow with an
+unbroken region but for the spans in it. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from __future__ import annotations
 import math
 import random
 import re
-from collections import defaultdict
+from collections import defaultdict, deque
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -113,11 +115,11 @@ def regions(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def _likely(text: str) -> bool:
-    """Whether a segment can be an entity at all: the rest is scored as outside only."""
-    return len(text) >= 5 and text[-1].isalnum() and (text[0].isalnum() or text[0] in "+(") and (
-        "@" in text or sum("0" <= c <= "9" for c in text) >= 4
-    )
+def _likely(text: str, start: int, end: int) -> bool:
+    """Whether a segment with an ``@`` or four digits can be an entity at all: the rest is
+    scored as outside only."""
+    first = text[start]
+    return end - start >= 5 and text[end - 1].isalnum() and (first.isalnum() or first in "+(")
 
 
 def features(text: str, start: int, end: int) -> list[str]:
@@ -153,17 +155,66 @@ def _side(text: str, at: int) -> str:
     return "digit" if c.isdigit() else "letter" if c.isalpha() else "space" if c.isspace() else c
 
 
+def tokens_of(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    return ((m.start(), m.end()) for m in _TOKEN.finditer(text, start, end))
+
+
+def best_spans(text: str, start: int, end: int, weights: dict[str, list[float]]) -> list[tuple]:
+    """The spans of the best segmentation of a region; of equal ones, the one found first.
+
+    ``weights`` has the weights of a feature for all kinds. The dynamic program goes on token
+    by token and keeps the last ``LONGEST`` of its columns: the starts of tokens, the best
+    scores, and the spans that led there as a chain, which others share. So memory does not
+    grow with a region but for the spans in it.
+    """
+    starts: deque[tuple[int, int, bool]] = deque(maxlen=LONGEST)  # with digits, and whether an @
+    scores: deque[float] = deque([0.0], maxlen=LONGEST)
+    chains: deque[tuple | None] = deque([None], maxlen=LONGEST)
+    for a, b in tokens_of(text, start, end):
+        token = text[a:b]
+        digit = "0" <= token[0] <= "9"  # all of its characters are digits, or none
+        starts.append((a, len(token) if digit else 0, token == "@"))
+        # Without a span, the token is outside; a span must be better than that.
+        top, chain = scores[-1], chains[-1]
+        digits, has_at = 0, False
+        for back in range(-1, -len(starts) - 1, -1) if token.isalnum() else ():
+            first, count, is_at = starts[back]
+            digits, has_at = digits + count, has_at or is_at
+            if (digits >= 4 or has_at) and _likely(text, first, b):
+                before = scores[back]
+                given = [weights[f] for f in features(text, first, b) if f in weights]
+                for kind, score in zip(KINDS, map(sum, zip(*given))):
+                    if before + score > top:
+                        top, chain = before + score, ((kind, first, b), chains[back])
+        scores.append(top)
+        chains.append(chain)
+    out, at = [], chains[-1]
+    while at:
+        out.append(at[0])
+        at = at[1]
+    return out[::-1]
+
+
+def by_feature(weights: dict[tuple[str, str], float]) -> dict[str, list[float]]:
+    """Of each feature, its weights for all kinds."""
+    out: dict[str, list[float]] = {}
+    for (kind, feature), weight in weights.items():
+        out.setdefault(feature, [0.0] * len(KINDS))[KINDS.index(kind)] = weight
+    return out
+
+
 class Lattice:
-    """The segments of a region: (first token, end token, kind or None, features)."""
+    """The segments of a region to learn from: (first token, end token, kind or None, features)."""
 
     def __init__(self, text: str, start: int, end: int):
-        self.tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text, start, end)]
+        self.tokens = list(tokens_of(text, start, end))
         self.ending: list[list[tuple]] = [[] for _ in range(len(self.tokens) + 1)]
         for i, (a, _) in enumerate(self.tokens):
             self.ending[i + 1].append((i, None, ()))
             for j in range(i, min(i + LONGEST, len(self.tokens))):
                 b = self.tokens[j][1]
-                if _likely(text[a:b]):
+                part = text[a:b]
+                if ("@" in part or len(digits_of(part)) >= 4) and _likely(text, a, b):
                     seen = features(text, a, b)
                     self.ending[j + 1] += [(i, kind, seen) for kind in KINDS]
 
@@ -173,21 +224,6 @@ class Lattice:
             for row in self.ending
         ]
 
-    def best(self, weights) -> list[tuple]:
-        """The spans of the best segmentation; of equal ones, the one found first."""
-        score, back = [0.0], [None]
-        for row in self.scored(weights)[1:]:
-            top = max(row, key=lambda s: score[s[0]] + s[2])
-            score.append(score[top[0]] + top[2])
-            back.append(top)
-        out, at = [], len(self.tokens)
-        while at:
-            i, kind, _, _ = back[at]
-            if kind:
-                out.append((kind, self.tokens[i][0], self.tokens[at - 1][1]))
-            at = i
-        return out[::-1]
-
     def learn(self, weights, gold: set[tuple], rate: float) -> None:
         """One step along the gradient of the log-likelihood: what is there less what is expected."""
         rows = self.scored(weights)
@@ -255,15 +291,18 @@ def sample_texts(documents: DataFrame) -> list[str]:
     return ["\n".join(chunk for chunk in r["chunks"] if len(chunk) < 200) for r in rows.collect()]
 
 
-def spans_of(text: str, weights: dict) -> tuple[list[tuple], list[tuple]]:
-    """The spans of the fixed patterns, and those that the model adds."""
+def spans_of(text: str, weights: dict[str, list[float]]) -> tuple[list[tuple], list[tuple]]:
+    """The spans of the fixed patterns, and those that the model adds.
+
+    ``weights`` are by feature, as of :func:`by_feature`.
+    """
     if not _ANCHOR.search(text):
         return [], []
     good, _ = base_spans(text)
     taken = sorted((a, b) for _, a, b in good)
     added, k = [], 0
     for a, b in regions(text):
-        for span in Lattice(text, a, b).best(weights):
+        for span in best_spans(text, a, b, weights):
             while k < len(taken) and taken[k][1] <= span[1] and taken[k][1] <= a:
                 k += 1
             if not any(x < span[2] and y > span[1] for x, y in _from(taken, k, span[2])):
@@ -282,14 +321,15 @@ def _listed(spans: list[tuple]) -> str:
     return ",".join(f"{kind}:{a}:{b}" for kind, a, b in spans)
 
 
-def find_spans(text: Column, weights: dict) -> Column:
+def find_spans(text: Column, weights: dict[tuple[str, str], float]) -> Column:
     """base and all: spans as ``kind:start:end``, by kind, then start; and the base counts."""
+    by_kinds = by_feature(weights)
 
     @F.pandas_udf("base string, spans string, n_email long, n_ip long, n_card long, n_phone long")
     def find(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for t in texts:
-            base, added = spans_of(t or "", weights)
+            base, added = spans_of(t or "", by_kinds)
             counts = [sum(s[0] == kind for s in base) for kind in KINDS]
             rows.append((_listed(base), _listed(base + added), *counts))
         return pd.DataFrame(rows, columns=["base", "spans", *(f"n_{k}" for k in KINDS)])
