@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from datetime import date, datetime, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,3 +73,58 @@ def test_copies_from_other_sources_stay_together(spark):
     )
     light = spread.where("copies > 1").where(F.col("b") <= min(total["row"], total["b"] / 40 / 4))
     assert light.count() > 200 and light.where("n > 1").count() == 0
+
+
+DIMENSIONS = "doc_id long, text string, score double, seen timestamp, day date, wall timestamp_ntz, price decimal(20,6), big long"
+
+
+def test_any_number_or_time_is_a_dimension(spark):
+    """Scores between 0 and 1, microseconds, huge and missing numbers: each in its own order."""
+    rows = [
+        (i, f"text {i}", i / 500, datetime(2024, 1, 1) + timedelta(microseconds=i), date(2000, 1, 1) + timedelta(days=i),
+         datetime(1, 1, 1) + timedelta(hours=i), Decimal(i) / 1000, 2**62 - i * 2**40)
+        for i in range(500)
+    ]
+    odd = [float("nan"), float("inf"), -float("inf"), 1e30, -1e308, 1e308, None]
+    rows += [(1000 + i, "odd", x, None, None, None, None, None) for i, x in enumerate(odd)]
+    docs = spark.createDataFrame(rows, DIMENSIONS)
+    plain = docs.where("doc_id < 1000")
+    for name in ("score", "seen", "day", "wall", "price", "big"):
+        shard = {r["doc_id"]: r["shard"] for r in shards.kd_shards(plain, [name], shards=4).collect()}
+        in_order = [shard[i] for i in range(500)]
+        assert in_order == sorted(in_order, reverse=name == "big")
+        assert max(Counter(in_order).values()) < 140
+        assert shards.kd_shards(docs, [name], shards=4).count() == 507
+    values = docs.select("doc_id", shards._values(docs, ["score"])[0].alias("v")).collect()
+    odd = {r["doc_id"]: r["v"] for r in values if r["doc_id"] >= 1000}
+    assert odd[1000] == odd[1006] == odd[1002] == odd[1004] == 0 and odd[1001] == odd[1005] == 2**32 - 1
+    none = docs.where("doc_id >= 1000 AND doc_id < 1003")
+    assert shards.kd_shards(none, ["score", "seen"], shards=2).count() == 3
+
+
+def brute_shards(rows, leaves):
+    """The tree over one dimension: cut where the bytes below come nearest to the share."""
+    if leaves == 1:
+        return [rows]
+    total, half = sum(size for _, size in rows), leaves // 2
+    sums = [0]
+    for _, size in rows:
+        sums.append(sums[-1] + size)
+    cut = min(range(len(sums)), key=lambda k: abs(sums[k] - total * half / leaves))
+    return brute_shards(rows[:cut], half) + brute_shards(rows[cut:], leaves - half)
+
+
+@pytest.mark.parametrize("leaves", [2, 5, 8])
+def test_the_tree_is_that_of_brute_force(spark, leaves):
+    rows = [(i, "x" * (i * 37 % 211 + 1) + str(i), float(i)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, at double")
+    got = {}
+    for r in shards.kd_shards(docs, ["at"], shards=leaves, tolerance=0).collect():
+        got.setdefault(r["shard"], set()).add(r["doc_id"])
+    want = brute_shards([(i, len(text) + 16) for i, text, _ in rows], leaves)
+    assert [got[k] for k in range(leaves)] == [{i for i, _ in part} for part in want]
+
+
+def test_no_python_in_the_plan(spark):
+    plan = shards.shard_digest(frame(spark))._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))

@@ -14,15 +14,15 @@ Texts whose copies weigh more than 1/``GROUPS`` of a leaf (so at most ``GROUPS``
 leaves of them), and more than the largest row or a quarter of a leaf, are cut by their own
 values and a hash of the row instead: no group of copies makes a leaf too large.
 
-Null text weighs the overhead only; a null dimension counts as its smallest value; null
-ids and equal rows are placed like any others; an empty table gives no rows.
+Null text weighs the overhead only; a null or NaN dimension counts as its smallest value,
+infinities as the ends of the finite ones; null ids and equal rows are placed like any others; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,14 +36,54 @@ _LARGEST = (1 << 32) - 1
 _HIGHEST = (1 << 63) - 1
 
 
-def _value(df: DataFrame, name: str) -> Column:
-    """A dimension as a whole number from 0 to 2^32 - 1: numbers clamped, text by checksum."""
+def _number(df: DataFrame, name: str) -> Column | None:
+    """A dimension that has an order, as a number; NaN counts as null."""
     kind = df.schema[name].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.col(name).cast("double")
     if isinstance(kind, T.NumericType):
-        number = F.greatest(F.lit(0), F.least(F.lit(_LARGEST), F.col(name).cast("long")))
-    else:
-        number = F.crc32(F.col(name).cast("string"))
-    return F.coalesce(number, F.lit(0)).cast("long")
+        number = F.col(name).cast("double")
+        return F.when(~F.isnan(number), number)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(name).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(F.to_utc_timestamp(F.col(name).cast("timestamp"), "UTC")).cast("double")
+    return None
+
+
+def _values(df: DataFrame, dimensions: list[str]) -> list[Column]:
+    """The dimensions as whole numbers from 0 to 2^32 - 1, in their own order.
+
+    Numbers, dates and times are scaled from their least to their greatest finite value
+    (whole numbers that span less stay apart by as much); infinities count as those. Text
+    counts by its checksum.
+    """
+    numbers = [_number(df, name) for name in dimensions]
+    ends = [
+        end
+        for i, number in enumerate(numbers)
+        if number is not None
+        for finite in [F.when(F.abs(number) < F.lit(float("inf")), number)]
+        for end in (F.min(finite).alias(f"low{i}"), F.max(finite).alias(f"high{i}"))
+    ]
+    found = df.agg(*ends).first() if ends else None
+    out = []
+    for i, (name, number) in enumerate(zip(dimensions, numbers)):
+        if number is None:
+            scaled = F.crc32(F.col(name).cast("string"))
+        elif found[f"low{i}"] is None:  # no finite number
+            scaled = F.when(number > 0, F.lit(_LARGEST)).otherwise(F.lit(0))
+        else:
+            low, high = found[f"low{i}"], found[f"high{i}"]
+            # Halves, as the difference of two large numbers may be no finite one.
+            half = high / 2 - low / 2
+            whole = isinstance(df.schema[name].dataType, T.IntegralType) and 2 * half <= _LARGEST
+            place = (F.least(F.greatest(number, F.lit(low)), F.lit(high)) / 2 - low / 2) / (half or 1.0)
+            scaled = F.round(place * (2 * half if whole else _LARGEST))
+        out.append(F.coalesce(scaled, F.lit(0)).cast("long"))
+    return out
 
 
 def narrow(docs: DataFrame, dimensions: list[str]) -> DataFrame:
@@ -54,7 +94,7 @@ def narrow(docs: DataFrame, dimensions: list[str]) -> DataFrame:
             (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("long").alias("size"),
             F.crc32(F.coalesce(text, F.lit(""))).alias("text_crc32"),
             text_key(text).alias("text_key"),
-            *[_value(docs, name).alias(f"d{i}") for i, name in enumerate(dimensions)],
+            *[value.alias(f"d{i}") for i, value in enumerate(_values(docs, dimensions))],
             F.monotonically_increasing_id().alias("row"),  # pinned by the write
         ),
         "narrow",
@@ -219,12 +259,16 @@ def kd_shards(
         F.col("text_key").isin(heavy), F.xxhash64("doc_id", "row", "text_key")
     ).otherwise(F.col("text_key"))
     tie = F.col("group").bitwiseAND(F.lit((1 << TIE_BITS) - 1))
-    copies = Window.partitionBy("group")
+    grouped = rows.withColumn("group", group)
+    # Combined before the shuffle, however many rows a group has; the join may split it.
+    least = grouped.groupBy(F.col("group").alias("of")).agg(
+        *[F.min(f"d{i}").alias(f"least{i}") for i in range(len(dimensions))]
+    )
     placed = written(
-        rows.withColumn("group", group).select(
+        grouped.join(least, grouped["group"] == least["of"]).select(
             "doc_id", "size", "text_crc32", "text_key", "row",
             *[
-                F.shiftleft(F.min(f"d{i}").over(copies), TIE_BITS).bitwiseOR(tie).alias(f"c{i}")
+                F.shiftleft(f"least{i}", TIE_BITS).bitwiseOR(tie).alias(f"c{i}")
                 for i in range(len(dimensions))
             ],
         ),
