@@ -12,7 +12,14 @@ from tidemark.operators.chunks import with_chunks, with_positions
 from tidemark.operators.describe import as_load_text, canonical, profile_columns
 from tidemark.operators.incremental import high_watermark, read_past
 from tidemark.plans.registry import job
-from tidemark.sources.jdbc import hash_predicates, range_predicates
+from tidemark.sources.jdbc import (
+    Cell,
+    even_split_points,
+    hash_predicates,
+    histogram_query,
+    range_predicates,
+    sql_literal,
+)
 from tidemark.sources.query import query_scan as run_query
 from tidemark.sources.query import read_table
 
@@ -431,28 +438,52 @@ def chunked_handout(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @job("""
-SELECT 'ranges' AS split, CASE WHEN l_shipdate < TIMESTAMP '1996-01-01' THEN 0
-            WHEN l_shipdate < TIMESTAMP '1998-01-01' THEN 1
-            WHEN l_shipdate < TIMESTAMP '2001-06-01' THEN 2 ELSE 3 END AS part, count(*) AS rows
-FROM lineitem GROUP BY ALL
-UNION ALL
-SELECT 'hash', l_orderkey % 8, count(*) FROM lineitem GROUP BY ALL
+SELECT split, 8 AS parts, count(*) AS rows, count(*) AS rows_read_once, true AS even
+FROM lineitem, (VALUES ('decimal'), ('time'), ('bunched'), ('hash')) AS s(split) GROUP BY split
 """)
 def jdbc_partitions(spark: SparkSession, folder: str) -> DataFrame:
-    """The predicates a partitioned read sends, run over a table: each row in one of them."""
-    days = ("1996-01-01", "1998-01-01", "2001-06-01")
-    splits = [f"TIMESTAMP_NTZ '{day} 00:00:00'" for day in days]
-    lineitem = read_table(spark, folder, "lineitem")
-
-    def rows_per(split: str, predicates: list[str]) -> DataFrame:
-        hits = F.array(*[F.when(F.expr(p), F.lit(i)) for i, p in enumerate(predicates)])
-        return (
-            lineitem.select(F.array_compact(hits).cast("array<bigint>").alias("hits"))
-            .select(F.explode("hits").alias("part"))
-            .groupBy(F.lit(split).alias("split"), "part")
-            .agg(F.count("*").alias("rows"))
+    """The predicates of partitioned reads, run over a table: every row is in one of them, and
+    the largest part has at most twice the rows of the mean, also where most values are bunched."""
+    lineitem = read_table(spark, folder, "lineitem").select(
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
+        F.col("l_shipdate").alias("shipped"),
+        F.expr(
+            "CASE WHEN l_linenumber <= 4 THEN l_partkey % 50 ELSE l_orderkey * 1000000 END"
+        ).alias("bunched"),
+        "l_orderkey",
+    )
+
+    def counted(split: str, predicates: list[str]) -> DataFrame:
+        hits = F.array_compact(
+            F.array(*[F.when(F.expr(p), F.lit(i)) for i, p in enumerate(predicates)])
+        )
+        parts = lineitem.select(hits.alias("hits")).groupBy("hits").agg(F.count("*").alias("rows"))
+        return parts.agg(
+            F.lit(split).alias("split"),
+            F.lit(len(predicates)).alias("parts"),
+            F.sum("rows").alias("rows"),
+            F.sum(F.when(F.size("hits") == 1, F.col("rows"))).alias("rows_read_once"),
+            (F.max("rows") <= 2 * F.sum("rows") / len(predicates)).alias("even"),
         )
 
-    return rows_per("ranges", range_predicates("l_shipdate", splits)).unionByName(
-        rows_per("hash", hash_predicates("l_orderkey", 8))
+    def by_ranges(split: str, column: str) -> DataFrame:
+        kind = lineitem.schema[column].dataType
+
+        def literal(text: str) -> str:
+            return sql_literal(text, kind, column).replace("TIMESTAMP '", "TIMESTAMP_NTZ '")
+
+        def ask(cuts: list[str]) -> list[Cell]:
+            query = histogram_query("{rows}", column, [literal(cut) for cut in cuts])
+            found = spark.sql(query, rows=lineitem)
+            ends = [to_text(F.col(c), kind, column) for c in ("lo_", "hi_")]
+            return [Cell(*row) for row in found.select(*ends, "n_").collect()]
+
+        splits = [literal(point) for point in even_split_points(ask, kind, 8)]
+        return counted(split, range_predicates(column, splits))
+
+    return (
+        by_ranges("decimal", "price")
+        .unionByName(by_ranges("time", "shipped"))
+        .unionByName(by_ranges("bunched", "bunched"))
+        .unionByName(counted("hash", hash_predicates("l_orderkey", 8)))
     )

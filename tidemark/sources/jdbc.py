@@ -7,10 +7,11 @@ not be the cursor.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
 from datetime import datetime
 from decimal import Decimal, localcontext
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 
 from tidemark.errors import UnsupportedType
 from tidemark.functions.canonical import to_text, typed_literal
-from tidemark.functions.names import quote_exact, resolve
+from tidemark.functions.names import quote_exact, ref, resolve
 from tidemark.operators.incremental import Frontier, lower_bound
 
 ALIAS = "q_"
@@ -62,31 +63,103 @@ def read_in_ranges(
     properties: Mapping[str, str] | None = None,
     fetch_rows: int = 1000,
 ) -> DataFrame:
-    """Equal-width ranges of a number, date or timestamp column.
+    """Ranges of a number, date or timestamp column that hold about as many rows each.
 
-    The bounds come from a min/max query; they only shape the ranges, so rows
-    outside them and NULLs are still read (by the last and the first range).
-    The ranges are predicates made here: Spark's own takes whole numbers only.
+    The ranges come from histograms the database makes of the query, a few grouped rows
+    each; they only shape the ranges, so rows outside them and NULLs are still read (by the
+    last and the first range). The ranges are predicates made here: Spark's own take whole
+    numbers only, and are equal in width, however bunched the values are.
     """
     schema = read_query(spark, url, query, properties).schema
     name = resolve(schema.names, partition_column)
     kind = schema[name].dataType
     column = quote_exact(name)
-    ends = read_query(
-        spark,
-        url,
-        f'SELECT MIN({column}) "LO", MAX({column}) "HI" FROM {as_subquery(query)}',
-        properties,
-    )
-    low, high = (to_text(F.col(c).cast(kind), kind, name) for c in ends.columns)
-    bounds = ends.select(low.alias("lo"), high.alias("hi")).first()
-    if bounds[0] is None:
+
+    def ask(cuts: list[str]) -> list[Cell]:
+        literals = [sql_literal(cut, kind, name) for cut in cuts]
+        asked = histogram_query(as_subquery(query), column, literals)
+        found = read_query(spark, url, asked, properties)
+        low, high, count = (F.col(ref(c)) for c in found.columns)
+        ends = [to_text(c.cast(kind), kind, name) for c in (low, high)]
+        rows = found.select(*ends, count.cast("long")).collect()  # a row per cut
+        return [Cell(*row) for row in rows]
+
+    splits = [sql_literal(s, kind, name) for s in even_split_points(ask, kind, partitions)]
+    if not splits:
         return read_query(spark, url, query, properties, fetch_rows)
-    splits = [sql_literal(s, kind, name) for s in split_points(*bounds, kind, partitions)]
     predicates = range_predicates(column, splits)
     return read_by_predicates(spark, url, query, predicates, properties, fetch_rows)
 
 
+class Cell(NamedTuple):
+    """A range of a column's values: the least and the greatest there (canonical text), its rows."""
+
+    low: str
+    high: str
+    rows: int
+
+
+def histogram_query(table: str, column: str, cuts: Sequence[str]) -> str:
+    """Least and greatest value and number of rows of each range cut at ``cuts`` (SQL literals)."""
+    cell = "0"
+    if cuts:
+        whens = " ".join(f"WHEN {column} < {cut} THEN {i}" for i, cut in enumerate(cuts))
+        cell = f"CASE {whens} ELSE {len(cuts)} END"
+    inner = f"SELECT {column} AS v_, {cell} AS cell_ FROM {table} WHERE {column} IS NOT NULL"
+    return f"SELECT MIN(v_) AS lo_, MAX(v_) AS hi_, COUNT(*) AS n_ FROM ({inner}) h_ GROUP BY cell_"
+
+
+def _sort_key(text: str, kind: T.DataType):
+    if isinstance(kind, T.DateType):
+        return text[:10]
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return text
+    return Decimal(text)
+
+
+def even_split_points(
+    ask: Callable[[list[str]], list[Cell]], kind: T.DataType, partitions: int, fine: int = 4
+) -> list[str]:
+    """Up to ``partitions - 1`` values that cut a column into ranges of about as many rows.
+
+    ``ask`` gives the histogram of the ranges between some cuts. Ranges with more than a
+    ``fine``-th of a part's rows are cut again, by width between the values they really
+    hold, until none is left that can be; light neighbours are put together before, so a
+    histogram has a bounded number of ranges. A value with more rows than that is one range.
+    """
+    cells = ask([])
+    total = sum(cell.rows for cell in cells)
+    if not total:
+        return []
+    light = max(1, total // (partitions * fine))
+    while True:
+        cuts: list[str] = []
+        heavy, held = False, 0
+        for cell in cells:
+            if held + cell.rows > light:
+                cuts.append(cell.low)
+                held = 0
+            held += cell.rows
+            if cell.rows > light and cell.low != cell.high:
+                # Both ends are values of the cell, so each cut leaves less on either side.
+                low = _sort_key(cell.low, kind)
+                inner = split_points(cell.low, cell.high, kind, 8)
+                cuts += [p for p in inner if _sort_key(p, kind) > low] or [cell.high]
+                heavy = True
+        again = sorted(ask(cuts), key=lambda cell: _sort_key(cell.low, kind)) if heavy else cells
+        if again == cells:
+            break
+        cells = again
+    points, before = [], 0
+    for cell in cells:
+        wanted = total * (len(points) + 1) / partitions
+        # Cut in front of the cell that goes past the next share, if that is nearer.
+        if before and before + cell.rows / 2 > wanted and len(points) < partitions - 1:
+            points.append(cell.low)
+        before += cell.rows
+    return points
+
+
 def split_points(low: str, high: str, kind: T.DataType, partitions: int) -> list[str]:
     """Up to ``partitions - 1`` ascending values between two canonical texts, evenly spaced."""
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
@@ -209,6 +282,11 @@ class QuerySource:
             self.fetch_rows,
         )
 
+    def without_nulls(self) -> QuerySource:
+        column = quote_exact(resolve(self.schema().names, self.cursor))
+        rows = f"SELECT * FROM {as_subquery(self.query)} WHERE {column} IS NOT NULL"
+        return replace(self, query=rows)
+
 
 def range_predicates(column: str, splits: Sequence[str]) -> list[str]:
     """Ranges cut at ``splits`` (SQL literals in ascending order), NULLs in the first.
