@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.errors import ColumnMismatch, UnsupportedType
+from tidemark.functions.canonical import typed_literal
 from tidemark.operators import chunks
 from tidemark.operators.chunks import chunk_manifest, in_cursor_order, with_positions
 from tidemark.operators.describe import canonical, canonical_schema, describe
@@ -112,7 +113,7 @@ def test_chunks_with_one_value_in_a_third_of_the_rows(spark, size):
 
 
 def test_a_value_with_many_chunks_is_cut_into_blocks(spark, monkeypatch):
-    monkeypatch.setattr(chunks, "_CHUNKS_PER_BLOCK", 4)
+    monkeypatch.setattr(chunks, "CHUNKS_PER_BLOCK", 4)
     values = [1] * 3 + [2] * 95 + [3] * 7
     df = spark.createDataFrame([(v,) for v in values], "c int")
     for size in (1, 2, 10, 24, 25):
@@ -131,6 +132,35 @@ def test_chunk_manifest_never_gathers_rows_in_one_task(events):
     assert "SinglePartition" not in text and "Window" not in text
 
 
+def test_the_counted_table_has_one_exchange_for_counts_and_one_for_ranges(events):
+    """The plan given to ``materialize``: the window is on the column that placed the rows."""
+    starts = chunks.range_starts(events, "ts", 8)
+    assert len(starts) == 7 and starts == sorted(starts)
+    literals = [typed_literal(s, events.schema["ts"].dataType, "ts") for s in starts]
+    ranged = chunks._counted_in_ranges(events, "ts", literals)
+    text = ranged._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange ") == 2 and text.count("Window ") == 1
+    sizes = [r["n"] for r in ranged.groupBy(chunks.PART).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) < 2 * sum(sizes) / 8
+
+
+@pytest.mark.parametrize("kind", ["int", "double", "string", "date", "timestamp", "decimal(9,3)"])
+def test_range_numbers_follow_the_order(spark, kind):
+    rng = random.Random(3)
+    values = [rng.randrange(500) for _ in range(900)] + [None] * 20
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    if kind in ("date", "timestamp"):
+        df = df.select(F.expr("date_add(DATE '2020-01-01', v)").cast(kind).alias("v"))
+    else:
+        df = df.select(F.col("v").cast(kind).alias("v"))
+    for ranges in (1, 2, 7, 60):
+        starts = [typed_literal(s, df.schema["v"].dataType, "v") for s in chunks.range_starts(df, "v", ranges)]
+        numbered = df.select("v", chunks.range_number(F.col("v"), starts).alias("r")).orderBy(F.asc_nulls_last("v"))
+        got = [r["r"] for r in numbered.collect()]
+        assert got == sorted(got) and got[-20:] == [len(starts) + 1] * 20 and got[0] == 0
+        assert len(set(got)) >= min(ranges, 30)
+
+
 @pytest.mark.parametrize("stable", [True, False])
 def test_positions_with_a_hot_value(spark, stable):
     folder_rows = [(i, 7 if i % 3 == 0 else (None if i % 10 == 0 else i % 50)) for i in range(3000)]

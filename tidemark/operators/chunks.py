@@ -8,20 +8,58 @@ per shuffle partition, so they are the only thing that passes the driver.
 from __future__ import annotations
 
 from itertools import accumulate
+from math import isqrt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.canonical import to_text
+from tidemark.functions.canonical import to_text, typed_literal
 from tidemark.functions.names import ref, resolve
-from tidemark.sizing import range_partitioned
+from tidemark.sizing import range_partitioned, wanted_partitions
 from tidemark.storage import materialize
 
-_CHUNKS_PER_BLOCK = 10_000
+CHUNKS_PER_BLOCK = 10_000
+VALUES_PER_RANGE = 32
 TIE, PART, AT, BEFORE = "tm_tie", "tm_part", "tm_at", "tm_before"
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row within it below
 
 
+def range_starts(df: DataFrame, cursor: str, ranges: int) -> list[str]:
+    """Canonical texts of the values at which ``ranges`` ranges of the cursor's values begin.
+
+    From a sketch of bounded size: different values are dealt into buckets by their hash,
+    and each bucket gives the one of least hash. One pass over the cursor, one row a bucket.
+    """
+    kind, value = df.schema[cursor].dataType, F.col(ref(cursor))
+    bucket = F.pmod(F.xxhash64(value), F.lit(ranges * VALUES_PER_RANGE))
+    sketch = (
+        df.where(value.isNotNull())
+        .groupBy(bucket)
+        .agg(F.min_by(value, F.xxhash64(F.lit("again"), value)).alias("value"))
+        .orderBy("value")
+    )
+    texts = [r["text"] for r in sketch.select(to_text(F.col("value"), kind, cursor).alias("text")).collect()]
+    starts = [texts[len(texts) * i // ranges] for i in range(1, ranges) if texts]
+    return [text for text, before in zip(starts, [None, *starts]) if text != before]
+
+
+def range_number(value: Column, starts: list[Column]) -> Column:
+    """The number of the range that holds a value; NULLs have the one after the last.
+
+    Looked up in two steps, among about the square root of the starts each.
+    """
+    last = F.lit(len(starts) + 1)
+    if not starts:
+        return F.when(value.isNull(), last).otherwise(F.lit(0))
+    width = isqrt(len(starts) - 1) + 1
+    groups = [starts[i : i + width] for i in range(0, len(starts), width)]
+    group = F.size(F.filter(F.array(*[g[0] for g in groups]), lambda start: start <= value))
+    inside = F.get(F.array(*[F.array(*g) for g in groups]), group - 1)
+    within = F.size(F.filter(inside, lambda start: start <= value))
+    number = F.when(group == 0, F.lit(0)).otherwise((group - 1) * width + within)
+    return F.when(value.isNull(), last).otherwise(number)
+
+
 def _with_offsets(placed: DataFrame, totals: list[tuple[int, int]]) -> DataFrame:
     """Add the number of rows in all earlier ranges."""
     totals = sorted(totals)
@@ -33,6 +71,19 @@ def _with_offsets(placed: DataFrame, totals: list[tuple[int, int]]) -> DataFrame
     return placed.join(F.broadcast(offsets), PART)
 
 
+def _counted_in_ranges(df: DataFrame, name: str, starts: list[Column]) -> DataFrame:
+    """Every cursor value with its rows, the number of its range, and the rows of the range
+    up to it. The range is a column, so the window needs no exchange besides that of the
+    ranges, and values of one range stay in one task only while they are counted."""
+    value = F.col("value")
+    counted = df.groupBy(F.col(ref(name)).alias("value")).agg(F.count("*").alias("n"))
+    ranged = counted.withColumn(PART, range_number(value, starts)).repartitionById(
+        len(starts) + 2, F.col(PART)
+    )
+    in_range = Window.partitionBy(PART).orderBy(value.asc_nulls_last())
+    return ranged.withColumn("upto", F.sum("n").over(in_range))
+
+
 def chunk_manifest(df: DataFrame, cursor: str, chunk_rows: int = 1000) -> DataFrame:
     """Chunk number, its rows, and the watermark after it, for chunks in cursor order.
 
@@ -43,12 +94,9 @@ def chunk_manifest(df: DataFrame, cursor: str, chunk_rows: int = 1000) -> DataFr
     name = resolve(df.columns, cursor)
     kind = df.schema[name].dataType
     value = F.col("value")
-    counted = df.groupBy(F.col(ref(name)).alias("value")).agg(F.count("*").alias("n"))
-    ranged = range_partitioned(counted, [value.asc_nulls_last()]).select(
-        F.spark_partition_id().alias(PART), "value", "n"
-    )
-    in_range = Window.partitionBy(PART).orderBy(value.asc_nulls_last())
-    placed = materialize(ranged.withColumn("upto", F.sum("n").over(in_range)), "chunks")
+    ranges = wanted_partitions(df.sparkSession, df)
+    starts = [typed_literal(text, kind, name) for text in range_starts(df, name, ranges)]
+    placed = materialize(_counted_in_ranges(df, name, starts), "chunks")
 
     ranges = (
         placed.groupBy(PART)
@@ -72,20 +120,14 @@ def chunk_manifest(df: DataFrame, cursor: str, chunk_rows: int = 1000) -> DataFr
         )
         .where("first <= last")
     )
-    # A value with very many chunks is cut into blocks, and those are dealt out again.
-    block = F.lit(_CHUNKS_PER_BLOCK)
-    is_long = F.col("last") - F.col("first") >= block
-    starts = F.explode(F.sequence("first", "last", block)).alias("first")
-    blocks = (
-        spans.where(is_long)
-        .select("value", starts, "last")
-        .repartition("first")
-        .withColumn("last", F.least("last", F.col("first") + block - 1))
-    )
-    chunks = (
-        spans.where(~is_long)
-        .unionByName(blocks)
-        .select("value", F.explode(F.sequence("first", "last")).alias("chunk"))
+    # A value with very many chunks is dealt out in blocks of them.
+    block = F.lit(CHUNKS_PER_BLOCK)
+    blocks = spans.select(
+        "value", "last", F.explode(F.sequence("first", "last", block)).alias("first")
+    ).repartition("first")
+    chunks = blocks.select(
+        "value",
+        F.explode(F.sequence("first", F.least("last", F.col("first") + block - 1))).alias("chunk"),
     )
     return chunks.select(
         "chunk",

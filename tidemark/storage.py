@@ -9,6 +9,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from py4j.protocol import Py4JJavaError
@@ -17,6 +21,8 @@ from tidemark.errors import CommitConflict, TidemarkError
 from tidemark.sizing import sized_shuffles
 
 _FOLDER_SETTING = "spark.checkpoint.dir"
+_LOCAL_FOLDERS: WeakKeyDictionary = WeakKeyDictionary()
+_OWNED: ContextVar[list[str] | None] = ContextVar("owned folders", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,14 +37,31 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not context.master.startswith("local"):
         raise TidemarkError(f"set {_FOLDER_SETTING} to a folder all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-    return context.getCheckpointDir()
+    if context not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[context] = tempfile.mkdtemp(prefix="tidemark-")
+    return _LOCAL_FOLDERS[context]
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     return os.path.join(shared_folder(spark), "tidemark", f"{purpose}-{uuid.uuid4().hex}")
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables materialized in this block go at its end: write or collect the result inside.
+
+    Outside of any such block they stay until the driver ends.
+    """
+    owned: list[str] = []
+    token = _OWNED.set(owned)
+    try:
+        yield
+    finally:
+        _OWNED.reset(token)
+        for folder in owned:
+            remove(spark, folder)
+
+
 def materialize(df: DataFrame, purpose: str = "table") -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
@@ -49,7 +72,11 @@ def materialize(df: DataFrame, purpose: str = "table") -> DataFrame:
     folder = new_folder(spark, purpose)
     with sized_shuffles(spark, df):
         df.write.parquet(folder)
-    remove_at_exit(spark, folder)
+    owned = _OWNED.get()
+    if owned is None:
+        remove_at_exit(spark, folder)
+    else:
+        owned.append(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
@@ -99,8 +126,10 @@ def publish_text(spark: SparkSession, file: str, text: str) -> None:
     draft = os.path.join(os.path.dirname(file), f".draft-{uuid.uuid4().hex}")
     fs, draft_path = _open(spark, draft)
     stream = fs.create(draft_path, False)
-    stream.write(text.encode("utf-8"))
-    stream.close()
+    try:
+        stream.write(text.encode("utf-8"))
+    finally:
+        stream.close()
     jvm = spark._jvm
     final_path = jvm.org.apache.hadoop.fs.Path(file)
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
