@@ -61,10 +61,14 @@ def require_unique_keys(stage: DataFrame, keys: list[str]) -> None:
         raise KeyProblem(f"the staged rows repeat merge keys, for example {shown}")
 
 
-def merge_rows(target: DataFrame, stage: DataFrame, keys: list[str]) -> DataFrame:
+def merge_rows(
+    target: DataFrame, stage: DataFrame, keys: list[str], order: str | None = None
+) -> DataFrame:
     """The target's rows after the merge, each with what became of it in ``SIDE``.
 
-    ``SIDE`` is KEPT, UPDATED or INSERTED.
+    ``SIDE`` is KEPT, UPDATED (a staged row has the key) or INSERTED. With ``order``, a
+    column of both sides, a staged row that comes before the target's row changes nothing;
+    one without an order comes before any that has one.
     """
     stage = align(stage, target.schema)
     keys = merge_keys(stage.columns, keys)
@@ -77,11 +81,17 @@ def merge_rows(target: DataFrame, stage: DataFrame, keys: list[str]) -> DataFram
     arrived = renamed.where(staged_has_key).withColumn("_arrived", F.lit(True))
     is_held, has_arrived = F.col("_held").isNotNull(), F.col("_arrived").isNotNull()
 
+    wins = has_arrived
+    if order is not None:
+        order = resolve_all(stage.columns, [order])[0]
+        now, old = F.col(staged_name[order]), F.col(ref(order))
+        wins = has_arrived & F.coalesce(old.isNull() | (now >= old), F.lit(False))
+
     def value(name: str) -> Column:
         if name in keys:
             return F.coalesce(F.col(ref(name)), F.col(staged_name[name]))
         if name in staged_name:
-            return F.when(has_arrived, F.col(staged_name[name])).otherwise(F.col(ref(name)))
+            return F.when(wins, F.col(staged_name[name])).otherwise(F.col(ref(name)))
         return F.col(ref(name))
 
     side = (
