@@ -25,7 +25,7 @@ from tidemark.operators.reconcile import differing_rows
 from tidemark.plans.state import SyncState
 from tidemark.plans.sync import FrameSource, sync, sync_to
 from tidemark.sinks.files import FileTarget
-from tidemark.sinks.jsonl import write_json_lines
+from tidemark.sinks.jsonl import JsonLinesRuns, write_json_lines
 from tidemark.streaming.upsert import merge_batch, stream_upsert
 
 SCHEMA = "id int, grp string, v double, note string"
@@ -516,13 +516,10 @@ def test_json_lines_have_every_column_and_bounded_files(spark, tmp_path):
 
 class FakeContext:
     def __init__(self, master):
-        self.master, self.folder = master, None
+        self.master = master
 
     def getCheckpointDir(self):
-        return self.folder
-
-    def setCheckpointDir(self, folder):
-        self.folder = f"{folder}/id"
+        return None
 
 
 class FakeSession:
@@ -535,7 +532,126 @@ def test_shared_folder_comes_from_the_session(spark):
     assert storage.shared_folder(FakeSession("spark://host", "/shared")) == "/shared"
     assert storage.new_folder(FakeSession("spark://host", "/shared"), "x").startswith("/shared/tidemark/x-")
     local = FakeSession("local[8]")
-    assert storage.shared_folder(local) == storage.shared_folder(local) == local.sparkContext.folder
+    assert storage.shared_folder(local) == storage.shared_folder(local)
+    assert storage.shared_folder(local) != storage.shared_folder(FakeSession("local[8]"))
     with pytest.raises(TidemarkError, match="spark.checkpoint.dir"):
         storage.shared_folder(FakeSession("spark://host"))
     assert storage.materialize(spark.range(5)).count() == 5
+
+
+def test_scratch_goes_when_its_owner_is_done(spark, tmp_path):
+    def folders():
+        found = storage.list_names(spark, storage.os.path.join(storage.shared_folder(spark), "tidemark"))
+        return {name for name in found if name.split("-")[0] in ("input", "positions", "chunks", "sync")}
+
+    df = spark.range(40).withColumn("v", F.col("id") % 7)
+    before = folders()
+    with pytest.raises(RuntimeError), storage.scratch(spark):
+        assert with_positions(df, "v").count() == 40 and len(folders()) == len(before) + 2
+        raise RuntimeError
+    assert folders() == before
+    assert write_json_lines(df, str(tmp_path / "out"), cursor="v") == 40
+    assert folders() == before
+    assert write_json_lines(df, str(tmp_path / "dealt"), partitions=5) == 40
+    assert len(list((tmp_path / "dealt").glob("part-*"))) == 5
+    with_positions(df, "v")
+    assert len(folders()) > len(before)
+
+
+def test_interrupted_runs_replace_what_they_wrote(spark, tmp_path):
+    source = spark.range(30).select("id")
+    sink = JsonLinesRuns(str(tmp_path / "out"))
+    state = SyncState(spark, str(tmp_path / "state"))
+
+    class Crash(SyncState):
+        def save(self, name, watermark):
+            raise RuntimeError("after the write")
+
+    early = FrameSource(source.where("id < 12"), "id")
+    for _ in range(2):
+        with pytest.raises(RuntimeError):
+            sync_to(early, sink, Crash(spark, str(tmp_path / "state")), "s")
+    # More has arrived when the run is started again.
+    assert sync_to(FrameSource(source.where("id < 20"), "id"), sink, state, "s").rows_written == 20
+    assert sync_to(FrameSource(source, "id"), sink, state, "s").rows_written == 10
+    assert sync_to(FrameSource(source, "id"), sink, state, "s").rows_written == 0
+    read = spark.read.json(str(tmp_path / "out" / "*"))
+    assert sorted(int(r["id"]) for r in read.collect()) == list(range(30))
+    assert len(storage.list_names(spark, str(tmp_path / "out"))) == 2
+
+
+def test_rows_without_a_cursor_are_loaded_once(spark, tmp_path):
+    nulls = spark.createDataFrame([(None, 1), (None, 2)], "c int, v int")
+    later = nulls.unionAll(spark.createDataFrame([(5, 3)], "c int, v int"))
+    for late_ties in (False, True):
+        target = FileTarget.create(spark, str(tmp_path / f"t{late_ties}"), nulls.schema)
+        for rows, loaded in ((nulls, 2), (nulls, 0), (later, 1), (later, 0)):
+            report = sync(FrameSource(rows, "c", late_ties=late_ties), target, "s")
+            assert report.rows_written == loaded
+        assert report.watermark == "5" and target.count() == 3
+
+
+def test_late_ties_are_read_once(spark, tmp_path):
+    """Any arrivals at any cursor: what a run reads is new rows past or at the watermark."""
+    rng = random.Random(8)
+    schema = "c int, v string"
+    target = FileTarget.create(spark, str(tmp_path / "t"), spark.createDataFrame([], schema).schema)
+    there, loaded, stored = [], [], None
+    for _ in range(7):
+        high = (stored or 0) + rng.randrange(2)
+        arriving = [(rng.choice([high, high, high + 1]), rng.choice(["a", "b", None])) for _ in range(rng.randrange(6))]
+        if stored is not None:
+            loaded += [r for r in arriving if r[0] >= stored]
+        else:
+            loaded += arriving
+        there += arriving
+        rng.shuffle(there)
+        report = sync(FrameSource(spark.createDataFrame(there, schema), "c", late_ties=True), target, "s")
+        stored = max((r[0] for r in there), default=stored)
+        assert rows(target.read()) == sorted(loaded, key=repr)
+        assert report.watermark == (None if stored is None else str(stored))
+        assert len(storage.list_names(spark, str(tmp_path / "t" / "ties"))) == bool(loaded)
+
+
+def test_the_last_by_order_wins(spark, tmp_path):
+    schema = "id int, seq int, v string"
+    empty = spark.createDataFrame([], schema)
+    target = FileTarget.create(spark, str(tmp_path / "t"), empty.schema, ["id"], 2)
+    merge_one = merge_batch(target, lambda: "s/1", order="SEQ")
+
+    def batch(*given):
+        return spark.createDataFrame(list(given), schema).repartition(3)
+
+    merge_one(batch((1, 5, "e"), (1, 7, "g"), (1, 6, "f"), (2, None, "x"), (None, 1, "n"), (None, 1, "n")), 0)
+    merge_one(batch((1, 6, "late"), (2, 1, "first"), (3, 3, "three"), (3, 3, "three")), 1)
+    merge_one(batch((1, 7, "again"), (2, None, "none"), (3, 4, "four")), 2)
+    assert rows(target.read()) == sorted(
+        [(1, 7, "again"), (2, 1, "first"), (3, 4, "four"), (None, 1, "n"), (None, 1, "n")], key=repr
+    )
+
+
+def test_conflicting_rows_of_a_batch_need_an_order(spark, tmp_path):
+    base = numbers(spark, 10)
+    target = FileTarget.create(spark, str(tmp_path / "t"), base.schema, ["id"], 2)
+    with pytest.raises(KeyProblem, match="repeat"):
+        merge_batch(target, lambda: "s/1")(base.unionAll(base.withColumn("v", F.lit(3.0))), 0)
+    assert target.count() == 0
+
+
+def test_deliveries_are_merged_once_whatever_the_batch(spark, tmp_path):
+    schema = "id int, v string, d string"
+    target = FileTarget.create(
+        spark, str(tmp_path / "t"), spark.createDataFrame([], "id int, v string").schema, ["id"], 2
+    )
+    feed = str(tmp_path / "feed")
+
+    def run(*given):
+        spark.createDataFrame(list(given), schema).coalesce(1).write.mode("append").parquet(feed)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(feed)
+        stream_upsert(stream, target, "s", str(tmp_path / "c"), delivery="D").awaitTermination()
+        return rows(target.read())
+
+    assert run((None, "a", "1"), (None, "a", "2"), (None, "b", None)) == [(None, "a"), (None, "a"), (None, "b")]
+    got = run((None, "a", "1"), (None, "a", "3"), (None, "b", None), (4, "c", "4"))
+    assert got == sorted([(None, "a")] * 3 + [(None, "b")] * 2 + [(4, "c")], key=repr)
+    assert run((5, "d", "4"), (None, "a", "2")) == got

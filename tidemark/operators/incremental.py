@@ -3,7 +3,8 @@
 The comparison is made on the cursor column's own type, never on its text
 (as text, ``'9' > '10'``), and on the bare column, so the scan can push it down.
 Rows that later arrive with a cursor *equal* to the stored watermark are not
-read again; rows with a NULL cursor are read only when there is no lower bound.
+read again, unless the rows read there are remembered (``tied_rows``, ``late_rows``);
+rows with a NULL cursor are read only when there is no lower bound.
 """
 
 from __future__ import annotations
@@ -76,3 +77,40 @@ def frontier(
     row = past.agg(watermark_of(past, cursor).alias("watermark"), F.count("*").alias("n")).first()
     return Frontier(row["watermark"], row["n"])
 
+
+def _at(df: DataFrame, cursor: str, watermark: str) -> DataFrame:
+    name = resolve(df.columns, cursor)
+    return df.where(F.col(ref(name)) == typed_literal(watermark, df.schema[name].dataType, name))
+
+
+def _hashes(df: DataFrame) -> list[Column]:
+    marked = [part for c in df.columns for part in (F.col(ref(c)), F.col(ref(c)).isNull())]
+    return [
+        F.xxhash64(*marked).alias("tm_hash_a"),
+        F.xxhash64(F.lit("again"), *reversed(marked)).alias("tm_hash_b"),
+    ]
+
+
+def tied_rows(df: DataFrame, cursor: str, watermark: str) -> DataFrame:
+    """What tells the rows at the watermark: two hashes, and how many rows have them."""
+    at = _at(df, cursor, watermark).select(*_hashes(df))
+    return at.groupBy("tm_hash_a", "tm_hash_b").agg(F.count("*").alias("copies"))
+
+
+def late_rows(df: DataFrame, cursor: str, watermark: str, seen: DataFrame) -> DataFrame:
+    """Rows at the watermark that are not among those ``seen`` there, as a multiset.
+
+    Equal rows are counted before anything is joined, so a row that is there a million
+    times is one; only rows of this one cursor value are read.
+    """
+    own = [ref(c) for c in df.columns]
+    counted = _at(df, cursor, watermark).groupBy(own).agg(F.count("*").alias("tm_rows"))
+    hashed = counted.select(*own, "tm_rows", *_hashes(df))
+    late = F.col("tm_rows") - F.coalesce(F.col("copies"), F.lit(0))
+    return (
+        hashed.join(seen, ["tm_hash_a", "tm_hash_b"], "left")
+        .withColumn("tm_late", late)
+        .where("tm_late > 0")
+        .select(*own, F.explode(F.sequence(F.lit(1).cast("long"), "tm_late")).alias("tm_nth"))
+        .select(own)
+    )

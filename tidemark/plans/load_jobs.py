@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,7 +16,7 @@ from tidemark.plans.registry import job
 from tidemark.plans.state import SyncState
 from tidemark.plans.sync import FrameSource, sync, sync_to
 from tidemark.sinks.files import FileTarget
-from tidemark.sinks.jsonl import write_json_lines
+from tidemark.sinks.jsonl import JsonLinesRuns, write_json_lines
 from tidemark.sources.query import read_table
 from tidemark.streaming.upsert import stream_upsert as start_stream
 
@@ -346,6 +346,29 @@ def sync_reports(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@job("""
+SELECT event_id, date_trunc('day', ts) AS day, copy FROM events, (VALUES (1), (2)) AS c(copy)
+WHERE (date_trunc('day', ts) > TIMESTAMP '2024-01-10' AND copy = 1)
+   OR (date_trunc('day', ts) = TIMESTAMP '2024-01-10')
+   OR (date_trunc('day', ts) < TIMESTAMP '2024-01-10' AND event_type <> 'view' AND copy = 1)
+""")
+def incr_late_ties(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs by day. After the first, which sees no views, rows of its last day arrive late, one
+    of each two equal rows among them: they are read once, rows of days before are not."""
+    events = read_table(spark, folder, "events").select(
+        "event_id", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), "event_type"
+    )
+    last = F.col("day") == F.expr("TIMESTAMP_NTZ '2024-01-10 00:00:00'")
+    rows = events.drop("event_type")
+    twice = rows.unionByName(rows.where(last))
+    target = new_target(spark, rows.schema)
+    early = events.where("event_type <> 'view'").drop("event_type")
+    for seen, upto in ((early, "2024-01-10 00:00:00.000000"), (twice, None), (twice, None)):
+        sync(FrameSource(seen, "day", upto=upto, late_ties=True), target, "events")
+    nth = Window.partitionBy("event_id").orderBy("day")
+    return target.read().withColumn("copy", F.row_number().over(nth))
+
+
 @job(f"WITH t AS ({TARGET}), s AS ({STAGE}) {UPSERTED}")
 def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     old = _target(spark, folder)
@@ -397,6 +420,50 @@ def stream_upsert_null_key(spark: SparkSession, folder: str) -> DataFrame:
     return target.read()
 
 
+@job(f"""
+WITH t AS (SELECT {NULL_KEYS['t']} AS k, o_custkey, o_totalprice, 0 AS seq FROM ({TARGET})),
+     s AS (SELECT {NULL_KEYS['s']} AS k, o_custkey, o_totalprice + n AS o_totalprice, n AS seq
+           FROM ({STAGE}), (VALUES (1), (2), (3)) AS v(n)),
+     last AS (SELECT * FROM s WHERE seq = 3 AND k IS NOT NULL)
+SELECT coalesce(t.k, last.k) AS k, coalesce(last.o_custkey, t.o_custkey) AS o_custkey,
+       coalesce(last.o_totalprice, t.o_totalprice) AS o_totalprice, coalesce(last.seq, t.seq) AS seq
+FROM t FULL JOIN last ON t.k = last.k
+UNION ALL SELECT k, o_custkey, o_totalprice, seq FROM s WHERE k IS NULL
+""")
+def stream_upsert_ordered(spark: SparkSession, folder: str) -> DataFrame:
+    """Three changes of every row, out of order within a batch and across batches, the first
+    batch delivered twice: the last change wins, and rows without a key are there once."""
+    old, new = (
+        df.select(F.expr(NULL_KEYS[side]).alias("k"), "o_custkey", "o_totalprice", "o_orderkey")
+        for side, df in (("t", _target(spark, folder)), ("s", _stage(spark, folder)))
+    )
+    old = old.drop("o_orderkey").withColumn("seq", F.lit(0))
+    target = new_target(spark, old.schema, ("k",))
+    target.append(old)
+    change = F.explode(F.array(*[F.lit(n) for n in (1, 2, 3)]))
+    changes = new.withColumn("seq", change).select(
+        "k", "o_custkey", (F.col("o_totalprice") + F.col("seq")).alias("o_totalprice"), "seq",
+        F.concat_ws("/", "o_orderkey", "seq").alias("delivery"),
+    )
+    # Of an order one change comes early, the last or the first; two come in one batch.
+    early = (F.col("seq") == 3) == (F.col("o_custkey") % 2 == 0)
+    feed = storage.new_folder(spark, "feed")
+    batches = [changes.where(early), changes.where(~early), changes.where(early)]
+    for i, batch in enumerate(batches):
+        batch.coalesce(1).write.parquet(f"{feed}/batch={i}")
+    storage.remove_at_exit(spark, feed)
+    stream = (
+        spark.readStream.schema(changes.schema)
+        .option("maxFilesPerTrigger", 1)
+        .parquet(f"{feed}/*")
+    )
+    checkpoint = storage.new_folder(spark, "stream")
+    start_stream(
+        stream, target, "orders", checkpoint, order="seq", delivery="delivery"
+    ).awaitTermination()
+    return target.read()
+
+
 # -- export and round trips --------------------------------------------------------
 
 
@@ -439,33 +506,39 @@ def jsonl_incremental(spark: SparkSession, folder: str) -> DataFrame:
     events = read_table(spark, folder, "events")
     out = storage.new_folder(spark, "jsonl")
     state = SyncState(spark, storage.new_folder(spark, "state"))
-
-    def load(run: str):
-        def write(rows: DataFrame) -> int:
-            write_json_lines(rows, f"{out}/{run}")
-            return read(run).count()
-
-        return write
-
-    def read(run: str) -> DataFrame:
-        return _read_json(spark, events.schema, f"{out}/{run}")
-
+    sink = JsonLinesRuns(out)
     start = "2024-01-03 12:00:00"
-    sync_to(FrameSource(events, "ts", upto=STOP), load("1"), state, "events", initial=start)
-    sync_to(FrameSource(events, "TS"), load("2"), state, "events", initial=start)
+    first = FrameSource(events, "ts", upto=STOP)
+    # The first run is interrupted after its write: started again, it replaces what it wrote.
+    interrupted = SyncState(spark, storage.new_folder(spark, "state"))
+    sync_to(first, sink, interrupted, "events", initial=start)
+    sync_to(first, sink, state, "events", initial=start)
+    written = storage.list_names(spark, out)
+    sync_to(FrameSource(events, "TS"), sink, state, "events", initial=start)
     storage.remove_at_exit(spark, out)
-    runs = [read(run).select(F.lit(f"run {run}").alias("run"), "*") for run in ("1", "2")]
+    runs = [
+        _read_json(spark, events.schema, f"{out}/{run}").select(
+            F.lit("run 1" if run in written else "run 2").alias("run"), "*"
+        )
+        for run in storage.list_names(spark, out)
+    ]
     return runs[0].unionByName(runs[1])
 
 
+def _body(empty: str = "es", missing: str = "fr") -> Column:
+    """Bytes of a document: empty in one language, missing in another."""
+    lang, text = F.col("lang"), F.encode("text", "UTF-8")
+    return F.when(lang == empty, F.encode(F.lit(""), "UTF-8")).when(lang != missing, text)
+
+
 @job("""
-SELECT doc_id, octet_length(encode(text)) AS bytes, sha256(text) AS digest
-FROM documents
+SELECT doc_id, octet_length(encode(body)) AS bytes, sha256(body) AS digest
+FROM (SELECT doc_id, CASE lang WHEN 'es' THEN '' WHEN 'fr' THEN NULL ELSE text END AS body
+      FROM documents)
 """)
 def binary_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    documents = read_table(spark, folder, "documents").select(
-        "doc_id", F.encode("text", "UTF-8").alias("body")
-    )
+    """Bytes, no bytes (an empty value) and no value at all come back as they are."""
+    documents = read_table(spark, folder, "documents").select("doc_id", _body().alias("body"))
     target = new_target(spark, documents.schema, ("doc_id",))
     target.upsert(documents)
     return target.read().select(
@@ -539,8 +612,9 @@ UNION ALL SELECT doc_id, 'changed', 'text,body' FROM documents WHERE lang = 'de'
 UNION ALL SELECT doc_id, 'changed', 'body' FROM documents WHERE lang = 'es'
 """)
 def reconcile_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Also where bytes are empty on one side and missing on the other, or missing on both."""
     documents = read_table(spark, folder, "documents").select(
-        "doc_id", "lang", "text", F.encode("text", "UTF-8").alias("body")
+        "doc_id", "lang", "text", _body(missing="en").alias("body")
     )
     spoiled = F.concat(F.col("text"), F.lit(" "))
     copy = documents.where("lang <> 'fr'").select(

@@ -15,6 +15,7 @@ any; an upsert rewrites those files and no others.
     <root>/data/tm_run=<id>/...       rows of one load (tm_period=<p>/tm_bucket=<n>/ if keyed)
     <root>/filters/tm_run=<id>/       Bloom filter of the load's keys
     <root>/staging/<id>               staged rows of a running upsert
+    <root>/ties/<id>                  hashes of the rows a sync read at its watermark
 """
 
 from __future__ import annotations
@@ -136,8 +137,12 @@ class FileTarget:
     def _folder(self, run: str) -> str:
         return os.path.join(self.root, "data", f"{RUN}={run}")
 
+    def beside(self, kind: str, name: str) -> str:
+        """A folder beside the data, for what a load of this name keeps."""
+        return os.path.join(self.root, kind, name)
+
     def _filter(self, run: str) -> str:
-        return os.path.join(self.root, "filters", f"{RUN}={run}")
+        return self.beside("filters", f"{RUN}={run}")
 
     def _file(self, number: int) -> str:
         return os.path.join(self.root, "versions", f"{number:08d}.json")
@@ -338,8 +343,13 @@ class FileTarget:
         keys: Sequence[str] = (),
         markers: dict[str, str] | None = None,
         at_least: int = 0,
+        order: str | None = None,
     ) -> LoadReport:
-        """Stage the rows, check them, merge them by key into the files that hold one, publish."""
+        """Stage the rows, check them, merge them by key into the files that hold one, publish.
+
+        With ``order``, a column, a row that comes before the one the target holds for its
+        key changes nothing there.
+        """
 
         def load(old: Version, run: str) -> _Loaded:
             schema = self._schema(old)
@@ -367,7 +377,8 @@ class FileTarget:
             current = self._rows(replace(old, parts=[p for p in old.parts if p.run in hit]))
             if files:
                 current = current.where(self._file_of(old).isin(files))
-            merged = merge_rows(current.select([ref(c) for c in schema.names]), staged, old.keys)
+            held_rows = current.select([ref(c) for c in schema.names])
+            merged = merge_rows(held_rows, staged, old.keys, order)
             with sized_shuffles(self.spark, current, staged):
                 wrote = self._write(
                     merged,
