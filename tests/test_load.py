@@ -22,6 +22,8 @@ from tidemark.operators.chunks import chunk_manifest, with_positions
 from tidemark.operators.describe import canonical
 from tidemark.operators.key_filter import key_filter, possible_keys, word_count
 from tidemark.operators.reconcile import differing_rows
+from tidemark.plans import recheck as recheck_module
+from tidemark.plans.recheck import differing_folders, recheck
 from tidemark.plans.state import SyncState
 from tidemark.plans.sync import FrameSource, sync, sync_to
 from tidemark.sinks.files import FileTarget
@@ -655,3 +657,39 @@ def test_deliveries_are_merged_once_whatever_the_batch(spark, tmp_path):
     got = run((None, "a", "1"), (None, "a", "3"), (None, "b", None), (4, "c", "4"))
     assert got == sorted([(None, "a")] * 3 + [(None, "b")] * 2 + [(4, "c")], key=repr)
     assert run((5, "d", "4"), (None, "a", "2")) == got
+
+
+def test_only_folders_that_differ_are_read_again(spark, tmp_path):
+    base = numbers(spark, 400).withColumn("grp", F.concat(F.lit("g "), F.col("id") % 4))
+    one, two = (
+        FileTarget.create(spark, str(tmp_path / name), base.schema, ["id", "grp"], 4, period="grp")
+        for name in ("one", "two")
+    )
+    assert differing_folders(one, two) == [] and recheck(one, two).isEmpty()
+    one.append(base.where("id < 300"))
+    one.append(base.where("id >= 300"))
+    two.append(base.withColumn("v", F.when(F.col("id") == 8, 5.0).otherwise(F.col("v"))))
+    assert len(differing_folders(one, two)) == 1
+    found = recheck(one, two)
+    assert [(r["id"], r["kind"], r["differing"]) for r in found.collect()] == [(8, "changed", ["v"])]
+    # The rows that are compared come from one folder of each side.
+    version = two.version()
+    place = differing_folders(one, two)
+    scan = two._rows(version).where(recheck_module._place(two._layout(version)).isin(place))
+    leaf = scan._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.count() < 60
+    scan.collect()
+    assert leaf.metrics().apply("numFiles").value() == 1
+    # Digests of a load are made once: later checks read the new loads only.
+    made = storage.list_names(spark, str(tmp_path / "two" / "digests"))
+    two.upsert(base.where("id = 8"))
+    assert differing_folders(one, two) == []
+    assert len(storage.list_names(spark, str(tmp_path / "two" / "digests"))) == len(made) + 1
+    one.upsert(base.where("id = 8").withColumn("id", F.lit(None).cast("int")))
+    two.append(base.where("id = 9").withColumn("id", F.lit(7000)))
+    kinds = sorted((r["kind"], r["id"]) for r in recheck(one, two).collect() if r["id"] is not None)
+    assert kinds == [("extra", 7000)]
+    assert {r["kind"] for r in recheck(one, two).collect()} == {"extra", "missing"}
+    with pytest.raises(KeyProblem, match="same keys"):
+        other = FileTarget.create(spark, str(tmp_path / "x"), base.schema, ["id"], 4)
+        recheck(one, other)

@@ -24,7 +24,7 @@ from tidemark.operators.describe import numbered
 from tidemark.storage import materialize
 
 
-_PIECES = range(4)
+PIECES = range(4)
 
 
 def _comparable(value: Column, kind: T.DataType) -> Column:
@@ -42,7 +42,12 @@ def _hash_pieces(values: list[Column]) -> list[Column]:
     """
     marked = [part for v in values for part in (v, v.isNull())]
     hashed = F.xxhash64(*marked)
-    return [F.shiftright(hashed, 16 * i).bitwiseAND(F.lit(0xFFFF)) for i in _PIECES]
+    return [F.shiftright(hashed, 16 * i).bitwiseAND(F.lit(0xFFFF)) for i in PIECES]
+
+
+def row_hash_pieces(df: DataFrame, columns: list[str]) -> list[Column]:
+    """The hash pieces of rows by the canonical text of these columns, in this order."""
+    return _hash_pieces([_comparable(F.col(ref(c)), df.schema[c].dataType) for c in columns])
 
 
 def reconcile_counts(source: DataFrame, copy: DataFrame) -> DataFrame:
@@ -70,7 +75,7 @@ def reconcile_counts(source: DataFrame, copy: DataFrame) -> DataFrame:
         reduce(
             lambda a, b: a & b,
             # Sums of no rows are NULL.
-            [F.min(c).eqNullSafe(F.max(c)) for c in ["rows", *[f"sum_{i}" for i in _PIECES]]],
+            [F.min(c).eqNullSafe(F.max(c)) for c in ["rows", *[f"sum_{i}" for i in PIECES]]],
         ).alias("same_content"),
     )
 
@@ -96,7 +101,7 @@ def _fold(
             ],
         )
 
-    names = [f"_{g}_{i}" for g in range(len(groups)) for i in _PIECES]
+    names = [f"_{g}_{i}" for g in range(len(groups)) for i in PIECES]
     folded = (
         side(source, 1, 0)
         .unionAll(side(copy, 0, 1))
@@ -104,7 +109,7 @@ def _fold(
         .agg(*[F.sum(n).alias(n) for n in ["_read", "_written", *names]])
     )
     differs = [
-        F.greatest(*[F.abs(f"_{g}_{i}") for i in _PIECES]) > 0
+        F.greatest(*[F.abs(f"_{g}_{i}") for i in PIECES]) > 0
         for g in range(len(groups))
     ]
     return folded.select(

@@ -12,6 +12,7 @@ from tidemark.functions.canonical import from_text, to_text
 from tidemark.operators import merge, reconcile
 from tidemark.operators.align import align, append
 from tidemark.operators.describe import as_load_text, canonical_schema
+from tidemark.plans.recheck import recheck
 from tidemark.plans.registry import job
 from tidemark.plans.state import SyncState
 from tidemark.plans.sync import FrameSource, sync, sync_to
@@ -60,7 +61,8 @@ def new_target(
     period: str | None = None,
 ) -> FileTarget:
     root = storage.new_folder(spark, "target")
-    target = FileTarget.create(spark, root, schema, keys, BUCKETS, period)
+    # A month of these orders is one bucket.
+    target = FileTarget.create(spark, root, schema, keys, 1 if period else BUCKETS, period)
     storage.remove_at_exit(spark, root)
     return target
 
@@ -629,6 +631,34 @@ def reconcile_bytes(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("differing", F.array_join("differing", ","))
 
 
+@job("""
+SELECT 'first' AS seen, 'changed' AS kind, o_orderkey, 'o_totalprice' AS differing FROM orders
+WHERE strftime(o_orderdate, '%Y-%m') = '1997-03'
+UNION ALL
+SELECT 'first', 'missing', o_orderkey, NULL FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1998-11'
+UNION ALL
+SELECT 'after mending', 'missing', o_orderkey, NULL FROM orders
+WHERE strftime(o_orderdate, '%Y-%m') = '1998-11'
+""")
+def reconcile_ranges(spark: SparkSession, folder: str) -> DataFrame:
+    """A copy with a month changed and one lost, checked; the change is mended, checked again."""
+    orders = read_table(spark, folder, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM").alias("o_month"), "o_orderkey", "o_totalprice"
+    )
+    month, price = F.col("o_month"), F.col("o_totalprice")
+    keys = ("o_month", "o_orderkey")
+    source, copy = (new_target(spark, orders.schema, keys, period="o_month") for _ in range(2))
+    source.append(orders)
+    spoiled = F.when(month == "1997-03", price + 1).otherwise(price)
+    copy.append(orders.where(month != "1998-11").withColumn("o_totalprice", spoiled))
+    first = recheck(source, copy)
+    found = [first.select(F.lit("first").alias("seen"), "*")]
+    copy.upsert(orders.where(month == "1997-03"))
+    found.append(recheck(source, copy).select(F.lit("after mending").alias("seen"), "*"))
+    both = found[0].unionByName(found[1]).drop("o_month")
+    return both.withColumn("differing", F.array_join("differing", ","))
+
+
 @job("""
 SELECT 'wider' AS copy, count(*) AS rows_read, count(*) AS rows_written, true AS same_content,
        0 AS changed FROM lineitem

@@ -15,6 +15,7 @@ any; an upsert rewrites those files and no others.
     <root>/data/tm_run=<id>/...       rows of one load (tm_period=<p>/tm_bucket=<n>/ if keyed)
     <root>/filters/tm_run=<id>/       Bloom filter of the load's keys
     <root>/staging/<id>               staged rows of a running upsert
+    <root>/digests/tm_run=<id>/       rows and sums of row hashes of the load's files
     <root>/ties/<id>                  hashes of the rows a sync read at its watermark
 """
 
@@ -51,6 +52,7 @@ from tidemark.operators.merge import (
     merge_rows,
     require_unique_keys,
 )
+from tidemark.operators.reconcile import PIECES, row_hash_pieces
 from tidemark.sizing import sized_shuffles
 
 RUN, PERIOD, BUCKET = "tm_run", "tm_period", "tm_bucket"
@@ -207,6 +209,29 @@ class FileTarget:
         """Rows of the newest version, from the version file."""
         return self.version().rows
 
+    def digests(self) -> DataFrame:
+        """Rows, and sums of row hashes (see ``operators.reconcile``), of each folder of the
+        newest version. Files never change, so theirs are kept beside the data: only loads
+        that were not digested yet are read."""
+        version, layout = self.version(), self._layout(self.version())
+        sums = [f"sum_{i}" for i in PIECES]
+        folders = []
+        for part in version.parts:
+            folder = self.beside("digests", f"{RUN}={part.run}")
+            folders.append(folder)
+            if "_SUCCESS" not in storage.list_names(self.spark, folder):
+                rows = self._rows(replace(version, parts=[replace(part, gone=[])]))
+                hashed = row_hash_pieces(rows, self._schema(version).names)
+                rows.groupBy(*layout, self._file_of(version).alias("file")).agg(
+                    F.count("*").alias("rows"), *[F.sum(h).alias(c) for h, c in zip(hashed, sums)]
+                ).write.mode("overwrite").parquet(folder)
+        if not folders:
+            none = self._rows(version).select(*layout, F.lit(0).alias("rows"))
+            return none.select("*", *[F.lit(0).alias(c) for c in sums])
+        gone = [name for part in version.parts for name in part.gone]
+        kept = self.spark.read.parquet(*folders).where(~F.col("file").isin(gone))
+        return kept.groupBy(*layout).agg(*[F.sum(c).alias(c) for c in ["rows", *sums]])
+
     # -- writing -----------------------------------------------------------------
 
     def _bucket(self, version: Version) -> Column:
@@ -448,6 +473,7 @@ class FileTarget:
         for run in gone:
             storage.remove(self.spark, self._folder(run))
             storage.remove(self.spark, self._filter(run))
+            storage.remove(self.spark, self.beside("digests", f"{RUN}={run}"))
         for number in old:
             storage.remove(self.spark, self._file(number))
         return gone
