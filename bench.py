@@ -45,6 +45,8 @@ HEADLINE = [
     "upsert_merge",
     "upsert_partial_columns",
     "upsert_null_key",
+    "upsert_by_period",
+    "append_duplicate_keys",
     "insert_only_merge",
     "load_report",
     "typed_write",
@@ -52,6 +54,7 @@ HEADLINE = [
     "number_roundtrip",
     "reconcile_counts",
     "reconcile_bytes",
+    "reconcile_ranges",
     "sync_two_runs",
     "stream_upsert",
 ]
@@ -86,7 +89,11 @@ def full_read_to_json_lines(spark: SparkSession) -> tuple[int, float]:
     assert len(wide.columns) == 34
     rows = wide.count()
     seconds = [
-        timed(lambda: write_json_lines(wide, storage.new_folder(spark, "bench")))
+        timed(
+            lambda: write_json_lines(
+                wide, storage.new_folder(spark, "bench"), partitions=int(CPUS)
+            )
+        )
         for _ in range(RUNS)
     ]
     return rows, statistics.median(seconds)
