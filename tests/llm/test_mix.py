@@ -78,6 +78,49 @@ def test_every_epoch_takes_a_block_once(spark):
         assert per_source[source["source_id"]] == source["slots"]
 
 
+def test_counts_of_shards_keep_both_totals():
+    dice = np.random.default_rng(4)
+    for have in ([7], [0, 5], [100, 1, 1, 300], list(dice.integers(0, 50, 40)), [10**12, 3 * 10**12, 5]):
+        total = int(sum(have))
+        sizes = np.array([total // 4 + (i < total % 4) for i in range(4)])
+        counts = mix.drawn(sizes, np.array(have), [1])
+        assert (counts >= 0).all() and (counts.sum(0) == sizes).all() and (counts.sum(1) == have).all()
+    counts = np.array([mix.drawn([500] * 8, [3000, 900, 100], [seed])[:, 0] for seed in range(400)])
+    assert np.abs(counts.mean(0) - [375, 112.5, 12.5]).max() < 3  # each shard is drawn by the targets
+    assert counts.std(0).min() > 2
+
+
+@pytest.mark.parametrize("in_range", [1000, 1])
+def test_blocks_of_shards(spark, monkeypatch, in_range):
+    """Shards are whole, of equal size and of mixed sources; blocks hold the words of their source."""
+    monkeypatch.setattr(mix, "_RANGE", in_range)
+    how = Mix(block_words=8, shards=5)
+    docs = frame(spark)
+    blocks = mix.packed_blocks(docs, how).collect()
+    sizes = Counter(r["shard"] for r in blocks)
+    assert set(sizes) == set(range(5)) and max(sizes.values()) - min(sizes.values()) <= 1
+    assert {(r["shard"], r["slot"]) for r in blocks} == {(s, i) for s, n in sizes.items() for i in range(n)}
+    assert len(blocks) == sum(sizes.values())
+    assert {size(r["text"]) for r in blocks} <= set(range(1, 9))
+    given = defaultdict(Counter)
+    for row in documents():
+        given[row[3]].update(re.findall(r"[^\x20\x09-\x0D]+", row[1] or ""))
+    taken = defaultdict(Counter)
+    for r in blocks:
+        taken[r["source"], r["epoch"]].update(r["text"].split(" "))
+    assert all(not words - given[source] for (source, _), words in taken.items())
+    digest = mix.mix_digest(docs, how).collect()
+    assert sum(r["taken"] for r in digest) == sum(size(r["text"]) for r in blocks)
+    last = {r["source"] for r in blocks if r["slot"] >= sizes[r["shard"]] // 2}
+    assert len(last) > 1
+    again = mix.packed_blocks(docs.repartition(3), how).collect()
+    assert sorted(map(str, again)) == sorted(map(str, blocks))
+
+
+def test_no_blocks_of_no_documents(spark):
+    assert mix.packed_blocks(frame(spark, [])).collect() == []
+
+
 def test_texts_are_the_words_taken(spark):
     rows = [r for r in documents() if r[0] is not None and r[0] not in (30, 0)]
     docs = frame(spark, rows)

@@ -1,14 +1,16 @@
-"""Mixing sources to target weights: blocks of words, drawn source by source into shards.
+"""Mixing sources to target weights: blocks of words, drawn shard by shard over the sources.
 
 The words of a source are laid end to end (documents in the order of a hash) and packed
-into blocks of ``block_words``. A source's target says how many blocks it gives; how many of
-them fall in each output shard is one multinomial draw over the shards. This is not a draw of
-source counts for each output shard: sources keep their totals and shards vary in size. The
-digest and the mixed texts are by document, so the draw does not show in them; only ``mixed``
-gives shard and slot. A source's slots are numbered through the
-shards; slot j takes block ``perm(j mod blocks)`` in epoch ``j div blocks``, where ``perm`` is a
-keyed permutation of the source's blocks, so no block comes up twice before all have come
-up once. Slots and the pieces of documents then join by (source, block).
+into blocks of ``block_words``. A source's target says how many blocks it gives; output shards
+are of equal size, at most one block apart. How many blocks of each source a shard takes is a
+multinomial draw over the sources, weighted by the blocks that each still has to give; what a
+source lacks is drawn again from the others, so the totals of the sources are exact. With many
+sources the draw is over ranges of them first, then over the sources of each range, so no task
+sees more than some thousand rows. A source's draws are numbered through the shards; number j
+takes block ``perm(j mod blocks)`` in epoch ``j div blocks``, where ``perm`` is a keyed
+permutation of the source's blocks, so no block comes up twice before all have come up once.
+Within a shard, sources are interleaved by one more permutation of its slots. Slots and the
+pieces of documents then join by (source, block); ``packed_blocks`` delivers the blocks.
 
 Targets: sources by code point, null last, weigh 1, 2, 3, repeating, and share all words;
 none gets more than ``most_epochs`` times its size, the excess is reshared by weight.
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bucket_count, running, text_key, words, written
 
 _CHUNK = 100_000  # slots made of one row at a time
+_RANGE = 1_000  # sources whose counts one task draws
 #: Constants of a public 64-bit mixing function (splitmix64).
 _ADD, _FIRST, _SECOND = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
@@ -129,55 +132,91 @@ def _level(weighed: DataFrame, epochs: int) -> float:
         level = (total - (sums["full"] or 0)) / free
 
 
-def _draw(mix: Mix):
-    @F.pandas_udf("array<long>")
-    def bounds(slots: pd.Series, key: pd.Series) -> pd.Series:
-        """First slot of each shard, and the end: running totals of one multinomial draw."""
-        even = np.full(mix.shards, 1 / mix.shards)
-        draws = [
-            np.random.default_rng([mix.seed, int(k)]).multinomial(int(n), even)
-            for n, k in zip(slots, key, strict=True)
-        ]
-        return pd.Series([np.r_[0, np.cumsum(d)].astype(np.int64) for d in draws])
-
-    return bounds
+def drawn(sizes: np.ndarray, have: np.ndarray, seed: list[int]) -> np.ndarray:
+    """Counts by source and shard: ``have`` in all of a source, ``sizes`` in all of a shard."""
+    dice, left = np.random.default_rng(seed), np.array(have, np.int64)
+    counts = np.zeros((len(left), len(sizes)), np.int64)
+    for shard, size in enumerate(np.asarray(sizes, np.int64)):
+        while short := int(size - counts[:, shard].sum()):
+            total = int(left.sum())
+            got = left if short == total else np.minimum(dice.multinomial(short, left / total), left)
+            counts[:, shard] += got
+            left = left - got
+    return counts
+
+
+def shard_counts(sources: DataFrame, mix: Mix) -> DataFrame:
+    """source_id, counts (blocks it gives to each shard) and places (the first slot of those)."""
+    some = sources.where("slots > 0").select("source_id", "slots")
+    part = F.expr(f"source_id DIV {_RANGE}").alias("part")
+    ranges = some.groupBy(part).agg(F.sum("slots").alias("slots"))
+    listed = "counts array<long>, places array<long>"
+
+    def rows(ids: pd.Series, counts: np.ndarray, places: np.ndarray, name: str) -> pd.DataFrame:
+        before = places + np.cumsum(counts, axis=0) - counts
+        return pd.DataFrame({name: ids, "counts": list(counts), "places": list(before)})
+
+    def of_ranges(given: pd.DataFrame) -> pd.DataFrame:
+        given = given.sort_values("part")
+        even = np.full(mix.shards, int(given["slots"].sum()) // mix.shards)
+        even[: int(given["slots"].sum()) % mix.shards] += 1
+        counts = drawn(even, given["slots"].to_numpy(), [mix.seed])
+        return rows(given["part"], counts, np.zeros(mix.shards, np.int64), "part")
+
+    def of_sources(given: pd.DataFrame) -> pd.DataFrame:
+        given, first = given.sort_values("source_id"), given.iloc[0]
+        counts = drawn(first["counts"], given["slots"].to_numpy(), [mix.seed, 1 + int(first["part"])])
+        return rows(given["source_id"], counts, np.asarray(first["places"]), "source_id")
+
+    # One row for a range of sources: a thousandth of the sources.
+    by_range = ranges.groupBy().applyInPandas(of_ranges, f"part long, {listed}")
+    given = some.withColumn("part", part).join(by_range, "part")
+    return given.groupBy("part").applyInPandas(of_sources, f"source_id long, {listed}")
 
 
 def slots(sources: DataFrame, mix: Mix) -> DataFrame:
-    """source_id, shard, slot, epoch, block of everything the mix takes."""
+    """source_id, shard, slot (from 0 in its shard), epoch, block of everything the mix takes."""
 
     @F.pandas_udf("long")
-    def block_of(index: pd.Series, blocks: pd.Series, key: pd.Series) -> pd.Series:
-        return pd.Series(permuted(index.to_numpy(), blocks.to_numpy(), key.to_numpy()))
+    def permuted_index(index: pd.Series, size: pd.Series, key: pd.Series) -> pd.Series:
+        return pd.Series(permuted(index.to_numpy(), size.to_numpy(), key.to_numpy()))
 
     key = F.crc32(F.coalesce(F.col("name"), F.lit(""))) + F.col("name").isNull().cast("long")
-    bounds = sources.where("slots > 0").select(
-        "source_id", "blocks", key.alias("key"), _draw(mix)("slots", key).alias("bounds")
+    counts = shard_counts(sources, mix).withColumn(
+        "shards", F.arrays_zip(F.sequence(F.lit(0), F.lit(mix.shards - 1)).alias("shard"), "counts", "places")
     )
-    shards = bounds.select(
-        "source_id", "blocks", "key", "bounds", F.explode(F.sequence(F.lit(0), F.lit(mix.shards - 1))).alias("shard")
-    ).select(
-        "source_id", "blocks", "key", "shard",
-        F.get("bounds", F.col("shard")).alias("first"), F.get("bounds", F.col("shard") + 1).alias("end"),
+    total = sources.agg(F.sum("slots")).first()[0] or 0
+    size = F.lit(total // mix.shards) + (F.col("s.shard") < total % mix.shards).cast("long")
+    cut = (
+        sources.select("source_id", "blocks", key.alias("key"))
+        .join(counts, "source_id")
+        .select("source_id", "blocks", "key", "counts", F.explode("shards").alias("s"))
+        .select(
+            "source_id", "blocks", "key", F.col("s.shard").alias("shard"), F.col("s.counts").alias("count"),
+            F.col("s.places").alias("place"),
+            F.expr("aggregate(slice(counts, 1, s.shard), 0L, (a, n) -> a + n)").alias("first"),
+            size.alias("shard_size"),
+        )
     )
     # Large shards of large sources are cut, and dealt out before their slots are made.
     chunks = (
-        shards.where("end > first")
-        .withColumn("chunk", F.explode(F.expr(f"sequence(first, end - 1, {_CHUNK}L)")))
+        cut.where("count > 0")
+        .withColumn("chunk", F.explode(F.expr(f"sequence(0L, count - 1, {_CHUNK}L)")))
         .repartition("source_id", "shard", "chunk")
     )
     each = chunks.withColumn(
-        "slot", F.explode(F.expr(f"sequence(chunk, least(chunk + {_CHUNK}L, end) - 1)"))
-    )
+        "i", F.explode(F.expr(f"sequence(chunk, least(chunk + {_CHUNK}L, count) - 1)"))
+    ).withColumn("number", F.col("first") + F.col("i"))
     return each.select(
-        "source_id", "shard", "slot",
-        F.expr("slot DIV blocks").alias("epoch"),
-        block_of(F.expr("slot % blocks"), "blocks", F.col("key") + mix.seed).alias("block"),
+        "source_id", "shard",
+        permuted_index(F.col("place") + F.col("i"), "shard_size", F.col("shard") + mix.seed).alias("slot"),
+        F.expr("number DIV blocks").alias("epoch"),
+        permuted_index(F.expr("number % blocks"), "blocks", F.col("key") + mix.seed).alias("block"),
     )
 
 
 def mixed(sized: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
-    """The sources with their targets, and the pieces taken: __row, epoch, offset, words, shard, slot."""
+    """The sources with their targets, and the pieces taken: __row, epoch, at (in its source), offset, words, shard, slot."""
     sources = written(targets(sized, mix), "targets")
     ids = sources.select(F.col("name").alias("__name"), "source_id")
     rows = sized.select("__row", "doc_id", "__key", "source", "__size").join(
@@ -192,7 +231,7 @@ def mixed(sized: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
     )
     low = F.greatest(F.col("start"), F.col("block") * n)
     pieces = pieces.select(
-        "__row", "source_id", "block", (low - F.col("start")).alias("offset"),
+        "__row", "source_id", "block", low.alias("at"), (low - F.col("start")).alias("offset"),
         (F.least(F.col("end"), (F.col("block") + 1) * n) - low).alias("words"),
     )
     # Slots are made of few rows, so Spark takes them for a small table; they grow with the text.
@@ -238,3 +277,22 @@ def mixed_texts(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
         kind = documents.schema["n_chars"].dataType
         whole = whole.withColumn("n_chars", F.length("text").cast(kind))
     return whole
+
+
+def packed_blocks(documents: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """The mix as it is trained on: shard, slot, source, epoch, block, and its words in one text.
+
+    Every shard has the slots 0 to its size, one block each; only a source's last block may have
+    fewer than ``block_words`` words. Documents follow each other in a block without a mark.
+    """
+    sized = with_sizes(documents.select("doc_id", "text", "source"))
+    _, taken = mixed(sized, mix)
+    some = F.slice(words(F.col("text")), (F.col("offset") + 1).cast("int"), F.col("words").cast("int"))
+    texts = sized.select("__row", "source", "text").join(taken, "__row").select(
+        "shard", "slot", "source", "epoch", "block", F.struct("at", F.array_join(some, " ").alias("part")).alias("part")
+    )
+    blocks = texts.groupBy("shard", "slot").agg(
+        *[F.first(c).alias(c) for c in ("source", "epoch", "block")],
+        F.sort_array(F.collect_list("part")).alias("parts"),
+    )
+    return blocks.withColumn("text", F.array_join("parts.part", " ")).drop("parts")
