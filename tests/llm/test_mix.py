@@ -117,6 +117,15 @@ def test_blocks_of_shards(spark, monkeypatch, in_range):
     assert sorted(map(str, again)) == sorted(map(str, blocks))
 
 
+def test_slots_are_made_by_as_many_tasks_as_they_need(spark, monkeypatch):
+    monkeypatch.setattr(mix, "_TASK", 100)
+    monkeypatch.setattr(mix, "_CHUNK", 10)
+    sources, _ = mix.mixed(mix.with_sizes(frame(spark)), Mix(block_words=2))
+    made = mix.slots(sources, Mix(block_words=2))
+    total = sum(r["slots"] for r in sources.collect())
+    assert total > 1000 and made.rdd.getNumPartitions() == -(-total // 100)
+
+
 def test_no_blocks_of_no_documents(spark):
     assert mix.packed_blocks(frame(spark, [])).collect() == []
 

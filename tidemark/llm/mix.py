@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bucket_count, running, text_key, words, written
 
 _CHUNK = 100_000  # slots made of one row at a time
+_TASK = 500_000  # slots made by one task, about
 _RANGE = 1_000  # sources whose counts one task draws
 #: Constants of a public 64-bit mixing function (splitmix64).
 _ADD, _FIRST, _SECOND = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
@@ -198,11 +199,12 @@ def slots(sources: DataFrame, mix: Mix) -> DataFrame:
             size.alias("shard_size"),
         )
     )
-    # Large shards of large sources are cut, and dealt out before their slots are made.
+    # Large shards of large sources are cut, and dealt out before their slots are made: to a number
+    # of tasks that is given, as the rows are so small here that they would all be put in one.
     chunks = (
         cut.where("count > 0")
         .withColumn("chunk", F.explode(F.expr(f"sequence(0L, count - 1, {_CHUNK}L)")))
-        .repartition("source_id", "shard", "chunk")
+        .repartition(max(1, -(-total // _TASK)), "source_id", "shard", "chunk")
     )
     each = chunks.withColumn(
         "i", F.explode(F.expr(f"sequence(chunk, least(chunk + {_CHUNK}L, count) - 1)"))
