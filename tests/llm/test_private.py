@@ -4,6 +4,7 @@ import random
 import re
 import string
 import tracemalloc
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -90,7 +91,7 @@ def test_dynamic_programming_finds_the_best_segmentation():
         if not text.strip():
             continue
         seen = {f for a, b in [(0, len(text))] for f in private.features(text, a, b)} | {
-            "bias", "luhn=True,True,False", "octets=True", "address=True", "spaces=0", "spaces=1", "before=space",
+            "bias", "luhn=True,True,False", "octets=True", "address=True,False", "spaces=0", "spaces=1", "before=space",
             "before=edge", "after=edge", *[f"digits={n}" for n in range(20)], "first=9", "first=+", "first=a",
         }
         weights = {(k, f): dice.gauss(-0.1, 1) for k in private.KINDS for f in sorted(seen)}
@@ -128,3 +129,60 @@ def test_a_sample_is_of_different_texts_and_bounded_per_input(spark):
     assert lowest(rows, "at", 1_500, 1_000).count() == 400_000
     copies = spark.createDataFrame([("call 5551234 now",)] * 50 + [("ip 10.0.0.1",), (None,), ("",)], "text string")
     assert sorted(private.sample_texts(copies)) == ["10.0.0.1", "5551234"]
+
+
+def test_spans_written_otherwise_are_found_in_texts_not_learned_from(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("text RLIKE '[0-9@]'")
+    texts = sorted({r["text"] for r in docs.select("text").collect()})
+    weights = private.by_feature(private.fit(texts[::2]))
+    dice = random.Random(5)
+    there, right, found = Counter(), Counter(), 0
+    for lattice, gold in private.examples(texts[1::2]):
+        if not gold:
+            continue
+        text, spans = private.altered(lattice.text, lattice.start, lattice.end, sorted(gold), dice)
+        text = "see " + text + " and so on"
+        spans = {(k, a + 4, b + 4) for k, a, b in spans}
+        seen = set(map(tuple, sum(private.spans_of(text, weights), [])))
+        found += len(seen)
+        there.update(k for k, _, _ in spans)
+        right.update(k for k, _, _ in spans & seen)
+    assert sum(there.values()) > 100
+    print({k: (right[k], there[k]) for k in there}, sum(right.values()) / found)
+    assert all(right[k] >= 0.9 * there[k] for k in there)
+    assert sum(right.values()) >= 0.9 * found
+
+
+def test_secrets_are_values_of_a_name(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    weights = private.fit(private.sample_texts(docs))
+    given = re.compile(r'token = "([0-9a-fA-F]{20,})"', re.IGNORECASE)
+    planted = {(i, *m.span(1)) for i, t in texts.items() for m in given.finditer(t)}
+    found = set()
+    by_kinds = private.by_feature(weights)
+    for i, text in texts.items():
+        found |= {(i, a, b) for k, a, b in private.spans_of(text, by_kinds)[1] if k == "secret"}
+    assert len(planted) > 100 and found == planted
+    dice = random.Random(77)
+    right = wrong = missed = 0
+    for text, spans in private.secret_regions(400, dice):
+        seen = {s for s in private.spans_of(text, by_kinds)[1] if s[0] == "secret"}
+        right, wrong, missed = right + len(seen & set(spans)), wrong + len(seen - set(spans)), missed + len(set(spans) - seen)
+    print(right, wrong, missed)
+    assert right >= 0.9 * (right + missed) and right >= 0.9 * (right + wrong)
+
+
+def test_names_and_masks():
+    assert private._named('my.api_key = "', 14) == "secret"
+    assert private._named("Authorization: Bearer ", 22) == "secret"
+    assert private._named("monkey: ", 8) == "other"
+    assert private._named("token ", 6) == "none"
+    assert private._unmasked("a.b [at] c [dot] d, 1[.]2") == "a.b@c.d, 1.2"
+    text = "x y.z [at] mail [dot] example [dot] org now @ 5"
+    assert [text[a:b] for a, b in private.regions(text)] == ["y.z [at] mail [dot] example [dot] org", "now @ 5"]
+    long = "a" * 200_000 + " @ " + "b1" * 200_000
+    assert private.regions(long) == [(0, len(long))]
+    for text in ("@", " @ ", "@ @ @", "[at]", "a [at]", "(at) b", "@  x", "1 @ [dot] @"):
+        cut = private.regions(text)
+        assert all(a < b for a, b in cut) and all(x[1] <= y[0] for x, y in zip(cut, cut[1:]))
