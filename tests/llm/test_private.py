@@ -179,7 +179,7 @@ def test_names_and_masks():
     assert private._named("monkey: ", 8) == "other"
     assert private._named("token ", 6) == "none"
     assert private._unmasked("a.b [at] c [dot] d, 1[.]2") == "a.b@c.d, 1.2"
-    text = "x y.z [at] mail [dot] example [dot] org now @ 5"
+    text = "x y.z [at] mail [dot] example [dot] org or now @ 5"
     assert [text[a:b] for a, b in private.regions(text)] == ["y.z [at] mail [dot] example [dot] org", "now @ 5"]
     long = "a" * 200_000 + " @ " + "b1" * 200_000
     assert private.regions(long) == [(0, len(long))]
