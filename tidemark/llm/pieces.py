@@ -185,17 +185,29 @@ def solved(units: DataFrame, words: Vocabulary) -> DataFrame:
     lattice = edges.groupBy(*keys).agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
     def advance(path: Column, e: Column) -> Column:
-        """Best paths to the places before ``end``, and the best one yet to it."""
-        further, direct = e["end"] > path["end"], e["start"] == path["end"]
-        here = F.array(F.struct(path["score"].alias("score"), path["ids"].alias("ids")))
-        back = F.get(path["before"], e["start"])
-        score = F.when(direct, path["score"]).otherwise(back["score"]) + e["score"]
-        ids = F.concat(F.when(direct, path["ids"]).otherwise(back["ids"]), F.array(e["id"]))
-        return F.struct(
-            F.when(further, F.concat(path["before"], here)).otherwise(path["before"]).alias("before"),
-            e["end"].alias("end"),
-            F.when(further, score).otherwise(F.greatest(path["score"], score)).alias("score"),
-            F.when(further | (score > path["score"]), ids).otherwise(path["ids"]).alias("ids"),
+        """Of every place to ``end``: the best score yet, where its last piece starts, and that piece."""
+        score = F.get(path, e["start"])["score"] + e["score"]
+        here = F.array(F.struct(score.alias("score"), e["start"].alias("start"), e["id"].alias("id")))
+        return (
+            F.when(F.size(path) == e["end"], F.concat(path, here))
+            .when(score > F.get(path, e["end"])["score"], F.concat(F.slice(path, 1, e["end"]), here))
+            .otherwise(path)
+        )
+
+    def read_back(path: Column) -> Column:
+        """The ids of the last pieces, from the last place to the first."""
+        size = F.size(path)
+        return F.aggregate(
+            F.sequence(size - 1, F.lit(1), F.lit(-1)),
+            F.struct((size - 1).alias("at"), none.alias("ids")),
+            lambda back, place: F.when(
+                place == back["at"],
+                F.struct(
+                    F.get(path, place)["start"].alias("at"),
+                    F.concat(F.array(F.get(path, place)["id"]), back["ids"]).alias("ids"),
+                ),
+            ).otherwise(back),
+            lambda back: back["ids"],
         )
 
     def spelled(id_: Column) -> Column:
@@ -207,22 +219,13 @@ def solved(units: DataFrame, words: Vocabulary) -> DataFrame:
         )
 
     none = F.array().cast("array<int>")
-    first = F.struct(
-        F.array().cast("array<struct<score:double,ids:array<int>>>").alias("before"),
-        F.lit(0).alias("end"),
-        F.lit(0.0).alias("score"),
-        none.alias("ids"),
-    )
-    return lattice.select(
+    first = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("start"), F.lit(0).alias("id")))
+    ids = lattice.select(*keys, F.aggregate("edges", first, advance, read_back).alias("ids"))
+    return ids.select(
         *keys,
-        F.aggregate(
-            "edges",
-            first,
-            advance,
-            lambda path: F.when(F.array_min(path["ids"]) >= 0, path["ids"]).otherwise(
-                F.flatten(F.transform(path["ids"], spelled))
-            ),
-        ).alias("ids"),
+        F.when(F.array_min("ids") >= 0, F.col("ids"))
+        .otherwise(F.flatten(F.transform("ids", spelled)))
+        .alias("ids"),
     )
 
 
