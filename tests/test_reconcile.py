@@ -6,8 +6,10 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from tidemark.errors import ColumnMismatch
+from tidemark.operators import reconcile
 from tidemark.operators.reconcile import (
     differing_rows,
     mismatch_counts,
@@ -61,6 +63,21 @@ def test_differences_equal_those_found_by_hand(spark):
     assert sorted((tuple(r) for r in found.collect()), key=repr) == by_hand(SOURCE, COPY)
 
 
+@pytest.mark.parametrize("few", [3, 1])
+def test_rows_of_many_changed_keys_are_dealt_out(spark, monkeypatch, few):
+    """By the number of keys, however few bytes they are; keys are null or of another type here and there."""
+    rows = [(i, f"r{i}", float(i)) for i in range(9)] + [(None, "n", 1.0), (None, "n", 2.0)]
+    changed = [(k, a, b + 1) for k, a, b in rows]
+    monkeypatch.setattr(reconcile, "FEW_KEYS", few)
+    dealt, repartition = set(), DataFrame.repartition
+    counted = lambda df, n, *by: dealt.add(n) or repartition(df, n, *by)
+    source, copy = frame(spark, rows), frame(spark, changed).withColumn("k", F.col("k").cast("long"))
+    monkeypatch.setattr(DataFrame, "repartition", counted)
+    found = differing_rows(source, copy, ["k"])
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == by_hand(rows, changed)
+    assert dealt == {-(-10 // few)}
+
+
 def test_equal_copies_have_no_differences(spark):
     source = frame(spark, SOURCE)
     assert differing_rows(source, source.select("b", "k", "a"), ["k"]).isEmpty()
