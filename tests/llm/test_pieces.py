@@ -58,6 +58,19 @@ def test_awkward_rows(spark, monkeypatch, head):
         assert r["ids"] == plain(r["text"])
 
 
+def test_a_unit_is_solved_once_however_many_groups_hold_it(spark, monkeypatch):
+    given, solved = [], pieces.solved
+    monkeypatch.setattr(pieces, "solved", lambda units, words: given.append(units) or solved(units, words))
+    monkeypatch.setattr(pieces.frequent, "__defaults__", (0,))
+    monkeypatch.setattr(pieces, "CHARS_PER_GROUP", 40)
+    texts = [f"shared words of all rows, own word w{i}" for i in range(40)]
+    rows = [(i, text, *(None,) * 8) for i, text in enumerate(texts)]
+    coded = {r["text"]: r["ids"] for r in pieces.encode(frame(spark, rows), keep=["doc_id"]).collect()}
+    assert coded == {text: plain(text) for text in texts}
+    times = Counter(r["unit"] for units in given for r in units.collect())
+    assert times[" shared"] == 1 and set(times.values()) == {1}
+
+
 def test_long_runs_are_cut_and_read_back(spark):
     long = "x" * 5000 + " " * 3000 + "é" * 700
     result = pieces.piece_digest(frame(spark, [(1, long) + (None,) * 8])).collect()

@@ -3,7 +3,7 @@
 A text, with a space before it, is cut into units where no piece of the table can cross:
 before spaces, and before a mark that no piece has behind the character there. The best
 segmentation of a text is then that of its units (but for the cuts of very long runs, below),
-so each distinct unit is solved once:
+so each distinct unit of the corpus is counted, and solved once:
 
 * its substrings, of the lengths of pieces that end in the same three characters, are exploded
   and joined with the piece table (broadcast; its size is that of the vocabulary);
@@ -12,11 +12,11 @@ so each distinct unit is solved once:
   the one whose last piece starts first). A character that no piece equals is an edge of its
   UTF-8 bytes, ten below the worst score.
 
-Units are solved in two sets. The most frequent (``HEAD`` at most, by their counts over the
-whole corpus) are solved once and broadcast. The rest, mostly words that occur once or
-twice, are solved by groups of documents: a document's group is a hash of it, its rare
-units go to that group, are solved there, and meet the group's documents, which come
-compressed. Groups grow in number with the text, so that the edges of one are grouped in memory.
+Solved units reach the documents in two ways. The most frequent (``HEAD`` at most, by their
+counts over the whole corpus) are broadcast. The rest, mostly words that occur once or twice,
+go to groups of documents: a document's group is a hash of it, its rare units are joined with
+their ids, go to that group and meet the group's documents, which come compressed. Groups, and
+the tasks that solve units, grow in number with the text.
 
 Spaces are coded with the pieces' space mark and read back exactly, also several, leading and
 trailing ones; a text's own U+2581 is coded as bytes. Runs of marks or of spaces over ``LONGEST``
@@ -49,12 +49,14 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 HEAD = 1 << 18
 LONGEST = 256
 CHARS_PER_GROUP = 2_000_000
-HEAD_TASKS = 64
+SOLVING_TASKS = 64  # at least; as many as there are groups, if those are more
 _HEAD_LENGTH = 32  # characters of a unit of the head, so that its size is bounded
-_FLUSH = 300_000
+_FLUSH = 1 << 16  # different words that a task counts before it hands them on
 _BYTES_OUT = 8 << 20
 _BINS = 8  # of counts, by doubling
 _WORDS_KEPT = 1 << 16  # whose units a task remembers
+_LEVEL = 6  # of compression of what is sent to groups
+_ROWS_AT_ONCE = 1000  # of texts compressed
 _SPACED = re.compile(" ( *[^ ]+| *)")
 
 
@@ -254,23 +256,23 @@ def _counts(pattern: str):
     return count
 
 
-def frequent(texts: DataFrame, words: Vocabulary, most: int = HEAD) -> DataFrame:
-    """The ``most`` frequent units, or somewhat fewer: all those above one count."""
+def counted(texts: DataFrame, words: Vocabulary) -> DataFrame:
+    """Every distinct unit of the texts, and how often it occurs."""
     found = texts.mapInArrow(_counts(words.pattern), "unit string, n long")
-    bin_ = F.floor(F.log2("n") * _BINS).cast("int")
-    units = written(
-        found.groupBy("unit").agg(F.sum("n").alias("n")).where("n > 1").select("unit", bin_.alias("bin"))
-        .where(F.length("unit") <= _HEAD_LENGTH),
-        "units",
-    )
+    return found.groupBy("unit").agg(F.sum("n").alias("times"))
+
+
+def frequent(units: DataFrame, most: int = HEAD) -> DataFrame:
+    """Of ``units`` with their ``times``, the ``most`` frequent, or somewhat fewer: all those above one count."""
+    bin_ = F.floor(F.log2("times") * _BINS).cast("int")
+    known = units.where("times > 1").where(F.length("unit") <= _HEAD_LENGTH).withColumn("bin", bin_)
     least, total = 0, 0
-    for row in units.groupBy("bin").count().orderBy(F.desc("bin")).collect():  # under 64 * _BINS rows
+    for row in known.groupBy("bin").count().orderBy(F.desc("bin")).collect():  # under 64 * _BINS rows
         total += row["count"]
         if total > most:
             least = row["bin"] + 1
             break
-    # Dealt out by unit before their substrings are made, so edges need no shuffle.
-    return units.where(F.col("bin") >= least).select("unit").repartition(HEAD_TASKS, "unit")
+    return known.where(F.col("bin") >= least).drop("bin")
 
 
 def _rare(pattern: str, head):
@@ -300,14 +302,50 @@ def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """group, row, text to group, row, compressed text."""
     import zstandard
 
-    pack = zstandard.ZstdCompressor(level=3).compress
+    pack = zstandard.ZstdCompressor(level=_LEVEL).compress
     for batch in batches:
-        packed = [None if t is None else pack(t.encode()) for t in batch.column(2).to_pylist()]
+        for at in range(0, batch.num_rows, _ROWS_AT_ONCE):
+            rows = batch.slice(at, _ROWS_AT_ONCE)
+            packed = [None if t is None else pack(t.encode()) for t in rows.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), rows.column(1), pa.array(packed, pa.binary())], names=["group", "row", "packed"]
+            )
+
+
+def _compress_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """group, unit, ids, ordered by group, to group and its compressed units, some to a row.
+
+    Packed are their number, bytes of each unit, ids of each, then all units and all ids.
+    """
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=_LEVEL).compress
+    for batch in batches:
+        groups = batch.column(0).to_numpy()
+        starts = np.flatnonzero(np.diff(groups, prepend=-1)).tolist()
+        packed = []
+        for start, end in zip(starts, [*starts[1:], len(groups)], strict=True):
+            units = [u.encode() for u in batch.column(1).slice(start, end - start).to_pylist()]
+            ids = batch.column(2).slice(start, end - start)
+            sizes = np.array([len(units), *map(len, units)], np.int32), ids.value_lengths().to_numpy()
+            numbers = b"".join(x.astype(np.int32).tobytes() for x in sizes)
+            packed.append(pack(numbers + b"".join(units) + ids.flatten().to_numpy().tobytes()))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["group", "row", "packed"]
+            [pa.array(groups[starts], pa.int32()), pa.array(packed, pa.binary())], names=["group", "packed"]
         )
 
 
+def _unpacked_units(raw: bytes) -> Iterator[tuple[str, bytes]]:
+    n = int(np.frombuffer(raw, np.int32, 1)[0])
+    sizes = np.frombuffer(raw, np.int32, 2 * n, 4)
+    ends = np.cumsum(sizes[:n]) + 4 * (2 * n + 1)
+    id_ends = np.cumsum(sizes[n:]) * 4 + ends[-1]
+    at, id_at = 4 * (2 * n + 1), int(ends[-1])
+    for end, id_end in zip(ends.tolist(), id_ends.tolist(), strict=True):
+        yield raw[at:end].decode(), raw[id_at:id_end]
+        at, id_at = end, id_end
+
+
 class _Known(dict):
     """Ids of words, from those of their units: the group's own, else those of the head."""
 
@@ -326,12 +364,8 @@ def _assemble(pattern: str, head, finish):
 
         unpack = zstandard.ZstdDecompressor().decompress
         own = {}
-        for part in solved_units.select(["unit", "ids"]).to_batches():
-            ids = part.column("ids")
-            coded_ids, ends = ids.flatten().to_numpy().tobytes(), np.cumsum(ids.value_lengths().to_numpy()) * 4
-            at = 0
-            for unit, end in zip(part.column("unit").to_pylist(), ends.tolist(), strict=True):
-                own[unit], at = coded_ids[at:end], end
+        for packed in solved_units.column("packed"):
+            own.update(_unpacked_units(unpack(packed.as_py())))
         known = _Known(_units_of_word(pattern), own, head.value)
         out, texts, coded, start, size = [], [], [], 0, 0
         rows = documents.column("row").combine_chunks()
@@ -375,7 +409,10 @@ def _assembled(docs: DataFrame, model: str, keep: list[str], finish, made: T.Str
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     groups = max(1, -(-chars // CHARS_PER_GROUP))
 
-    first = solved(frequent(texts, words), words).toArrow()
+    # Dealt out by unit before their substrings are made, so edges need no shuffle.
+    distinct = counted(texts, words).repartition(max(SOLVING_TASKS, groups), "unit")
+    units = written(solved(distinct, words), "units")
+    first = frequent(units).select("unit", "ids").toArrow()
     ids = first.column("ids").to_pylist()
     head = spark.sparkContext.broadcast(
         {u: np.array(i, np.int32).tobytes() for u, i in zip(first.column("unit").to_pylist(), ids, strict=True)}
@@ -388,10 +425,13 @@ def _assembled(docs: DataFrame, model: str, keep: list[str], finish, made: T.Str
         docs.where("text IS NOT NULL AND text != ''")
         .select("text", group)
         .mapInArrow(_rare(words.pattern, head), "group int, unit string")
-        .repartition(groups, "group")
+        .repartition(min(groups, max(SOLVING_TASKS // 4, groups // 32)), "unit")
         .dropDuplicates(["group", "unit"])
     )
-    units = solved(rare, words)
+    # Few tasks, so that each has several units for a group.
+    rare = rare.join(units.select("unit", "ids"), "unit").select("group", "unit", "ids")
+    rare = rare.sortWithinPartitions("group").mapInArrow(_compress_units, "group int, packed binary")
+    rare = rare.repartition(groups, "group")
     row = F.struct(*keep) if keep else F.struct(F.lit(0).alias("none"))
     given = docs.select(group, row.alias("row"), "text")
     row_type = given.schema["row"].dataType
@@ -400,7 +440,7 @@ def _assembled(docs: DataFrame, model: str, keep: list[str], finish, made: T.Str
     )
     out = T.StructType([T.StructField("row", row_type), *made.fields])
     # The units are partitioned by group already: only the documents are shuffled here.
-    done = packed.groupBy("group").cogroup(units.groupBy("group")).applyInArrow(
+    done = packed.groupBy("group").cogroup(rare.groupBy("group")).applyInArrow(
         _assemble(words.pattern, head, finish), out
     )
     return done.select(*[F.col("row")[c].alias(c) for c in keep], *made.names)
