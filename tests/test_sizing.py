@@ -1,6 +1,8 @@
 from __future__ import annotations
 
-from tidemark import sizing
+from pyspark.sql import functions as F
+
+from tidemark import sizing, storage
 
 LINEITEM = "/root/testdata/sf0.01/lineitem.parquet"
 
@@ -34,3 +36,13 @@ def test_large_inputs_raise_the_number_of_partitions(spark, monkeypatch):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     monkeypatch.setattr(sizing, "BYTES_PER_PARTITION", 1)
     assert sizing.wanted_partitions(spark, lineitem) == sizing.scanned_bytes(lineitem)  # no cap
+
+
+def test_shuffles_of_a_table_go_when_it_is_written(spark):
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting)
+    with sizing.shuffles_removed(spark):
+        assert spark.conf.get(setting) == "true"
+        table = storage.materialize(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count())
+    assert spark.conf.get(setting) == before
+    assert sorted(r["count"] for r in table.collect()) == [14] * 5 + [15] * 2

@@ -44,6 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import text_key, written
+from tidemark.sizing import shuffles_removed
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 HEAD = 1 << 18
@@ -411,7 +412,8 @@ def _assembled(docs: DataFrame, model: str, keep: list[str], finish, made: T.Str
 
     # Dealt out by unit before their substrings are made, so edges need no shuffle.
     distinct = counted(texts, words).repartition(max(SOLVING_TASKS, groups), "unit")
-    units = written(solved(distinct, words), "units")
+    with shuffles_removed(spark):
+        units = written(solved(distinct, words), "units")
     first = frequent(units).select("unit", "ids").toArrow()
     ids = first.column("ids").to_pylist()
     head = spark.sparkContext.broadcast(
