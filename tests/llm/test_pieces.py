@@ -1,7 +1,12 @@
 from __future__ import annotations
 
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +125,54 @@ def test_ids_of_long_runs_are_those_of_their_cuts(spark):
             cuts.append(whole[:n])
             whole = whole[n:]
         assert not whole and coded[text] == [i for unit in cuts for i in path(unit)]
+
+
+def test_solving_makes_no_row_for_a_substring_and_no_shuffle(spark):
+    units = [" " + w for w in "aaaa aab ababab the\nthere 数学 né ▁x 😀".split(" ")] + ["--", "   "]
+    given = spark.createDataFrame([(u, i) for i, u in enumerate(units)], "unit string, times long")
+    done = pieces.solved(given, WORDS)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    assert not any(step in plan for step in ("Generate", "Join", "Aggregate", "Exchange"))
+    rows = done.collect()
+    assert [(r["unit"], r["times"]) for r in rows] == [(u, i) for i, u in enumerate(units)]
+    # Only words are what a text is, less the space before it.
+    assert all(r["ids"] == plain(r["unit"][1:]) for r in rows if r["unit"].startswith(" "))
+
+
+def test_best_path_does_not_depend_on_what_is_solved_beside_it():
+    table, dice = pieces._Pieces(WORDS), np.random.default_rng(5)
+    texts = ["".join(dice.choice(list("aetins é数\n"), n)).replace(" ", "") for n in dice.integers(1, 60, 200)]
+    texts = [t for t in texts if t]
+    together = pieces._paths(pa.array([" " + t for t in texts]), table, WORDS.first_byte).to_pylist()
+    assert together == [plain(t) for t in texts]
+    alone = [pieces._paths(pa.array([" " + t]), table, WORDS.first_byte)[0].as_py() for t in texts[:20]]
+    assert alone == together[:20]
+    assert pieces._paths(pa.array([], pa.string()), table, WORDS.first_byte).to_pylist() == []
+
+
+def test_tasks_do_not_load_pandas():
+    """Six of a task's Python processes share an executor's memory with its heap."""
+    code = "import sys; sys.argv.pop(); import tidemark.llm.pieces; sys.exit('pandas' in sys.modules)"
+    root = Path(pieces.__file__).parents[2]
+    assert subprocess.run([sys.executable, "-c", code, "-"], cwd=root, check=False).returncode == 0
+
+
+def test_words_are_cut_like_those_of_one_text():
+    texts = EXTRA + [None, "", " ", "a", " a", "a ", "a  ", "  a   b ", "x\n y", "é数 é"]
+    ends, words = pieces._cut(pa.array(texts, pa.string()))
+    words = words.to_pylist()
+    assert [words[a:b] for a, b in zip(ends, ends[1:])] == [pieces._words(t) for t in texts]
+    different, find = pa.array(sorted(set(words))), pieces._units(WORDS.pattern)
+    place, starts, units = pieces._cutter(WORDS.pattern, WORDS.marks)(different)
+    units = units.to_pylist()
+    for word, at in zip(different.to_pylist(), place):
+        assert units[starts[at] : starts[at + 1]] == (find(word) or [" "])
+
+
+def test_texts_are_taken_some_bytes_at_once(monkeypatch):
+    monkeypatch.setattr(pieces, "_BYTES_AT_ONCE", 100)
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 30, None, "y" * 300, "", "z" * 60, "z" * 60])], names=["text"])
+    some = [s.column(0).to_pylist() for s in pieces._text_slices(batch)]
+    assert [t for s in some for t in s] == batch.column(0).to_pylist() and len(some) > 2
+    assert all(sum(len(t or "") for t in s[1:]) <= 100 for s in some)
+    assert list(pieces._text_slices(batch.slice(0, 0))) == []

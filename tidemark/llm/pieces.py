@@ -5,12 +5,12 @@ before spaces, and before a mark that no piece has behind the character there. T
 segmentation of a text is then that of its units (but for the cuts of very long runs, below),
 so each distinct unit of the corpus is counted, and solved once:
 
-* its substrings, of the lengths of pieces that end in the same three characters, are exploded
-  and joined with the piece table (broadcast; its size is that of the vocabulary);
-* the edges found are grouped by unit, and a Spark higher-order aggregate folds them, in the
-  order of their ends, into the best path to every place (highest sum of scores; of equal ones,
-  the one whose last piece starts first). A character that no piece equals is an edge of its
-  UTF-8 bytes, ten below the worst score.
+* the units are dealt out by a hash, and a task takes some thousand at once: their substrings, of
+  every length that pieces have, are looked up in the piece table (broadcast; its size is that of
+  the vocabulary), by a hash and then by their characters;
+* the edges found are folded, place by place for all these units together, into the best path to
+  every place (highest sum of scores; of equal ones, the one whose last piece starts first). A
+  character that no piece equals is an edge of its UTF-8 bytes, ten below the worst score.
 
 Solved units reach the documents in two ways. The most frequent (``HEAD`` at most, by their
 counts over the whole corpus) are broadcast. The rest, mostly words that occur once or twice,
@@ -29,14 +29,11 @@ Other columns are handed through; empty tables give empty results.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -44,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import text_key, written
-from tidemark.sizing import shuffles_removed
+from tidemark.sizing import shuffles_removed, small_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 HEAD = 1 << 18
@@ -52,11 +49,11 @@ LONGEST = 256
 CHARS_PER_GROUP = 2_000_000
 SOLVING_TASKS = 64  # at least; as many as there are groups, if those are more
 _HEAD_LENGTH = 32  # characters of a unit of the head, so that its size is bounded
-_FLUSH = 1 << 16  # different words that a task counts before it hands them on
-_BYTES_OUT = 8 << 20
+_BYTES_AT_ONCE = 2 << 20  # of texts cut into words, but for one longer text
+_BYTES_OUT = 8 << 20  # of texts of a group encoded together
+_PLACES_AT_ONCE = 50_000  # of lattices solved together; a unit has at most some 2,300
 _BINS = 8  # of counts, by doubling
-_WORDS_KEPT = 1 << 16  # whose units a task remembers
-_LEVEL = 6  # of compression of what is sent to groups
+_LEVEL = 3  # of compression of what is sent to groups
 _ROWS_AT_ONCE = 1000  # of texts compressed
 _SPACED = re.compile(" ( *[^ ]+| *)")
 
@@ -70,6 +67,7 @@ class Vocabulary:
     scores: tuple[float, ...]
     first_byte: int
     pattern: str
+    marks: str
 
     @property
     def longest(self) -> int:
@@ -99,7 +97,12 @@ def vocabulary(model: str) -> Vocabulary:
         raise ValueError("pieces with a space after other characters are not supported")
     scores = tuple(float(table.get_score(i)) for i in ids)
     first_byte = table.piece_to_id("<0x00>")
-    return Vocabulary(tuple(pieces), tuple(ids), scores, first_byte, unit_pattern(pieces))
+    marks = "".join(map(re.escape, _marks(pieces)))
+    return Vocabulary(tuple(pieces), tuple(ids), scores, first_byte, unit_pattern(pieces), marks)
+
+
+def _marks(pieces: list[str]) -> list[str]:
+    return sorted({c for p in pieces for c in p if not c.isalnum() and c != " "})
 
 
 def unit_pattern(pieces: list[str]) -> str:
@@ -110,7 +113,7 @@ def unit_pattern(pieces: list[str]) -> str:
     mark to what comes after.
     """
     pairs = {p[i : i + 2] for p in pieces for i in range(len(p) - 1)}
-    marks = {c for p in pieces for c in p if not c.isalnum() and c != " "}
+    marks = set(_marks(pieces))
     joined: dict[str, str] = {}  # characters before a mark: the marks that go on behind them
     for mark in sorted(marks):
         before = "".join(re.escape(a) for a in sorted({x[0] for x in pairs if x[1] == mark} - marks - {" "}))
@@ -138,128 +141,195 @@ def _units(pattern: str):
     return lambda text: find(" " + text) if text else []
 
 
-def _units_of_word(pattern: str):
-    find = re.compile(pattern).findall
-    return lambda word: find(" " + word)
+def _slices(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """Some rows after another, whose sizes are ``most`` at most, but for the first of them."""
+    part = np.cumsum(sizes, dtype=np.int64) // most
+    starts = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+    for start, end in zip(starts, [*starts, len(part)][1:], strict=True):
+        yield batch.slice(start, end - start)
+
 
+def _text_slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Some rows after another, by the size of the texts in their first column."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy()
+    return _slices(batch, sizes, _BYTES_AT_ONCE)
 
-def piece_table(spark, words: Vocabulary) -> DataFrame:
-    rows = pd.DataFrame({"piece": words.pieces, "id": words.ids, "score": words.scores})
-    return spark.createDataFrame(rows, "piece string, id int, score double")
 
+def _cut(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The words of some texts, as ``_words`` has them: where those of each text start, and all in a row."""
+    lists = pc.split_pattern(texts, " ")
+    spaced = pc.or_(pc.match_substring(texts, "  "), pc.or_(pc.starts_with(texts, " "), pc.ends_with(texts, " ")))
+    slow = pc.fill_null(pc.or_(spaced, pc.equal(texts, "")), True).to_numpy(zero_copy_only=False)
+    if slow.any():
+        at = np.flatnonzero(slow)
+        other = pa.array([_words(t) for t in texts.take(pa.array(at)).to_pylist()], lists.type)
+        places = np.arange(len(texts))
+        places[at] = len(texts) + np.arange(len(at))
+        lists = pa.concat_arrays([lists, other]).take(pa.array(places))
+    return np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]), lists.flatten()
 
-def suffix_table(spark, words: Vocabulary) -> DataFrame:
-    """For the last three characters before a place, the lengths of the pieces that may end there.
 
-    Other endings, and the first two places of a unit, have pieces of one or two characters.
+def _cutter(pattern: str, marks: str):
+    """A function from different words to their units: for each word its place, where its units start, and all units.
+
+    Most words hold no mark and are one unit; only the others are searched for units.
     """
-    lengths: dict[str, set[int]] = {p[-3:]: {1} for p in words.pieces if len(p) > 2}
-    for p in words.pieces:
-        if len(p) > 2:
-            lengths[p[-3:]].add(len(p))
-    pairs = {p for p in words.pieces if len(p) == 2}
-    for ending, of in lengths.items():
-        if ending[1:] in pairs:
-            of.add(2)
-    rows = pd.DataFrame({"ending": list(lengths), "lengths": [sorted(x) for x in lengths.values()]})
-    return spark.createDataFrame(rows, "ending string, lengths array<int>")
+    find, some = re.compile(pattern).findall, f"[ {marks}]"
+
+    def units(words: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        n = pc.utf8_length(words).to_numpy()
+        marked = pc.match_substring_regex(words, some).to_numpy(zero_copy_only=False)
+        slow = marked | (n == 0) | (n > LONGEST)
+        order = np.argsort(slow, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        plain = words.filter(pa.array(~slow))
+        found = [find(" " + w) for w in words.filter(pa.array(slow)).to_pylist()]
+        sizes = np.concatenate([np.ones(len(plain), np.int64), np.array([len(f) for f in found], np.int64)])
+        flat = pa.array([u for f in found for u in f], pa.string())
+        plain = pc.binary_join_element_wise(pa.scalar(" "), plain, "")
+        return place, np.concatenate([[0], np.cumsum(sizes)]), pa.concat_arrays([plain, flat])
+
+    return units
+
+
+def _rows_of(units: pa.Array, known: pa.Array) -> np.ndarray:
+    """The row of each of some different units among the known ones (more of them, all different), or -1."""
+    at = pc.index_in(known, value_set=units)
+    rows = np.full(len(units), -1, np.int64)
+    rows[at.drop_null().to_numpy()] = np.flatnonzero(at.is_valid().to_numpy(zero_copy_only=False))
+    return rows
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, ``sizes`` of them."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(sizes.sum())
+
+
+class _Pieces:
+    """The pieces by length: their hashes in order, and with each its characters, id and score."""
+
+    _BASE = 0x9E3779B97F4A7C15  # odd; hashes are modulo 2 ** 64
+
+    def __init__(self, words: Vocabulary):
+        self.longest, self.unknown = words.longest, words.unknown_score
+        lengths, ids, scores = np.array([len(p) for p in words.pieces]), np.array(words.ids), np.array(words.scores)
+        self.of: dict[int, tuple[np.ndarray, ...]] = {}
+        for n in np.unique(lengths).tolist():
+            at = np.flatnonzero(lengths == n)
+            chars = np.frombuffer("".join(words.pieces[i] for i in at).encode("utf-32-le"), np.uint32).reshape(-1, n)
+            hashes = sum(chars[:, n - 1 - k] * self.power(k) for k in range(n))
+            order = np.argsort(hashes)
+            if len(np.unique(hashes)) < len(at):
+                raise ValueError("two pieces of one hash")
+            at = at[order]
+            self.of[n] = hashes[order], chars[order], ids[at].astype(np.int32), scores[at]
+
+    def power(self, k: int) -> np.uint64:
+        return np.uint64(pow(self._BASE, k, 1 << 64))
+
+    def edges(self, chars: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Scores and ids of the pieces that end at each place, the longest first; none: minus infinity, -1.
+
+        Each unit has a place before its first character, so ``places`` counts the characters
+        up to a place in its unit.
+        """
+        scores = np.full((len(chars), self.longest), -np.inf)
+        ids = np.full((len(chars), self.longest), -1, np.int32)
+        hashes = np.zeros(len(chars), np.uint64)
+        for n in range(1, min(self.longest, len(chars)) + 1):
+            hashes[n - 1 :] += chars[: len(chars) - n + 1] * self.power(n - 1)
+            if n not in self.of:
+                continue
+            known, spelled, id_, score = self.of[n]
+            ends = np.flatnonzero(places >= n)
+            at = np.minimum(np.searchsorted(known, hashes[ends]), len(known) - 1)
+            same = known[at] == hashes[ends]
+            ends, at = ends[same], at[same]
+            same = (chars[ends[:, None] + np.arange(1 - n, 1)] == spelled[at]).all(axis=1)
+            ends, at = ends[same], at[same]
+            scores[ends, self.longest - n], ids[ends, self.longest - n] = score[at], id_[at]
+        scores[:, -1] = np.where(ids[:, -1] < 0, self.unknown, scores[:, -1])
+        return scores, ids
+
+
+def _paths(units: pa.Array, pieces: _Pieces, first_byte: int) -> pa.Array:
+    """The ids of the best path of every unit."""
+    sizes = pc.utf8_length(units).to_numpy().astype(np.int64)
+    starts = np.cumsum(sizes + 1) - sizes - 1  # the place before the first character
+    chars = np.zeros(int((sizes + 1).sum()), np.uint64)
+    places = _ranges(np.zeros(len(sizes), np.int64), sizes + 1)
+    chars[places > 0] = np.frombuffer("".join(units.to_pylist()).encode("utf-32-le"), np.uint32)
+    scores, ids = pieces.edges(chars, places)
+
+    best, last = np.zeros(len(chars)), np.zeros(len(chars), np.int64)
+    lengths = np.arange(pieces.longest, 0, -1)
+    order = np.argsort(-sizes, kind="stable")
+    by_size, ordered = starts[order], -sizes[order]
+    for place in range(1, int(sizes.max(initial=0)) + 1):
+        at = by_size[: np.searchsorted(ordered, -place, side="right")] + place
+        sums = best[np.maximum(at[:, None] - lengths, 0)] + scores[at]
+        choice = sums.argmax(axis=1)  # the first of equal ones is the longest
+        best[at], last[at] = sums[np.arange(len(at)), choice], choice
+
+    used = np.zeros(len(chars), bool)
+    at, to = starts + sizes, starts
+    while len(at):
+        used[at] = True
+        at = at - lengths[last[at]]
+        at, to = at[at > to], to[at > to]
+    used[starts] = False
+    used = np.flatnonzero(used)
+    found = ids[used, last[used]]
+
+    # Characters that no piece equals become their bytes.
+    codes = chars[used].astype(np.int64)
+    width = np.where(found < 0, 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000), 1)
+    flat = np.repeat(found, width)
+    spelled = "".join(map(chr, codes[found < 0].tolist())).encode()
+    flat[flat < 0] = np.frombuffer(spelled, np.uint8).astype(np.int32) + first_byte
+    before = np.concatenate([[0], np.cumsum(width)])
+    ends = before[np.searchsorted(used, np.append(starts, len(chars)))]
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat.astype(np.int32)))
 
 
 def solved(units: DataFrame, words: Vocabulary) -> DataFrame:
-    """``units`` (column unit, and others that partition it) with the ids of the best path."""
-    keys, spark = units.columns, units.sparkSession
-    ends = units.select(*keys, F.explode(F.expr("sequence(1, length(unit))")).alias("end"))
-    ends = ends.withColumn("ending", F.expr("substring(unit, greatest(end - 2, 1), least(end, 3))"))
-    ends = ends.join(F.broadcast(suffix_table(spark, words)), "ending", "left")
-    short = F.array(F.lit(1), F.lit(2))
-    spans = ends.select(*keys, "end", F.explode(F.coalesce("lengths", short)).alias("n")).where("n <= end")
-    substrings = spans.withColumn("piece", F.expr("substring(unit, end - n + 1, n)"))
-    edges = substrings.join(F.broadcast(piece_table(spark, words)), "piece", "left").where(
-        "id IS NOT NULL OR n = 1"
-    )
-    start = F.col("end") - F.col("n")
-    edge = F.struct(
-        "end",
-        start.alias("start"),
-        F.coalesce("score", F.lit(words.unknown_score)).alias("score"),
-        F.coalesce("id", -F.col("end")).alias("id"),  # below zero: the bytes of the character there
-    )
-    # Ordered by end and start.
-    lattice = edges.groupBy(*keys).agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-
-    def advance(path: Column, e: Column) -> Column:
-        """Of every place to ``end``: the best score yet, where its last piece starts, and that piece."""
-        score = F.get(path, e["start"])["score"] + e["score"]
-        here = F.array(F.struct(score.alias("score"), e["start"].alias("start"), e["id"].alias("id")))
-        return (
-            F.when(F.size(path) == e["end"], F.concat(path, here))
-            .when(score > F.get(path, e["end"])["score"], F.concat(F.slice(path, 1, e["end"]), here))
-            .otherwise(path)
-        )
+    """``units`` (column unit, and others that go with it) with the ids of the best path."""
+    table, first_byte = units.sparkSession.sparkContext.broadcast(_Pieces(words)), words.first_byte
+    column = units.columns.index("unit")
 
-    def read_back(path: Column) -> Column:
-        """The ids of the last pieces, from the last place to the first."""
-        size = F.size(path)
-        return F.aggregate(
-            F.sequence(size - 1, F.lit(1), F.lit(-1)),
-            F.struct((size - 1).alias("at"), none.alias("ids")),
-            lambda back, place: F.when(
-                place == back["at"],
-                F.struct(
-                    F.get(path, place)["start"].alias("at"),
-                    F.concat(F.array(F.get(path, place)["id"]), back["ids"]).alias("ids"),
-                ),
-            ).otherwise(back),
-            lambda back: back["ids"],
-        )
+    def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = pc.add(pc.utf8_length(batch.column(column)), 1)
+            for some in _slices(batch, places.to_numpy(), _PLACES_AT_ONCE):
+                ids = _paths(some.column(column), table.value, first_byte)
+                yield pa.RecordBatch.from_arrays([*some.columns, ids], names=[*some.schema.names, "ids"])
 
-    def spelled(id_: Column) -> Column:
-        code = F.hex(F.encode(F.substr("unit", -id_, F.lit(1)), "UTF-8"))
-        places = F.sequence(F.lit(0), (F.length(code) / 2 - 1).cast("int"))
-        value = lambda k: F.conv(F.substr(code, (2 * k + 1).cast("int"), F.lit(2)), 16, 10)
-        return F.when(id_ >= 0, F.array(id_)).otherwise(
-            F.transform(places, lambda k: (value(k) + words.first_byte).cast("int"))
-        )
+    out = T.StructType([*units.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    return units.mapInArrow(solve, out)
 
-    none = F.array().cast("array<int>")
-    first = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("start"), F.lit(0).alias("id")))
-    ids = lattice.select(*keys, F.aggregate("edges", first, advance, read_back).alias("ids"))
-    return ids.select(
-        *keys,
-        F.when(F.array_min("ids") >= 0, F.col("ids"))
-        .otherwise(F.flatten(F.transform("ids", spelled)))
-        .alias("ids"),
-    )
 
-
-def _counts(pattern: str):
+def _counts(pattern: str, marks: str):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, seen = _units_of_word(pattern), Counter()
-
-        def rows():
-            found: dict[str, int] = {}
-            for word, n in seen.items():
-                for unit in units(word):
-                    found[unit] = found.get(unit, 0) + n
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], names=["unit", "n"]
-            )
-
+        cut = _cutter(pattern, marks)
         for batch in batches:
-            for text in batch.column(0):
-                seen.update(_words(text.as_py()))
-                if len(seen) > _FLUSH:
-                    yield rows()
-                    seen.clear()
-        if seen:
-            yield rows()
+            for some in _text_slices(batch):
+                _, words = _cut(some.column(0))
+                seen = words.value_counts()
+                place, starts, units = cut(seen.field("values"))
+                times = np.empty(len(place), np.int64)
+                times[place] = seen.field("counts").to_numpy()
+                rows = pa.table({"unit": units, "n": np.repeat(times, np.diff(starts))})
+                rows = rows.group_by("unit", use_threads=False).aggregate([("n", "sum")])
+                yield from rows.select(["unit", "n_sum"]).rename_columns(["unit", "n"]).to_batches()
 
     return count
 
 
 def counted(texts: DataFrame, words: Vocabulary) -> DataFrame:
     """Every distinct unit of the texts, and how often it occurs."""
-    found = texts.mapInArrow(_counts(words.pattern), "unit string, n long")
+    found = texts.mapInArrow(_counts(words.pattern, words.marks), "unit string, n long")
     return found.groupBy("unit").agg(F.sum("n").alias("times"))
 
 
@@ -276,23 +346,29 @@ def frequent(units: DataFrame, most: int = HEAD) -> DataFrame:
     return known.where(F.col("bin") >= least).drop("bin")
 
 
-def _rare(pattern: str, head):
+def _rare(pattern: str, marks: str, head):
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, known = _units_of_word(pattern), head.value
-
-        @lru_cache(maxsize=_WORDS_KEPT)
-        def unknown(word: str) -> tuple[str, ...]:
-            return tuple([u for u in units(word) if u not in known])
-
+        cut, (known, _) = _cutter(pattern, marks), head.value
         for batch in batches:
-            by_group: dict[int, set[str]] = {}
-            for text, group in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                new = set(chain.from_iterable(map(unknown, set(_words(text.as_py())))))
-                if new:
-                    by_group.setdefault(group, set()).update(new)
-            for group, new in by_group.items():
+            for some in _text_slices(batch):
+                ends, words = _cut(some.column(0))
+                words = words.dictionary_encode()
+                place, starts, units = cut(words.dictionary)
+                units = units.dictionary_encode()
+                new = _rows_of(units.dictionary, known) < 0
+                unit = units.indices.to_numpy()
+                at = np.concatenate([[0], np.cumsum(new[unit])])
+                sizes = np.diff(at[starts])  # new units of each word
+                unit = unit[new[unit]]
+                # Words with new units, once for each group; then their units, once for each group.
+                word = place[words.indices.to_numpy()]
+                group = np.repeat(some.column(1).to_numpy().astype(np.int64), np.diff(ends))[sizes[word] > 0]
+                pairs = np.unique(group * len(sizes) + word[sizes[word] > 0])
+                group, word = pairs // len(sizes), pairs % len(sizes)
+                group, unit = np.repeat(group, sizes[word]), unit[_ranges(at[starts][word], sizes[word])]
+                pairs = np.unique(group * len(new) + unit)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(new), group, np.int32)), pa.array(list(new), pa.string())],
+                    [pa.array((pairs // len(new)).astype(np.int32)), units.dictionary.take(pa.array(pairs % len(new)))],
                     names=["group", "unit"],
                 )
 
@@ -322,78 +398,82 @@ def _compress_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
     pack = zstandard.ZstdCompressor(level=_LEVEL).compress
     for batch in batches:
-        groups = batch.column(0).to_numpy()
+        groups, units, ids = batch.column(0).to_numpy(), batch.column(1), batch.column(2)
         starts = np.flatnonzero(np.diff(groups, prepend=-1)).tolist()
         packed = []
-        for start, end in zip(starts, [*starts[1:], len(groups)], strict=True):
-            units = [u.encode() for u in batch.column(1).slice(start, end - start).to_pylist()]
-            ids = batch.column(2).slice(start, end - start)
-            sizes = np.array([len(units), *map(len, units)], np.int32), ids.value_lengths().to_numpy()
+        for start, end in zip(starts, [*starts, len(groups)][1:], strict=True):
+            some, of = units.slice(start, end - start), ids.slice(start, end - start)
+            sizes = np.array([len(some)]), pc.binary_length(some).to_numpy(), of.value_lengths().to_numpy()
             numbers = b"".join(x.astype(np.int32).tobytes() for x in sizes)
-            packed.append(pack(numbers + b"".join(units) + ids.flatten().to_numpy().tobytes()))
+            together = pc.binary_join(pa.ListArray.from_arrays([0, len(some)], some), "")[0].as_buffer().to_pybytes()
+            packed.append(pack(numbers + together + of.flatten().to_numpy().tobytes()))
         yield pa.RecordBatch.from_arrays(
             [pa.array(groups[starts], pa.int32()), pa.array(packed, pa.binary())], names=["group", "packed"]
         )
 
 
-def _unpacked_units(raw: bytes) -> Iterator[tuple[str, bytes]]:
+def _unpacked_units(raw: bytes) -> tuple[pa.Array, pa.Array]:
     n = int(np.frombuffer(raw, np.int32, 1)[0])
     sizes = np.frombuffer(raw, np.int32, 2 * n, 4)
-    ends = np.cumsum(sizes[:n]) + 4 * (2 * n + 1)
-    id_ends = np.cumsum(sizes[n:]) * 4 + ends[-1]
-    at, id_at = 4 * (2 * n + 1), int(ends[-1])
-    for end, id_end in zip(ends.tolist(), id_ends.tolist(), strict=True):
-        yield raw[at:end].decode(), raw[id_at:id_end]
-        at, id_at = end, id_end
-
-
-class _Known(dict):
-    """Ids of words, from those of their units: the group's own, else those of the head."""
-
-    def __init__(self, units, own: dict, head: dict):
-        self.units, self.own, self.head = units, own, head
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self[word] = b"".join([self.own.get(u) or self.head[u] for u in self.units(word)])
-        return ids
-
-
-def _assemble(pattern: str, head, finish):
+    ends = np.concatenate([[0], np.cumsum(sizes[:n])]).astype(np.int32)
+    id_ends = np.concatenate([[0], np.cumsum(sizes[n:])]).astype(np.int32)
+    at = 4 * (2 * n + 1)
+    units = pa.StringArray.from_buffers(n, pa.py_buffer(ends), pa.py_buffer(raw[at : at + ends[-1]]))
+    ids = np.frombuffer(raw[at + ends[-1] :], np.int32)
+    return units, pa.ListArray.from_arrays(pa.array(id_ends), pa.array(ids))
+
+
+def _ids_of(texts: pa.Array, cut, known: pa.Array, ids: pa.Array) -> pa.Array:
+    """The ids of each text, from those of the units that are known; null for null."""
+    ends, words = _cut(texts)
+    words = words.dictionary_encode()
+    place, starts, units = cut(words.dictionary)
+    units = units.dictionary_encode()
+    at = _rows_of(units.dictionary, known)
+    if (at < 0).any():
+        raise KeyError("a unit that was not solved")
+    of_units = ids.take(pa.array(at[units.indices.to_numpy()]))
+    unit_ends = np.concatenate([[0], np.cumsum(of_units.value_lengths().to_numpy())])
+    of_words = pa.ListArray.from_arrays(pa.array(unit_ends[starts].astype(np.int32)), of_units.flatten())
+    coded = of_words.take(pa.array(place[words.indices.to_numpy()]))
+    word_ends = np.concatenate([[0], np.cumsum(coded.value_lengths().to_numpy())])
+    missing = np.append(texts.is_null().to_numpy(zero_copy_only=False), False)
+    offsets = pa.array(word_ends[ends].astype(np.int32), mask=missing)
+    return pa.ListArray.from_arrays(offsets, coded.flatten())
+
+
+def _assemble(pattern: str, marks: str, head, finish):
     def assemble(documents: pa.Table, solved_units: pa.Table) -> pa.Table:
         """The documents of a group, with the ids of its own units and of the head."""
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
-        own = {}
-        for packed in solved_units.column("packed"):
-            own.update(_unpacked_units(unpack(packed.as_py())))
-        known = _Known(_units_of_word(pattern), own, head.value)
-        out, texts, coded, start, size = [], [], [], 0, 0
-        rows = documents.column("row").combine_chunks()
+        own = [_unpacked_units(unpack(packed.as_py())) for packed in solved_units.column("packed")]
+        units, ids = map(pa.concat_arrays, zip(*own, head.value, strict=True))
+        cut, rows, out = _cutter(pattern, marks), documents.column("row").combine_chunks(), []
+
+        def done(texts: list) -> None:
+            start = sum(batch.num_rows for batch in out)
+            some = pa.array(texts, pa.string())
+            out.append(finish(rows.slice(start, len(texts)), some, _ids_of(some, cut, units, ids)))
+
+        texts, size = [], 0
         for packed in documents.column("packed"):
-            text = None if packed.as_py() is None else unpack(packed.as_py()).decode()
-            texts.append(text)
-            coded.append(None if text is None else b"".join(map(known.__getitem__, _words(text))))
-            size += len(coded[-1] or b"")
+            raw = None if packed.as_py() is None else unpack(packed.as_py())
+            texts.append(None if raw is None else raw.decode())
+            size += len(raw or b"")
             if size > _BYTES_OUT:
-                out.append(finish(rows.slice(start, len(texts)), texts, coded))
-                start, size = start + len(texts), 0
-                texts, coded = [], []
-        out.append(finish(rows.slice(start, len(texts)), texts, coded))
+                done(texts)
+                texts, size = [], 0
+        if texts or not out:
+            done(texts)
         return pa.Table.from_batches(out)
 
     return assemble
 
 
-def _encoded(rows: pa.Array, texts: list, coded: list) -> pa.RecordBatch:
-    ends = np.cumsum([0] + [len(c or b"") // 4 for c in coded]).astype(np.int32)
-    missing = pa.array([c is None for c in coded] + [False])
-    offsets = pa.array(ends, mask=missing.to_numpy(zero_copy_only=False))
-    values = pa.array(np.frombuffer(b"".join(c or b"" for c in coded), np.int32))
-    return pa.RecordBatch.from_arrays(
-        [rows, pa.array(texts, pa.string()), pa.ListArray.from_arrays(offsets, values)],
-        names=["row", "text", "ids"],
-    )
+def _encoded(rows: pa.Array, texts: pa.Array, ids: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([rows, texts, ids], names=["row", "text", "ids"])
 
 
 def encode(docs: DataFrame, model: str = MODEL, keep: list[str] | None = None) -> DataFrame:
@@ -412,28 +492,27 @@ def _assembled(docs: DataFrame, model: str, keep: list[str], finish, made: T.Str
 
     # Dealt out by unit before their substrings are made, so edges need no shuffle.
     distinct = counted(texts, words).repartition(max(SOLVING_TASKS, groups), "unit")
-    with shuffles_removed(spark):
+    with shuffles_removed(spark), small_batches(spark):
         units = written(solved(distinct, words), "units")
     first = frequent(units).select("unit", "ids").toArrow()
-    ids = first.column("ids").to_pylist()
-    head = spark.sparkContext.broadcast(
-        {u: np.array(i, np.int32).tobytes() for u, i in zip(first.column("unit").to_pylist(), ids, strict=True)}
-    )
-    del first, ids
+    kinds = {"unit": pa.string(), "ids": pa.list_(pa.int32())}
+    head = spark.sparkContext.broadcast(tuple(first.column(c).combine_chunks().cast(t) for c, t in kinds.items()))
+    del first
 
     id_ = F.col("doc_id") if "doc_id" in docs.columns else F.lit(0)
     group = F.pmod(F.xxhash64(id_, text_key(F.col("text"))), F.lit(groups)).cast("int").alias("group")
     rare = (
         docs.where("text IS NOT NULL AND text != ''")
         .select("text", group)
-        .mapInArrow(_rare(words.pattern, head), "group int, unit string")
+        .mapInArrow(_rare(words.pattern, words.marks, head), "group int, unit string")
         .repartition(min(groups, max(SOLVING_TASKS // 4, groups // 32)), "unit")
         .dropDuplicates(["group", "unit"])
     )
     # Few tasks, so that each has several units for a group.
     rare = rare.join(units.select("unit", "ids"), "unit").select("group", "unit", "ids")
     rare = rare.sortWithinPartitions("group").mapInArrow(_compress_units, "group int, packed binary")
-    rare = rare.repartition(groups, "group")
+    with shuffles_removed(spark), small_batches(spark):
+        rare = written(rare, "rare-units").repartition(groups, "group")
     row = F.struct(*keep) if keep else F.struct(F.lit(0).alias("none"))
     given = docs.select(group, row.alias("row"), "text")
     row_type = given.schema["row"].dataType
@@ -443,32 +522,33 @@ def _assembled(docs: DataFrame, model: str, keep: list[str], finish, made: T.Str
     out = T.StructType([T.StructField("row", row_type), *made.fields])
     # The units are partitioned by group already: only the documents are shuffled here.
     done = packed.groupBy("group").cogroup(rare.groupBy("group")).applyInArrow(
-        _assemble(words.pattern, head, finish), out
+        _assemble(words.pattern, words.marks, head, finish), out
     )
     return done.select(*[F.col("row")[c].alias(c) for c in keep], *made.names)
 
 
-def _spelled(model: str):
-    """Text of ids: the space put before a text when it was coded goes."""
+@lru_cache(maxsize=2)
+def _bytes_table(model: str) -> pa.Array:
     spell = vocabulary(model).bytes_of()
-    table = pa.array([spell.get(i) for i in range(max(spell) + 1)], pa.binary())
+    return pa.array([spell.get(i) for i in range(max(spell) + 1)], pa.binary())
 
-    def spelled(ids: np.ndarray) -> str:
-        pieces = table.take(pa.array(ids, pa.int32()))
-        if pieces.null_count:
-            raise KeyError("an id that the table lacks")
-        return pc.binary_join(pa.ListArray.from_arrays([0, len(pieces)], pieces), b"")[0].as_py().decode()[1:]
 
-    return spelled
+def _joined(table: pa.Array, ids: pa.Array) -> pa.Array:
+    """The bytes that each row of ids spells, with the space put before a text when it was coded."""
+    pieces = table.take(ids.flatten())
+    if pieces.null_count:
+        raise KeyError("an id that the table lacks")
+    ends = np.concatenate([[0], np.cumsum(pc.fill_null(ids.value_lengths(), 0).to_numpy())]).astype(np.int32)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), pieces), b"")
 
 
 def decode(ids: Column, model: str = MODEL) -> Column:
     """The text of ids; null for null. Ids that the table lacks fail."""
 
-    @F.pandas_udf("string")
-    def text(ids: pd.Series) -> pd.Series:
-        spelled = _spelled(model)
-        return pd.Series([None if x is None else spelled(x) for x in ids], dtype=object)
+    @F.arrow_udf("string")
+    def text(ids: pa.Array) -> pa.Array:
+        spelled = pc.binary_slice(_joined(_bytes_table(model), ids), 1).cast(pa.string())
+        return pc.if_else(ids.is_null(), pa.scalar(None, pa.string()), spelled)
 
     return text(ids)
 
@@ -476,14 +556,19 @@ def decode(ids: Column, model: str = MODEL) -> Column:
 def _digested(model: str):
     """In place of texts and ids: number and hash of the ids, and whether they read back."""
 
-    def digested(rows: pa.Array, texts: list, coded: list) -> pa.RecordBatch:
+    def digested(rows: pa.Array, texts: pa.Array, ids: pa.Array) -> pa.RecordBatch:
         import xxhash
 
-        spelled = _spelled(model)
-        counts = [None if c is None else len(c) // 4 for c in coded]
-        hashes = [None if c is None else xxhash.xxh64_hexdigest(c) for c in coded]
-        same = [c is None or spelled(np.frombuffer(c, np.int32)) == t for c, t in zip(coded, texts, strict=True)]
-        made = [pa.array(counts, pa.int64()), pa.array(hashes, pa.string()), pa.array(same, pa.bool_())]
+        counts, flat = ids.value_lengths(), ids.flatten().to_numpy()
+        ends = np.cumsum(pc.fill_null(counts, 0).to_numpy()).tolist()
+        hashes = [
+            None if n is None else xxhash.xxh64_hexdigest(flat[end - n : end].tobytes())
+            for n, end in zip(counts.to_pylist(), ends, strict=True)
+        ]
+        spaced = pc.binary_join_element_wise(pa.scalar(" "), texts, "")
+        given = pc.if_else(pc.equal(texts, ""), texts, spaced).cast(pa.binary())
+        same = pc.fill_null(pc.equal(_joined(_bytes_table(model), ids), given), True)
+        made = [counts.cast(pa.int64()), pa.array(hashes, pa.string()), same]
         return pa.RecordBatch.from_arrays([rows, *made], names=["row", "n_pieces", "ids_xxh64", "lossless"])
 
     return digested
@@ -492,9 +577,9 @@ def _digested(model: str):
 def piece_digest(documents: DataFrame, model: str = MODEL) -> DataFrame:
     """Number and hash of the pieces of every document, and whether they read back exactly."""
     out = T.StructType().add("n_pieces", T.LongType()).add("ids_xxh64", T.StringType())
-    return _assembled(
-        documents, model, ["doc_id"], _digested(model), out.add("lossless", T.BooleanType())
-    )
+    found = _assembled(documents, model, ["doc_id"], _digested(model), out.add("lossless", T.BooleanType()))
+    with small_batches(documents.sparkSession):
+        return written(found, "digest")
 
 
 def encoded_documents(documents: DataFrame, model: str = MODEL) -> DataFrame:
