@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import lines, mix, pieces, quality, simhash
 from tidemark.llm.common import table, written
+from tidemark.sizing import small_batches
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -51,6 +52,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    with small_batches(spark):
+        for name, stage in STAGES:
+            docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

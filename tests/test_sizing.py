@@ -46,3 +46,23 @@ def test_shuffles_of_a_table_go_when_it_is_written(spark):
         table = storage.materialize(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count())
     assert spark.conf.get(setting) == before
     assert sorted(r["count"] for r in table.collect()) == [14] * 5 + [15] * 2
+
+
+def test_stages_of_the_pipeline_hand_on_few_texts_at_once(spark, tmp_path, monkeypatch):
+    import pyarrow as pa
+
+    import corpus_pipeline
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    texts = spark.range(0, 2000, 1, 1).selectExpr("repeat('x', 5000) AS text")
+    texts.write.parquet(str(tmp_path / "documents.parquet"))
+
+    def sizes(batches):
+        yield pa.RecordBatch.from_arrays([pa.array([b.num_rows for b in batches], pa.int64())], names=["n"])
+
+    stage = lambda spark, docs, folder: docs.coalesce(1).mapInArrow(sizes, "n long")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("sizes", stage)])
+    found = [r["n"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    assert sum(found) == 2000 and max(found) * 5000 < 5 << 20
+    assert spark.conf.get(name, None) == before
