@@ -151,7 +151,7 @@ def test_best_path_does_not_depend_on_what_is_solved_beside_it():
 
 
 def test_tasks_do_not_load_pandas():
-    """Six of a task's Python processes share an executor's memory with its heap."""
+    """The Python processes of an executor's tasks share its memory with its heap."""
     code = "import sys; sys.argv.pop(); import tidemark.llm.pieces; sys.exit('pandas' in sys.modules)"
     root = Path(pieces.__file__).parents[2]
     assert subprocess.run([sys.executable, "-c", code, "-"], cwd=root, check=False).returncode == 0
