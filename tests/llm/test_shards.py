@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 from datetime import date, datetime, timedelta
 from decimal import Decimal
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -125,6 +126,56 @@ def test_the_tree_is_that_of_brute_force(spark, leaves):
     assert [got[k] for k in range(leaves)] == [{i for i, _ in part} for part in want]
 
 
+def test_few_jobs_at_the_driver(spark):
+    """A level of the tree costs a few jobs; none of them broadcasts its cuts."""
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("ab "), (F.col("id") * 37 % 211).cast("int")).alias("text"),
+        F.concat(F.lit("l"), F.col("id") % 3).alias("lang"), F.concat(F.lit("s"), F.col("id") % 7).alias("source"),
+        (F.col("id") * 37 % 211 * 3).alias("n_chars"),
+    )
+    context = spark.sparkContext
+    context.setJobGroup("few jobs", "few jobs")
+    try:
+        rows = shards.shard_digest(docs)
+        jobs = len(context.statusTracker().getJobIdsForGroup("few jobs"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert rows.select("shard").distinct().count() == 40
+    assert jobs < 100
+
+
+def passes(search, rows, tolerance, ends):
+    """The number of passes that find the cut; ``ends`` are those of a bin's rows, or the bin's own."""
+    n = 0
+    while search.cut is None:
+        low, step, bins = search.low, search.step, {}
+        for at, size in rows:
+            if low <= at <= search.high:
+                k = (at - low) // step
+                b, first, last = bins.get(k, (0, at, at))
+                bins[k] = b + size, min(first, at), max(last, at)
+        if not ends:
+            bins = {k: (b, low + k * step, low + (k + 1) * step - 1) for k, (b, _, _) in bins.items()}
+        search.narrowed(bins, tolerance)
+        n += 1
+    return n
+
+
+@pytest.mark.parametrize("tolerance", [0, 0.001])
+def test_bins_known_without_a_pass_give_the_same_cut(tolerance):
+    """Rows at a few far values, told apart by the bits below only."""
+    draw = Random(9)
+    for leaves in (2, 3, 40):
+        values = [draw.randrange(1 << 32) for _ in range(4)]
+        rows = [(draw.choice(values) << 31 | draw.getrandbits(31), draw.randrange(16, 9000)) for _ in range(2000)]
+        size, ats = sum(b for _, b in rows), [at for at, _ in rows]
+        fast, plain = (
+            shards._Search(0, leaves, 0, min(ats), max(ats), size * (leaves // 2) / leaves, size) for _ in range(2)
+        )
+        fewer, all_ = passes(fast, rows, tolerance, True), passes(plain, rows, tolerance, False)
+        assert fast.cut == plain.cut and fewer < all_
+
+
 def test_no_python_in_the_plan(spark):
     plan = shards.shard_digest(frame(spark))._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))

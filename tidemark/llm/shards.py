@@ -101,10 +101,13 @@ def narrow(docs: DataFrame, dimensions: list[str]) -> DataFrame:
     )
 
 
-def _small(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
-    """A few rows, one a node at most, to be broadcast: values, so that plans stay alike."""
-    values = ", ".join(f"({', '.join(f'{x}L' for x in row)})" for row in rows)
-    return F.broadcast(spark.sql(f"SELECT * FROM VALUES {values} AS t({names})"))
+def _of_node(values: dict[int, int]) -> Column:
+    """The value given for a row's node, or null: looked up in an array that goes with the plan.
+
+    A broadcast of as few rows would be a job, and a table in the driver's memory, each time.
+    """
+    dense = ",".join(str(values.get(node, "")) for node in range(max(values) + 1))
+    return F.get(F.split(F.lit(dense), ",").try_cast("array<long>"), F.col("node").cast("int"))
 
 
 def _along(axis: Column, dimensions: int) -> Column:
@@ -115,18 +118,20 @@ def _along(axis: Column, dimensions: int) -> Column:
     return chosen
 
 
-def _descend(rows: DataFrame, cuts: list[tuple], dimensions: int) -> DataFrame:
+def _descend(rows: DataFrame, searches: list[_Search], dimensions: int) -> DataFrame:
     """Rows of the nodes that were cut move on to one of their two sides."""
-    table = _small(rows.sparkSession, cuts, "node, axis, largest, lower, upper")
-    side = F.when(_along(F.col("axis"), dimensions) <= F.col("largest"), F.col("lower"))
-    moved = F.coalesce(side.otherwise(F.col("upper")), F.col("node"))
-    moved = F.when(F.col("axis").isNull(), F.col("node")).otherwise(moved)
-    kept = [c for c in rows.columns if c != "node"]
-    return rows.join(table, "node", "left").select(*kept, moved.alias("node"))
+    axis = _of_node({s.node: s.axis for s in searches})
+    largest = _of_node({s.node: min(s.cut, _HIGHEST) for s in searches})
+    lower, upper = (_of_node({s.node: s.sides()[i][0] for s in searches}) for i in (0, 1))
+    side = F.when(_along(axis, dimensions) <= largest, lower).otherwise(upper)
+    return rows.withColumn("node", F.coalesce(side, F.col("node")))
 
 
 def grow(rows: DataFrame, dimensions: int, leaves: int, tolerance: float) -> DataFrame:
-    """``rows`` (size and coordinates c0, c1, ...) with the leaf of each in ``node``."""
+    """``rows`` (size and coordinates c0, c1, ...) with the leaf of each in ``node``.
+
+    The rows of a level are written, so the plans of all levels are equally small.
+    """
     rows = rows.withColumn("node", F.lit(0).cast("long"))
     frontier = {0: leaves} if leaves > 1 else {}
     widest = None
@@ -152,12 +157,16 @@ def grow(rows: DataFrame, dimensions: int, leaves: int, tolerance: float) -> Dat
         if not searches:  # no rows
             break
         _find_cuts(rows, dimensions, searches, tolerance)
-        rows = _descend(rows, [s.as_cut() for s in searches], dimensions)
+        rows = written(_descend(rows, searches, dimensions), "level")
         sides = [side for s in searches for side in s.sides()]
         frontier = {first: n for first, n in sides if n > 1}
     return rows
 
 
+#: Bytes of the rows of a bin, their least and their greatest coordinate.
+Bin = tuple[int, int, int]
+
+
 @dataclass
 class _Search:
     """The range that holds the cut of a node with ``leaves`` leaves, and the bytes below it."""
@@ -176,12 +185,28 @@ class _Search:
     def step(self) -> int:
         return (self.high - self.low) // BINS + 1
 
-    def narrowed(self, bins: dict[int, int], tolerance: float) -> None:
-        """Go on within the bin where the running sum passes the share, or cut at its edge."""
+    def narrowed(self, bins: dict[int, Bin], tolerance: float) -> None:
+        """Go on within the bin where the running sum passes the share, or cut at its edge.
+
+        While all rows of that bin fall into one of the bins it is divided into, those need
+        no pass over the rows.
+        """
+        while self.cut is None:
+            held = self._within(bins, tolerance)
+            if held is None:
+                return
+            _, first, last = held
+            k = (first - self.low) // self.step
+            if k != (last - self.low) // self.step:
+                return
+            bins = {k: held}
+
+    def _within(self, bins: dict[int, Bin], tolerance: float) -> Bin | None:
+        """The bin that holds the cut, now the range of the search; none if the cut is found."""
         total = self.below
         for k in sorted(bins):
             start, end = self.low + k * self.step, self.low + (k + 1) * self.step - 1
-            after = total + bins[k]
+            after = total + bins[k][0]
             if after >= self.share:
                 if after - self.share <= tolerance * self.size:
                     self.cut = end
@@ -191,38 +216,33 @@ class _Search:
                     self.cut = end if after - self.share < self.share - total else start - 1
                 else:
                     self.below, self.low, self.high = total, start, min(end, self.high)
-                return
+                    return bins[k]
+                return None
             total = after
         self.cut = self.high
+        return None
 
     def sides(self) -> list[tuple[int, int]]:
         half = self.leaves // 2
         return [(self.node, half), (self.node + half, self.leaves - half)]
 
-    def as_cut(self) -> tuple:
-        (lower, _), (upper, _) = self.sides()
-        return self.node, self.axis, min(self.cut, _HIGHEST), lower, upper
-
 
 def _find_cuts(rows, dimensions: int, searches: list[_Search], tolerance: float) -> None:
     """Divide the ranges of all searches, a pass over ``rows`` a time, until each has its cut."""
     while searches:
-        table = _small(
-            rows.sparkSession,
-            [(s.node, s.axis, s.low, s.high, s.step) for s in searches],
-            "node, axis, low, high, step",
-        )
-        at = _along(F.col("axis"), dimensions)
+        axis = _of_node({s.node: s.axis for s in searches})
+        low = _of_node({s.node: s.low for s in searches})
+        high = _of_node({s.node: s.high for s in searches})
+        step = _of_node({s.node: s.step for s in searches})
         bins = (
-            rows.join(table, "node")
-            .withColumn("at", at)
+            rows.withColumns({"at": _along(axis, dimensions), "low": low, "high": high, "step": step})
             .where("at BETWEEN low AND high")
             .groupBy("node", F.expr("(at - low) DIV step").alias("bin"))
-            .agg(F.sum("size").alias("size"))
+            .agg(F.sum("size").alias("size"), F.min("at").alias("first"), F.max("at").alias("last"))
         )
-        found: dict[int, dict[int, int]] = {s.node: {} for s in searches}
+        found: dict[int, dict[int, Bin]] = {s.node: {} for s in searches}
         for row in bins.collect():  # at most BINS rows a node
-            found[row["node"]][row["bin"]] = row["size"]
+            found[row["node"]][row["bin"]] = row["size"], row["first"], row["last"]
         for s in searches:
             s.narrowed(found[s.node], tolerance)
         searches = [s for s in searches if s.cut is None]
@@ -275,12 +295,9 @@ def kd_shards(
         "placed",
     )
     leaf = grow(placed, len(dimensions), leaves, tolerance)
-    sharded = written(
-        leaf.select(
-            "doc_id", "size", "text_crc32", "text_key", "row",
-            F.col("node").alias("shard"), F.lit(1).alias("__one"),
-        ),
-        "sharded",
+    sharded = leaf.select(
+        "doc_id", "size", "text_crc32", "text_key", "row",
+        F.col("node").alias("shard"), F.lit(1).alias("__one"),
     )
     numbered = running(
         sharded, "shard", "__one", ["text_key", "row"], "slot", bucket_count(total["rows"] or 0)
